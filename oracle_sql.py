@@ -86,9 +86,9 @@ def card_dirty_sql() -> str:
 def _standardised(export: str, date_col: str, desc_col: str, source: str, extra: str = "") -> str:
     return f"""
     SELECT trim(cast(transaction_id AS varchar), {WS}) AS transaction_id,
-           cast({date_col} AS timestamp) AS date,
+           try_cast({date_col} AS timestamp) AS date,
            upper(trim({desc_col}, {WS})) AS description,
-           cast(amount AS double) AS amount,
+           try_cast(amount AS double) AS amount,
            lower(trim(transaction_type, {WS})) AS transaction_type,
            '{source}' AS source{extra}
     FROM ({export})"""
@@ -340,6 +340,140 @@ mart_spending_stats AS (
     GROUP BY category)"""
 
 
+
+# --------------------------------------------------------------------------
+# data-quality oracle
+# --------------------------------------------------------------------------
+
+DQ_AS_OF = "2000-01-01"
+BANK_COLS = {"id": "transaction_id", "date": "date", "desc": "description", "amount": "amount",
+             "type": "transaction_type",
+             "non_null": ["transaction_id", "date", "description", "amount", "transaction_type"]}
+CARD_COLS = {"id": "transaction_id", "date": "post_date", "desc": "merchant_name", "amount": "amount",
+             "type": "transaction_type",
+             "non_null": ["transaction_id", "post_date", "merchant_name", "amount", "transaction_type"]}
+
+
+def _text(export: str) -> str:
+    """Every column as text (what a CSV read yields)."""
+    return f"SELECT * REPLACE (cast(amount AS varchar) AS amount) FROM ({export})"
+
+
+def bank_text_sql() -> str:
+    return f"SELECT transaction_id, cast(date AS varchar) AS date, description, amount, transaction_type FROM ({_text(bank_export_sql())})"
+
+
+def dq_rows_sql(source: str, rel: str, cols: dict) -> str:
+    """One row per check: source, check, severity, column, n_bad."""
+    d = f"try_cast({cols['date']} AS timestamp)"
+    a = f"try_cast({cols['amount']} AS double)"
+    t = f"coalesce(lower(trim({cols['type']}, {WS})), 'nan')"
+    items = [("rows_read", "info", None, "count(*)"),
+             ("row_count_min", "error", None, "CASE WHEN count(*) < 1 THEN 1 ELSE 0 END"),
+             ("row_count_max", "warning", None, "greatest(count(*) - 100000, 0)")]
+    for c in cols["non_null"]:
+        items.append(("nulls", "error", c, f"count(*) FILTER (WHERE {c} IS NULL)"))
+    items += [
+        ("unparseable_dates", "error", cols["date"], f"count(*) FILTER (WHERE {d} IS NULL)"),
+        ("future_dates", "warning", cols["date"], f"count(*) FILTER (WHERE {d} > TIMESTAMP '{DQ_AS_OF}')"),
+        ("non_numeric_amounts", "error", cols["amount"], f"count(*) FILTER (WHERE {a} IS NULL)"),
+        ("amount_out_of_bounds", "warning", cols["amount"],
+         f"count(*) FILTER (WHERE {a} < -50000.0 OR {a} > 50000.0)"),
+        ("zero_amounts", "warning", cols["amount"], f"count(*) FILTER (WHERE {a} = 0)"),
+        ("invalid_transaction_types", "error", cols["type"],
+         f"count(*) FILTER (WHERE {t} NOT IN ('credit', 'debit'))"),
+    ]
+    parts = []
+    for check, sev, col, expr in items:
+        colsql = "NULL::varchar" if col is None else q(col)
+        parts.append(f"SELECT '{source}' AS source, '{check}' AS \"check\", '{sev}' AS severity, "
+                     f"{colsql} AS \"column\", cast({expr} AS bigint) AS n_bad FROM ({rel})")
+    parts.append(f"""SELECT '{source}' AS source, 'duplicate_ids' AS "check", 'error' AS severity,
+       '{cols['id']}' AS "column",
+       cast(coalesce((SELECT sum(n - 1) FROM (SELECT {cols['id']}, count(*) AS n FROM ({rel})
+                     GROUP BY {cols['id']}) WHERE n > 1), 0) AS bigint) AS n_bad""")
+    return "\nUNION ALL\n".join(parts)
+
+
+def dq_all_sql() -> str:
+    return (dq_rows_sql("bank", bank_text_sql(), BANK_COLS) + "\nUNION ALL\n"
+            + dq_rows_sql("card", card_dirty_sql(), CARD_COLS))
+
+
+def dq_filter(checks: list[str]) -> str:
+    names = ", ".join(q(c) for c in checks)
+    return f'SELECT source, "check", severity, "column", n_bad FROM ({dq_all_sql()}) WHERE "check" IN ({names})'
+
+
+def dq_samples_sql(source: str, rel: str, cols: dict) -> str:
+    d = f"try_cast({cols['date']} AS timestamp)"
+    a = f"try_cast({cols['amount']} AS double)"
+    t = f"coalesce(lower(trim({cols['type']}, {WS})), 'nan')"
+    ident = f"cast({cols['id']} AS varchar)"
+    preds = [("nulls", c, f"{c} IS NULL") for c in cols["non_null"]]
+    preds += [("unparseable_dates", cols["date"], f"{d} IS NULL"),
+              ("future_dates", cols["date"], f"{d} > TIMESTAMP '{DQ_AS_OF}'"),
+              ("non_numeric_amounts", cols["amount"], f"{a} IS NULL"),
+              ("amount_out_of_bounds", cols["amount"], f"({a} < -50000.0 OR {a} > 50000.0)"),
+              ("zero_amounts", cols["amount"], f"{a} = 0")]
+    parts = []
+    for check, col, pred in preds:
+        parts.append(f"SELECT '{check}' AS \"check\", '{col}' AS \"column\", v FROM "
+                     f"(SELECT {ident} AS v FROM ({rel}) WHERE {pred} AND {ident} IS NOT NULL ORDER BY v LIMIT 5)")
+    parts.append(f"SELECT 'invalid_transaction_types' AS \"check\", '{cols['type']}' AS \"column\", v FROM "
+                 f"(SELECT DISTINCT {t} AS v FROM ({rel}) WHERE {t} NOT IN ('credit', 'debit') ORDER BY v LIMIT 5)")
+    parts.append(f"SELECT 'duplicate_ids' AS \"check\", '{cols['id']}' AS \"column\", v FROM "
+                 f"(SELECT {ident} AS v FROM ({rel}) WHERE {ident} IS NOT NULL GROUP BY 1 HAVING count(*) > 1 "
+                 f"ORDER BY v LIMIT 5)")
+    body = "\nUNION ALL\n".join(parts)
+    return (f"SELECT '{source}' AS source, \"check\", \"column\", string_agg(v, ',' ORDER BY v) AS sample "
+            f"FROM ({body}) GROUP BY \"check\", \"column\"")
+
+
+def dq_report_sql() -> str:
+    return f"""
+WITH r AS ({dq_all_sql()}),
+per AS (
+    SELECT source,
+           cast(count(*) FILTER (WHERE n_bad > 0 AND severity = 'error') AS bigint) AS errors,
+           cast(count(*) FILTER (WHERE n_bad > 0 AND severity = 'warning') AS bigint) AS warnings,
+           cast(max(n_bad) FILTER (WHERE "check" = 'rows_read') AS bigint) AS rows
+    FROM r GROUP BY source)
+SELECT source, errors = 0 AS passed, rows, errors, warnings FROM per
+UNION ALL
+SELECT 'ALL', bool_and(errors = 0), cast(sum(rows) AS bigint), cast(sum(errors) AS bigint),
+       cast(sum(warnings) AS bigint) FROM per"""
+
+
+def gate_sql(source: str, rel: str) -> str:
+    return f"""
+SELECT '{source}' AS source, cast(sum(n) AS bigint) AS rows, cast(sum(nd) AS bigint) AS null_dates,
+       cast(sum(na) AS bigint) AS null_amounts,
+       cast(coalesce(sum(n - 1) FILTER (WHERE n > 1), 0) AS bigint) AS duplicate_ids,
+       coalesce(sum(n), 0) > 0 AND coalesce(sum(nd), 0) = 0 AND coalesce(sum(na), 0) = 0
+         AND coalesce(sum(n - 1) FILTER (WHERE n > 1), 0) = 0 AS passed
+FROM (SELECT transaction_id, count(*) AS n,
+             count(*) FILTER (WHERE date IS NULL) AS nd,
+             count(*) FILTER (WHERE amount IS NULL) AS na
+      FROM ({rel}) GROUP BY transaction_id)"""
+
+
+def std_bank() -> str:
+    return _standardised(bank_export_sql(), "date", "description", "bank")
+
+
+def std_card() -> str:
+    return _standardised(card_export_sql(), "post_date", "merchant_name", "card")
+
+
+def std_card_dirty() -> str:
+    return _standardised(card_dirty_sql(), "post_date", "merchant_name", "card")
+
+
+def dup_free(export: str) -> str:
+    return f"(SELECT count(*) > 0 AND count(*) = count(DISTINCT transaction_id) FROM ({export}))"
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
@@ -353,7 +487,7 @@ LEDGER_COLS = """unique_transaction_id, transaction_id, transaction_date, descri
 def oracle_queries() -> dict[str, str]:
     base = chain()
     sp, inc, sav, st = spend_ctes(), income_ctes(), savings_ctes(), stats_ctes()
-    return {
+    out = {
         "stg_bank": with_(base) + """
 SELECT transaction_id, transaction_date, description, amount, is_debit, absolute_amount,
        transaction_type, source FROM stg_bank""",
@@ -367,3 +501,192 @@ SELECT transaction_id, transaction_date, description, provider_category, amount,
         "mart_savings_rate": with_(base, sp, inc, sav) + "\nSELECT * FROM mart_savings_rate",
         "mart_spending_stats": with_(base, st) + "\nSELECT * FROM mart_spending_stats",
     }
+    out.update(operator_queries())
+    return out
+
+
+def operator_queries() -> dict[str, str]:
+    base = chain()
+    sp, inc, sav, st = spend_ctes(), income_ctes(), savings_ctes(), stats_ctes()
+    spend_keys = "transaction_month, category, source"
+    income_keys = "transaction_month, income_type, source"
+    cat_cols = "unique_transaction_id, description, provider_category, category, is_uncategorised"
+    raw_cols = "transaction_id, date, description, amount, transaction_type, source"
+    stored_all = f"SELECT {raw_cols} FROM ({std_bank()}) UNION ALL SELECT {raw_cols} FROM ({std_card()})"
+    mid = MID_MONTH_START
+    return {
+        # sources and sinks
+        "read_bank": f"""SELECT transaction_id, cast(date AS varchar) AS date, description,
+            cast(amount AS varchar) AS amount, transaction_type, 'bank' AS source FROM ({bank_export_sql()})""",
+        "read_card": f"""SELECT transaction_id, cast(post_date AS varchar) AS date, merchant_name AS description,
+            cast(amount AS varchar) AS amount, transaction_type, 'card' AS source
+            FROM ({card_export_sql(with_category=True)})""",
+        "dq_file_ready": """SELECT 'bank' AS source, CASE WHEN count(*) > 0 THEN 'ready' ELSE 'empty' END AS status
+            FROM orders UNION ALL
+            SELECT 'card', CASE WHEN count(*) > 0 THEN 'ready' ELSE 'empty' END FROM lineitem""",
+        "standardise": stored_all,
+        "load_full": stored_all,
+        "load_incremental": f"""
+            SELECT transaction_id, date,
+                   CASE WHEN o_key % 10 = 0 THEN description || ' (REVISED)' ELSE description END AS description,
+                   amount, transaction_type, source
+            FROM (SELECT *, cast(substr(transaction_id, 2) AS bigint) AS o_key FROM ({std_bank()}))
+            UNION ALL
+            SELECT transaction_id, date,
+                   CASE WHEN o_key % 10 = 0 THEN description || ' (REVISED)' ELSE description END,
+                   amount, transaction_type, source
+            FROM (SELECT *, cast(substr(split_part(transaction_id, '-', 1), 2) AS bigint) AS o_key
+                  FROM ({std_card()}))""",
+        "load_outcome": f"""
+            SELECT 'bank' AS source, CASE WHEN {dup_free(bank_export_sql())} THEN 'loaded' ELSE 'failed' END AS status,
+                   CASE WHEN {dup_free(bank_export_sql())} THEN (SELECT count(*) FROM orders) ELSE 0 END AS rows_loaded
+            UNION ALL
+            SELECT 'card', CASE WHEN {dup_free(card_export_sql())} THEN 'loaded' ELSE 'failed' END,
+                   CASE WHEN {dup_free(card_export_sql())} THEN (SELECT count(*) FROM lineitem) ELSE 0 END""",
+        "mart_roundtrip": with_(base, sp) + "\nSELECT * FROM mart_monthly_spend",
+        "load_stream": f"""SELECT {raw_cols} FROM ({std_bank()}) WHERE {dup_free(bank_export_sql())}
+            UNION ALL SELECT {raw_cols} FROM ({std_card()}) WHERE {dup_free(card_export_sql())}""",
+        # projections, filters, classification
+        "union_ledger": with_(base) + """
+SELECT transaction_id, transaction_date, description, amount, is_debit, absolute_amount,
+       transaction_type, provider_category, source FROM unioned""",
+        "categorize": with_(base) + f"\nSELECT {cat_cols} FROM int_cat",
+        "categorize_rules": with_(base) + f"\nSELECT {cat_cols} FROM int_cat",
+        "categorize_provider": with_(chain(with_category=True)) + f"\nSELECT {cat_cols} FROM int_cat",
+        "spend_rows": with_(base, sp) + """
+SELECT unique_transaction_id, transaction_date, category, source, absolute_amount FROM spend_rows""",
+        "income_rows": with_(base, inc) + """
+SELECT unique_transaction_id, transaction_date, income_type, source, absolute_amount FROM income_rows""",
+        "income_type": with_(base) + f"""
+SELECT unique_transaction_id, description, {income_type_case()} AS income_type
+FROM int_cat WHERE is_debit = false""",
+        "flag_payment": with_(base) + """
+SELECT unique_transaction_id, source, transaction_type, description, is_payment FROM int_all""",
+        "flag_transfer": with_(base) + "\nSELECT unique_transaction_id, description, is_transfer FROM int_all",
+        "uncategorised_rate": with_(base) + """
+SELECT transaction_month, count(*) AS transactions,
+       count(*) FILTER (WHERE is_uncategorised) AS uncategorised,
+       round(cast(count(*) FILTER (WHERE is_uncategorised) AS double) / count(*), 4) AS uncategorised_rate
+FROM int_cat GROUP BY transaction_month""",
+        "financial_health": with_(base, sp, inc, sav) + """
+SELECT transaction_month, total_income, total_spend, is_surplus_month, financial_health_status
+FROM mart_savings_rate""",
+        "mart_savings_midmonth": with_(base, spend_ctes(mid), income_ctes(mid), savings_ctes(mid))
+            + "\nSELECT * FROM mart_savings_rate",
+        # joins
+        "join_self_left": with_(base) + "\nSELECT unique_transaction_id, description, category FROM int_cat",
+        "join_full_outer": with_(base, sp, inc, sav) + """
+SELECT transaction_month, month_label, year_number, month_number, quarter_number,
+       cast(total_income AS double) AS total_income, cast(total_spend AS double) AS total_spend,
+       income_transaction_count, spend_transaction_count FROM joined""",
+        # aggregates
+        "agg_spend": with_(base, sp) + """
+SELECT transaction_month, month_label, year_number, month_number, quarter_number, category, source,
+       round(cast(total_spend AS double), 2) AS total_spend, transaction_count,
+       round(cast(total_spend AS double) / transaction_count, 2) AS avg_transaction_amount,
+       round(min_amount, 2) AS min_transaction_amount, round(max_amount, 2) AS max_transaction_amount
+FROM spend_grouped""",
+        "agg_income": with_(base, inc) + """
+SELECT transaction_month, month_label, year_number, month_number, quarter_number, income_type, source,
+       round(cast(total_income AS double), 2) AS total_income, transaction_count,
+       round(cast(total_income AS double) / transaction_count, 2) AS avg_transaction_amount,
+       round(max_amount, 2) AS largest_transaction_amount
+FROM income_grouped""",
+        "rollup_income_month": with_(base, sp, inc, sav) + """
+SELECT transaction_month, month_label, year_number, month_number, quarter_number,
+       cast(total_income AS double) AS total_income, income_transaction_count FROM income_month""",
+        "rollup_spend_month": with_(base, sp, inc, sav) + """
+SELECT transaction_month, cast(total_spend AS double) AS total_spend, spend_transaction_count
+FROM spend_month""",
+        "agg_month_category": with_(base, st) + """
+SELECT month, category, cast(total_spend AS double) AS total_spend, transaction_count, avg_transaction
+FROM month_category""",
+        "agg_median": with_(base, st) + "\nSELECT category, median_monthly_spend FROM mart_spending_stats",
+        "agg_stddev": with_(base, st) + """
+SELECT category, round(stddev(cast(total_spend AS double)), 2) AS stddev_monthly_spend,
+       count(*) AS n_months FROM month_category GROUP BY category""",
+        # windows, sort/limit
+        "win_rank": with_(base, sp) + f"\nSELECT {spend_keys}, total_spend, category_spend_rank FROM mart_monthly_spend",
+        "win_lag_spend": with_(base, sp) + f"\nSELECT {spend_keys}, total_spend, mom_spend_change FROM mart_monthly_spend",
+        "win_share_spend": with_(base, sp) + f"\nSELECT {spend_keys}, pct_of_monthly_spend FROM mart_monthly_spend",
+        "win_lag_income": with_(base, inc) + f"\nSELECT {income_keys}, total_income, mom_income_change FROM mart_income",
+        "win_share_income": with_(base, inc)
+            + f"\nSELECT {income_keys}, total_monthly_income, pct_of_monthly_income FROM mart_income",
+        "win_cumulative": with_(base, sp, inc, sav)
+            + "\nSELECT transaction_month, net_savings, cumulative_savings FROM mart_savings_rate",
+        "win_lag_global": with_(base, sp, inc, sav) + """
+SELECT transaction_month, mom_income_change, mom_spend_change, prior_month_savings_rate FROM mart_savings_rate""",
+        "top_n_categories": with_(base, sp) + f"""
+SELECT {spend_keys}, total_spend, category_spend_rank FROM mart_monthly_spend WHERE category_spend_rank <= 3""",
+        # scalar functions
+        "scalar_calendar": with_(base) + """
+SELECT unique_transaction_id, transaction_date, transaction_month, transaction_year, month_number,
+       year_number, day_of_week, quarter_number, month_label FROM int_all""",
+        "scalar_clean": f"""
+SELECT cast(transaction_id AS varchar) AS transaction_id, merchant_name,
+       upper(trim(merchant_name, {WS})) AS description,
+       lower(trim(transaction_type, {WS})) AS transaction_type,
+       'card-' || transaction_id AS unique_transaction_id,
+       upper(trim(merchant_name, {WS})) ILIKE '%PAYMENT%' AS mentions_payment
+FROM ({card_export_sql()})""",
+        "scalar_amount": f"""
+SELECT transaction_id, amount AS amount_text, try_cast(amount AS double) AS amount,
+       try_cast(amount AS double) * -1 AS flipped, abs(try_cast(amount AS double)) AS absolute_amount,
+       round(try_cast(amount AS double) / 3.0, 2) AS third_rounded,
+       round(try_cast(amount AS double) / 7.0, 4) AS seventh_rounded
+FROM ({card_dirty_sql()})""",
+        "scalar_guarded_ratio": with_(base, sp, inc, sav) + """
+SELECT transaction_month, cast(total_income AS double) AS total_income,
+       cast(total_spend AS double) AS total_spend,
+       round(cast(total_spend AS double) / nullif(cast(total_income AS double), 0) * 100, 2) AS spending_rate,
+       coalesce(round(cast(total_spend AS double) / nullif(cast(total_income AS double), 0) * 100, 2), 0)
+         AS spending_rate_or_zero,
+       cast(total_income AS double) - cast(total_spend AS double) AS difference
+FROM joined""",
+        # data quality
+        "dq_columns": """
+SELECT * FROM (VALUES ('bank', 'required_columns', 'error', NULL, 0::bigint),
+                      ('bank', 'extra_columns', 'warning', NULL, 0::bigint),
+                      ('card', 'required_columns', 'error', NULL, 0::bigint),
+                      ('card', 'extra_columns', 'warning', 'merchant_category', 1::bigint))
+         AS t(source, "check", severity, "column", n_bad)
+WHERE (SELECT count(*) FROM orders) >= 0 AND (SELECT count(*) FROM part) >= 0""",
+        "dq_row_count": dq_filter(["rows_read", "row_count_min", "row_count_max"]),
+        "dq_duplicates": dq_filter(["duplicate_ids"]),
+        "dq_nulls": dq_filter(["nulls"]),
+        "dq_dates": dq_filter(["unparseable_dates", "future_dates"]),
+        "dq_amounts": dq_filter(["non_numeric_amounts", "amount_out_of_bounds", "zero_amounts"]),
+        "dq_types": f"""
+SELECT 'bank' AS source, coalesce(lower(trim(transaction_type, {WS})), 'nan') AS transaction_type,
+       count(*) AS n, coalesce(lower(trim(transaction_type, {WS})), 'nan') IN ('credit', 'debit') AS is_valid
+FROM ({bank_text_sql()}) GROUP BY 2
+UNION ALL
+SELECT 'card', coalesce(lower(trim(transaction_type, {WS})), 'nan'), count(*),
+       coalesce(lower(trim(transaction_type, {WS})), 'nan') IN ('credit', 'debit')
+FROM ({card_dirty_sql()}) GROUP BY 2""",
+        "dq_samples": dq_samples_sql("bank", bank_text_sql(), BANK_COLS) + "\nUNION ALL\n"
+            + dq_samples_sql("card", card_dirty_sql(), CARD_COLS),
+        "dq_report": dq_report_sql(),
+        "dq_load_gate": gate_sql("bank", std_bank()) + "\nUNION ALL\n" + gate_sql("card", std_card())
+            + "\nUNION ALL\n" + gate_sql("card_dirty", std_card_dirty()),
+        "dq_rejects": f"""
+SELECT 'bank' AS source, count(*) AS rows,
+       count(*) FILTER (WHERE transaction_id IS NULL OR date IS NULL OR amount IS NULL) AS rejected
+FROM ({std_bank()})
+UNION ALL
+SELECT 'card_dirty', count(*),
+       count(*) FILTER (WHERE transaction_id IS NULL OR date IS NULL OR amount IS NULL)
+FROM ({std_card_dirty()})""",
+        "test_not_null": with_(base, st) + """
+SELECT 'mart_spending_stats' AS model, 'not_null' AS test, 'category' AS "column",
+       count(*) FILTER (WHERE category IS NULL) AS failures,
+       count(*) FILTER (WHERE category IS NULL) = 0 AS passed FROM mart_spending_stats
+UNION ALL
+SELECT 'mart_spending_stats', 'not_null', 'mean_monthly_spend',
+       count(*) FILTER (WHERE mean_monthly_spend IS NULL),
+       count(*) FILTER (WHERE mean_monthly_spend IS NULL) = 0 FROM mart_spending_stats""",
+        "test_unique": with_(base, st) + """
+SELECT 'mart_spending_stats' AS model, 'unique' AS test, 'category' AS "column",
+       count(*) AS failures, count(*) = 0 AS passed
+FROM (SELECT category FROM mart_spending_stats GROUP BY category HAVING count(*) > 1)""",
+    }
