@@ -149,8 +149,8 @@ int_all AS (
            CASE WHEN description ILIKE '%transfer%' OR description ILIKE '%zelle%'
                   OR description ILIKE '%venmo%' THEN true ELSE false END AS is_transfer
     FROM unioned),
-keyword_match AS (
-    SELECT unique_transaction_id,
+int_cat_base AS (
+    SELECT *,
            CASE WHEN 1=0 THEN cast('' AS varchar)
                 WHEN provider_category IS NOT NULL AND provider_category != ''
                      AND provider_category != 'Unknown' THEN cast(provider_category AS varchar)
@@ -158,8 +158,11 @@ keyword_match AS (
                 ELSE 'Other' END::varchar AS category
     FROM int_all),
 int_cat AS (
-    SELECT t.*, k.category,
-           CASE WHEN k.category = 'Other' THEN true ELSE false END::boolean AS is_uncategorised
+    SELECT *, CASE WHEN category = 'Other' THEN true ELSE false END::boolean AS is_uncategorised
+    FROM int_cat_base),
+keyword_match AS (SELECT unique_transaction_id, category FROM int_cat_base),
+int_cat_self_join AS (
+    SELECT t.*, k.category
     FROM int_all t LEFT JOIN keyword_match k ON t.unique_transaction_id = k.unique_transaction_id)"""
 
 
@@ -574,7 +577,8 @@ FROM mart_savings_rate""",
         "mart_savings_midmonth": with_(base, spend_ctes(mid), income_ctes(mid), savings_ctes(mid))
             + "\nSELECT * FROM mart_savings_rate",
         # joins
-        "join_self_left": with_(base) + "\nSELECT unique_transaction_id, description, category FROM int_cat",
+        "join_self_left": with_(base)
+            + "\nSELECT unique_transaction_id, description, category FROM int_cat_self_join",
         "join_full_outer": with_(base, sp, inc, sav) + """
 SELECT transaction_month, month_label, year_number, month_number, quarter_number,
        cast(total_income AS double) AS total_income, cast(total_spend AS double) AS total_spend,

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from tally.functions.text import NULL_TOKENS, null_tokens_to_null
 from tally.schema import SourceSpec
@@ -58,25 +57,21 @@ def read_source(spark: SparkSession, path: str, spec: SourceSpec) -> DataFrame:
 def file_readiness(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Per source: does the path exist and hold at least one non-empty file.
 
-    Uses the binary-file listing with only ``path`` and ``length`` selected,
-    so no file content is read. A missing path gives ``missing``; files that
-    are all zero bytes give ``empty``.
+    A metadata call on the cluster file system (file count and total length
+    of the path, a folder or a single file); no file content is read. A
+    missing path gives ``missing``; zero total bytes give ``empty``.
     """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
     rows = []
     for source, path in paths.items():
-        try:
-            listing = (spark.read.format("binaryFile")
-                       .option("recursiveFileLookup", True)
-                       .load(path)
-                       .filter(~F.col("path").rlike(r"/(_|\.)[^/]*$"))
-                       .select("length"))
-            stats = listing.agg(F.count(F.lit(1)).alias("n_files"),
-                                F.coalesce(F.sum("length"), F.lit(0)).alias("n_bytes")).first()
-            n_files, n_bytes = int(stats["n_files"]), int(stats["n_bytes"])
-        except AnalysisException:
-            n_files, n_bytes = 0, 0
-            rows.append((source, path, "missing", n_files, n_bytes))
+        jpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = jpath.getFileSystem(conf)
+        if not fs.exists(jpath):
+            rows.append((source, path, "missing", 0, 0))
             continue
+        summary = fs.getContentSummary(jpath)
+        n_files, n_bytes = int(summary.getFileCount()), int(summary.getLength())
         status = "missing" if n_files == 0 else ("empty" if n_bytes == 0 else "ready")
         rows.append((source, path, status, n_files, n_bytes))
     return spark.createDataFrame(
