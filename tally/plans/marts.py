@@ -118,7 +118,8 @@ def _grouped(rows: DataFrame, dim: str) -> DataFrame:
 
 def agg_spend(categorized: DataFrame, start_date: str = DEFAULT_START_DATE) -> DataFrame:
     """Spend measures per month, category and source (before the windows)."""
-    g = _grouped(spend_rows(categorized, start_date), "category")
+    g = _grouped(_spend_candidates(categorized, start_date), "category")
+    g = g.filter(F.col("category") != F.lit("Income"))
     return g.select(*time_keys(F.col("transaction_month")), "category", "source",
                     from_cents(F.col("_cents")).alias("total_spend"),
                     "transaction_count",
@@ -143,14 +144,41 @@ def agg_income(categorized: DataFrame, start_date: str = DEFAULT_START_DATE) ->
 # marts
 # --------------------------------------------------------------------------
 
+def _spend_candidates(categorized: DataFrame, start_date: str) -> DataFrame:
+    """Debits that are neither payments nor transfers, on or after the start.
+
+    The category test of the spend predicate is left out on purpose: a row
+    filter on ``category`` would be pushed below the projection that computes
+    it and expand the whole rule CASE (and the description expression inside
+    every rule) into the scan filter. Income-category groups are removed
+    after aggregation instead, which gives the same groups.
+    """
+    return categorized.filter(F.col("is_debit") & ~F.col("is_payment") & ~F.col("is_transfer")
+                              & (F.col("transaction_date") >= _start(start_date)))
+
+
 def mart_monthly_spend(categorized: DataFrame, start_date: str = DEFAULT_START_DATE,
                        ordered: bool = True) -> DataFrame:
-    """Spend by month x category x source with rank, change and share."""
-    g = _grouped(spend_rows(categorized, start_date), "category")
-    by_month = Window.partitionBy("transaction_month")
+    """Spend by month x category x source with rank, change and share.
+
+    Aggregates every candidate debit (one partial + final aggregation), then
+    runs the windows on the small grouped result. Income groups stay in the
+    grouped rows until after the windows but never count: they sort after
+    every spend group in the rank and add nothing to the month total, and the
+    lag is partitioned by category so they have their own partition.
+    """
+    g = _grouped(_spend_candidates(categorized, start_date), "category")
+    income_group = F.col("category") == F.lit("Income")
     by_group = Window.partitionBy("category", "source").orderBy("transaction_month")
+    g = g.withColumn("_lag", F.lag("_cents").over(by_group))
+    by_month = Window.partitionBy("transaction_month")
+    ranked = g.select(
+        "*",
+        F.rank().over(by_month.orderBy(income_group.asc(), F.desc("_cents"))).alias("_rank"),
+        F.sum(F.when(~income_group, F.col("_cents"))).over(by_month).alias("_month_cents"),
+    ).filter(~income_group)
     total = from_cents(F.col("_cents"))
-    out = g.select(
+    out = ranked.select(
         *time_keys(F.col("transaction_month")),
         "category", "source",
         total.alias("total_spend"),
@@ -158,10 +186,9 @@ def mart_monthly_spend(categorized: DataFrame, start_date: str = DEFAULT_START_D
         round_half_away(total / F.col("transaction_count")).alias("avg_transaction_amount"),
         round_half_away(F.col("_min")).alias("min_transaction_amount"),
         round_half_away(F.col("_max")).alias("max_transaction_amount"),
-        F.rank().over(by_month.orderBy(F.desc("_cents"))).cast("long").alias("category_spend_rank"),
-        from_cents(F.coalesce(F.col("_cents") - F.lag("_cents").over(by_group), F.lit(0)))
-        .alias("mom_spend_change"),
-        round_half_away(safe_div(total, from_cents(F.sum("_cents").over(by_month))) * F.lit(100.0))
+        F.col("_rank").cast("long").alias("category_spend_rank"),
+        from_cents(F.coalesce(F.col("_cents") - F.col("_lag"), F.lit(0))).alias("mom_spend_change"),
+        round_half_away(safe_div(total, from_cents(F.col("_month_cents"))) * F.lit(100.0))
         .alias("pct_of_monthly_spend"),
     )
     return out.orderBy(F.desc("transaction_month"), F.desc("total_spend")) if ordered else out
@@ -171,8 +198,9 @@ def mart_income(categorized: DataFrame, start_date: str = DEFAULT_START_DATE,
                 ordered: bool = True) -> DataFrame:
     """Income by month x income type x source with change and share."""
     g = _grouped(income_rows(categorized, start_date), "income_type")
-    by_month = Window.partitionBy("transaction_month")
     by_group = Window.partitionBy("income_type", "source").orderBy("transaction_month")
+    g = g.withColumn("_lag", F.lag("_cents").over(by_group))
+    by_month = Window.partitionBy("transaction_month")
     total = from_cents(F.col("_cents"))
     month_total = from_cents(F.sum("_cents").over(by_month))
     out = g.select(
@@ -182,8 +210,7 @@ def mart_income(categorized: DataFrame, start_date: str = DEFAULT_START_DATE,
         "transaction_count",
         round_half_away(total / F.col("transaction_count")).alias("avg_transaction_amount"),
         round_half_away(F.col("_max")).alias("largest_transaction_amount"),
-        from_cents(F.coalesce(F.col("_cents") - F.lag("_cents").over(by_group), F.lit(0)))
-        .alias("mom_income_change"),
+        from_cents(F.coalesce(F.col("_cents") - F.col("_lag"), F.lit(0))).alias("mom_income_change"),
         month_total.alias("total_monthly_income"),
         round_half_away(safe_div(total, month_total) * F.lit(100.0)).alias("pct_of_monthly_income"),
     )
@@ -199,9 +226,11 @@ def monthly_activity(categorized: DataFrame, start_date: str = DEFAULT_START_DAT
     grouping the union of both row sets by month yields every month that
     either side has. A side that has no rows in a month gets NULL here.
     """
-    is_income = income_predicate()
-    is_spend = spend_predicate()
-    rows = categorized.filter((is_income | is_spend)
+    is_income = ~F.col("is_debit")
+    is_spend = F.col("is_debit") & (F.col("category") != F.lit("Income"))
+    # Only the cheap conjuncts filter rows; the category test is evaluated
+    # inside the aggregate so the rule CASE is computed once per row.
+    rows = categorized.filter(~F.col("is_transfer") & ~F.col("is_payment")
                               & (F.col("transaction_date") >= _start(start_date)))
     c = cents(F.col("absolute_amount"))
     return (rows.groupBy("transaction_month")
