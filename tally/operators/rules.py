@@ -89,32 +89,35 @@ def category_expr(description: Column, provider: Column | None = None,
 
 
 def categorize(ledger: DataFrame, rules: Sequence[Rule] | None = None,
-               use_provider: bool = True, observe: bool = True) -> DataFrame:
+               use_provider: bool = True) -> DataFrame:
     """Attach ``category`` and ``is_uncategorised`` to every ledger row.
 
     The reference attaches the category by a self-join on the unique id; on
     unique ids that equals computing it on the same row, which is what this
     does (no join, no shuffle).
-
-    With ``observe`` the result also records two observed metrics, the row
-    count and the uncategorised count (the rate the flag exists to monitor),
-    under a name starting ``categorize_``; they reach query listeners and the
-    event log. The observation point also keeps later row filters on
-    ``category`` above the rule CASE: without it Catalyst pushes such a
-    filter down through the projection, copying the whole CASE (and the
-    description expression into every rule) into the scan filter, so the
-    rules would run twice per row, the second time without code generation.
     """
     provider = F.col("provider_category") if use_provider else None
     cat = category_expr(F.col("description"), provider, rules)
-    out = (ledger.withColumn("category", cat)
-                 .withColumn("is_uncategorised",
-                             F.coalesce(F.col("category") == F.lit(FALLBACK_CATEGORY), F.lit(False))))
-    if observe:
-        out = out.observe(f"categorize_{uuid.uuid4().hex[:12]}",
-                          F.count(F.lit(1)).alias("rows"),
-                          F.count(F.when(F.col("is_uncategorised"), F.lit(1))).alias("uncategorised"))
-    return out
+    return (ledger.withColumn("category", cat)
+                  .withColumn("is_uncategorised",
+                              F.coalesce(F.col("category") == F.lit(FALLBACK_CATEGORY), F.lit(False))))
+
+
+def hold_category_predicates(df: DataFrame, name: str = "categorized") -> DataFrame:
+    """Observation point for rows about to be filtered on ``category``.
+
+    Records the row and uncategorised counts (observed metrics named
+    ``<name>_<id>``, delivered to query listeners and the event log).
+    Catalyst moves no predicate across an observation point, so a category
+    filter placed after this runs on the computed column, once per row.
+    Without it the filter is pushed below the projection that computes the
+    category, copying the whole rule CASE (and the description expression
+    into every rule) into the scan filter. Apply cheap filters (dates,
+    flags) before this so they still reach the scan.
+    """
+    return df.observe(f"{name}_{uuid.uuid4().hex[:12]}",
+                      F.count(F.lit(1)).alias("rows"),
+                      F.count(F.when(F.col("is_uncategorised"), F.lit(1))).alias("uncategorised"))
 
 
 def collect_rules(rules_df: DataFrame, max_rules: int = MAX_RULES) -> list[Rule]:

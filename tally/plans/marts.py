@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tally.functions.calendar import month_label
 from tally.functions.numeric import round_half_away, safe_div
 from tally.functions.text import contains_any
+from tally.operators.rules import hold_category_predicates
 from tally.schema import DEFAULT_START_DATE
 
 TIME_KEYS = ["transaction_month", "month_label", "year_number", "month_number", "quarter_number"]
@@ -92,9 +93,28 @@ def income_predicate() -> Column:
     return ~F.col("is_debit") & ~F.col("is_transfer") & ~F.col("is_payment")
 
 
+def _spend_candidates(categorized: DataFrame, start_date: str) -> DataFrame:
+    """Debits that are neither payments nor transfers, on or after the start.
+
+    The category test of the spend predicate is left out on purpose: a row
+    filter on ``category`` would be pushed below the projection that computes
+    it and expand the whole rule CASE (and the description expression inside
+    every rule) into the scan filter. Income-category groups are removed
+    after aggregation instead, which gives the same groups.
+    """
+    return categorized.filter(F.col("is_debit") & ~F.col("is_payment") & ~F.col("is_transfer")
+                              & (F.col("transaction_date") >= _start(start_date)))
+
+
 def spend_rows(categorized: DataFrame, start_date: str = DEFAULT_START_DATE) -> DataFrame:
-    """Debits that are spend: no payments, transfers or income, on or after start."""
-    return categorized.filter(spend_predicate() & (F.col("transaction_date") >= _start(start_date)))
+    """Debits that are spend: no payments, transfers or income, on or after start.
+
+    The cheap conjuncts filter first (the date reaches the scan); the
+    category test runs after an observation point, on the computed column.
+    """
+    candidates = _spend_candidates(categorized, start_date)
+    return hold_category_predicates(candidates, "spend_candidates").filter(
+        F.col("category") != F.lit("Income"))
 
 
 def income_rows(categorized: DataFrame, start_date: str = DEFAULT_START_DATE) -> DataFrame:
@@ -118,8 +138,7 @@ def _grouped(rows: DataFrame, dim: str) -> DataFrame:
 
 def agg_spend(categorized: DataFrame, start_date: str = DEFAULT_START_DATE) -> DataFrame:
     """Spend measures per month, category and source (before the windows)."""
-    g = _grouped(_spend_candidates(categorized, start_date), "category")
-    g = g.filter(F.col("category") != F.lit("Income"))
+    g = _grouped(spend_rows(categorized, start_date), "category")
     return g.select(*time_keys(F.col("transaction_month")), "category", "source",
                     from_cents(F.col("_cents")).alias("total_spend"),
                     "transaction_count",
@@ -144,19 +163,6 @@ def agg_income(categorized: DataFrame, start_date: str = DEFAULT_START_DATE) ->
 # marts
 # --------------------------------------------------------------------------
 
-def _spend_candidates(categorized: DataFrame, start_date: str) -> DataFrame:
-    """Debits that are neither payments nor transfers, on or after the start.
-
-    The category test of the spend predicate is left out on purpose: a row
-    filter on ``category`` would be pushed below the projection that computes
-    it and expand the whole rule CASE (and the description expression inside
-    every rule) into the scan filter. Income-category groups are removed
-    after aggregation instead, which gives the same groups.
-    """
-    return categorized.filter(F.col("is_debit") & ~F.col("is_payment") & ~F.col("is_transfer")
-                              & (F.col("transaction_date") >= _start(start_date)))
-
-
 def mart_monthly_spend(categorized: DataFrame, start_date: str = DEFAULT_START_DATE,
                        ordered: bool = True) -> DataFrame:
     """Spend by month x category x source with rank, change and share.

@@ -56,6 +56,11 @@ def categorized(spark: SparkSession, sf: str, opts: ModelOptions = OPTS) -> Data
     return int_categorized(*_raw(spark, sf), opts)
 
 
+def ledger(spark: SparkSession, sf: str, opts: ModelOptions = OPTS) -> DataFrame:
+    """The unified ledger without categories (income never reads them)."""
+    return int_all_transactions(*_raw(spark, sf), opts)
+
+
 def q_stg_bank(spark, sf):
     return stg_bank(raw_bank_from_tables(spark, sf)).drop("_loaded_at")
 
@@ -77,7 +82,7 @@ def q_mart_monthly_spend(spark, sf):
 
 
 def q_mart_income(spark, sf):
-    return marts.mart_income(categorized(spark, sf), START)
+    return marts.mart_income(ledger(spark, sf), START)
 
 
 def q_mart_savings_rate(spark, sf):
@@ -121,7 +126,7 @@ def _spend_mart(spark, sf):
 
 
 def _income_mart(spark, sf):
-    return marts.mart_income(categorized(spark, sf), START, ordered=False)
+    return marts.mart_income(ledger(spark, sf), START, ordered=False)
 
 
 def _savings(spark, sf, start=START):
@@ -251,12 +256,12 @@ def q_spend_rows(spark, sf):
 
 
 def q_income_rows(spark, sf):
-    return marts.income_rows(categorized(spark, sf), START).select(
+    return marts.income_rows(ledger(spark, sf), START).select(
         "unique_transaction_id", "transaction_date", "income_type", "source", "absolute_amount")
 
 
 def q_income_type(spark, sf):
-    c = categorized(spark, sf).filter(~F.col("is_debit"))
+    c = ledger(spark, sf).filter(~F.col("is_debit"))
     return c.select("unique_transaction_id", "description",
                     marts.income_type_expr(F.col("description")).alias("income_type"))
 
@@ -316,7 +321,7 @@ def q_agg_spend(spark, sf):
 
 
 def q_agg_income(spark, sf):
-    return marts.agg_income(categorized(spark, sf), START)
+    return marts.agg_income(ledger(spark, sf), START)
 
 
 def q_rollup_income_month(spark, sf):

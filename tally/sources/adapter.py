@@ -13,6 +13,8 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tally.sources.files import spread
+
 # Bank descriptions picked by o_orderkey % 20 (0-based).
 BANK_DESCRIPTIONS = [
     "DIRECT DEPOSIT - EMPLOYER PAYROLL",
@@ -78,7 +80,7 @@ def bank_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``amount`` is DECIMAL(18,2) (exact, written as plain text in CSV) and
     ``date`` a DATE; a reader treats both as text, as with a real file.
     """
-    o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    o = spread(_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice"))
     idx = F.col("o_orderkey") % 20
     credit = idx.isin(BANK_CREDIT_INDEXES)
     price = F.col("o_totalprice").cast("decimal(18,2)")
@@ -99,7 +101,7 @@ def card_export(spark: SparkSession, sf_dir: str, with_category: bool = False) -
     planner (sort-merge or broadcast by runtime size under AQE).
     """
     cols = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate"]
-    li = _table(spark, sf_dir, "lineitem").select(*cols)
+    li = spread(_table(spark, sf_dir, "lineitem").select(*cols))
     idx = F.col("l_partkey") % 16
     credit = idx.isin(CARD_CREDIT_INDEXES)
     price = F.col("l_extendedprice").cast("decimal(18,2)")
@@ -128,8 +130,8 @@ def card_export_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     Ids repeat (order key and line number only), some amounts and dates do
     not parse, and many amounts fall outside the expected bounds.
     """
-    li = _table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_shipdate")
+    li = spread(_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_shipdate"))
     idx = F.col("l_partkey") % 16
     credit = idx.isin(CARD_CREDIT_INDEXES)
     price = F.col("l_extendedprice").cast("decimal(18,2)")

@@ -28,10 +28,10 @@ def read_csv_text(spark: SparkSession, path: str,
     leading zeros and a bad cell cannot fail the read. Cells holding a
     null token become NULL.
     """
-    df = (spark.read.option("header", True)
-          .option("inferSchema", False)
-          .option("mode", "PERMISSIVE")
-          .csv(path))
+    df = spread(spark.read.option("header", True)
+                .option("inferSchema", False)
+                .option("mode", "PERMISSIVE")
+                .csv(path))
     return df.select(*[null_tokens_to_null(F.col(f"`{c}`"), null_tokens).alias(c)
                        for c in df.columns])
 
@@ -76,3 +76,19 @@ def file_readiness(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
         rows.append((source, path, status, n_files, n_bytes))
     return spark.createDataFrame(
         rows, "source string, path string, status string, n_files long, n_bytes long")
+
+
+def spread(df: DataFrame, min_fraction: float = 0.5) -> DataFrame:
+    """Spread an under-partitioned input over the cluster's cores.
+
+    A single unsplittable file (one parquet row group, one gzip CSV) is read
+    by one task, and everything up to the first shuffle (parsing, the rule
+    CASE) would then run on one core. When the scan yields fewer than
+    ``min_fraction`` x default-parallelism partitions, a round-robin
+    repartition evens it out; a well-split input (the normal case for large
+    data) is returned unchanged, with no extra shuffle.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < max(2, int(target * min_fraction)):
+        return df.repartition(target)
+    return df
