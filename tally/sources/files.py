@@ -84,11 +84,15 @@ def spread(df: DataFrame, min_fraction: float = 0.5) -> DataFrame:
     A single unsplittable file (one parquet row group, one gzip CSV) is read
     by one task, and everything up to the first shuffle (parsing, the rule
     CASE) would then run on one core. When the scan yields fewer than
-    ``min_fraction`` x default-parallelism partitions, a round-robin
-    repartition evens it out; a well-split input (the normal case for large
-    data) is returned unchanged, with no extra shuffle.
+    ``min_fraction`` x default-parallelism partitions, the rows are hash
+    partitioned on all their columns; a well-split input (the normal case for
+    large data) is returned unchanged, with no extra shuffle.
+
+    Hashing whole rows is deterministic, so a retried task sends every row to
+    the same place without the per-task sort that round-robin partitioning
+    needs for that; only byte-identical rows share a task.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < max(2, int(target * min_fraction)):
-        return df.repartition(target)
+        return df.repartition(target, *[F.col(f"`{c}`") for c in df.columns])
     return df

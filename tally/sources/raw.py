@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
+import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -103,40 +104,38 @@ class RawStore:
         """Insert rows whose id is not stored yet; never update stored rows.
 
         ``full_refresh`` replaces the table with the batch. Otherwise the
-        stored ids that also occur in the batch are found first (broadcasting
-        the batch ids when the batch is within the checked bound, so the
-        stored table is scanned but never shuffled), written to the
-        checkpoint folder to cut lineage, and the batch is anti-joined
-        against them. The append therefore never reads the folder it writes.
+        stored ids that also occur in the batch are found with a semi-join
+        that broadcasts the batch ids when the batch is within the checked
+        bound (the stored table is then scanned, never shuffled), and the
+        batch is anti-joined against them. Those matched ids are at most the
+        batch's distinct ids, so broadcasting them has the same bound. The
+        append is a single job: the stored files are listed when the job is
+        planned, so the rows it adds are never read back by it, and the
+        number of rows written is counted as they are written (an observed
+        metric), not by another pass.
         """
         batch = to_raw_contract(batch)
+        written = Observation(f"load_{table}_{uuid.uuid4().hex[:12]}")
+        counted = F.count(F.lit(1)).alias("rows")
+        if full_refresh or not self.exists(table):
+            batch.observe(written, counted).write.mode("overwrite").parquet(self.path(table))
+            n = int(written.get["rows"])
+            return LoadResult(table, n, n, 0)
         if batch_rows is None:
             batch_rows = batch.count()
-        if full_refresh or not self.exists(table):
-            if batch_rows == 0 and not full_refresh:
-                # Create the table empty, as CREATE TABLE IF NOT EXISTS does.
-                batch.limit(0).write.mode("overwrite").parquet(self.path(table))
-                return LoadResult(table, 0, 0, 0)
-            batch.write.mode("overwrite").parquet(self.path(table))
-            return LoadResult(table, batch_rows, batch_rows, 0)
         if batch_rows == 0:
             return LoadResult(table, 0, 0, 0)
 
+        small = batch_rows <= BROADCAST_BATCH_ROWS
         batch_ids = batch.select("transaction_id").filter(F.col("transaction_id").isNotNull())
         stored_ids = self.read(table).select("transaction_id")
-        if batch_rows <= BROADCAST_BATCH_ROWS:
-            hits = stored_ids.join(F.broadcast(batch_ids), "transaction_id", "left_semi")
-        else:
-            hits = stored_ids.join(batch_ids, "transaction_id", "left_semi")
-        hits = hits.distinct().checkpoint(eager=True)
-        n_hits = hits.count()
-        if n_hits <= BROADCAST_BATCH_ROWS:
-            hits = F.broadcast(hits)
-        delta = batch.join(hits, "transaction_id", "left_anti").select(*COMMON_COLUMNS)
-        n_new = batch_rows - n_hits
-        if n_new > 0:
-            delta.write.mode("append").parquet(self.path(table))
-        return LoadResult(table, n_new, batch_rows, n_hits)
+        hits = stored_ids.join(F.broadcast(batch_ids) if small else batch_ids,
+                               "transaction_id", "left_semi").distinct()
+        delta = batch.join(F.broadcast(hits) if small else hits, "transaction_id", "left_anti")
+        delta.select(*COMMON_COLUMNS).observe(written, counted) \
+            .write.mode("append").parquet(self.path(table))
+        n = int(written.get["rows"])
+        return LoadResult(table, n, batch_rows, batch_rows - n)
 
 
 def persist_batch(df: DataFrame) -> DataFrame:
