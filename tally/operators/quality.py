@@ -77,10 +77,18 @@ def normalised_type(spec: SourceSpec) -> Column:
     return F.coalesce(F.lower(strip_ws(_col(spec.type_column))), F.lit(MISSING_TYPE))
 
 
+def _parsed(df: DataFrame, spec: SourceSpec) -> DataFrame:
+    """The source plus its parsed date, amount and normalised type, computed
+    once per row (every check below reads these columns)."""
+    return df.select("*",
+                     parse_timestamp(_col(spec.date_column)).alias("_d"),
+                     parse_number(_col(spec.amount_column)).alias("_a"),
+                     normalised_type(spec).alias("_t"))
+
+
 def _predicates(spec: SourceSpec, as_of: Column) -> list[tuple[str, str, str | None, Column, str]]:
-    """(check, severity, column, bad-row predicate, message template)."""
-    d = parse_timestamp(_col(spec.date_column))
-    a = parse_number(_col(spec.amount_column))
+    """(check, severity, column, bad-row predicate, message template) over ``_parsed``."""
+    d, a, t = F.col("_d"), F.col("_a"), F.col("_t")
     out = []
     for c in spec.non_nullable:
         out.append(("nulls", ERROR, c, _col(c).isNull(), f"Column '{c}' has %d null value(s)"))
@@ -97,7 +105,7 @@ def _predicates(spec: SourceSpec, as_of: Column) -> list[tuple[str, str, str | N
         ("zero_amounts", WARNING, spec.amount_column, a == F.lit(0.0),
          "%d transaction(s) with an amount of $0.00"),
         ("invalid_transaction_types", ERROR, spec.type_column,
-         ~normalised_type(spec).isin(list(VALID_TRANSACTION_TYPES)),
+         ~t.isin(list(VALID_TRANSACTION_TYPES)),
          "%d row(s) with an unexpected transaction_type value"),
     ]
     return out
@@ -110,7 +118,7 @@ def row_checks(df: DataFrame, spec: SourceSpec, as_of: Column | None = None,
     preds = _predicates(spec, as_of)
     aggs = [F.count(F.lit(1)).alias("_rows")]
     aggs += [F.count(F.when(p, F.lit(1))).alias(f"_c{i}") for i, (_, _, _, p, _) in enumerate(preds)]
-    counts = df.agg(*aggs)
+    counts = _parsed(df, spec).agg(*aggs)
     n = F.col("_rows")
     entries = [
         F.struct(F.lit("rows_read").alias("check"), F.lit(INFO).alias("severity"),
@@ -162,13 +170,14 @@ def samples(df: DataFrame, spec: SourceSpec, as_of: Column | None = None,
     """
     as_of = as_of if as_of is not None else F.current_timestamp().cast("timestamp_ntz")
     ident = _col(spec.id_column).cast("string")
+    parsed = _parsed(df, spec)
     parts = []
     for check, _, col, pred, _ in _predicates(spec, as_of):
         if check == "invalid_transaction_types":
-            vals = (df.filter(pred).select(normalised_type(spec).alias("v")).distinct()
+            vals = (parsed.filter(pred).select(F.col("_t").alias("v")).distinct()
                     .orderBy("v").limit(size))
         else:
-            vals = (df.filter(pred & ident.isNotNull()).select(ident.alias("v"))
+            vals = (parsed.filter(pred & ident.isNotNull()).select(ident.alias("v"))
                     .orderBy("v").limit(size))
         parts.append(vals.select(F.lit(check).alias("check"), F.lit(col).cast("string").alias("column"), "v"))
     dups = (df.groupBy(ident.alias("v")).agg(F.count(F.lit(1)).alias("_n"))

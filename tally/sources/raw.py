@@ -20,7 +20,7 @@ DATE_FORMATS = ("MM/dd/yyyy", "yyyy/MM/dd", "dd-MMM-yyyy")
 # Largest batch (rows) whose ids are broadcast for the stored-id lookup.
 # Ids are at most a few dozen bytes, so this bounds the broadcast at a few
 # hundred MB; above it the lookup is a shuffle join.
-BROADCAST_BATCH_ROWS = 5_000_000
+BROADCAST_BATCH_ROWS = 2_000_000
 
 
 def parse_timestamp(col: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
