@@ -239,11 +239,14 @@ def monthly_activity(categorized: DataFrame, start_date: str = DEFAULT_START_DAT
     rows = categorized.filter(~F.col("is_transfer") & ~F.col("is_payment")
                               & (F.col("transaction_date") >= _start(start_date)))
     c = cents(F.col("absolute_amount"))
+    # A month whose rows are all debits in the Income category has neither
+    # side, so neither mart has it and the join would not produce it either.
     return (rows.groupBy("transaction_month")
             .agg(F.sum(F.when(is_income, c)).alias("income_cents"),
                  F.sum(F.when(is_spend, c)).alias("spend_cents"),
                  F.count(F.when(is_income, F.lit(1))).alias("income_n"),
-                 F.count(F.when(is_spend, F.lit(1))).alias("spend_n")))
+                 F.count(F.when(is_spend, F.lit(1))).alias("spend_n"))
+            .filter((F.col("income_n") > 0) | (F.col("spend_n") > 0)))
 
 
 def savings_from_months(months: DataFrame, start_date: str = DEFAULT_START_DATE) -> DataFrame:

@@ -18,8 +18,8 @@ from tally.schema import COMMON_COLUMNS, RAW_SCHEMA
 DATE_FORMATS = ("MM/dd/yyyy", "yyyy/MM/dd", "dd-MMM-yyyy")
 
 # Largest batch (rows) whose ids are broadcast for the stored-id lookup.
-# Ids are at most a few dozen bytes, so this bounds the broadcast at a few
-# hundred MB; above it the lookup is a shuffle join.
+# Ids are a few dozen bytes, so this bounds each broadcast near 100 MB; above
+# it the lookups are shuffle joins.
 BROADCAST_BATCH_ROWS = 2_000_000
 
 

@@ -258,3 +258,11 @@ def test_whitespace_and_null_tokens(spark, tmp_path):
     s = standardise(map_to_common(df, CARD)).first()
     assert s["transaction_id"] == "007" and s["description"] == "UBER EATS"
     assert s["transaction_type"] == "credit" and s["date"] == dt.datetime(2024, 1, 5)
+
+
+def test_income_category_debit_month_is_absent(spark):
+    """A debit in the Income category is neither spend nor income: its month
+    appears in neither mart, so not in the savings mart either."""
+    s = savings(spark, [("a", "2024-01-05", "PAYROLL CORRECTION", -10.0, "debit"),
+                        ("b", "2024-02-05", "KROGER", -5.0, "debit")])
+    assert list(s) == [dt.date(2024, 2, 1)]
