@@ -221,19 +221,20 @@ def not_ready(spark: SparkSession, name: str, status: str, path: str) -> DataFra
 # --------------------------------------------------------------------------
 
 def summarise(results: DataFrame) -> DataFrame:
-    """Per source status, rows, error and warning counts, plus an ALL row."""
+    """Per source status, rows, error and warning counts, plus an ALL row.
+
+    One aggregation with a roll-up gives both levels, so the checks behind
+    ``results`` are computed once.
+    """
     failed = F.col("n_bad") > 0
-    rows_of = F.max(F.when(F.col("check") == "rows_read", F.col("n_bad")))
-    per = (results.groupBy("source")
-           .agg(F.count(F.when(failed & (F.col("severity") == ERROR), F.lit(1))).cast("long").alias("errors"),
-                F.count(F.when(failed & (F.col("severity") == WARNING), F.lit(1))).cast("long").alias("warnings"),
-                F.coalesce(rows_of, F.lit(0)).cast("long").alias("rows")))
-    per = per.withColumn("passed", F.col("errors") == 0)
-    total = per.agg(F.lit("ALL").alias("source"), F.sum("errors").cast("long").alias("errors"),
-                    F.sum("warnings").cast("long").alias("warnings"), F.sum("rows").cast("long").alias("rows"),
-                    F.coalesce(F.bool_and("passed"), F.lit(True)).alias("passed"))
-    cols = ["source", "passed", "rows", "errors", "warnings"]
-    return per.select(*cols).unionByName(total.select(*cols))
+    g = (results.rollup("source")
+         .agg(F.count(F.when(failed & (F.col("severity") == ERROR), F.lit(1))).cast("long").alias("errors"),
+              F.count(F.when(failed & (F.col("severity") == WARNING), F.lit(1))).cast("long").alias("warnings"),
+              F.coalesce(F.sum(F.when(F.col("check") == "rows_read", F.col("n_bad"))), F.lit(0))
+              .cast("long").alias("rows"),
+              F.grouping("source").alias("_total")))
+    return g.select(F.when(F.col("_total") == 1, F.lit("ALL")).otherwise(F.col("source")).alias("source"),
+                    (F.col("errors") == 0).alias("passed"), "rows", "errors", "warnings")
 
 
 def load_gate(batch: DataFrame, source: str) -> DataFrame:

@@ -357,28 +357,29 @@ def agg_month_category(categorized: DataFrame) -> DataFrame:
                     (total / F.col("transaction_count")).alias("avg_transaction"))
 
 
-def _median(values: DataFrame, key: str, value: str) -> DataFrame:
-    """Exact interpolated median per key: lo + (hi - lo) * 0.5 of the two
-    middle values. A window numbers the values within each key; partitions
-    hold one row per month, so they stay small whatever the data volume."""
-    w = Window.partitionBy(key).orderBy(value)
-    ranked = values.select(key, value,
-                           F.row_number().over(w).alias("_rn"),
-                           F.count(F.lit(1)).over(Window.partitionBy(key)).alias("_n"))
-    lo_pos = F.floor((F.col("_n") - 1) / 2) + 1
-    hi_pos = F.ceil((F.col("_n") - 1) / 2) + 1
-    g = ranked.groupBy(key).agg(F.max(F.when(F.col("_rn") == lo_pos, F.col(value))).alias("_lo"),
-                                F.max(F.when(F.col("_rn") == hi_pos, F.col(value))).alias("_hi"))
-    return g.select(key, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.lit(0.5)).alias("median"))
-
-
 def mart_spending_stats(categorized: DataFrame, ordered: bool = True) -> DataFrame:
-    """Per category: mean, median, spread and size of the monthly signed totals."""
+    """Per category: mean, median, spread and size of the monthly signed totals.
+
+    The monthly totals are numbered within each category by a window (its
+    partitions hold one row per active month, so they stay small whatever
+    the data volume), and a single aggregation on the same partitioning then
+    yields every statistic. The median is the exact interpolated one,
+    ``lo + (hi - lo) * 0.5`` of the two middle values, which is what SQL's
+    ``median`` computes.
+    """
     m = agg_month_category(categorized)
+    ranked = m.select("*",
+                      F.row_number().over(Window.partitionBy("category").orderBy("total_spend")).alias("_rn"),
+                      F.count(F.lit(1)).over(Window.partitionBy("category")).alias("_n"))
+    lo_pos = F.floor((F.col("_n") - 1) / 2) + 1
+    hi_pos = F.ceil((F.col("_n") - 1) / 2) + 1
     mean = from_cents(F.sum("_cents")) / F.count(F.lit(1))
     sd = F.stddev_samp("total_spend")
-    stats = m.groupBy("category").agg(
+    lo = F.max(F.when(F.col("_rn") == lo_pos, F.col("total_spend")))
+    hi = F.max(F.when(F.col("_rn") == hi_pos, F.col("total_spend")))
+    out = ranked.groupBy("category").agg(
         round_half_away(mean).alias("mean_monthly_spend"),
+        round_half_away(lo + (hi - lo) * F.lit(0.5)).alias("median_monthly_spend"),
         round_half_away(sd).alias("stddev_monthly_spend"),
         from_cents(F.min("_cents")).alias("min_monthly_spend"),
         from_cents(F.max("_cents")).alias("max_monthly_spend"),
@@ -387,11 +388,4 @@ def mart_spending_stats(categorized: DataFrame, ordered: bool = True) -> DataFra
         F.sum("transaction_count").cast("long").alias("total_transactions"),
         round_half_away(F.avg("avg_transaction")).alias("avg_transaction_size"),
     )
-    med = _median(m.select("category", "total_spend"), "category", "total_spend")
-    out = stats.join(med, "category").select(
-        "category", "mean_monthly_spend",
-        round_half_away(F.col("median")).alias("median_monthly_spend"),
-        "stddev_monthly_spend", "min_monthly_spend", "max_monthly_spend", "spend_range",
-        "coefficient_of_variation", "total_transactions", "avg_transaction_size",
-    )
     return out.orderBy(F.desc("mean_monthly_spend")) if ordered else out
