@@ -8,7 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tally.functions.text import contains_any
 
 # The default rule table, in priority order (category, keywords).
 # Matching is a case-insensitive substring test on the description.
@@ -62,13 +61,21 @@ def valid_provider(provider: Column) -> Column:
     return provider.isNotNull() & ~provider.isin(list(NON_CATEGORIES))
 
 
-def category_expr(description: Column, provider: Column | None = None,
-                  rules: Sequence[Rule] | None = None) -> Column:
-    """First-match CASE over the rules, one row at a time, no shuffle.
+def _sql_string(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def category_sql(description: str = "description", provider: str | None = "provider_category",
+                 rules: Sequence[Rule] | None = None) -> str:
+    """The first-match CASE as SQL text over the named columns.
 
     Consecutive rules with the same category are merged into one branch (an
     OR of ``contains`` tests), which keeps first-match semantics and makes a
-    short CASE. ``description`` must be upper case.
+    short CASE. ``description`` must hold upper-case text.
     """
     ordered = sorted(rules or default_rules(), key=lambda r: r[0])
     if len(ordered) > MAX_RULES:
@@ -79,13 +86,27 @@ def category_expr(description: Column, provider: Column | None = None,
             branches[-1][1].append(kw)
         else:
             branches.append((cat, [kw]))
-    expr = None
+    d = _ident(description)
+    parts = []
     if provider is not None:
-        expr = F.when(valid_provider(provider), provider.cast("string"))
+        p = _ident(provider)
+        excluded = ", ".join(_sql_string(v) for v in NON_CATEGORIES)
+        parts.append(f"WHEN {p} IS NOT NULL AND {p} NOT IN ({excluded}) THEN CAST({p} AS STRING)")
     for cat, kws in branches:
-        cond = contains_any(description, kws)
-        expr = F.when(cond, F.lit(cat)) if expr is None else expr.when(cond, F.lit(cat))
-    return expr.otherwise(F.lit(FALLBACK_CATEGORY)) if expr is not None else F.lit(FALLBACK_CATEGORY)
+        cond = " OR ".join(f"contains({d}, {_sql_string(kw.upper())})" for kw in kws)
+        parts.append(f"WHEN {cond} THEN {_sql_string(cat)}")
+    return "CASE " + " ".join(parts) + f" ELSE {_sql_string(FALLBACK_CATEGORY)} END"
+
+
+def category_expr(description: str = "description", provider: str | None = "provider_category",
+                  rules: Sequence[Rule] | None = None) -> Column:
+    """First-match CASE over the rules, one row at a time, no shuffle.
+
+    Built as one SQL expression (a single call into the JVM, however many
+    rules there are); it compiles to the same generated code as a chain of
+    ``when`` calls.
+    """
+    return F.expr(category_sql(description, provider, rules))
 
 
 def categorize(ledger: DataFrame, rules: Sequence[Rule] | None = None,
@@ -96,8 +117,7 @@ def categorize(ledger: DataFrame, rules: Sequence[Rule] | None = None,
     unique ids that equals computing it on the same row, which is what this
     does (no join, no shuffle).
     """
-    provider = F.col("provider_category") if use_provider else None
-    cat = category_expr(F.col("description"), provider, rules)
+    cat = category_expr("description", "provider_category" if use_provider else None, rules)
     return (ledger.withColumn("category", cat)
                   .withColumn("is_uncategorised",
                               F.coalesce(F.col("category") == F.lit(FALLBACK_CATEGORY), F.lit(False))))

@@ -302,7 +302,7 @@ def q_join_self_left(spark, sf):
     """The literal form: categories computed per id, then joined back."""
     ledger = int_all_transactions(*_raw(spark, sf), OPTS)
     keyword = ledger.select("unique_transaction_id",
-                            category_expr(F.col("description"), F.col("provider_category")).alias("category"))
+                            category_expr("description", "provider_category").alias("category"))
     return (ledger.join(keyword, "unique_transaction_id", "left")
             .select("unique_transaction_id", "description", "category"))
 
