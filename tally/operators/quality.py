@@ -18,10 +18,12 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tally.functions.text import strip_ws
+from tally.operators.observe import observe_rows
 from tally.schema import (
     AMOUNT_MAX,
     AMOUNT_MIN,
@@ -164,30 +166,46 @@ def samples(df: DataFrame, spec: SourceSpec, as_of: Column | None = None,
             size: int = SAMPLE_SIZE) -> DataFrame:
     """First offenders per check: ``(source, check, column, sample)``.
 
-    Each branch is a top-k (sort + limit): every partition keeps ``size``
-    candidates and only those are merged. Duplicate ids give their smallest
-    repeated ids, the type check its smallest distinct offending values.
+    The source is scanned once: only offending rows are kept (id, normalised
+    type and one flag per check, spilling to disk if large), and each check's
+    sample is a top-k over those rows, in which every partition keeps
+    ``size`` candidates. Duplicate ids give their smallest repeated ids (one
+    grouped count), the type check its smallest distinct offending values.
+    At most ``size`` values per check come back, so the result is built from
+    them directly. Checks without offenders have no row.
     """
+    spark = df.sparkSession
     as_of = as_of if as_of is not None else F.current_timestamp().cast("timestamp_ntz")
     ident = _col(spec.id_column).cast("string")
-    parsed = _parsed(df, spec)
+    preds = _predicates(spec, as_of)
+    flags = [pred.alias(f"_f{i}") for i, (_, _, _, pred, _) in enumerate(preds)]
+    any_bad = reduce(lambda a, b: a | b, [F.col(f"_f{i}") for i in range(len(preds))])
+    flagged = observe_rows(_parsed(df, spec).select(ident.alias("_id"), F.col("_t"), *flags),
+                           f"quality_{spec.name}")
+    bad = flagged.filter(any_bad).persist(StorageLevel.MEMORY_AND_DISK)
     parts = []
-    for check, _, col, pred, _ in _predicates(spec, as_of):
+    for i, (check, _, col, _, _) in enumerate(preds):
+        flag = F.col(f"_f{i}")
         if check == "invalid_transaction_types":
-            vals = (parsed.filter(pred).select(F.col("_t").alias("v")).distinct()
-                    .orderBy("v").limit(size))
+            vals = bad.filter(flag).select(F.col("_t").alias("v")).distinct()
         else:
-            vals = (parsed.filter(pred & ident.isNotNull()).select(ident.alias("v"))
-                    .orderBy("v").limit(size))
-        parts.append(vals.select(F.lit(check).alias("check"), F.lit(col).cast("string").alias("column"), "v"))
+            vals = bad.filter(flag & F.col("_id").isNotNull()).select(F.col("_id").alias("v"))
+        parts.append(vals.orderBy("v").limit(size)
+                     .select(F.lit(check).alias("check"), F.lit(col).cast("string").alias("column"), "v"))
     dups = (df.groupBy(ident.alias("v")).agg(F.count(F.lit(1)).alias("_n"))
             .filter((F.col("_n") > 1) & F.col("v").isNotNull()).select("v").orderBy("v").limit(size))
     parts.append(dups.select(F.lit("duplicate_ids").alias("check"),
                              F.lit(spec.id_column).alias("column"), "v"))
-    allv = reduce(DataFrame.unionByName, parts)
-    return (allv.groupBy("check", "column")
-            .agg(F.array_sort(F.collect_list("v")).alias("sample"))
-            .select(F.lit(spec.name).alias("source"), "check", "column", "sample"))
+    try:
+        found = reduce(DataFrame.unionByName, parts).collect()  # at most `size` per check
+    finally:
+        bad.unpersist()
+    grouped: dict[tuple[str, str], list[str]] = {}
+    for r in found:
+        grouped.setdefault((r["check"], r["column"]), []).append(r["v"])
+    return spark.createDataFrame(
+        [(spec.name, chk, col, sorted(v)) for (chk, col), v in grouped.items()],
+        "source string, check string, column string, sample array<string>")
 
 
 def profile(spark: SparkSession, df: DataFrame, spec: SourceSpec, as_of: Column | None = None,

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tally.operators.observe import observe_rows
+
 
 # The default rule table, in priority order (category, keywords).
 # Matching is a case-insensitive substring test on the description.
@@ -124,20 +125,15 @@ def categorize(ledger: DataFrame, rules: Sequence[Rule] | None = None,
 
 
 def hold_category_predicates(df: DataFrame, name: str = "categorized") -> DataFrame:
-    """Observation point for rows about to be filtered on ``category``.
-
-    Records the row and uncategorised counts (observed metrics named
-    ``<name>_<id>``, delivered to query listeners and the event log).
-    Catalyst moves no predicate across an observation point, so a category
-    filter placed after this runs on the computed column, once per row.
-    Without it the filter is pushed below the projection that computes the
-    category, copying the whole rule CASE (and the description expression
-    into every rule) into the scan filter. Apply cheap filters (dates,
-    flags) before this so they still reach the scan.
+    """Observation point before a row filter on ``category``.
+
+    Records the row and uncategorised counts. Without it Catalyst pushes a
+    category filter below the projection that computes the category, copying
+    the whole rule CASE (and the description expression into every rule)
+    into the scan filter; with it the filter reads the computed column.
     """
-    return df.observe(f"{name}_{uuid.uuid4().hex[:12]}",
-                      F.count(F.lit(1)).alias("rows"),
-                      F.count(F.when(F.col("is_uncategorised"), F.lit(1))).alias("uncategorised"))
+    return observe_rows(df, name,
+                        F.count(F.when(F.col("is_uncategorised"), F.lit(1))).alias("uncategorised"))
 
 
 def collect_rules(rules_df: DataFrame, max_rules: int = MAX_RULES) -> list[Rule]:
