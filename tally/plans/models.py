@@ -42,6 +42,23 @@ def int_categorized(raw_bank: DataFrame, raw_card: DataFrame,
     return categorize(int_all_transactions(raw_bank, raw_card, opts), opts.rules)
 
 
+def register_views(raw_bank: DataFrame, raw_card: DataFrame,
+                   opts: ModelOptions = ModelOptions()) -> dict[str, DataFrame]:
+    """Expose the staging and intermediate models as temporary views under
+    their model names, for SQL users. Views hold no data: each query that
+    reads one recomputes it, as the reference's view layer does."""
+    bank, card = stg_bank(raw_bank), stg_card(raw_card, opts.carry_provider_category)
+    models = {
+        "stg_bank_txns": bank,
+        "stg_card_txns": card,
+        "int_all_transactions": int_all_transactions(raw_bank, raw_card, opts),
+        "int_categorized": int_categorized(raw_bank, raw_card, opts),
+    }
+    for name, df in models.items():
+        df.createOrReplaceTempView(name)
+    return models
+
+
 def build_marts(raw_bank: DataFrame, raw_card: DataFrame,
                 opts: ModelOptions = ModelOptions()) -> dict[str, DataFrame]:
     """All four marts from one categorised ledger.

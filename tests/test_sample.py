@@ -141,3 +141,25 @@ def test_build_marts_reuses_ledger(spark, sample_paths):
         assert out["mart_spending_stats"].count() == 12
     finally:
         out["_ledger"].unpersist()
+
+
+def test_batch_job_end_to_end(spark, sample_paths, scratch):
+    from tally.plans.job import run
+    from tally.plans.models import register_views
+    marts_root = scratch("marts")
+    out = run(spark, sample_paths["bank"], sample_paths["card"], scratch("raw"), marts_root, START)
+    assert out == {"all_loaded": True, "tests_passed": True, "validation_passed": True}
+    sav = spark.read.parquet(marts_root + "/mart_savings_rate").first()
+    assert (sav["total_income"], sav["total_spend"]) == (6503.12, 2149.29)
+    bank = standardise(read_source(spark, sample_paths["bank"], BANK))
+    card = standardise(read_source(spark, sample_paths["card"], CARD))
+    register_views(bank, card, ModelOptions(start_date=START))
+    assert spark.sql("SELECT count(*) AS n FROM int_categorized WHERE is_payment").first()["n"] == 1
+
+
+def test_validation_report_dispatch(spark, sample_paths, tmp_path):
+    res, summ = quality.validation_report(
+        spark, {"bank": sample_paths["bank"], "card": str(tmp_path / "absent.csv"), "cash": "x"})
+    by = {r["source"]: r for r in summ.collect()}
+    assert by["bank"]["passed"] and not by["card"]["passed"] and not by["cash"]["passed"]
+    assert not by["ALL"]["passed"] and by["ALL"]["errors"] == 2
