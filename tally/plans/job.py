@@ -1,7 +1,9 @@
 """Batch job: validate, load, build and test the marts.
 
-    spark-submit -m tally.plans.job --bank PATH --card PATH --store ROOT --marts ROOT
-                 [--start-date 2024-01-01] [--full-refresh]
+    python -m tally.plans.job --bank PATH --card PATH --store ROOT --marts ROOT
+                              [--start-date 2024-01-01] [--full-refresh]
+
+(on a cluster: spark-submit --py-files tally.zip tally/plans/job.py ...)
 
 Steps: validation report (written next to the marts), per-source gated
 incremental load into the raw tables, the four marts written as parquet
