@@ -46,7 +46,7 @@ def run(spark: SparkSession, bank: str, card: str, store_root: str, marts_root:
             if not name.startswith("_"):
                 df.write.mode("overwrite").parquet(os.path.join(marts_root, name))
     finally:
-        marts["_ledger"].unpersist()
+        marts["_rollup"].unpersist()
 
     stats = spark.read.parquet(os.path.join(marts_root, "mart_spending_stats"))
     tests = quality.test_not_null(stats, "mart_spending_stats", ["category", "mean_monthly_spend"]) \

@@ -173,7 +173,12 @@ def mart_monthly_spend(categorized: DataFrame, start_date: str = DEFAULT_START_D
     every spend group in the rank and add nothing to the month total, and the
     lag is partitioned by category so they have their own partition.
     """
-    g = _grouped(_spend_candidates(categorized, start_date), "category")
+    return _spend_windows(_grouped(_spend_candidates(categorized, start_date), "category"), ordered)
+
+
+def _spend_windows(g: DataFrame, ordered: bool) -> DataFrame:
+    """Rank, change and share over grouped spend candidates
+    (transaction_month, category, source, _cents, transaction_count, _min, _max)."""
     income_group = F.col("category") == F.lit("Income")
     by_group = Window.partitionBy("category", "source").orderBy("transaction_month")
     g = g.withColumn("_lag", F.lag("_cents").over(by_group))
@@ -203,7 +208,10 @@ def mart_monthly_spend(categorized: DataFrame, start_date: str = DEFAULT_START_D
 def mart_income(categorized: DataFrame, start_date: str = DEFAULT_START_DATE,
                 ordered: bool = True) -> DataFrame:
     """Income by month x income type x source with change and share."""
-    g = _grouped(income_rows(categorized, start_date), "income_type")
+    return _income_windows(_grouped(income_rows(categorized, start_date), "income_type"), ordered)
+
+
+def _income_windows(g: DataFrame, ordered: bool) -> DataFrame:
     by_group = Window.partitionBy("income_type", "source").orderBy("transaction_month")
     g = g.withColumn("_lag", F.lag("_cents").over(by_group))
     by_month = Window.partitionBy("transaction_month")
@@ -351,10 +359,7 @@ def agg_month_category(categorized: DataFrame) -> DataFrame:
          .groupBy(F.trunc(F.col("transaction_date"), "month").alias("month"), "category")
          .agg(F.sum(cents(F.col("amount"))).alias("_cents"),
               F.count(F.lit(1)).alias("transaction_count")))
-    total = from_cents(F.col("_cents"))
-    return g.select("month", "category", "_cents", total.alias("total_spend"),
-                    "transaction_count",
-                    (total / F.col("transaction_count")).alias("avg_transaction"))
+    return _month_category_columns(g)
 
 
 def mart_spending_stats(categorized: DataFrame, ordered: bool = True) -> DataFrame:
@@ -367,7 +372,17 @@ def mart_spending_stats(categorized: DataFrame, ordered: bool = True) -> DataFra
     ``lo + (hi - lo) * 0.5`` of the two middle values, which is what SQL's
     ``median`` computes.
     """
-    m = agg_month_category(categorized)
+    return _stats_from(agg_month_category(categorized), ordered)
+
+
+def _month_category_columns(g: DataFrame) -> DataFrame:
+    total = from_cents(F.col("_cents"))
+    return g.select("month", "category", "_cents", total.alias("total_spend"),
+                    "transaction_count",
+                    (total / F.col("transaction_count")).alias("avg_transaction"))
+
+
+def _stats_from(m: DataFrame, ordered: bool) -> DataFrame:
     ranked = m.select("*",
                       F.row_number().over(Window.partitionBy("category").orderBy("total_spend")).alias("_rn"),
                       F.count(F.lit(1)).over(Window.partitionBy("category")).alias("_n"))
@@ -389,3 +404,66 @@ def mart_spending_stats(categorized: DataFrame, ordered: bool = True) -> DataFra
         round_half_away(F.avg("avg_transaction")).alias("avg_transaction_size"),
     )
     return out.orderBy(F.desc("mean_monthly_spend")) if ordered else out
+
+
+# --------------------------------------------------------------------------
+# all marts from one roll-up of the ledger
+# --------------------------------------------------------------------------
+
+def ledger_rollup(categorized: DataFrame, start_date: str = DEFAULT_START_DATE) -> DataFrame:
+    """Everything the four marts need, aggregated in one pass.
+
+    Grouped by month, category, income type (credits only), source and the
+    flags the marts filter on; each group carries its cents (absolute and
+    signed), row count and smallest/largest amount. All keys have low
+    cardinality (calendar months x categories x a few flags), so the result
+    is small whatever the data volume, and every mart is a re-aggregation of
+    it: one scan and one shuffle of partial aggregates for all four.
+    """
+    a = F.col("absolute_amount")
+    return (categorized.groupBy(
+                "transaction_month", "category",
+                F.when(~F.col("is_debit"), income_type_expr(F.col("description"))).alias("income_type"),
+                "source", "is_debit", "is_payment", "is_transfer",
+                F.coalesce(F.col("transaction_type") == F.lit("debit"), F.lit(False)).alias("type_debit"),
+                (F.col("transaction_date") >= _start(start_date)).alias("in_range"))
+            .agg(F.sum(cents(a)).alias("_cents"),
+                 F.count(F.lit(1)).alias("_n"),
+                 F.min(a).alias("_min"),
+                 F.max(a).alias("_max"),
+                 F.sum(cents(F.col("amount"))).alias("_signed_cents")))
+
+
+def _regroup(r: DataFrame, dim: str) -> DataFrame:
+    return (r.groupBy("transaction_month", dim, "source")
+            .agg(F.sum("_cents").alias("_cents"),
+                 F.sum("_n").cast("long").alias("transaction_count"),
+                 F.min("_min").alias("_min"),
+                 F.max("_max").alias("_max")))
+
+
+def marts_from_rollup(rollup: DataFrame, start_date: str = DEFAULT_START_DATE,
+                      ordered: bool = True) -> dict[str, DataFrame]:
+    """The four marts from ``ledger_rollup`` (same rows as computing each
+    mart from the ledger)."""
+    r = rollup
+    debit, payment, transfer = F.col("is_debit"), F.col("is_payment"), F.col("is_transfer")
+    kept = ~payment & ~transfer & F.col("in_range")
+    spend = _spend_windows(_regroup(r.filter(debit & kept), "category"), ordered)
+    income = _income_windows(_regroup(r.filter(~debit & kept), "income_type"), ordered)
+    is_spend = debit & (F.col("category") != F.lit("Income"))
+    months = (r.filter(kept).groupBy("transaction_month")
+              .agg(F.sum(F.when(~debit, F.col("_cents"))).alias("income_cents"),
+                   F.sum(F.when(is_spend, F.col("_cents"))).alias("spend_cents"),
+                   F.coalesce(F.sum(F.when(~debit, F.col("_n"))), F.lit(0)).alias("income_n"),
+                   F.coalesce(F.sum(F.when(is_spend, F.col("_n"))), F.lit(0)).alias("spend_n"))
+              .filter((F.col("income_n") > 0) | (F.col("spend_n") > 0)))
+    savings = savings_from_months(months, start_date)
+    if ordered:
+        savings = savings.orderBy(F.desc("transaction_month"))
+    m = (r.filter(F.col("type_debit"))
+         .groupBy(F.col("transaction_month").alias("month"), "category")
+         .agg(F.sum("_signed_cents").alias("_cents"), F.sum("_n").cast("long").alias("transaction_count")))
+    stats = _stats_from(_month_category_columns(m), ordered)
+    return {"mart_monthly_spend": spend, "mart_income": income,
+            "mart_savings_rate": savings, "mart_spending_stats": stats}

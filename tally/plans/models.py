@@ -61,21 +61,20 @@ def register_views(raw_bank: DataFrame, raw_card: DataFrame,
 
 def build_marts(raw_bank: DataFrame, raw_card: DataFrame,
                 opts: ModelOptions = ModelOptions()) -> dict[str, DataFrame]:
-    """All four marts from one categorised ledger.
-
-    The ledger is persisted (memory, spilling to disk) while the marts are
-    built so the raw tables are scanned once; lost blocks are recomputed from
-    lineage if an executor goes away. Callers write the marts and then call
-    ``unpersist`` on ``result['_ledger']``.
+    """All four marts from one pass over the categorised ledger.
+
+    The ledger is reduced once to ``marts.ledger_rollup`` (one row per month,
+    category, income type, source and filter flags), which is small whatever
+    the data volume; that roll-up is persisted and every mart re-aggregates
+    it. The raw tables are therefore scanned once for all marts and nothing
+    of ledger size is cached. Callers write the marts and then call
+    ``unpersist`` on ``result['_rollup']``.
     """
-    ledger = int_categorized(raw_bank, raw_card, opts).persist(StorageLevel.MEMORY_AND_DISK)
-    return {
-        "_ledger": ledger,
-        "mart_monthly_spend": marts.mart_monthly_spend(ledger, opts.start_date),
-        "mart_income": marts.mart_income(ledger, opts.start_date),
-        "mart_savings_rate": marts.mart_savings_rate(ledger, opts.start_date),
-        "mart_spending_stats": marts.mart_spending_stats(ledger),
-    }
+    rollup = marts.ledger_rollup(int_categorized(raw_bank, raw_card, opts), opts.start_date)
+    rollup = rollup.persist(StorageLevel.MEMORY_AND_DISK)
+    out = marts.marts_from_rollup(rollup, opts.start_date)
+    out["_rollup"] = rollup
+    return out
 
 
 # --------------------------------------------------------------------------

@@ -62,3 +62,25 @@ def test_incremental_keeps_stored_rows(spark):
     revised = out.filter(F.col("description").endswith("(REVISED)")).collect()
     assert revised and all(r["transaction_id"].split("-")[0].endswith("0") for r in revised)
     assert out.count() == raw_bank_from_tables(spark, SF).count() + raw_card_from_tables(spark, SF).count()
+
+
+@pytest.mark.parametrize("start", [START, "1996-01-15"])
+def test_marts_from_one_rollup_equal_direct_marts(spark, start):
+    from tally.plans.models import ModelOptions, build_marts
+    bank, card = raw_bank_from_tables(spark, SF), raw_card_from_tables(spark, SF)
+    out = build_marts(bank, card, ModelOptions(start_date=start))
+    try:
+        led = categorized(spark, SF)
+        direct = {
+            "mart_monthly_spend": marts.mart_monthly_spend(led, start),
+            "mart_income": marts.mart_income(led, start),
+            "mart_savings_rate": marts.mart_savings_rate(led, start),
+            "mart_spending_stats": marts.mart_spending_stats(led),
+        }
+        for name, df in direct.items():
+            a = [tuple(r) for r in out[name].collect()]
+            b = [tuple(r) for r in df.collect()]
+            assert out[name].columns == df.columns, name
+            assert sorted(a, key=repr) == sorted(b, key=repr), name
+    finally:
+        out["_rollup"].unpersist()

@@ -140,7 +140,7 @@ def test_build_marts_reuses_ledger(spark, sample_paths):
         assert out["mart_income"].count() == 2
         assert out["mart_spending_stats"].count() == 12
     finally:
-        out["_ledger"].unpersist()
+        out["_rollup"].unpersist()
 
 
 def test_batch_job_end_to_end(spark, sample_paths, scratch):
