@@ -266,3 +266,30 @@ def test_income_category_debit_month_is_absent(spark):
     s = savings(spark, [("a", "2024-01-05", "PAYROLL CORRECTION", -10.0, "debit"),
                         ("b", "2024-02-05", "KROGER", -5.0, "debit")])
     assert list(s) == [dt.date(2024, 2, 1)]
+
+
+def test_incremental_load_above_broadcast_bound(spark, scratch, monkeypatch):
+    """Beyond the checked bound the stored-id lookup is a shuffle join; the
+    result is the same."""
+    import tally.sources.raw as raw
+    monkeypatch.setattr(raw, "BROADCAST_BATCH_ROWS", 1)
+    store = RawStore(spark, scratch("raw"))
+    first = raw_frame(spark, [("a", "2024-01-01", "OLD", -1.0, "debit"),
+                              ("b", "2024-01-01", "OLD", -1.0, "debit")], "bank")
+    second = raw_frame(spark, [("a", "2024-01-01", "NEW", -9.0, "debit"),
+                               ("c", "2024-01-02", "NEW", -2.0, "debit"),
+                               ("d", "2024-01-03", "NEW", -3.0, "debit")], "bank")
+    assert store.load(first, "t").rows_loaded == 2
+    res = store.load(second, "t")
+    assert (res.rows_loaded, res.already_stored) == (2, 1)
+    got = {r["transaction_id"]: r["description"] for r in store.read("t").collect()}
+    assert got == {"a": "OLD", "b": "OLD", "c": "NEW", "d": "NEW"}
+
+
+def test_spread_only_under_partitioned_inputs(spark):
+    from tally.sources.files import spread
+    one = spark.range(1000).coalesce(1)
+    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(1000).repartition(spark.sparkContext.defaultParallelism)
+    assert spread(many) is many
+    assert sorted(r[0] for r in spread(one).collect()) == list(range(1000))
