@@ -65,9 +65,10 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--start-date", default="2024-01-01")
     ap.add_argument("--full-refresh", action="store_true")
     ap.add_argument("--carry-provider-category", action="store_true")
+    ap.add_argument("--master", default=None, help="only when not submitted (e.g. local[*])")
     a = ap.parse_args(argv)
     from tally.session import build_session
-    spark = build_session()
+    spark = build_session(a.master)
     out = run(spark, a.bank, a.card, a.store, a.marts, a.start_date, a.full_refresh,
               a.carry_provider_category)
     print(out)
