@@ -41,10 +41,6 @@ SAMPLE_SIZE = 5
 MISSING_TYPE = "nan"  # a missing type is reported under this text
 
 
-def _empty(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], RESULT_SCHEMA)
-
-
 def _rows(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(rows, RESULT_SCHEMA)
 
