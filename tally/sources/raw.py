@@ -121,6 +121,7 @@ class RawStore:
         number of rows written is counted as they are written (an observed
         metric), not by another pass.
         """
+        source_cached = batch.is_cached
         batch = to_raw_contract(batch)
         written = Observation(f"load_{table}_{uuid.uuid4().hex[:12]}")
         counted = F.count(F.lit(1)).alias("rows")
@@ -128,6 +129,19 @@ class RawStore:
             _by_date(batch.observe(written, counted)).write.mode("overwrite").parquet(self.path(table))
             n = int(written.get["rows"])
             return LoadResult(table, n, n, 0)
+        # The batch is read three times below (its size, its ids, the rows to
+        # append); keep it once unless the caller already did.
+        owned = not source_cached
+        if owned:
+            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return self._append_new(batch, table, written, counted, batch_rows)
+        finally:
+            if owned:
+                batch.unpersist()
+
+    def _append_new(self, batch: DataFrame, table: str, written: Observation, counted: Column,
+                    batch_rows: int | None) -> LoadResult:
         if batch_rows is None:
             batch_rows = batch.count()
         if batch_rows == 0:
