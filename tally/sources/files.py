@@ -78,21 +78,24 @@ def file_readiness(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
         rows, "source string, path string, status string, n_files long, n_bytes long")
 
 
-def spread(df: DataFrame, min_fraction: float = 0.5) -> DataFrame:
+def spread(df: DataFrame, min_fraction: float = 0.5, max_splits: int = 64) -> DataFrame:
     """Spread an under-partitioned input over the cluster's cores.
 
     A single unsplittable file (one parquet row group, one gzip CSV) is read
     by one task, and everything up to the first shuffle (parsing, the rule
     CASE) would then run on one core. When the scan yields fewer than
-    ``min_fraction`` x default-parallelism partitions, the rows are hash
-    partitioned on all their columns; a well-split input (the normal case for
-    large data) is returned unchanged, with no extra shuffle.
+    ``min_fraction`` x default-parallelism partitions, and fewer than
+    ``max_splits`` in any case, the rows are hash partitioned on all their
+    columns. A well-split input (the normal case for large data) is returned
+    unchanged, with no extra shuffle; the absolute cap keeps a big cluster
+    from reshuffling a large, already well-split input only to widen it
+    further. Only inputs read by fewer than ``max_splits`` tasks are moved.
 
     Hashing whole rows is deterministic, so a retried task sends every row to
     the same place without the per-task sort that round-robin partitioning
     needs for that; only byte-identical rows share a task.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < max(2, int(target * min_fraction)):
+    if df.rdd.getNumPartitions() < max(2, min(int(target * min_fraction), max_splits)):
         return df.repartition(target, *[F.col(f"`{c}`") for c in df.columns])
     return df
