@@ -16,7 +16,9 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not
 
 @pytest.fixture(scope="module")
 def ledger(spark):
-    return categorized(spark, SF).cache()
+    df = categorized(spark, SF).cache()
+    yield df
+    df.unpersist()  # later plans must read the tables, not this cache
 
 
 def test_single_pass_savings_equals_full_outer_join(ledger):

@@ -18,7 +18,9 @@ START = "2024-01-01"
 def ledger(spark, sample_paths):
     bank = standardise(read_source(spark, sample_paths["bank"], BANK))
     card = standardise(read_source(spark, sample_paths["card"], CARD))
-    return int_categorized(bank, card, ModelOptions(start_date=START)).cache()
+    df = int_categorized(bank, card, ModelOptions(start_date=START)).cache()
+    yield df
+    df.unpersist()
 
 
 def test_validation_report(spark, sample_paths):
