@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from tally.llm.exact_dedup import OP6_SQL, op6_exact_dedup
+from tally.llm.secrets import op8_secret_scan
+from tally.llm.toxicity import op5_toxicity
 
 QUERIES = {
+    "op5_toxicity": op5_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_secret_scan": op8_secret_scan,
 }
 
 ORACLE_SQL = {
