@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,7 +49,7 @@ def chunks(batch: pa.RecordBatch, text: str = "text", limit: int = CHUNK_BYTES)
     if batch.num_rows == 0:
         return
     col = batch.column(batch.schema.get_field_index(text))
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(col), 0), dtype=np.int64)
+    sizes = np.asarray(pc.fill_null(pc.binary_length(col), 0), dtype=np.int64)
     part = (np.cumsum(sizes) - sizes) // limit
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:]):

@@ -147,7 +147,7 @@ def mine(sample: DataFrame, min_rows: int = 6, min_odds: float = 3.0, max_terms:
         n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
         weight = lambda a, b: math.log((a + 0.5) / (n1 + 1)) - math.log((b + 0.5) / (n0 + 1))
         stems = F.array_distinct(F.flatten(F.transform("words", lambda w: F.transform(
-            F.sequence(F.lit(3), F.lit(8)), lambda k: F.when(F.length(w) >= k, F.substring(w, F.lit(1), k))))))
+            F.sequence(F.lit(4), F.lit(9)), lambda k: F.when(F.length(w) >= k, F.substring(w, F.lit(1), k))))))
         counts = (one.select("label", F.explode(F.array_compact(stems)).alias("stem"))
                   .groupBy("stem").agg(F.sum(F.col("label")).alias("a"), F.sum(1 - F.col("label")).alias("b")))
         odds = F.log((F.col("a") + 0.5) / (n1 + 1)) - F.log((F.col("b") + 0.5) / (n0 + 1))
@@ -170,7 +170,7 @@ def mine(sample: DataFrame, min_rows: int = 6, min_odds: float = 3.0, max_terms:
     chosen: set[str] = set()
     for r in sorted(found, key=lambda r: len(r["stem"])):
         s = r["stem"]
-        if not any(s[:k] in chosen or s[:k] in terms for k in range(3, len(s) + 1)):
+        if not any(s[:k] in chosen or s[:k] in terms for k in range(4, len(s) + 1)):
             chosen.add(s)
             terms[s] = r["odds"]
     return Lexicon(tuple((t, round(w, 6), True) for t, w in sorted(terms.items())))
