@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from tally.llm.exact_dedup import OP6_SQL, op6_exact_dedup
+from tally.llm.licenses import op3_license_scan
+from tally.llm.packing import op1_hilbert_pack
 from tally.llm.secrets import op8_secret_scan
 from tally.llm.toxicity import op5_toxicity
 
 QUERIES = {
+    "op1_hilbert_pack": op1_hilbert_pack,
+    "op3_license_scan": op3_license_scan,
     "op5_toxicity": op5_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_secret_scan": op8_secret_scan,
