@@ -6,6 +6,7 @@ from tally.llm.exact_dedup import OP6_SQL, op6_exact_dedup
 from tally.llm.licenses import op3_license_scan
 from tally.llm.packing import op1_hilbert_pack
 from tally.llm.secrets import op8_secret_scan
+from tally.llm.sentencepieces import op9_sentencepiece
 from tally.llm.toxicity import op5_toxicity
 
 QUERIES = {
@@ -14,6 +15,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_secret_scan": op8_secret_scan,
+    "op9_sentencepiece": op9_sentencepiece,
 }
 
 ORACLE_SQL = {

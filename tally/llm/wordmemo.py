@@ -39,12 +39,14 @@ class WordMemo:
     """Ids of words, remembered up to a bound.
 
     ``encode`` maps a list of distinct words to their lists of ids. With
-    ``lower``, A-Z are lower-cased first, for tokenizers that lower-case.
+    ``lower``, A-Z are lower-cased first, for tokenizers that lower-case. With
+    ``breaks``, line breaks are kept: each starts a word of its own, for
+    tokenizers that give them ids.
     """
 
     def __init__(self, encode: Callable[[Sequence[str]], list[list[int]]], limit: int = MEMO_WORDS,
-                 lower: bool = False) -> None:
-        self.encode, self.limit, self.lower = encode, limit, lower
+                 lower: bool = False, breaks: bool = False) -> None:
+        self.encode, self.limit, self.lower, self.breaks = encode, limit, lower, breaks
         self._reset()
 
     def _reset(self) -> None:
@@ -73,7 +75,10 @@ class WordMemo:
 
     def texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids of the texts in order, ids of each text) for a string column; null is empty."""
-        split = pc.split_pattern(blanked(column, self.lower), " ")
+        if self.breaks:
+            split = pc.split_pattern(pc.replace_substring(pc.fill_null(column.cast(pa.large_string()), ""), "\n", " \n"), " ")
+        else:
+            split = pc.split_pattern(blanked(column, self.lower), " ")
         offsets = np.asarray(split.offsets)
         coded = split.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
