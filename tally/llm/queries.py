@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tally.llm.exact_dedup import OP6_SQL, op6_exact_dedup
+from tally.llm.jaccard_join import op10_ngram_jaccard
 from tally.llm.licenses import op3_license_scan
 from tally.llm.packing import op1_hilbert_pack
 from tally.llm.secrets import op8_secret_scan
@@ -16,6 +17,7 @@ QUERIES = {
     "op6_exact_dedup": op6_exact_dedup,
     "op8_secret_scan": op8_secret_scan,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 
 ORACLE_SQL = {

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from tally.llm.common import ragged_take
+from tally.llm.common import ragged_take, translated
 
 #: Distinct words kept between batches; beyond that the memo starts anew.
 MEMO_WORDS = 800_000
@@ -24,17 +24,6 @@ _BLANK = bytes(32 if b == 10 else b for b in range(256))
 _BLANK_LOWER = bytes(b + 32 if 65 <= b <= 90 else c for b, c in enumerate(_BLANK))
 
 
-def blanked(column: pa.Array, lower: bool) -> pa.Array:
-    """The texts with line breaks as blanks (and A-Z lower-cased), in one pass over their bytes."""
-    column = pc.fill_null(column.cast(pa.large_string()), "")
-    n = len(column)
-    _, ends, data = column.buffers()
-    at = np.frombuffer(ends, np.int64)[column.offset:column.offset + n + 1]
-    text = data[at[0]:at[-1]].to_pybytes() if n and data is not None else b""
-    text = text.translate(_BLANK_LOWER if lower else _BLANK)
-    return pa.LargeStringArray.from_buffers(n, pa.py_buffer((at - at[0]).tobytes()), pa.py_buffer(text))
-
-
 class WordMemo:
     """Ids of words, remembered up to a bound.
 
@@ -78,7 +67,7 @@ class WordMemo:
         if self.breaks:
             split = pc.split_pattern(pc.replace_substring(pc.fill_null(column.cast(pa.large_string()), ""), "\n", " \n"), " ")
         else:
-            split = pc.split_pattern(blanked(column, self.lower), " ")
+            split = pc.split_pattern(translated(column, _BLANK_LOWER if self.lower else _BLANK), " ")
         offsets = np.asarray(split.offsets)
         coded = split.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
