@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tally.llm.embedding_links import op7_nn_descent
 from tally.llm.exact_dedup import OP6_SQL, op6_exact_dedup
 from tally.llm.jaccard_join import op10_ngram_jaccard
 from tally.llm.licenses import op3_license_scan
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_nn_descent": op7_nn_descent,
     "op8_secret_scan": op8_secret_scan,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_ngram_jaccard": op10_ngram_jaccard,
