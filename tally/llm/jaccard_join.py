@@ -54,9 +54,9 @@ from tally.llm.shingles import scramble, shingle_sets
 
 WIDTH, PERCENT = 5, 75
 #: Tokens aimed at in a bucket (the number of buckets grows with the texts), and bytes of text a token stands for.
-BUCKET_TOKENS, TOKEN_BYTES = 4_000_000, 6
+BUCKET_TOKENS, TOKEN_BYTES = 2_000_000, 6
 #: Classes joined in one task at a time.
-BLOCK = 1024
+BLOCK = 512
 #: A token held by this share of a chunk's texts (and so many at least) is counted per chunk.
 HOT_SHARE, HOT_TEXTS = 8, 64
 #: Members of a component that stand for it up the tree, and blocks that meet at a time there.
@@ -283,6 +283,15 @@ def _sharing(lists: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _shared(a: np.ndarray, b: np.ndarray) -> int:
+    """Size of the intersection of two ascending sets."""
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    return int((b[at] == a).sum())
+
+
 def join_block(pdf: pd.DataFrame, left: np.ndarray | None = None) -> pd.DataFrame:
     """Links that connect a bounded set of classes: rows (a, b).
 
@@ -295,23 +304,18 @@ def join_block(pdf: pd.DataFrame, left: np.ndarray | None = None) -> pd.DataFram
     maybe = _sharing([np.asarray(x, np.int64).view(_U) for x in pdf["first"]])
     for col in ("second", "third"):
         maybe &= _sharing([np.frombuffer(x, "<u8") for x in pdf[col]])
-    small = np.minimum(size[:, None], size)  # shared tokens at most
-    maybe &= meets(small, n[:, None], n)
-    if left is not None:
-        maybe &= left[:, None] ^ left
-    forest, out, made = Forest(), [], {}
+    forest, out = Forest(), []
     if "root" in pdf:
         first: dict = {}
         for i, r in enumerate(pdf["root"]):
             forest.join(i, first.setdefault(r, i))
-
-    def held(i: int) -> set:
-        if i not in made:
-            made[i] = set(sets[i].tolist())
-        return made[i]
     for i in range(len(cls)):
-        for j in np.flatnonzero(maybe[i, :i]).tolist():
-            if forest.root(i) != forest.root(j) and meets(len(held(i) & held(j)), n[i], n[j]):
+        js = np.flatnonzero(maybe[i, :i])
+        if left is not None:
+            js = js[left[js] != left[i]]
+        js = js[meets(np.minimum(size[js], size[i]), n[js], n[i])]  # shared tokens at most
+        for j in js.tolist():
+            if forest.root(i) != forest.root(j) and meets(_shared(sets[i], sets[j]), n[i], n[j]):
                 forest.join(i, j)
                 out.append((cls[i], cls[j]))
     return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
