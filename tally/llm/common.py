@@ -39,6 +39,14 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def crc_bucket(col, mod: int):
     """crc32 of the decimal text of an id, modulo ``mod`` (null id: null)."""
     return F.crc32(col.cast("string").cast("binary")) % mod

@@ -38,8 +38,12 @@ THRESHOLD = 0.98
 #: Neighbours of a list at first and at most; what a full list cannot hold is counted in blocks.
 NEIGHBOURS, LONGEST = 8, 32
 #: Signature orders at the start, bits of a signature, neighbours taken on each side.
-ORDERS, BITS, SIDE = 6, 48, 3
+ORDERS, BITS, SIDE = 8, 48, 3
 ROUNDS, QUIET_SHARE = 4, 0.002
+#: Nodes whose meetings one task works off together.
+BIN_NODES = 2000
+#: Lists are kept in single precision; links within this margin are decided in double precision.
+MARGIN = 1e-5
 #: Nodes audited against brute force (fixed, so the audit's queries may be sent to all tasks), and recall aimed at.
 AUDIT_NODES, TARGET = 256, 0.98
 #: Vectors of a block in exact counting.
@@ -52,12 +56,14 @@ def _usable(v: Column) -> Column:
     return v.isNotNull() & (F.size(v) > 0) & ~F.exists(v, bad) & F.exists(v, lambda x: x != 0)
 
 
-def _matrix(col) -> np.ndarray:
-    return np.stack([np.frombuffer(x) for x in col]) if len(col) else np.zeros((0, 1))
+def _matrix(col, kind: str = "<f8") -> np.ndarray:
+    return np.stack([np.frombuffer(x, kind) for x in col]) if len(col) else np.zeros((0, 1))
 
 
 def nodes_of(vectors: DataFrame) -> DataFrame:
-    """node (long), label, unit (packed doubles of length one), copies; from (vec_id, embedding, label) rows.
+    """node (long), label, exact and unit (length one, packed in double and single precision), copies.
+
+    From (vec_id, embedding, label) rows.
 
     A node stands for the rows with one label and vector; its number is a hash
     of both.
@@ -75,68 +81,84 @@ def nodes_of(vectors: DataFrame) -> DataFrame:
                 x = x / np.abs(x).max()
                 units.append((x / np.linalg.norm(x)).tobytes())
             yield pa.record_batch([b.column(0), b.column(1), pa.array([f"{len(u)}" for u in units]),
-                                   pa.array(units, pa.binary()), b.column(3)],
-                                  names=["node", "label", "width", "unit", "copies"])
-    out = groups.mapInArrow(run, "node long, label string, width string, unit binary, copies long")
-    return out.select("node", F.concat_ws("/", "label", "width").alias("label"), "unit", "copies")
+                                   pa.array(units, pa.binary()),
+                                   pa.array([np.frombuffer(u).astype("<f4").tobytes() for u in units], pa.binary()),
+                                   b.column(3)], names=["node", "label", "width", "exact", "unit", "copies"])
+    out = groups.mapInArrow(run, "node long, label string, width string, exact binary, unit binary, copies long")
+    return out.select("node", F.concat_ws("/", "label", "width").alias("label"), "exact", "unit", "copies")
 
 
-def _signed(order: int):
-    """(node, label, unit) to (node, label, signature) under one set of hyperplanes."""
+def _signed(orders: range):
+    """(node, label, unit) to one row per order of signatures: (ord, label, sig, node, unit)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             units = b.column(2).to_pylist()
-            keys = np.zeros(len(units), np.int64)
-            widths = np.array([len(u) // 8 for u in units])
-            for w in np.unique(widths):
-                at = np.flatnonzero(widths == w)
-                planes = np.random.default_rng([order, int(w)]).standard_normal((w, BITS))
-                bits = _matrix([units[k] for k in at]) @ planes > 0
-                keys[at] = bits @ (1 << np.arange(BITS, dtype=np.int64))
-            yield pa.record_batch([b.column(0), b.column(1), pa.array(keys)], names=["node", "label", "sig"])
+            widths = np.array([len(u) // 4 for u in units])
+            for order in orders:
+                keys = np.zeros(len(units), np.int64)
+                for w in np.unique(widths):
+                    at = np.flatnonzero(widths == w)
+                    planes = np.random.default_rng([order, int(w)]).standard_normal((w, BITS))
+                    bits = _matrix([units[k] for k in at], "<f4") @ planes > 0
+                    keys[at] = bits @ (1 << np.arange(BITS, dtype=np.int64))
+                yield pa.record_batch([pa.array([order] * len(units), pa.int32()), b.column(1), pa.array(keys),
+                                       b.column(0), b.column(2)], names=["ord", "label", "sig", "node", "unit"])
     return run
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (node, label) rows to pairs of rows up to SIDE apart with one label."""
-    before: list[tuple[int, str]] = []
+    """Sorted rows to pairs up to SIDE rows apart in one order and label, in both directions, with similarity."""
+    rest: list[tuple] = []
     for batch in batches:
-        a, b = [], []
-        for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for node, label in before:
-                if label == row[1]:
-                    a.append(node)
-                    b.append(row[0])
-            before = [*before[1 - SIDE:], row] if SIDE > 1 else [row]
-        yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        rows = rest + list(zip(*(batch.column(k).to_pylist() for k in range(4))))
+        old = len(rest)
+        group = [r[:2] for r in rows]
+        a, b, sims = [], [], []
+        for d in range(1, SIDE + 1):
+            at = [k for k in range(max(d, old), len(rows)) if group[k] == group[k - d] and rows[k][2] != rows[k - d][2]]
+            for part in range(0, len(at), 10_000):
+                ks = at[part:part + 10_000]
+                x = _matrix([rows[k][3] for k in ks], "<f4")
+                y = _matrix([rows[k - d][3] for k in ks], "<f4")
+                a += [rows[k][2] for k in ks]
+                b += [rows[k - d][2] for k in ks]
+                sims += np.einsum("ij,ij->i", x, y).tolist()
+        rest = rows[-SIDE:]
+        yield pa.record_batch([pa.array(a + b, pa.int64()), pa.array(b + a, pa.int64()),
+                               pa.array(sims + sims, pa.float64())], names=["a", "b", "sim"])
+
+
+PAIRS = "a long, b long, sim double"
 
 
 def first_pairs(nodes: DataFrame, orders: range) -> DataFrame:
-    """Pairs (a, b) near each other under signature orders."""
-    pairs = None
-    for order in orders:
-        signed = nodes.select("node", "label", "unit").mapInArrow(_signed(order), "node long, label string, sig long")
-        ranged = materialise(signed, "knn-signed").repartitionByRange("label", "sig", "node")
-        near = (ranged.sortWithinPartitions("label", "sig", "node").select("node", "label")
-                .mapInArrow(_windows, "a long, b long"))
-        pairs = near if pairs is None else pairs.unionByName(near)
-    return pairs
-
-
-def _local(keep: int, floor: float):
-    """Nodes that meet at one place: each keeps the best of those it met, as (a, b, sim) rows."""
+    """Pairs (a, b, sim) near each other under signature orders, all sorted in one range shuffle."""
+    signed = materialise(nodes.select("node", "label", "unit").mapInArrow(
+        _signed(orders), "ord int, label string, sig long, node long, unit binary"), "knn-signed")
+    keys = ["ord", "label", "sig", "node"]
+    return (signed.repartitionByRange(*keys).sortWithinPartitions(*keys).select("ord", "label", "node", "unit")
+            .mapInArrow(_windows, PAIRS))
+
+
+def _meetings(keep: int):
+    """Rows (at, node, unit) of many places: at each, every node keeps the best of those it met."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids = pdf["node"].to_numpy()
-        x = _matrix(pdf["unit"])
-        sims = x @ x.T
-        np.fill_diagonal(sims, -2.0)
-        k = min(keep, len(ids) - 1)
-        if k < 1:
-            return pd.DataFrame({"a": [], "b": [], "sim": []}).astype({"a": "int64", "b": "int64", "sim": float})
-        best = np.argpartition(-sims, k - 1, axis=1)[:, :k]
-        sim = np.take_along_axis(sims, best, 1)
-        a, good = np.repeat(ids, k), sim.ravel() >= floor
-        return pd.DataFrame({"a": a[good], "b": ids[best].ravel()[good], "sim": sim.ravel()[good]})
+        order = np.argsort(pdf["at"].to_numpy(), kind="stable")
+        at, ids, units = pdf["at"].to_numpy()[order], pdf["node"].to_numpy()[order], pdf["unit"].to_numpy()[order]
+        cuts = np.flatnonzero(np.diff(at)) + 1
+        a, b, sim = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), len(at)]):
+            k = min(keep, e - s - 1)
+            if k < 1:
+                continue
+            x = _matrix(units[s:e], "<f4")
+            sims = x @ x.T
+            np.fill_diagonal(sims, -2.0)
+            best = np.argpartition(-sims, k - 1, axis=1)[:, :k]
+            a.append(np.repeat(ids[s:e], k))
+            b.append(ids[s:e][best].ravel())
+            sim.append(np.take_along_axis(sims, best, 1).ravel().astype(float))
+        return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b), "sim": np.concatenate(sim)})
     return run
 
 
@@ -147,7 +169,7 @@ def _top(pairs: DataFrame, keep: int) -> DataFrame:
             .filter(F.col("k") <= keep).drop("k"))
 
 
-def _meet(lists: DataFrame, nodes: DataFrame, keep: int) -> DataFrame:
+def _meet(lists: DataFrame, nodes: DataFrame, keep: int, bins: int) -> DataFrame:
     """One round: (a, b, sim) rows of nodes that met at a common neighbour.
 
     Neighbours in the other direction are as many as the list's length, chosen
@@ -157,38 +179,36 @@ def _meet(lists: DataFrame, nodes: DataFrame, keep: int) -> DataFrame:
             .withColumn("k", F.expr("row_number() over (partition by at order by xxhash64(node, at))"))
             .filter(F.col("k") <= keep).drop("k"))
     there = (lists.select(F.col("a").alias("at"), F.col("b").alias("node")).unionByName(back)
-             .unionByName(nodes.select(F.col("node").alias("at"), "node")).distinct())
-    return (there.join(nodes.select("node", "unit"), "node").groupBy("at")
-            .applyInPandas(_local(keep, 0.0), "a long, b long, sim double"))
+             .unionByName(lists.select(F.col("a").alias("at"), F.col("a").alias("node"))).distinct())
+    return (there.join(nodes.select("node", "unit"), "node").withColumn("bin", F.pmod(F.xxhash64("at"), F.lit(bins)))
+            .groupBy("bin").applyInPandas(_meetings(keep), PAIRS))
 
 
-def _scored(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs in both directions with their cosine."""
+def _exact(lists: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b), a < b, of lists, by cosine in double precision."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sims = [float(np.frombuffer(u) @ np.frombuffer(v)) for u, v in
-                    zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
-            yield pa.record_batch([b.column(0), b.column(1), pa.array(sims, pa.float64())], names=["a", "b", "sim"])
-    u = nodes.select(F.col("node").alias("a"), F.col("unit").alias("u"))
-    v = nodes.select(F.col("node").alias("b"), F.col("unit").alias("v"))
-    one = (pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a != b").distinct()
-           .join(u, "a").join(v, "b").select("a", "b", "u", "v").mapInArrow(run, "a long, b long, sim double"))
-    return materialise(one, "knn-scored").transform(_both)
-
-
-def _both(pairs: DataFrame) -> DataFrame:
-    return pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
-
-
-def descend(nodes: DataFrame, keep: int, start: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Neighbour lists (a, b, sim) refined from ``start`` until few change."""
+            good = pa.array([float(np.frombuffer(u) @ np.frombuffer(v)) >= threshold for u, v in
+                             zip(b.column(2).to_pylist(), b.column(3).to_pylist())], pa.bool_())
+            yield pa.record_batch([b.column(0).filter(good), b.column(1).filter(good)], names=["a", "b"])
+    near = (lists.filter(F.col("sim") >= threshold - MARGIN)
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    u = nodes.select(F.col("node").alias("a"), F.col("exact").alias("u"))
+    v = nodes.select(F.col("node").alias("b"), F.col("exact").alias("v"))
+    return near.join(u, "a").join(v, "b").select("a", "b", "u", "v").mapInArrow(run, "a long, b long")
+
+
+def descend(nodes: DataFrame, keep: int, start: DataFrame, count: int, threshold: float) -> DataFrame:
+    """Neighbour lists (a, b, sim) refined from ``start`` until a round finds hardly a new link."""
+    bins = max(1, -(-count // BIN_NODES))
     lists = materialise(_top(start, keep), "knn-lists")
-    for _ in range(rounds):
-        met = materialise(_meet(lists, nodes, keep), "knn-met")
+    for _ in range(ROUNDS):
+        met = _meet(lists, nodes, keep, bins)
         fresh = materialise(_top(lists.unionByName(met), keep), "knn-lists")
-        changed = fresh.join(lists, ["a", "b"], "left_anti").count()
+        near = F.col("sim") >= threshold - MARGIN
+        new = fresh.filter(near).join(lists, ["a", "b"], "left_anti").count()
         lists = fresh
-        if changed <= QUIET_SHARE * keep * max(1, lists.count() // keep):
+        if new <= QUIET_SHARE * lists.filter(near).count():
             break
     return lists
 
@@ -211,7 +231,7 @@ def audit(nodes: DataFrame, lists: DataFrame, threshold: float, count: int = AUD
     by_label: dict = {}
     for r in asked:
         by_label.setdefault(r["label"], []).append(r)
-    packed = {k: (np.array([r["node"] for r in rs]), _matrix([r["unit"] for r in rs])) for k, rs in by_label.items()}
+    packed = {k: (np.array([r["node"] for r in rs]), _matrix([r["unit"] for r in rs], "<f4")) for k, rs in by_label.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -221,7 +241,7 @@ def audit(nodes: DataFrame, lists: DataFrame, threshold: float, count: int = AUD
             for label, (own, x) in packed.items():
                 at = np.flatnonzero(labels == label)
                 if len(at):
-                    near = x @ _matrix([units[k] for k in at]).T >= threshold
+                    near = x @ _matrix([units[k] for k in at], "<f4").T >= threshold
                     near &= own[:, None] != ids[at]
                     for node, c in zip(own.tolist(), near.sum(1).tolist()):
                         hits[node] = hits.get(node, 0) + c
@@ -234,25 +254,34 @@ def audit(nodes: DataFrame, lists: DataFrame, threshold: float, count: int = AUD
     return sum(r["got"] for r in asked), want
 
 
-def neighbour_graph(nodes: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, float]:
-    """(lists (a, b, sim) with what enlarged lists add, recall audited)."""
-    keep = NEIGHBOURS
-    start = _scored(first_pairs(nodes, range(ORDERS)), nodes)
-    tries = 0
+def _full(lists: DataFrame, keep: int, threshold: float) -> DataFrame:
+    """Nodes (a) whose list's last place still meets the threshold."""
+    return (lists.filter(F.col("sim") >= threshold - MARGIN).groupBy("a").agg(F.count(F.lit(1)).alias("near"))
+            .filter(F.col("near") >= keep).select("a"))
+
+
+def neighbour_graph(nodes: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame, float]:
+    """(lists (a, b, sim), nodes (a) whose longest list is full, recall audited)."""
+    count = nodes.count()
+    orders, start = ORDERS, first_pairs(nodes, range(ORDERS))
     while True:
-        lists = descend(nodes, keep, start)
-        full = lists.filter(F.col("sim") >= threshold).groupBy("a").count().filter(F.col("count") >= keep)
-        saturated = full.limit(1).count() > 0
+        lists = descend(nodes, NEIGHBOURS, start, count, threshold)
+        full = materialise(_full(lists, NEIGHBOURS, threshold), "knn-full")
+        keep = NEIGHBOURS
+        while keep < LONGEST and (many := full.count()):  # enlarge saturated lists, with their neighbours
+            keep = min(2 * keep, LONGEST)
+            near = lists.filter(F.col("sim") >= threshold - MARGIN)
+            about = materialise(near.join(full, "a", "left_semi").select(F.col("b").alias("a")).unionByName(full).distinct(),
+                                "knn-about")
+            longer = descend(nodes, keep, near.join(about, "a", "left_semi"), many, threshold)
+            lists = materialise(_top(lists.unionByName(longer), keep), "knn-merged")
+            full = materialise(_full(lists, keep, threshold), "knn-full")
         got, want = audit(nodes, lists, threshold)
         recall = got / want if want else 1.0
-        if recall >= TARGET and (not saturated or keep >= LONGEST) or tries >= 4:
-            return lists, recall
-        tries += 1
-        keep = min(2 * keep, LONGEST) if saturated or recall < TARGET else keep
-        more = lists
-        if recall < TARGET:  # new orders besides longer lists
-            more = lists.unionByName(_scored(first_pairs(nodes, range(ORDERS * tries, ORDERS * (tries + 1))), nodes))
-        start = more
+        if recall >= TARGET or orders >= 4 * ORDERS:
+            return lists, full, recall
+        start = lists.unionByName(first_pairs(nodes, range(orders, orders + ORDERS)))
+        orders += ORDERS
 
 
 def _count_blocks(threshold: float):
@@ -271,25 +300,24 @@ def _count_blocks(threshold: float):
     return run
 
 
-def link_counts(nodes: DataFrame, lists: DataFrame, members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def link_counts(nodes: DataFrame, edges: DataFrame, full: DataFrame, members: DataFrame,
+                threshold: float = THRESHOLD) -> DataFrame:
     """node, n (links to other nodes' rows) of every node with links.
 
-    Components with a saturated list are counted exactly, block by block;
-    others from their lists, in both directions.
+    Components with a full list are counted exactly, block by block; others
+    from the links (a, b), in both directions.
     """
-    edges = _both(lists.filter(F.col("sim") >= threshold).select("a", "b", "sim")).select("a", "b").distinct()
-    full = (lists.filter(F.col("sim") >= threshold).groupBy("a").count()
-            .join(lists.groupBy("a").agg(F.count(F.lit(1)).alias("length")), "a").filter("count = length").select("a"))
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     dense = full.join(members, full["a"] == members["node"]).select("root").distinct()
     sizes = members.join(dense, "root", "left_semi").groupBy("root").agg(
         F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks"))
-    inside = materialise(members.join(sizes, "root").join(nodes.select("node", "unit", "copies"), "node")
+    inside = materialise(members.join(sizes, "root").join(nodes.select("node", F.col("exact").alias("unit"), "copies"), "node")
                          .withColumn("blk", F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks"))), "knn-dense")
     met = (inside.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
            .withColumn("i", F.least("blk", "other")).withColumn("j", F.greatest("blk", "other")))
     exact = (met.groupBy("root", "i", "j").applyInPandas(_count_blocks(threshold), "node long, n long")
              .groupBy("node").agg(F.sum("n").alias("n")))
-    rest = (edges.join(inside.select(F.col("node").alias("a")), "a", "left_anti")
+    rest = (both.join(inside.select(F.col("node").alias("a")), "a", "left_anti")
             .join(nodes.select(F.col("node").alias("b"), "copies"), "b").groupBy(F.col("a").alias("node"))
             .agg(F.sum("copies").alias("n")))
     return exact.unionByName(rest)
@@ -299,10 +327,11 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """vec_id, n_links, component_id of every row of (vec_id, embedding, label)."""
     vectors = vectors.select("vec_id", "embedding", "label")
     nodes = materialise(nodes_of(vectors), "knn-nodes")
-    lists, _ = neighbour_graph(nodes, threshold)
-    cc = connected_components(lists.filter(F.col("sim") >= threshold).select("a", "b"))
+    lists, full, _ = neighbour_graph(nodes, threshold)
+    edges = materialise(_exact(lists, nodes, threshold), "knn-links")
+    cc = connected_components(edges)
     members = materialise(cc.unionByName(cc.select(F.col("root").alias("node"), "root").distinct()), "knn-members")
-    counts = link_counts(nodes, lists, members, threshold)
+    counts = link_counts(nodes, edges, full, members, threshold)
     usable = F.col("label").isNotNull() & _usable(F.col("embedding"))
     rows = vectors.select("vec_id", F.when(usable, F.xxhash64(F.col("label").cast("string"),
                                                               F.col("embedding").cast("array<double>"))).alias("node"))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tally.llm import fuse
-from tally.llm.common import crc_bucket, id_and_text, materialise, table
+from tally.llm.common import crc_bucket, fresh_name, id_and_text, materialise, table
 
 #: Distinct digests aimed at in a bucket; the number of buckets grows with the table.
 BUCKET_KEYS = 50_000
@@ -133,17 +133,18 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     Rows that repeat the staying id and its text are reduced to one of them.
     """
     groups = materialise(exact_groups(docs), "exact-groups")
-    gone = groups.filter("not (doc_id <=> keep_id)").select(F.col("doc_id").alias("_gone")).distinct()
-    twice = groups.filter("doc_id <=> keep_id").groupBy("doc_id", "digest").count().filter("count > 1")
-    cols = docs.columns
-    if twice.isEmpty():
-        return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti").select(*cols)
-    # Ids repeat: decide row by row, on id and digest.
-    keep = groups.filter("doc_id <=> keep_id").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_d")).distinct()
-    d = docs.withColumn("_digest", F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)))
-    kept = d.join(keep, d["doc_id"].eqNullSafe(keep["_id"]) & (d["_digest"] == keep["_d"]), "left_semi")
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_k")
-    return (kept.withColumn("_k", key).dropDuplicates(["_k", "_digest"]).select(*cols))
+    stay = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    gone = groups.filter(~stay).select(F.col("doc_id").alias("gone")).distinct()
+    kept = groups.filter(stay).groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("n"))
+    if kept.filter("n > 1").isEmpty() and kept.join(gone, kept["doc_id"].eqNullSafe(gone["gone"]), "left_semi").isEmpty():
+        return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone"]), "left_anti")
+    # Ids repeat: decide row by row, on id and digest, and leave one row of each.
+    own, one = fresh_name(docs, "digest"), fresh_name(docs, "one")
+    keep = kept.select(F.col("doc_id").alias("id"), F.col("digest").alias("d"))
+    rows = docs.withColumn(own, F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)))
+    rows = rows.join(keep, rows["doc_id"].eqNullSafe(keep["id"]) & (rows[own] == keep["d"]), "left_semi")
+    rows = rows.withColumn(one, F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    return rows.dropDuplicates([one, own]).select(*docs.columns)
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

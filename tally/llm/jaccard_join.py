@@ -433,10 +433,10 @@ def near_components(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with the row of the smallest id of each component, all columns kept."""
+    """``docs`` with the rows of the smallest id of each component, all columns kept."""
     found = materialise(near_components(docs), "jaccard-components")
-    gone = found.filter("not (doc_id <=> component_id)").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti").select(*docs.columns)
+    gone = found.filter("not (doc_id <=> component_id)").select(F.col("doc_id").alias("gone")).distinct()
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone"]), "left_anti")
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
