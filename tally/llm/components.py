@@ -4,9 +4,10 @@ Every round points each node's larger neighbours at its smallest one and then
 its smaller neighbours likewise; the edges end as one star per component.
 Minima are pre-aggregated before each shuffle, and joins on a hot node's edges
 may be split (they are joins, not groups). Before the rounds each task
-contracts its own edges, so cliques shrink to stars without a shuffle. Rounds
-are cut by tables in the shared folder; only two numbers a round reach the
-driver.
+contracts its own edges, so cliques shrink to stars without a shuffle; if the
+contracted edges of all tasks are few enough for one task's bound
+(``CONTRACT_EDGES``, counted first), one more contraction ends the work.
+Rounds are cut by tables in the shared folder; only counts reach the driver.
 """
 
 from __future__ import annotations
@@ -83,13 +84,17 @@ def _small_star(e: DataFrame) -> DataFrame:
     return rest.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, bound: int = CONTRACT_EDGES) -> DataFrame:
     """(node, root) for every node that is not the smallest of its component.
 
     ``edges`` has long columns ``a`` and ``b``; their order does not matter,
     and loops and repeats are harmless.
     """
-    e = materialise(edges.filter("a != b").mapInArrow(_contract, "a long, b long").distinct(), "cc-0")
+    stars = "a long, b long"
+    e = materialise(edges.filter("a != b").select("a", "b").mapInArrow(_contract, stars), "cc-0")
+    if e.count() < bound:
+        done = materialise(e.coalesce(1).mapInArrow(_contract, stars), "cc")
+        return done.select(F.col("a").alias("node"), F.col("b").alias("root"))
     before = None
     while True:
         e = materialise(_small_star(_large_star(e)), "cc")

@@ -54,9 +54,9 @@ from tally.llm.shingles import scramble, shingle_sets
 
 WIDTH, PERCENT = 5, 75
 #: Tokens aimed at in a bucket (the number of buckets grows with the texts), and bytes of text a token stands for.
-BUCKET_TOKENS, TOKEN_BYTES = 2_000_000, 6
+BUCKET_TOKENS, TOKEN_BYTES = 3_000_000, 6
 #: Classes joined in one task at a time.
-BLOCK = 512
+BLOCK = 1024
 #: A token held by this share of a chunk's texts (and so many at least) is counted per chunk.
 HOT_SHARE, HOT_TEXTS = 8, 64
 #: Members of a component that stand for it up the tree, and blocks that meet at a time there.
@@ -345,19 +345,18 @@ def links(cand: DataFrame) -> DataFrame:
     groups = materialise(_members(connected_components(near)), "jaccard-groups")  # cls, grp
     sizes = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("size"))
     total, largest = groups.count(), sizes.agg(F.max("size")).first()[0] or 0
-    bins = max(1, -(-total // BLOCK))
+    bins = max(1, -(-2 * total // BLOCK))
     large = F.col("size") > BLOCK
-    dealt = materialise(groups.join(sizes, "grp").select(
-        "cls", "grp", "size",
+    placed = groups.join(sizes, "grp").select(
+        "cls", F.when(large, F.col("grp")).alias("grp"),
         F.when(large, F.pmod(F.xxhash64("cls"), F.ceil(F.col("size") / F.lit(BLOCK // 2)))).otherwise(
-            -1 - F.pmod(F.xxhash64("grp"), F.lit(bins))).alias("blk")), "jaccard-dealt")
-    unit = F.when(large, F.col("grp")).otherwise(F.lit(0).cast("long"))
-    edges = materialise(cand.join(dealt, "cls").withColumn("unit", unit).select(
-        "unit", "blk", "cls", "n", "tokens", "first", "second", "third")
-        .groupBy("unit", "blk").applyInPandas(_join_known, "a long, b long"), "jaccard-edges")
+            F.pmod(F.xxhash64("grp"), F.lit(bins))).alias("blk"))
+    dealt = materialise(cand.join(placed, "cls"), "jaccard-dealt")
+    edges = materialise(dealt.groupBy("grp", "blk").applyInPandas(_join_known, "a long, b long"), "jaccard-edges")
     if largest <= BLOCK:
         return edges
-    big = dealt.filter(large).select("cls", "grp", "blk")
+    cand = dealt.filter("grp is not null").drop("grp", "blk")  # from here on, of large groups only
+    big = dealt.filter("grp is not null").select("cls", "grp", "blk")
     big_edges = edges.join(big.select(F.col("cls").alias("a")), "a", "left_semi").select("a", "b")
     parts, span = -(-largest // (BLOCK // 2)), 1
     while span < parts:  # stand-ins of each component meet, block by block up a tree

@@ -135,7 +135,8 @@ def _words(sample: DataFrame) -> DataFrame:
                 words = [sorted(set(_WORD.findall(fold(t)))) for t in b.column(1).to_pylist()]
                 yield pa.record_batch([b.column(0), pa.array(words, pa.list_(pa.string()))], names=["label", "words"])
     w = sample.select("label", "text").mapInArrow(run, "label int, words array<string>")
-    return w.withColumn("sig", F.array_min(F.transform("words", lambda x: F.xxhash64(x))))
+    least = [F.array_min(F.transform("words", lambda x, k=k: F.xxhash64(x, F.lit(k)))) for k in range(3)]
+    return w.withColumn("sig", F.struct(*least))
 
 
 def mine(sample: DataFrame, min_rows: int = 6, min_odds: float = 3.0, max_terms: int = MAX_TERMS) -> Lexicon:
