@@ -45,7 +45,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tally.llm.common import chunks, id_and_text, materialise, table
@@ -404,10 +404,14 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                   names=["cls", "n"])
 
 
-def near_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row."""
+def _class_of(text) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def _found(docs: DataFrame) -> DataFrame:
+    """doc_id, cls, n_shingles, component_id of every row."""
     docs = id_and_text(docs)
-    named = docs.select("doc_id", F.xxhash64("text").alias("cls"), "text")
+    named = docs.select("doc_id", _class_of(F.col("text")).alias("cls"), "text")
     size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // (TOKEN_BYTES * BUCKET_TOKENS)))
     packed = named.select("cls", "text").mapInArrow(_blocks(buckets), BLOCK_SCHEMA)
@@ -427,15 +431,25 @@ def near_components(docs: DataFrame) -> DataFrame:
              .groupBy("root").agg(F.min("least").alias("least")))
     named_class = materialise(of_class.join(first, "root").select("cls", "n", "least"), "jaccard-named")
     return (ids.join(named_class, "cls")
-            .select("doc_id", F.col("n").alias("n_shingles"),
+            .select("doc_id", "cls", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("component_id")))
 
 
+def near_components(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row."""
+    return _found(docs).drop("cls")
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with the rows of the smallest id of each component, all columns kept."""
-    found = materialise(near_components(docs), "jaccard-components")
-    gone = found.filter("not (doc_id <=> component_id)").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone"]), "left_anti")
+    """``docs`` with the rows of the smallest id of each component, all columns kept.
+
+    Rows that repeat an id are told apart by their texts.
+    """
+    found = materialise(_found(docs), "jaccard-components")
+    gone = (found.filter("not (doc_id <=> component_id)")
+            .select(F.col("doc_id").alias("gone"), F.col("cls").alias("gone_cls")).distinct())
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone"]) & (_class_of(docs["text"]) == gone["gone_cls"]),
+                     "left_anti")
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -242,7 +242,7 @@ def classify(docs: DataFrame, labels: DataFrame, training, sample: int = SAMPLE_
     # At most ``sample`` ids are broadcast, and as many rows (times repeats of an id) reach the driver.
     rows = pooled.join(F.broadcast(ids), "doc_id").select("features", "label", "doc_id").toPandas()
     rows = rows.sort_values("doc_id", kind="stable")
-    x = np.array(rows["features"].tolist(), dtype=float).reshape(len(rows), -1)
+    x = np.array(rows["features"].tolist(), dtype=float).reshape(len(rows), DIMENSIONS + 2)
     return score(pooled, train(x, rows["label"].to_numpy()))
 
 

@@ -135,7 +135,7 @@ def _words(sample: DataFrame) -> DataFrame:
                 words = [sorted(set(_WORD.findall(fold(t)))) for t in b.column(1).to_pylist()]
                 yield pa.record_batch([b.column(0), pa.array(words, pa.list_(pa.string()))], names=["label", "words"])
     w = sample.select("label", "text").mapInArrow(run, "label int, words array<string>")
-    least = [F.array_min(F.transform("words", lambda x, k=k: F.xxhash64(x, F.lit(k)))) for k in range(3)]
+    least = [F.expr(f"array_min(transform(words, x -> xxhash64(x, {k})))") for k in range(3)]
     return w.withColumn("sig", F.struct(*least))
 
 
@@ -179,7 +179,7 @@ def mine(sample: DataFrame, min_rows: int = 6, min_odds: float = 3.0, max_terms:
 
 def curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:
     """(a, b) of 1 / (1 + exp(-(a + b x))) by ridge-penalised Newton steps; b is never negative."""
-    if len(x) == 0 or y.min() == y.max():
+    if len(x) == 0 or y.min() == y.max() or x.min() == x.max():
         return -4.0, 4.0
     m = np.stack([np.ones_like(x), x], 1)
     p = np.array([math.log((y.sum() + 1) / (len(y) - y.sum() + 1)), 0.0])

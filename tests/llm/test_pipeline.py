@@ -1,0 +1,55 @@
+import collections
+
+import corpus_pipeline as cp
+from tally.llm import packing, secrets, toxicity
+from tests.llm.test_jaccard_join import brute
+
+
+def test_stages_against_brute_force(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    rows = {r.doc_id: r.text or "" for r in docs.collect()}
+    model = toxicity.toxicity_model(spark, docs, small)
+    match = toxicity.Matcher(model.lexicon)
+
+    def score(text):
+        import numpy as np
+        words, _, weight = match(text)
+        return 1 / (1 + np.exp(-(model.a + model.b * toxicity.density(words, weight))))
+    rows = {i: t for i, t in rows.items() if score(t) < 0.3}
+    last = {t: i for i, t in sorted(rows.items())}
+    rows = {i: t for i, t in rows.items() if last[t] == i}
+    kept = {i for i, _, c in brute(list(rows.items())) if i == c}
+    rows = {i: t for i, t in rows.items() if i in kept}
+    out = cp.run(spark, small).collect()
+    assert {r.doc_id for r in out} == set(rows)
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(packing.default_tokenizer())
+    t.encode_special_tokens = True
+    pieces = collections.defaultdict(list)
+    for r in out:
+        pieces[r.doc_id].append((r.start, r.ids))
+    for i, text in rows.items():
+        _, spans = secrets.find(text)
+        for _, a, b in sorted(spans, key=lambda s: -s[1]):
+            if a < len(text):
+                text = text[:a] + "[SECRET]" + text[b:] if not any(
+                    x < a < y for _, x, y in spans) else text
+        ids = [x for _, part in sorted(pieces[i]) for x in part]
+        assert ids[-1] == 2
+        if not spans:
+            assert ids[:-1] == t.encode(text, add_special_tokens=False).ids
+
+
+def test_stages_return_documents_columns(spark, small, tmp_path):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    for name, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, small)
+        assert out.schema.names == docs.schema.names, name
+        out.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+
+
+def test_stages_on_odd_rows(spark, odd_docs, no_docs, small):
+    for _, stage in cp.STAGES:
+        assert stage(spark, odd_docs, small).count() > 0
+        assert stage(spark, no_docs, small).count() == 0
