@@ -1,10 +1,11 @@
 """DuckDB oracle: for each query key, SQL over the driver's tables.
 
-The SQL follows the reference's model chain literally (staging views, the
-union, the CASE-based categorisation, the marts with their window
-functions and the full outer join), run on the same derived exports as the
-Spark queries. Only money sums are written as DECIMAL(18,2) and averages
-as sum / count, so that both engines add exactly.
+Written from the meaning of the models, in another form than the Spark side
+or any model chain: both exports are one typed ledger; rules are a table that
+each distinct description meets once; ranks are counts of larger groups, lags
+are joins to the latest earlier month, shares and running totals are joins to
+sums, and the two monthly sides meet in one grouped union. Money is summed as
+DECIMAL(18,6), so that both engines add exactly.
 """
 
 from __future__ import annotations
@@ -43,8 +44,9 @@ def bank_export_sql() -> str:
            cast(o_orderdate AS date) AS date,
            {_list(BANK_DESCRIPTIONS)}[o_orderkey % 20 + 1] AS description,
            cast(CASE WHEN o_orderkey % 20 IN ({_ints(BANK_CREDIT_INDEXES)})
-                THEN 5 * cast(o_totalprice AS decimal(18,2))
-                ELSE -1 * cast(o_totalprice AS decimal(18,2)) END AS decimal(18,2)) AS amount,
+                THEN 5 ELSE -1 END
+                * (cast(o_totalprice AS decimal(18,2)) + (o_orderkey % 97) * 0.0001::decimal(18,4))
+                AS decimal(18,4)) AS amount,
            CASE WHEN o_orderkey % 20 IN ({_ints(BANK_CREDIT_INDEXES)}) THEN 'credit' ELSE 'debit' END
              AS transaction_type
     FROM orders"""
@@ -59,8 +61,9 @@ def card_export_sql(with_category: bool = False) -> str:
            cast(l_shipdate AS date) AS post_date,
            {_list(CARD_MERCHANTS)}[l_partkey % 16 + 1] AS merchant_name{cat},
            cast(CASE WHEN l_partkey % 16 IN ({_ints(CARD_CREDIT_INDEXES)})
-                THEN -1 * cast(l_extendedprice AS decimal(18,2))
-                ELSE cast(l_extendedprice AS decimal(18,2)) END AS decimal(18,2)) AS amount,
+                THEN -1 ELSE 1 END
+                * (cast(l_extendedprice AS decimal(18,2)) + (l_orderkey % 89) * 0.0001::decimal(18,4))
+                AS decimal(18,4)) AS amount,
            CASE WHEN l_partkey % 16 IN ({_ints(CARD_CREDIT_INDEXES)})
                 THEN {q(CARD_CREDIT_TYPE)} ELSE {q(CARD_DEBIT_TYPE)} END AS transaction_type
     FROM lineitem{join}"""
@@ -94,254 +97,197 @@ def _standardised(export: str, date_col: str, desc_col: str, source: str, extra:
     FROM ({export})"""
 
 
-def chain(with_category: bool = False) -> str:
-    """CTEs from the exports to the categorised ledger (``int_cat``)."""
-    extra = ", merchant_category AS provider_category" if with_category else ""
-    provider = "provider_category::varchar" if with_category else "NULL::varchar"
-    rule_lines = []
-    for category, kws in DEFAULT_RULE_GROUPS:
-        for kw in kws:
-            rule_lines.append(f"WHEN description ILIKE {q('%' + kw + '%')} THEN {q(category)}")
-    rules = "\n                ".join(rule_lines)
+def rule_values() -> str:
+    """(priority, keyword, category) rows of the rule table."""
+    flat = [(kw, category) for category, kws in DEFAULT_RULE_GROUPS for kw in kws]
+    return ", ".join(f"({k}, {q(kw)}, {q(cat)})" for k, (kw, cat) in enumerate(flat, 1))
+
+
+def income_values() -> str:
+    """(priority, keyword, income type) rows."""
+    return ", ".join(f"({k}, {q(kw)}, {q(label)})" for k, (label, kws) in enumerate(INCOME_TYPE_RULES, 1) for kw in kws)
+
+
+def ledger_ctes(with_category: bool = False) -> str:
+    """``led``: one typed row per usable export row; ``cat``: with its category."""
+    provider = "merchant_category" if with_category else "NULL"
     return f"""
-raw_bank AS ({_standardised(bank_export_sql(), "date", "description", "bank")}),
-raw_card AS ({_standardised(card_export_sql(with_category), "post_date", "merchant_name", "card", extra)}),
-stg_bank AS (
-    SELECT transaction_id, cast(date AS date) AS transaction_date,
-           upper(trim(description)) AS description,
-           cast(amount AS double) AS amount,
-           CASE WHEN cast(amount AS double) < 0 THEN true ELSE false END AS is_debit,
-           abs(cast(amount AS double)) AS absolute_amount,
-           lower(trim(transaction_type)) AS transaction_type,
-           'bank' AS source
-    FROM raw_bank
-    WHERE transaction_id IS NOT NULL AND cast(date AS date) IS NOT NULL AND amount IS NOT NULL),
-stg_card AS (
-    SELECT transaction_id, cast(date AS date) AS transaction_date,
-           upper(trim(description)) AS description,
-           {provider} AS provider_category,
-           cast(amount AS double) * -1 AS amount,
-           CASE WHEN cast(amount AS double) > 0 THEN true ELSE false END AS is_debit,
-           abs(cast(amount AS double)) AS absolute_amount,
-           lower(trim(transaction_type)) AS transaction_type,
-           'card' AS source
-    FROM raw_card
-    WHERE transaction_id IS NOT NULL AND cast(date AS date) IS NOT NULL AND amount IS NOT NULL),
-unioned AS (
-    SELECT transaction_id, transaction_date, description, amount, is_debit, absolute_amount,
-           transaction_type, NULL::varchar AS provider_category, source FROM stg_bank
+entry AS (
+    SELECT 'bank' AS source, transaction_id, cast(date AS varchar) AS day, description AS words,
+           cast(amount AS varchar) AS figure, transaction_type AS kind, NULL::varchar AS provider
+    FROM ({bank_export_sql()})
     UNION ALL
-    SELECT transaction_id, transaction_date, description, amount, is_debit, absolute_amount,
-           transaction_type, provider_category::varchar, source FROM stg_card),
-int_all AS (
-    SELECT source || '-' || transaction_id AS unique_transaction_id,
-           transaction_id, transaction_date, description, provider_category, amount, is_debit,
-           absolute_amount, transaction_type, source,
-           cast(date_trunc('month', transaction_date) AS date) AS transaction_month,
-           cast(date_trunc('year', transaction_date) AS date) AS transaction_year,
-           extract('month' FROM transaction_date) AS month_number,
-           extract('year' FROM transaction_date) AS year_number,
-           extract('dow' FROM transaction_date) AS day_of_week,
-           extract('quarter' FROM transaction_date) AS quarter_number,
+    SELECT 'card', transaction_id, cast(post_date AS varchar), merchant_name, cast(amount AS varchar),
+           transaction_type, {provider}::varchar
+    FROM ({card_export_sql(with_category)})),
+led AS (
+    SELECT source, trim(transaction_id, {WS}) AS transaction_id,
+           try_cast(day AS date) AS transaction_date,
+           upper(trim(words, {WS})) AS description,
+           provider AS provider_category,
+           try_cast(figure AS double) * if(source = 'card', -1, 1) AS amount,
+           if(source = 'card', try_cast(figure AS double) > 0, try_cast(figure AS double) < 0) AS is_debit,
+           abs(try_cast(figure AS double)) AS absolute_amount,
+           lower(trim(kind, {WS})) AS transaction_type
+    FROM entry
+    WHERE transaction_id IS NOT NULL AND try_cast(day AS date) IS NOT NULL
+      AND try_cast(figure AS double) IS NOT NULL),
+dated AS (
+    SELECT led.*, concat(source, '-', transaction_id) AS unique_transaction_id,
+           make_date(year(transaction_date), month(transaction_date), 1) AS transaction_month,
+           make_date(year(transaction_date), 1, 1) AS transaction_year,
+           month(transaction_date) AS month_number, year(transaction_date) AS year_number,
+           dayofweek(transaction_date) AS day_of_week, quarter(transaction_date) AS quarter_number,
            strftime(transaction_date, '%b %Y') AS month_label,
-           CASE WHEN source = 'card' AND transaction_type = 'credit' AND description ILIKE '%payment%'
-                THEN true ELSE false END AS is_payment,
-           CASE WHEN description ILIKE '%transfer%' OR description ILIKE '%zelle%'
-                  OR description ILIKE '%venmo%' THEN true ELSE false END AS is_transfer
-    FROM unioned),
-int_cat_base AS (
-    SELECT *,
-           CASE WHEN 1=0 THEN cast('' AS varchar)
-                WHEN provider_category IS NOT NULL AND provider_category != ''
-                     AND provider_category != 'Unknown' THEN cast(provider_category AS varchar)
-                {rules}
-                ELSE 'Other' END::varchar AS category
-    FROM int_all),
-int_cat AS (
-    SELECT *, CASE WHEN category = 'Other' THEN true ELSE false END::boolean AS is_uncategorised
-    FROM int_cat_base),
-keyword_match AS (SELECT unique_transaction_id, category FROM int_cat_base),
-int_cat_self_join AS (
-    SELECT t.*, k.category
-    FROM int_all t LEFT JOIN keyword_match k ON t.unique_transaction_id = k.unique_transaction_id)"""
-
-
-def income_type_case() -> str:
-    parts = []
-    for label, kws in INCOME_TYPE_RULES:
-        cond = " OR ".join(f"description ILIKE {q('%' + kw + '%')}" for kw in kws)
-        parts.append(f"WHEN {cond} THEN {q(label)}")
-    return "CASE " + " ".join(parts) + " ELSE 'Other income' END::varchar"
+           coalesce(contains(description, 'PAYMENT') AND source = 'card' AND transaction_type = 'credit', false)
+             AS is_payment,
+           coalesce(regexp_matches(description, 'TRANSFER|ZELLE|VENMO'), false) AS is_transfer
+    FROM led),
+texts AS (SELECT DISTINCT description FROM led),
+rule(place, word, label) AS (VALUES {rule_values()}),
+first_rule AS (
+    SELECT description, arg_min(label, place) AS label
+    FROM texts JOIN rule ON contains(description, word) GROUP BY description),
+cat AS (
+    SELECT dated.*,
+           coalesce(nullif(nullif(provider_category, ''), 'Unknown'), label, 'Other') AS category,
+           coalesce(nullif(nullif(provider_category, ''), 'Unknown'), label, 'Other') = 'Other' AS is_uncategorised
+    FROM dated LEFT JOIN first_rule USING (description)),
+income_word(place, word, label) AS (VALUES {income_values()}),
+income_text AS (
+    SELECT description, arg_min(label, place) AS income_label
+    FROM texts JOIN income_word ON contains(description, word) GROUP BY description),
+typed AS (
+    SELECT cat.*, coalesce(income_label, 'Other income') AS income_type
+    FROM cat LEFT JOIN income_text USING (description))"""
+
+
+def calendar(month: str = "g.transaction_month") -> str:
+    """The calendar columns of a month."""
+    return (f"{month} AS transaction_month, strftime({month}, '%b %Y') AS month_label, "
+            f"year({month}) AS year_number, month({month}) AS month_number, quarter({month}) AS quarter_number")
+
+
+def group_ctes(name: str, dim: str, condition: str) -> str:
+    """``<name>_rows``, ``<name>_g`` (grouped) and ``<name>_x`` (with the previous month's and the month's total)."""
+    return f"""
+{name}_rows AS (SELECT * FROM typed WHERE {condition}),
+{name}_g AS (
+    SELECT transaction_month, {dim}, source, sum(absolute_amount::decimal(18,6)) AS total,
+           count(*) AS n, min(absolute_amount) AS least, max(absolute_amount) AS most
+    FROM {name}_rows GROUP BY ALL),
+{name}_before AS (
+    SELECT g.transaction_month, g.{dim}, g.source, max(p.transaction_month) AS earlier
+    FROM {name}_g g JOIN {name}_g p
+      ON p.{dim} = g.{dim} AND p.source = g.source AND p.transaction_month < g.transaction_month
+    GROUP BY ALL),
+{name}_month AS (SELECT transaction_month, sum(total) AS month_total FROM {name}_g GROUP BY 1),
+{name}_x AS (
+    SELECT g.*, m.month_total, p.total AS previous
+    FROM {name}_g g JOIN {name}_month m USING (transaction_month)
+    LEFT JOIN {name}_before b
+      ON b.transaction_month = g.transaction_month AND b.{dim} = g.{dim} AND b.source = g.source
+    LEFT JOIN {name}_g p
+      ON p.transaction_month = b.earlier AND p.{dim} = g.{dim} AND p.source = g.source)"""
 
 
 def spend_ctes(start: str = START) -> str:
-    return f"""
-spend_rows AS (
-    SELECT * FROM int_cat
-    WHERE is_debit = true AND is_payment = false AND is_transfer = false
-      AND category != 'Income' AND transaction_date >= cast('{start}' AS date)),
-spend_grouped AS (
-    SELECT transaction_month, month_label, year_number, month_number, quarter_number,
-           category, source,
-           sum(cast(absolute_amount AS decimal(18,2))) AS total_spend,
-           count(*) AS transaction_count,
-           min(absolute_amount) AS min_amount,
-           max(absolute_amount) AS max_amount
-    FROM spend_rows
-    GROUP BY transaction_month, month_label, year_number, month_number, quarter_number,
-             category, source),
-spend_ranked AS (
-    SELECT *,
-           rank() OVER (PARTITION BY transaction_month ORDER BY total_spend DESC) AS rnk,
-           total_spend - lag(total_spend) OVER (PARTITION BY category, source
-                                                ORDER BY transaction_month) AS mom,
-           round(cast(total_spend AS double)
-                 / nullif(cast(sum(total_spend) OVER (PARTITION BY transaction_month) AS double), 0)
-                 * 100, 2) AS pct
-    FROM spend_grouped),
+    where = (f"is_debit AND NOT (is_payment OR is_transfer) AND category <> 'Income' "
+             f"AND transaction_date >= DATE '{start}'")
+    return group_ctes("spend", "category", where) + f""",
 mart_monthly_spend AS (
-    SELECT transaction_month, month_label, year_number, month_number, quarter_number,
-           category, source,
-           round(cast(total_spend AS double), 2) AS total_spend,
-           transaction_count,
-           round(cast(total_spend AS double) / transaction_count, 2) AS avg_transaction_amount,
-           round(min_amount, 2) AS min_transaction_amount,
-           round(max_amount, 2) AS max_transaction_amount,
-           cast(rnk AS bigint) AS category_spend_rank,
-           round(cast(coalesce(mom, 0) AS double), 2) AS mom_spend_change,
-           pct AS pct_of_monthly_spend
-    FROM spend_ranked)"""
+    SELECT {calendar()}, g.category, g.source,
+           round(g.total::double, 2) AS total_spend, g.n AS transaction_count,
+           round(g.total::double / g.n, 2) AS avg_transaction_amount,
+           round(g.least, 2) AS min_transaction_amount, round(g.most, 2) AS max_transaction_amount,
+           (SELECT count(*) + 1 FROM spend_g o
+            WHERE o.transaction_month = g.transaction_month AND o.total > g.total) AS category_spend_rank,
+           coalesce(round((g.total - g.previous)::double, 2), 0) AS mom_spend_change,
+           round(g.total::double / nullif(g.month_total::double, 0) * 100, 2) AS pct_of_monthly_spend
+    FROM spend_x g)"""
 
 
 def income_ctes(start: str = START) -> str:
-    return f"""
-income_rows AS (
-    SELECT *, {income_type_case()} AS income_type FROM int_cat
-    WHERE is_debit = false AND is_transfer = false AND is_payment = false
-      AND transaction_date >= cast('{start}' AS date)),
-income_grouped AS (
-    SELECT transaction_month, month_label, year_number, month_number, quarter_number,
-           income_type, source,
-           sum(cast(absolute_amount AS decimal(18,2))) AS total_income,
-           count(*) AS transaction_count,
-           max(absolute_amount) AS max_amount
-    FROM income_rows
-    GROUP BY transaction_month, month_label, year_number, month_number, quarter_number,
-             income_type, source),
-income_ranked AS (
-    SELECT *,
-           total_income - lag(total_income) OVER (PARTITION BY income_type, source
-                                                  ORDER BY transaction_month) AS mom,
-           sum(total_income) OVER (PARTITION BY transaction_month) AS month_total,
-           round(cast(total_income AS double)
-                 / nullif(cast(sum(total_income) OVER (PARTITION BY transaction_month) AS double), 0)
-                 * 100, 2) AS pct
-    FROM income_grouped),
+    where = f"NOT (is_debit OR is_transfer OR is_payment) AND transaction_date >= DATE '{start}'"
+    return group_ctes("income", "income_type", where) + f""",
 mart_income AS (
-    SELECT transaction_month, month_label, year_number, month_number, quarter_number,
-           income_type, source,
-           round(cast(total_income AS double), 2) AS total_income,
-           transaction_count,
-           round(cast(total_income AS double) / transaction_count, 2) AS avg_transaction_amount,
-           round(max_amount, 2) AS largest_transaction_amount,
-           round(cast(coalesce(mom, 0) AS double), 2) AS mom_income_change,
-           round(cast(month_total AS double), 2) AS total_monthly_income,
-           pct AS pct_of_monthly_income
-    FROM income_ranked)"""
+    SELECT {calendar()}, g.income_type, g.source,
+           round(g.total::double, 2) AS total_income, g.n AS transaction_count,
+           round(g.total::double / g.n, 2) AS avg_transaction_amount,
+           round(g.most, 2) AS largest_transaction_amount,
+           coalesce(round((g.total - g.previous)::double, 2), 0) AS mom_income_change,
+           round(g.month_total::double, 2) AS total_monthly_income,
+           round(g.total::double / nullif(g.month_total::double, 0) * 100, 2) AS pct_of_monthly_income
+    FROM income_x g)"""
 
 
 def savings_ctes(start: str = START) -> str:
     return f"""
-income_month AS (
-    SELECT transaction_month, month_label, year_number, month_number, quarter_number,
-           sum(cast(total_income AS decimal(18,2))) AS total_income,
-           cast(sum(transaction_count) AS bigint) AS income_transaction_count
+sides AS (
+    SELECT transaction_month, total_income::decimal(18,2) AS i, 0 AS s, transaction_count AS ni, 0 AS ns
     FROM mart_income
-    GROUP BY transaction_month, month_label, year_number, month_number, quarter_number),
-spend_month AS (
-    SELECT transaction_month,
-           sum(cast(total_spend AS decimal(18,2))) AS total_spend,
-           cast(sum(transaction_count) AS bigint) AS spend_transaction_count
-    FROM mart_monthly_spend
-    GROUP BY transaction_month),
-joined AS (
-    SELECT coalesce(i.transaction_month, s.transaction_month) AS transaction_month,
-           coalesce(i.month_label, 'Unknown') AS month_label,
-           cast(coalesce(i.year_number, 0) AS bigint) AS year_number,
-           cast(coalesce(i.month_number, 0) AS bigint) AS month_number,
-           cast(coalesce(i.quarter_number, 0) AS bigint) AS quarter_number,
-           coalesce(i.total_income, 0) AS total_income,
-           coalesce(s.total_spend, 0) AS total_spend,
-           coalesce(i.income_transaction_count, 0) AS income_transaction_count,
-           coalesce(s.spend_transaction_count, 0) AS spend_transaction_count
-    FROM income_month i FULL OUTER JOIN spend_month s
-      ON i.transaction_month = s.transaction_month),
-with_savings AS (
-    SELECT *,
-           round(cast(total_income - total_spend AS double), 2) AS net_savings,
-           round(cast(total_income - total_spend AS double)
-                 / nullif(cast(total_income AS double), 0) * 100, 2) AS savings_rate,
-           round(cast(total_spend AS double) / nullif(cast(total_income AS double), 0) * 100, 2)
-             AS spending_rate,
-           round(cast(sum(total_income - total_spend) OVER (
-                   ORDER BY transaction_month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-                 AS double), 2) AS cumulative_savings,
-           round(cast(total_income - lag(total_income) OVER (ORDER BY transaction_month) AS double), 2)
-             AS mom_income_change,
-           round(cast(total_spend - lag(total_spend) OVER (ORDER BY transaction_month) AS double), 2)
-             AS mom_spend_change,
-           lag(round(cast(total_income - total_spend AS double)
-                     / nullif(cast(total_income AS double), 0) * 100, 2))
-             OVER (ORDER BY transaction_month) AS prior_month_savings_rate,
-           CASE WHEN (total_income - total_spend) >= 0 THEN true ELSE false END AS is_surplus_month,
-           CASE WHEN total_income = 0 THEN 'No income data'
-                WHEN cast(total_income - total_spend AS double)
-                     / nullif(cast(total_income AS double), 0) >= 0.20 THEN 'Healthy'
-                WHEN cast(total_income - total_spend AS double)
-                     / nullif(cast(total_income AS double), 0) >= 0.05 THEN 'On track'
-                WHEN cast(total_income - total_spend AS double)
-                     / nullif(cast(total_income AS double), 0) >= 0 THEN 'Tight'
-                ELSE 'Deficit' END::varchar AS financial_health_status,
-           income_transaction_count + spend_transaction_count AS total_transaction_count
-    FROM joined
-    WHERE transaction_month >= cast('{start}' AS date)),
+    UNION ALL
+    SELECT transaction_month, 0, total_spend::decimal(18,2), 0, transaction_count FROM mart_monthly_spend),
+months AS (
+    SELECT transaction_month, sum(i) AS i, sum(s) AS s, sum(ni)::bigint AS ni, sum(ns)::bigint AS ns
+    FROM sides GROUP BY 1),
+kept AS (
+    SELECT *, i - s AS net, (i - s)::double / nullif(i::double, 0) AS ratio FROM months
+    WHERE transaction_month >= DATE '{start}'),
+run AS (
+    SELECT k.transaction_month, sum(e.net) AS so_far, max(if(e.transaction_month < k.transaction_month,
+           e.transaction_month, NULL)) AS earlier
+    FROM kept k JOIN kept e ON e.transaction_month <= k.transaction_month GROUP BY 1),
 mart_savings_rate AS (
-    SELECT transaction_month, month_label, year_number, month_number, quarter_number,
-           cast(total_income AS double) AS total_income,
-           cast(total_spend AS double) AS total_spend,
-           net_savings, savings_rate, spending_rate, prior_month_savings_rate,
-           cumulative_savings, mom_income_change, mom_spend_change,
-           is_surplus_month, financial_health_status,
-           income_transaction_count, spend_transaction_count,
-           cast(total_transaction_count AS bigint) AS total_transaction_count
-    FROM with_savings)"""
+    SELECT k.transaction_month,
+           if(k.ni > 0, strftime(k.transaction_month, '%b %Y'), 'Unknown') AS month_label,
+           if(k.ni > 0, year(k.transaction_month), 0) AS year_number,
+           if(k.ni > 0, month(k.transaction_month), 0) AS month_number,
+           if(k.ni > 0, quarter(k.transaction_month), 0) AS quarter_number,
+           k.i::double AS total_income, k.s::double AS total_spend, k.net::double AS net_savings,
+           round(k.ratio * 100, 2) AS savings_rate,
+           round(k.s::double / nullif(k.i::double, 0) * 100, 2) AS spending_rate,
+           round(p.ratio * 100, 2) AS prior_month_savings_rate,
+           r.so_far::double AS cumulative_savings,
+           (k.i - p.i)::double AS mom_income_change, (k.s - p.s)::double AS mom_spend_change,
+           k.net >= 0 AS is_surplus_month,
+           coalesce((SELECT label FROM (VALUES (0.20, 'Healthy'), (0.05, 'On track'), (0.0, 'Tight'),
+                                               (-1e308, 'Deficit')) band(bound, label)
+                     WHERE k.ratio >= bound ORDER BY bound DESC LIMIT 1), 'No income data')
+             AS financial_health_status,
+           k.ni AS income_transaction_count, k.ns AS spend_transaction_count,
+           k.ni + k.ns AS total_transaction_count
+    FROM kept k JOIN run r USING (transaction_month) LEFT JOIN kept p ON p.transaction_month = r.earlier)"""
+
+
+def joined_select() -> str:
+    """Both monthly sides side by side (before the month filter)."""
+    return """SELECT transaction_month,
+       if(ni > 0, strftime(transaction_month, '%b %Y'), 'Unknown') AS month_label,
+       if(ni > 0, year(transaction_month), 0) AS year_number,
+       if(ni > 0, month(transaction_month), 0) AS month_number,
+       if(ni > 0, quarter(transaction_month), 0) AS quarter_number,
+       i::double AS total_income, s::double AS total_spend,
+       ni AS income_transaction_count, ns AS spend_transaction_count FROM months"""
 
 
 def stats_ctes() -> str:
     return """
-month_category AS (
-    SELECT cast(date_trunc('month', transaction_date) AS date) AS month, category,
-           sum(cast(amount AS decimal(18,2))) AS total_spend,
-           count(*) AS transaction_count,
-           cast(sum(cast(amount AS decimal(18,2))) AS double) / count(*) AS avg_transaction
-    FROM int_cat
-    WHERE transaction_type = 'debit'
-    GROUP BY 1, 2),
+per_month AS (
+    SELECT transaction_month AS month, category, sum(amount::decimal(18,6)) AS total, count(*) AS n
+    FROM cat WHERE transaction_type = 'debit' GROUP BY ALL),
+spread AS (
+    SELECT category, sum(total)::double / count(*) AS mean, quantile_cont(total::double, 0.5) AS middle,
+           stddev_samp(total::double) AS sd, min(total)::double AS low, max(total)::double AS high,
+           sum(n)::bigint AS rows, avg(total::double / n) AS size
+    FROM per_month GROUP BY category),
 mart_spending_stats AS (
-    SELECT category,
-           round(cast(sum(total_spend) AS double) / count(*), 2) AS mean_monthly_spend,
-           round(median(cast(total_spend AS double)), 2) AS median_monthly_spend,
-           round(stddev(cast(total_spend AS double)), 2) AS stddev_monthly_spend,
-           round(cast(min(total_spend) AS double), 2) AS min_monthly_spend,
-           round(cast(max(total_spend) AS double), 2) AS max_monthly_spend,
-           round(cast(max(total_spend) - min(total_spend) AS double), 2) AS spend_range,
-           round(stddev(cast(total_spend AS double))
-                 / nullif(cast(sum(total_spend) AS double) / count(*), 0), 4) AS coefficient_of_variation,
-           cast(sum(transaction_count) AS bigint) AS total_transactions,
-           round(avg(avg_transaction), 2) AS avg_transaction_size
-    FROM month_category
-    GROUP BY category)"""
-
+    SELECT category, round(mean, 2) AS mean_monthly_spend, round(middle, 2) AS median_monthly_spend,
+           round(sd, 2) AS stddev_monthly_spend, round(low, 2) AS min_monthly_spend,
+           round(high, 2) AS max_monthly_spend, round(high - low, 2) AS spend_range,
+           round(sd / nullif(mean, 0), 4) AS coefficient_of_variation,
+           rows AS total_transactions, round(size, 2) AS avg_transaction_size
+    FROM spread)"""
 
 
 # --------------------------------------------------------------------------
@@ -488,17 +434,17 @@ LEDGER_COLS = """unique_transaction_id, transaction_id, transaction_date, descri
 
 
 def oracle_queries() -> dict[str, str]:
-    base = chain()
+    base = ledger_ctes()
     sp, inc, sav, st = spend_ctes(), income_ctes(), savings_ctes(), stats_ctes()
     out = {
         "stg_bank": with_(base) + """
 SELECT transaction_id, transaction_date, description, amount, is_debit, absolute_amount,
-       transaction_type, source FROM stg_bank""",
+       transaction_type, source FROM led WHERE source = 'bank'""",
         "stg_card": with_(base) + """
 SELECT transaction_id, transaction_date, description, provider_category, amount, is_debit,
-       absolute_amount, transaction_type, source FROM stg_card""",
-        "int_all_transactions": with_(base) + f"\nSELECT {LEDGER_COLS} FROM int_all",
-        "int_categorized": with_(base) + f"\nSELECT {LEDGER_COLS}, category, is_uncategorised FROM int_cat",
+       absolute_amount, transaction_type, source FROM led WHERE source = 'card'""",
+        "int_all_transactions": with_(base) + f"\nSELECT {LEDGER_COLS} FROM dated",
+        "int_categorized": with_(base) + f"\nSELECT {LEDGER_COLS}, category, is_uncategorised FROM typed",
         "mart_monthly_spend": with_(base, sp) + "\nSELECT * FROM mart_monthly_spend",
         "mart_income": with_(base, inc) + "\nSELECT * FROM mart_income",
         "mart_savings_rate": with_(base, sp, inc, sav) + "\nSELECT * FROM mart_savings_rate",
@@ -509,7 +455,7 @@ SELECT transaction_id, transaction_date, description, provider_category, amount,
 
 
 def operator_queries() -> dict[str, str]:
-    base = chain()
+    base = ledger_ctes()
     sp, inc, sav, st = spend_ctes(), income_ctes(), savings_ctes(), stats_ctes()
     spend_keys = "transaction_month, category, source"
     income_keys = "transaction_month, income_type, source"
@@ -552,25 +498,24 @@ def operator_queries() -> dict[str, str]:
         # projections, filters, classification
         "union_ledger": with_(base) + """
 SELECT transaction_id, transaction_date, description, amount, is_debit, absolute_amount,
-       transaction_type, provider_category, source FROM unioned""",
-        "categorize": with_(base) + f"\nSELECT {cat_cols} FROM int_cat",
-        "categorize_rules": with_(base) + f"\nSELECT {cat_cols} FROM int_cat",
-        "categorize_provider": with_(chain(with_category=True)) + f"\nSELECT {cat_cols} FROM int_cat",
+       transaction_type, provider_category, source FROM led""",
+        "categorize": with_(base) + f"\nSELECT {cat_cols} FROM typed",
+        "categorize_rules": with_(base) + f"\nSELECT {cat_cols} FROM typed",
+        "categorize_provider": with_(ledger_ctes(with_category=True)) + f"\nSELECT {cat_cols} FROM typed",
         "spend_rows": with_(base, sp) + """
 SELECT unique_transaction_id, transaction_date, category, source, absolute_amount FROM spend_rows""",
         "income_rows": with_(base, inc) + """
 SELECT unique_transaction_id, transaction_date, income_type, source, absolute_amount FROM income_rows""",
         "income_type": with_(base) + f"""
-SELECT unique_transaction_id, description, {income_type_case()} AS income_type
-FROM int_cat WHERE is_debit = false""",
+SELECT unique_transaction_id, description, income_type FROM typed WHERE NOT is_debit""",
         "flag_payment": with_(base) + """
-SELECT unique_transaction_id, source, transaction_type, description, is_payment FROM int_all""",
-        "flag_transfer": with_(base) + "\nSELECT unique_transaction_id, description, is_transfer FROM int_all",
+SELECT unique_transaction_id, source, transaction_type, description, is_payment FROM dated""",
+        "flag_transfer": with_(base) + "\nSELECT unique_transaction_id, description, is_transfer FROM dated",
         "uncategorised_rate": with_(base) + """
 SELECT transaction_month, count(*) AS transactions,
        count(*) FILTER (WHERE is_uncategorised) AS uncategorised,
        round(cast(count(*) FILTER (WHERE is_uncategorised) AS double) / count(*), 4) AS uncategorised_rate
-FROM int_cat GROUP BY transaction_month""",
+FROM typed GROUP BY transaction_month""",
         "financial_health": with_(base, sp, inc, sav) + """
 SELECT transaction_month, total_income, total_spend, is_surplus_month, financial_health_status
 FROM mart_savings_rate""",
@@ -578,37 +523,30 @@ FROM mart_savings_rate""",
             + "\nSELECT * FROM mart_savings_rate",
         # joins
         "join_self_left": with_(base)
-            + "\nSELECT unique_transaction_id, description, category FROM int_cat_self_join",
+            + "\nSELECT unique_transaction_id, description, category FROM cat",
         "join_full_outer": with_(base, sp, inc, sav) + """
-SELECT transaction_month, month_label, year_number, month_number, quarter_number,
-       cast(total_income AS double) AS total_income, cast(total_spend AS double) AS total_spend,
-       income_transaction_count, spend_transaction_count FROM joined""",
+""" + joined_select(),
         # aggregates
-        "agg_spend": with_(base, sp) + """
-SELECT transaction_month, month_label, year_number, month_number, quarter_number, category, source,
-       round(cast(total_spend AS double), 2) AS total_spend, transaction_count,
-       round(cast(total_spend AS double) / transaction_count, 2) AS avg_transaction_amount,
-       round(min_amount, 2) AS min_transaction_amount, round(max_amount, 2) AS max_transaction_amount
-FROM spend_grouped""",
-        "agg_income": with_(base, inc) + """
-SELECT transaction_month, month_label, year_number, month_number, quarter_number, income_type, source,
-       round(cast(total_income AS double), 2) AS total_income, transaction_count,
-       round(cast(total_income AS double) / transaction_count, 2) AS avg_transaction_amount,
-       round(max_amount, 2) AS largest_transaction_amount
-FROM income_grouped""",
-        "rollup_income_month": with_(base, sp, inc, sav) + """
-SELECT transaction_month, month_label, year_number, month_number, quarter_number,
-       cast(total_income AS double) AS total_income, income_transaction_count FROM income_month""",
+        "agg_spend": with_(base, sp) + f"""
+SELECT {calendar()}, category, source, round(total::double, 2) AS total_spend, n AS transaction_count,
+       round(total::double / n, 2) AS avg_transaction_amount,
+       round(least, 2) AS min_transaction_amount, round(most, 2) AS max_transaction_amount
+FROM spend_g g""",
+        "agg_income": with_(base, inc) + f"""
+SELECT {calendar()}, income_type, source, round(total::double, 2) AS total_income, n AS transaction_count,
+       round(total::double / n, 2) AS avg_transaction_amount, round(most, 2) AS largest_transaction_amount
+FROM income_g g""",
+        "rollup_income_month": with_(base, sp, inc, sav) + f"""
+SELECT {calendar()}, i::double AS total_income, ni AS income_transaction_count FROM months g WHERE ni > 0""",
         "rollup_spend_month": with_(base, sp, inc, sav) + """
-SELECT transaction_month, cast(total_spend AS double) AS total_spend, spend_transaction_count
-FROM spend_month""",
+SELECT transaction_month, s::double AS total_spend, ns AS spend_transaction_count FROM months WHERE ns > 0""",
         "agg_month_category": with_(base, st) + """
-SELECT month, category, cast(total_spend AS double) AS total_spend, transaction_count, avg_transaction
-FROM month_category""",
+SELECT month, category, total::double AS total_spend, n AS transaction_count, total::double / n AS avg_transaction
+FROM per_month""",
         "agg_median": with_(base, st) + "\nSELECT category, median_monthly_spend FROM mart_spending_stats",
         "agg_stddev": with_(base, st) + """
-SELECT category, round(stddev(cast(total_spend AS double)), 2) AS stddev_monthly_spend,
-       count(*) AS n_months FROM month_category GROUP BY category""",
+SELECT category, round(sd, 2) AS stddev_monthly_spend,
+       (SELECT count(*) FROM per_month m WHERE m.category = spread.category) AS n_months FROM spread""",
         # windows, sort/limit
         "win_rank": with_(base, sp) + f"\nSELECT {spend_keys}, total_spend, category_spend_rank FROM mart_monthly_spend",
         "win_lag_spend": with_(base, sp) + f"\nSELECT {spend_keys}, total_spend, mom_spend_change FROM mart_monthly_spend",
@@ -625,7 +563,7 @@ SELECT {spend_keys}, total_spend, category_spend_rank FROM mart_monthly_spend WH
         # scalar functions
         "scalar_calendar": with_(base) + """
 SELECT unique_transaction_id, transaction_date, transaction_month, transaction_year, month_number,
-       year_number, day_of_week, quarter_number, month_label FROM int_all""",
+       year_number, day_of_week, quarter_number, month_label FROM dated""",
         "scalar_clean": f"""
 SELECT cast(transaction_id AS varchar) AS transaction_id, merchant_name,
        upper(trim(merchant_name, {WS})) AS description,
@@ -640,13 +578,11 @@ SELECT transaction_id, amount AS amount_text, try_cast(amount AS double) AS amou
        round(try_cast(amount AS double) / 7.0, 4) AS seventh_rounded
 FROM ({card_dirty_sql()})""",
         "scalar_guarded_ratio": with_(base, sp, inc, sav) + """
-SELECT transaction_month, cast(total_income AS double) AS total_income,
-       cast(total_spend AS double) AS total_spend,
-       round(cast(total_spend AS double) / nullif(cast(total_income AS double), 0) * 100, 2) AS spending_rate,
-       coalesce(round(cast(total_spend AS double) / nullif(cast(total_income AS double), 0) * 100, 2), 0)
-         AS spending_rate_or_zero,
-       cast(total_income AS double) - cast(total_spend AS double) AS difference
-FROM joined""",
+SELECT transaction_month, i::double AS total_income, s::double AS total_spend,
+       round(s::double / nullif(i::double, 0) * 100, 2) AS spending_rate,
+       coalesce(round(s::double / nullif(i::double, 0) * 100, 2), 0) AS spending_rate_or_zero,
+       i::double - s::double AS difference
+FROM months""",
         # data quality
         "dq_columns": """
 SELECT * FROM (VALUES ('bank', 'required_columns', 'error', NULL, 0::bigint),

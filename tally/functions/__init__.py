@@ -2,8 +2,8 @@
 
 from tally.functions.calendar import calendar_columns, day_of_week_sunday0, month_label
 from tally.functions.numeric import (
-    MONEY,
-    money,
+    MONEY_SCALE,
+    Money,
     round_half_away,
     safe_div,
     to_double,
@@ -11,7 +11,7 @@ from tally.functions.numeric import (
 from tally.functions.text import NULL_TOKENS, contains_any, null_tokens_to_null, strip_ws
 
 __all__ = [
-    "MONEY", "money", "round_half_away", "safe_div", "to_double",
+    "MONEY_SCALE", "Money", "round_half_away", "safe_div", "to_double",
     "calendar_columns", "day_of_week_sunday0", "month_label",
     "NULL_TOKENS", "contains_any", "null_tokens_to_null", "strip_ws",
 ]

@@ -1,8 +1,8 @@
 """Reporting marts over the categorised ledger.
 
-Money is summed as whole cents in a LONG (exact, order-independent, and
-cheaper than a wide DECIMAL buffer); results are turned back into DOUBLE.
-Every mart groups by (month, dimension, source) only and derives the other
+Money is summed as decimals of six places (exact, whatever the order of rows),
+with amounts beyond that range summed as doubles beside them; results are
+rounded where the marts round and turned back into DOUBLE. Every mart groups by (month, dimension, source) only and derives the other
 calendar columns from the month afterwards, which keeps the shuffled rows
 narrow; the windows then run over the small aggregated result.
 """
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tally.functions.calendar import month_label
-from tally.functions.numeric import round_half_away, safe_div
+from tally.functions.numeric import Money, round_half_away, safe_div
 from tally.functions.text import contains_any
 from tally.operators.rules import hold_category_predicates
 from tally.schema import DEFAULT_START_DATE
@@ -41,16 +41,6 @@ UNKNOWN_LABEL = "Unknown"
 # column helpers
 # --------------------------------------------------------------------------
 
-def cents(amount: Column) -> Column:
-    """Whole cents of a money DOUBLE (half away from zero), as LONG."""
-    a = amount.cast("double")
-    return (F.signum(a) * F.floor(F.abs(a) * F.lit(100.0) + F.lit(0.5))).cast("long")
-
-
-def from_cents(c: Column) -> Column:
-    return c.cast("double") / F.lit(100.0)
-
-
 def time_keys(month: Column) -> list[Column]:
     return [
         month.alias("transaction_month"),
@@ -130,20 +120,23 @@ def income_rows(categorized: DataFrame, start_date: str = DEFAULT_START_DATE) ->
 def _grouped(rows: DataFrame, dim: str) -> DataFrame:
     a = F.col("absolute_amount")
     return (rows.groupBy("transaction_month", dim, "source")
-            .agg(F.sum(cents(a)).alias("_cents"),
+            .agg(*Money.of(a).sum().columns("_sum"),
                  F.count(F.lit(1)).alias("transaction_count"),
                  F.min(a).alias("_min"),
                  F.max(a).alias("_max")))
 
 
+def _measures(total: str) -> list[Column]:
+    """Rounded total, row count and rounded average of grouped rows."""
+    value = Money.named("_sum").value()
+    return [round_half_away(value).alias(total), F.col("transaction_count"),
+            round_half_away(value / F.col("transaction_count")).alias("avg_transaction_amount")]
+
+
 def agg_spend(categorized: DataFrame, start_date: str = DEFAULT_START_DATE) -> DataFrame:
     """Spend measures per month, category and source (before the windows)."""
     g = _grouped(spend_rows(categorized, start_date), "category")
-    return g.select(*time_keys(F.col("transaction_month")), "category", "source",
-                    from_cents(F.col("_cents")).alias("total_spend"),
-                    "transaction_count",
-                    round_half_away(from_cents(F.col("_cents")) / F.col("transaction_count"))
-                    .alias("avg_transaction_amount"),
+    return g.select(*time_keys(F.col("transaction_month")), "category", "source", *_measures("total_spend"),
                     round_half_away(F.col("_min")).alias("min_transaction_amount"),
                     round_half_away(F.col("_max")).alias("max_transaction_amount"))
 
@@ -151,11 +144,7 @@ def agg_spend(categorized: DataFrame, start_date: str = DEFAULT_START_DATE) -> D
 def agg_income(categorized: DataFrame, start_date: str = DEFAULT_START_DATE) -> DataFrame:
     """Income measures per month, income type and source (before the windows)."""
     g = _grouped(income_rows(categorized, start_date), "income_type")
-    return g.select(*time_keys(F.col("transaction_month")), "income_type", "source",
-                    from_cents(F.col("_cents")).alias("total_income"),
-                    "transaction_count",
-                    round_half_away(from_cents(F.col("_cents")) / F.col("transaction_count"))
-                    .alias("avg_transaction_amount"),
+    return g.select(*time_keys(F.col("transaction_month")), "income_type", "source", *_measures("total_income"),
                     round_half_away(F.col("_max")).alias("largest_transaction_amount"))
 
 
@@ -176,30 +165,33 @@ def mart_monthly_spend(categorized: DataFrame, start_date: str = DEFAULT_START_D
     return _spend_windows(_grouped(_spend_candidates(categorized, start_date), "category"), ordered)
 
 
+def _change(money: Money, previous: Money) -> Column:
+    """Rounded difference to the previous row, zero without one."""
+    return round_half_away(F.coalesce(money.minus(previous).value(), F.lit(0.0)))
+
+
 def _spend_windows(g: DataFrame, ordered: bool) -> DataFrame:
     """Rank, change and share over grouped spend candidates
-    (transaction_month, category, source, _cents, transaction_count, _min, _max)."""
+    (transaction_month, category, source, _sum, transaction_count, _min, _max)."""
     income_group = F.col("category") == F.lit("Income")
+    spent = Money.named("_sum")
     by_group = Window.partitionBy("category", "source").orderBy("transaction_month")
-    g = g.withColumn("_lag", F.lag("_cents").over(by_group))
+    g = g.select("*", *spent.lag(by_group).columns("_lag"))
     by_month = Window.partitionBy("transaction_month")
     ranked = g.select(
         "*",
-        F.rank().over(by_month.orderBy(income_group.asc(), F.desc("_cents"))).alias("_rank"),
-        F.sum(F.when(~income_group, F.col("_cents"))).over(by_month).alias("_month_cents"),
+        F.rank().over(by_month.orderBy(income_group.asc(), spent.value().desc())).alias("_rank"),
+        *spent.when(~income_group).sum().over(by_month).columns("_month"),
     ).filter(~income_group)
-    total = from_cents(F.col("_cents"))
     out = ranked.select(
         *time_keys(F.col("transaction_month")),
         "category", "source",
-        total.alias("total_spend"),
-        "transaction_count",
-        round_half_away(total / F.col("transaction_count")).alias("avg_transaction_amount"),
+        *_measures("total_spend"),
         round_half_away(F.col("_min")).alias("min_transaction_amount"),
         round_half_away(F.col("_max")).alias("max_transaction_amount"),
         F.col("_rank").cast("long").alias("category_spend_rank"),
-        from_cents(F.coalesce(F.col("_cents") - F.col("_lag"), F.lit(0))).alias("mom_spend_change"),
-        round_half_away(safe_div(total, from_cents(F.col("_month_cents"))) * F.lit(100.0))
+        _change(spent, Money.named("_lag")).alias("mom_spend_change"),
+        round_half_away(safe_div(spent.value(), Money.named("_month").value()) * F.lit(100.0))
         .alias("pct_of_monthly_spend"),
     )
     return out.orderBy(F.desc("transaction_month"), F.desc("total_spend")) if ordered else out
@@ -212,64 +204,69 @@ def mart_income(categorized: DataFrame, start_date: str = DEFAULT_START_DATE,
 
 
 def _income_windows(g: DataFrame, ordered: bool) -> DataFrame:
+    earned = Money.named("_sum")
     by_group = Window.partitionBy("income_type", "source").orderBy("transaction_month")
-    g = g.withColumn("_lag", F.lag("_cents").over(by_group))
     by_month = Window.partitionBy("transaction_month")
-    total = from_cents(F.col("_cents"))
-    month_total = from_cents(F.sum("_cents").over(by_month))
+    g = g.select("*", *earned.lag(by_group).columns("_lag"), *earned.sum().over(by_month).columns("_month"))
+    month_total = Money.named("_month").value()
     out = g.select(
         *time_keys(F.col("transaction_month")),
         "income_type", "source",
-        total.alias("total_income"),
-        "transaction_count",
-        round_half_away(total / F.col("transaction_count")).alias("avg_transaction_amount"),
+        *_measures("total_income"),
         round_half_away(F.col("_max")).alias("largest_transaction_amount"),
-        from_cents(F.coalesce(F.col("_cents") - F.col("_lag"), F.lit(0))).alias("mom_income_change"),
-        month_total.alias("total_monthly_income"),
-        round_half_away(safe_div(total, month_total) * F.lit(100.0)).alias("pct_of_monthly_income"),
+        _change(earned, Money.named("_lag")).alias("mom_income_change"),
+        round_half_away(month_total).alias("total_monthly_income"),
+        round_half_away(safe_div(earned.value(), month_total) * F.lit(100.0)).alias("pct_of_monthly_income"),
     )
     return out.orderBy(F.desc("transaction_month"), F.desc("total_income")) if ordered else out
 
 
+def _months_from_groups(groups: DataFrame) -> DataFrame:
+    """Income and spend per month from grouped rows (transaction_month,
+    is_income, is_spend, _sum, _n): the sums of the marts' rounded totals."""
+    r = Money.of(round_half_away(Money.named("_sum").value()))
+    income, spend = F.col("is_income"), F.col("is_spend")
+    # A month whose rows are all debits in the Income category has neither
+    # side, so neither mart has it and the join would not produce it either.
+    return (groups.filter(income | spend).groupBy("transaction_month")
+            .agg(*r.when(income).sum().columns("_i"), *r.when(spend).sum().columns("_s"),
+                 F.sum(F.when(income, F.col("_n")).otherwise(0)).alias("income_n"),
+                 F.sum(F.when(spend, F.col("_n")).otherwise(0)).alias("spend_n")))
+
+
 def monthly_activity(categorized: DataFrame, start_date: str = DEFAULT_START_DATE) -> DataFrame:
-    """Income and spend per month in one pass (one scan, one shuffle).
+    """Income and spend per month in one pass over the ledger.
 
     Equal to rolling the income and spend marts up to months and joining
-    them with a full outer join: both marts' totals are whole cents, so the
-    month sum of their rounded totals is the month sum of the row cents, and
-    grouping the union of both row sets by month yields every month that
-    either side has. A side that has no rows in a month gets NULL here.
+    them with a full outer join: rows are grouped as both marts group them
+    (income type or category, and source), each group's total is rounded as the
+    marts round it, and the rounded totals are added per month. Only the first
+    grouping reads rows; the second adds a few groups a month.
     """
     is_income = ~F.col("is_debit")
     is_spend = F.col("is_debit") & (F.col("category") != F.lit("Income"))
     # Only the cheap conjuncts filter rows; the category test is evaluated
-    # inside the aggregate so the rule CASE is computed once per row.
+    # as a grouping column so the rule CASE is computed once per row.
     rows = categorized.filter(~F.col("is_transfer") & ~F.col("is_payment")
                               & (F.col("transaction_date") >= _start(start_date)))
-    c = cents(F.col("absolute_amount"))
-    # A month whose rows are all debits in the Income category has neither
-    # side, so neither mart has it and the join would not produce it either.
-    return (rows.groupBy("transaction_month")
-            .agg(F.sum(F.when(is_income, c)).alias("income_cents"),
-                 F.sum(F.when(is_spend, c)).alias("spend_cents"),
-                 F.count(F.when(is_income, F.lit(1))).alias("income_n"),
-                 F.count(F.when(is_spend, F.lit(1))).alias("spend_n"))
-            .filter((F.col("income_n") > 0) | (F.col("spend_n") > 0)))
+    dim = F.when(is_income, income_type_expr(F.col("description"))).otherwise(F.col("category"))
+    groups = (rows.groupBy("transaction_month", dim.alias("dim"), "source", is_income.alias("is_income"),
+                           is_spend.alias("is_spend"))
+              .agg(*Money.of(F.col("absolute_amount")).sum().columns("_sum"), F.count(F.lit(1)).alias("_n")))
+    return _months_from_groups(groups)
 
 
 def savings_from_months(months: DataFrame, start_date: str = DEFAULT_START_DATE) -> DataFrame:
     """Savings metrics from one row per month.
 
-    Input columns: transaction_month, income_cents, spend_cents (NULL when
-    the side has no rows), income_n, spend_n. The month-level start filter is
-    applied before the windows. The windows have no partition key: they see
-    one row per calendar month, so their size is bounded by the date range,
-    not by the data volume.
+    Input columns: transaction_month, the money sums ``_i`` and ``_s`` (NULL
+    when the side has no rows), income_n, spend_n. The month-level start
+    filter is applied before the windows. The windows have no partition key:
+    they see one row per calendar month, so their size is bounded by the date
+    range, not by the data volume.
     """
     has_income = F.col("income_n") > 0
     m = months.filter(F.col("transaction_month") >= _start(start_date))
-    i_c = F.coalesce(F.col("income_cents"), F.lit(0))
-    s_c = F.coalesce(F.col("spend_cents"), F.lit(0))
     m = m.select(
         "transaction_month",
         F.when(has_income, month_label(F.col("transaction_month")))
@@ -277,34 +274,33 @@ def savings_from_months(months: DataFrame, start_date: str = DEFAULT_START_DATE)
         F.when(has_income, F.year("transaction_month")).otherwise(F.lit(0)).cast("long").alias("year_number"),
         F.when(has_income, F.month("transaction_month")).otherwise(F.lit(0)).cast("long").alias("month_number"),
         F.when(has_income, F.quarter("transaction_month")).otherwise(F.lit(0)).cast("long").alias("quarter_number"),
-        i_c.alias("_i"), s_c.alias("_s"),
+        *Money.named("_i").filled().columns("_i"), *Money.named("_s").filled().columns("_s"),
         F.coalesce(F.col("income_n"), F.lit(0)).cast("long").alias("income_transaction_count"),
         F.coalesce(F.col("spend_n"), F.lit(0)).cast("long").alias("spend_transaction_count"),
     )
     by_time = Window.orderBy("transaction_month")
     running = by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    income, spend = from_cents(F.col("_i")), from_cents(F.col("_s"))
-    net_c = F.col("_i") - F.col("_s")
-    net = from_cents(net_c)
+    earned, spent = Money.named("_i"), Money.named("_s")
+    saved = earned.minus(spent)
+    income, spend, net = earned.value(), spent.value(), saved.value()
     ratio = safe_div(net, income)
     rate = round_half_away(ratio * F.lit(100.0))
-    out = m.select(
-        *TIME_KEYS[:1], *TIME_KEYS[1:],
+    return m.select(
+        *TIME_KEYS,
         income.alias("total_income"),
         spend.alias("total_spend"),
-        net.alias("net_savings"),
+        round_half_away(net).alias("net_savings"),
         rate.alias("savings_rate"),
         round_half_away(safe_div(spend, income) * F.lit(100.0)).alias("spending_rate"),
         F.lag(rate).over(by_time).alias("prior_month_savings_rate"),
-        from_cents(F.sum(net_c).over(running)).alias("cumulative_savings"),
-        from_cents(F.col("_i") - F.lag("_i").over(by_time)).alias("mom_income_change"),
-        from_cents(F.col("_s") - F.lag("_s").over(by_time)).alias("mom_spend_change"),
-        (net_c >= 0).alias("is_surplus_month"),
-        health_status(F.col("_i"), ratio).alias("financial_health_status"),
+        round_half_away(saved.sum().over(running).value()).alias("cumulative_savings"),
+        round_half_away(earned.minus(earned.lag(by_time)).value()).alias("mom_income_change"),
+        round_half_away(spent.minus(spent.lag(by_time)).value()).alias("mom_spend_change"),
+        (net >= 0).alias("is_surplus_month"),
+        health_status(income, ratio).alias("financial_health_status"),
         "income_transaction_count", "spend_transaction_count",
         (F.col("income_transaction_count") + F.col("spend_transaction_count")).alias("total_transaction_count"),
     )
-    return out
 
 
 def mart_savings_rate(categorized: DataFrame, start_date: str = DEFAULT_START_DATE,
@@ -320,13 +316,13 @@ def mart_savings_rate(categorized: DataFrame, start_date: str = DEFAULT_START_DA
 
 def rollup_income_month(income_mart: DataFrame) -> DataFrame:
     return (income_mart.groupBy(*TIME_KEYS)
-            .agg(from_cents(F.sum(cents(F.col("total_income")))).alias("total_income"),
+            .agg(Money.of(F.col("total_income")).sum().value().alias("total_income"),
                  F.sum("transaction_count").cast("long").alias("income_transaction_count")))
 
 
 def rollup_spend_month(spend_mart: DataFrame) -> DataFrame:
     return (spend_mart.groupBy("transaction_month")
-            .agg(from_cents(F.sum(cents(F.col("total_spend")))).alias("total_spend"),
+            .agg(Money.of(F.col("total_spend")).sum().value().alias("total_spend"),
                  F.sum("transaction_count").cast("long").alias("spend_transaction_count")))
 
 
@@ -357,7 +353,7 @@ def agg_month_category(categorized: DataFrame) -> DataFrame:
     (transfers included, no start date)."""
     g = (categorized.filter(F.col("transaction_type") == F.lit("debit"))
          .groupBy(F.trunc(F.col("transaction_date"), "month").alias("month"), "category")
-         .agg(F.sum(cents(F.col("amount"))).alias("_cents"),
+         .agg(*Money.of(F.col("amount")).sum().columns("_sum"),
               F.count(F.lit(1)).alias("transaction_count")))
     return _month_category_columns(g)
 
@@ -376,8 +372,8 @@ def mart_spending_stats(categorized: DataFrame, ordered: bool = True) -> DataFra
 
 
 def _month_category_columns(g: DataFrame) -> DataFrame:
-    total = from_cents(F.col("_cents"))
-    return g.select("month", "category", "_cents", total.alias("total_spend"),
+    total = Money.named("_sum").value()
+    return g.select("month", "category", "_sum_d", "_sum_b", total.alias("total_spend"),
                     "transaction_count",
                     (total / F.col("transaction_count")).alias("avg_transaction"))
 
@@ -388,17 +384,18 @@ def _stats_from(m: DataFrame, ordered: bool) -> DataFrame:
                       F.count(F.lit(1)).over(Window.partitionBy("category")).alias("_n"))
     lo_pos = F.floor((F.col("_n") - 1) / 2) + 1
     hi_pos = F.ceil((F.col("_n") - 1) / 2) + 1
-    mean = from_cents(F.sum("_cents")) / F.count(F.lit(1))
+    mean = Money.named("_sum").sum().value() / F.count(F.lit(1))
     sd = F.stddev_samp("total_spend")
+    least, most = F.min("total_spend"), F.max("total_spend")
     lo = F.max(F.when(F.col("_rn") == lo_pos, F.col("total_spend")))
     hi = F.max(F.when(F.col("_rn") == hi_pos, F.col("total_spend")))
     out = ranked.groupBy("category").agg(
         round_half_away(mean).alias("mean_monthly_spend"),
         round_half_away(lo + (hi - lo) * F.lit(0.5)).alias("median_monthly_spend"),
         round_half_away(sd).alias("stddev_monthly_spend"),
-        from_cents(F.min("_cents")).alias("min_monthly_spend"),
-        from_cents(F.max("_cents")).alias("max_monthly_spend"),
-        from_cents(F.max("_cents") - F.min("_cents")).alias("spend_range"),
+        round_half_away(least).alias("min_monthly_spend"),
+        round_half_away(most).alias("max_monthly_spend"),
+        round_half_away(most - least).alias("spend_range"),
         round_half_away(safe_div(sd, mean), 4).alias("coefficient_of_variation"),
         F.sum("transaction_count").cast("long").alias("total_transactions"),
         round_half_away(F.avg("avg_transaction")).alias("avg_transaction_size"),
@@ -414,7 +411,7 @@ def ledger_rollup(categorized: DataFrame, start_date: str = DEFAULT_START_DATE)
     """Everything the four marts need, aggregated in one pass.
 
     Grouped by month, category, income type (credits only), source and the
-    flags the marts filter on; each group carries its cents (absolute and
+    flags the marts filter on; each group carries its money sums (absolute and
     signed), row count and smallest/largest amount. All keys have low
     cardinality (calendar months x categories x a few flags), so the result
     is small whatever the data volume, and every mart is a re-aggregation of
@@ -427,16 +424,16 @@ def ledger_rollup(categorized: DataFrame, start_date: str = DEFAULT_START_DATE)
                 "source", "is_debit", "is_payment", "is_transfer",
                 F.coalesce(F.col("transaction_type") == F.lit("debit"), F.lit(False)).alias("type_debit"),
                 (F.col("transaction_date") >= _start(start_date)).alias("in_range"))
-            .agg(F.sum(cents(a)).alias("_cents"),
+            .agg(*Money.of(a).sum().columns("_sum"),
                  F.count(F.lit(1)).alias("_n"),
                  F.min(a).alias("_min"),
                  F.max(a).alias("_max"),
-                 F.sum(cents(F.col("amount"))).alias("_signed_cents")))
+                 *Money.of(F.col("amount")).sum().columns("_signed")))
 
 
 def _regroup(r: DataFrame, dim: str) -> DataFrame:
     return (r.groupBy("transaction_month", dim, "source")
-            .agg(F.sum("_cents").alias("_cents"),
+            .agg(*Money.named("_sum").sum().columns("_sum"),
                  F.sum("_n").cast("long").alias("transaction_count"),
                  F.min("_min").alias("_min"),
                  F.max("_max").alias("_max")))
@@ -452,18 +449,16 @@ def marts_from_rollup(rollup: DataFrame, start_date: str = DEFAULT_START_DATE,
     spend = _spend_windows(_regroup(r.filter(debit & kept), "category"), ordered)
     income = _income_windows(_regroup(r.filter(~debit & kept), "income_type"), ordered)
     is_spend = debit & (F.col("category") != F.lit("Income"))
-    months = (r.filter(kept).groupBy("transaction_month")
-              .agg(F.sum(F.when(~debit, F.col("_cents"))).alias("income_cents"),
-                   F.sum(F.when(is_spend, F.col("_cents"))).alias("spend_cents"),
-                   F.coalesce(F.sum(F.when(~debit, F.col("_n"))), F.lit(0)).alias("income_n"),
-                   F.coalesce(F.sum(F.when(is_spend, F.col("_n"))), F.lit(0)).alias("spend_n"))
-              .filter((F.col("income_n") > 0) | (F.col("spend_n") > 0)))
-    savings = savings_from_months(months, start_date)
+    groups = (r.filter(kept).groupBy("transaction_month",
+                                     F.when(~debit, F.col("income_type")).otherwise(F.col("category")).alias("dim"),
+                                     "source", (~debit).alias("is_income"), is_spend.alias("is_spend"))
+              .agg(*Money.named("_sum").sum().columns("_sum"), F.sum("_n").alias("_n")))
+    savings = savings_from_months(_months_from_groups(groups), start_date)
     if ordered:
         savings = savings.orderBy(F.desc("transaction_month"))
     m = (r.filter(F.col("type_debit"))
          .groupBy(F.col("transaction_month").alias("month"), "category")
-         .agg(F.sum("_signed_cents").alias("_cents"), F.sum("_n").cast("long").alias("transaction_count")))
+         .agg(*Money.named("_signed").sum().columns("_sum"), F.sum("_n").cast("long").alias("transaction_count")))
     stats = _stats_from(_month_category_columns(m), ordered)
     return {"mart_monthly_spend": spend, "mart_income": income,
             "mart_savings_rate": savings, "mart_spending_stats": stats}

@@ -333,7 +333,7 @@ def q_rollup_spend_month(spark, sf):
 
 
 def q_agg_month_category(spark, sf):
-    return marts.agg_month_category(categorized(spark, sf)).drop("_cents")
+    return marts.agg_month_category(categorized(spark, sf)).drop("_sum_d", "_sum_b")
 
 
 def q_agg_median(spark, sf):

@@ -74,21 +74,28 @@ def _pick(values: list[str], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
+def _with_fraction(price: Column, ten_thousandths: Column) -> Column:
+    """A price with a third and fourth decimal place, exact."""
+    fraction = ten_thousandths.cast("decimal(18,4)") * F.lit("0.0001").cast("decimal(5,4)")
+    return (price.cast("decimal(18,2)") + fraction).cast("decimal(18,4)")
+
+
 def bank_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bank export in file form: the five columns a bank CSV carries.
 
-    ``amount`` is DECIMAL(18,2) (exact, written as plain text in CSV) and
-    ``date`` a DATE; a reader treats both as text, as with a real file.
+    ``amount`` is DECIMAL(18,4) (exact, written as plain text in CSV; the
+    third and fourth place come from the key) and ``date`` a DATE; a reader
+    treats both as text, as with a real file.
     """
     o = spread(_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice"))
     idx = F.col("o_orderkey") % 20
     credit = idx.isin(BANK_CREDIT_INDEXES)
-    price = F.col("o_totalprice").cast("decimal(18,2)")
+    price = _with_fraction(F.col("o_totalprice"), F.col("o_orderkey") % 97)
     return o.select(
         F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("transaction_id"),
         F.col("o_orderdate").cast("date").alias("date"),
         _pick(BANK_DESCRIPTIONS, idx).alias("description"),
-        F.when(credit, price * F.lit(5)).otherwise(-price).cast("decimal(18,2)").alias("amount"),
+        F.when(credit, price * F.lit(5)).otherwise(-price).cast("decimal(18,4)").alias("amount"),
         F.when(credit, F.lit("credit")).otherwise(F.lit("debit")).alias("transaction_type"),
     )
 
@@ -104,7 +111,7 @@ def card_export(spark: SparkSession, sf_dir: str, with_category: bool = False) -
     li = spread(_table(spark, sf_dir, "lineitem").select(*cols))
     idx = F.col("l_partkey") % 16
     credit = idx.isin(CARD_CREDIT_INDEXES)
-    price = F.col("l_extendedprice").cast("decimal(18,2)")
+    price = _with_fraction(F.col("l_extendedprice"), F.col("l_orderkey") % 89)
     out = [
         F.concat(F.lit("L"), F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_partkey").cast("string"), F.lit("-"),
@@ -118,7 +125,7 @@ def card_export(spark: SparkSession, sf_dir: str, with_category: bool = False) -
         li = li.join(part, li.l_partkey == part.p_partkey, "inner")
         out.append(F.nullif(F.col("p_type"), F.lit("STANDARD")).alias("merchant_category"))
     out += [
-        F.when(credit, -price).otherwise(price).cast("decimal(18,2)").alias("amount"),
+        F.when(credit, -price).otherwise(price).cast("decimal(18,4)").alias("amount"),
         F.when(credit, F.lit(CARD_CREDIT_TYPE)).otherwise(F.lit(CARD_DEBIT_TYPE)).alias("transaction_type"),
     ]
     return li.select(*out)

@@ -32,8 +32,14 @@ def parse_timestamp(col: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Col
 
 
 def parse_number(col: Column) -> Column:
-    """Coercing number parse (text such as '1,200.00' or 'n/a' becomes NULL)."""
-    return col.try_cast("double")
+    """Coercing number parse: text that is no finite number ('1,200.00', 'n/a',
+    'NaN', 'Infinity') becomes NULL."""
+    return finite(col.try_cast("double"))
+
+
+def finite(number: Column) -> Column:
+    """NULL instead of NaN and the infinities."""
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
 def standardise(df: DataFrame) -> DataFrame:
@@ -52,7 +58,7 @@ def standardise(df: DataFrame) -> DataFrame:
     else:
         date = parse_timestamp(F.col("date"))
     if isinstance(types["amount"], T.NumericType):
-        amount = F.col("amount").cast("double")
+        amount = finite(F.col("amount").cast("double"))
     else:
         amount = parse_number(F.col("amount"))
     return df.select(

@@ -28,8 +28,8 @@ def test_single_pass_savings_equals_full_outer_join(ledger):
     fast = marts.monthly_activity(ledger, START).collect()
     lit = {r["transaction_month"]: (r["total_income"], r["total_spend"], r["income_transaction_count"],
                                     r["spend_transaction_count"]) for r in months.collect()}
-    got = {r["transaction_month"]: ((r["income_cents"] or 0) / 100.0, (r["spend_cents"] or 0) / 100.0,
-                                    r["income_n"], r["spend_n"]) for r in fast}
+    got = {r["transaction_month"]: (float(r["_i_d"] or 0), float(r["_s_d"] or 0), r["income_n"], r["spend_n"])
+           for r in fast}
     assert got == lit
 
 

@@ -6,12 +6,13 @@ import pytest
 
 import __spark_entry__ as entry
 from scripts.oracle_check import compare, duck_connection
+from tally.queries import QUERIES as OWN
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = {k: v for k, v in entry.queries().items() if k in OWN}
+SQL = {k: v for k, v in entry.oracle_sql().items() if k in OWN}
 
 
 @pytest.fixture(scope="module")
