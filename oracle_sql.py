@@ -465,14 +465,15 @@ def operator_queries() -> dict[str, str]:
     mid = MID_MONTH_START
     return {
         # sources and sinks
-        "read_bank": f"""SELECT transaction_id, cast(date AS varchar) AS date, description,
+        "read_bank": f"""SELECT transaction_id, cast(date AS varchar) AS date, '"Q", ' || description || ' "x" \\' AS description,
             cast(amount AS varchar) AS amount, transaction_type, 'bank' AS source FROM ({bank_export_sql()})""",
-        "read_card": f"""SELECT transaction_id, cast(post_date AS varchar) AS date, merchant_name AS description,
-            cast(amount AS varchar) AS amount, transaction_type, 'card' AS source
+        "read_card": f"""SELECT transaction_id, cast(post_date AS varchar) AS date,
+            '"Q", ' || merchant_name || ' "x" \\' AS description, cast(amount AS varchar) AS amount, transaction_type, 'card' AS source
             FROM ({card_export_sql(with_category=True)})""",
-        "dq_file_ready": """SELECT 'bank' AS source, CASE WHEN count(*) > 0 THEN 'ready' ELSE 'empty' END AS status
-            FROM orders UNION ALL
-            SELECT 'card', CASE WHEN count(*) > 0 THEN 'ready' ELSE 'empty' END FROM lineitem""",
+        "dq_file_ready": """
+            SELECT 'bank' AS source, if(count(*) > 0, 'ready', 'empty') AS status, count(*) AS n_rows FROM orders
+            UNION ALL SELECT 'card', if(count(*) > 0, 'ready', 'empty'), count(*) FROM lineitem
+            UNION ALL SELECT 'empty', 'empty', 0 UNION ALL SELECT 'missing', 'missing', 0""",
         "standardise": stored_all,
         "load_full": stored_all,
         "load_incremental": f"""
@@ -493,8 +494,7 @@ def operator_queries() -> dict[str, str]:
             SELECT 'card', CASE WHEN {dup_free(card_export_sql())} THEN 'loaded' ELSE 'failed' END,
                    CASE WHEN {dup_free(card_export_sql())} THEN (SELECT count(*) FROM lineitem) ELSE 0 END""",
         "mart_roundtrip": with_(base, sp) + "\nSELECT * FROM mart_monthly_spend",
-        "load_stream": f"""SELECT {raw_cols} FROM ({std_bank()}) WHERE {dup_free(bank_export_sql())}
-            UNION ALL SELECT {raw_cols} FROM ({std_card()}) WHERE {dup_free(card_export_sql())}""",
+        "load_stream": stored_all,
         # projections, filters, classification
         "union_ledger": with_(base) + """
 SELECT transaction_id, transaction_date, description, amount, is_debit, absolute_amount,
@@ -585,11 +585,13 @@ SELECT transaction_month, i::double AS total_income, s::double AS total_spend,
 FROM months""",
         # data quality
         "dq_columns": """
-SELECT * FROM (VALUES ('bank', 'required_columns', 'error', NULL, 0::bigint),
-                      ('bank', 'extra_columns', 'warning', NULL, 0::bigint),
-                      ('card', 'required_columns', 'error', NULL, 0::bigint),
-                      ('card', 'extra_columns', 'warning', 'merchant_category', 1::bigint))
-         AS t(source, "check", severity, "column", n_bad)""",
+SELECT 'bank' AS source, 'required_columns' AS "check", 'error' AS severity, 'description' AS "column", 1::bigint AS n_bad
+UNION ALL SELECT 'card', 'required_columns', 'error', NULL, 0
+UNION ALL SELECT 'card', 'extra_columns', 'warning', 'merchant_category', 1
+UNION ALL SELECT 'card', 'rows_read', 'info', NULL, count(*) FROM lineitem JOIN part ON p_partkey = l_partkey
+UNION ALL SELECT 'card', 'malformed_rows', 'error', NULL, 0
+UNION ALL SELECT 'loan', 'known_source', 'error', NULL, 1
+UNION ALL SELECT 'card', 'file_ready', 'error', NULL, 1""",
         "dq_row_count": dq_filter(["rows_read", "row_count_min", "row_count_max"]),
         "dq_duplicates": dq_filter(["duplicate_ids"]),
         "dq_nulls": dq_filter(["nulls"]),

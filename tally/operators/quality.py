@@ -1,9 +1,9 @@
 """Data-quality checks as distributed passes over a source.
 
-A source is checked in one aggregation pass (every per-row check is a
-conditional count), one grouped count for duplicate ids, and, for the
-samples, one top-5 lookup per check (each partition keeps five candidates,
-so no check ever gathers its offending rows in one place). Results are a
+A source is checked in one grouped pass (every per-row check is a
+conditional count per id, which also gives the duplicates) and, for the
+samples, one top-5 window per check (each task keeps five candidates, so
+no check ever gathers its offending rows in one place). Results are a
 DataFrame with one row per check:
 
     source, check, severity, column, n_bad, sample array<string>, message
@@ -18,12 +18,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tally.functions.text import strip_ws
-from tally.operators.observe import observe_rows
 from tally.schema import (
     AMOUNT_MAX,
     AMOUNT_MIN,
@@ -32,6 +30,7 @@ from tally.schema import (
     VALID_TRANSACTION_TYPES,
     SourceSpec,
 )
+from tally.sources.files import MALFORMED
 from tally.sources.raw import parse_number, parse_timestamp
 
 RESULT_SCHEMA = ("source string, check string, severity string, column string, "
@@ -51,15 +50,14 @@ def _rows(spark: SparkSession, rows: list[tuple]) -> DataFrame:
 
 def check_columns(spark: SparkSession, columns: list[str], spec: SourceSpec) -> tuple[DataFrame, bool]:
     """Required columns present (error, stops the profile) and extra columns (warning)."""
-    have = set(columns)
+    have = set(columns) - {MALFORMED}
     missing = sorted(set(spec.required) - have)
     extra = sorted(have - set(spec.required))
     rows = [(spec.name, "required_columns", ERROR, ",".join(missing) or None, len(missing), [],
-             f"Missing required column(s): {missing}" if missing else "all required columns present")]
+             f"header lacks {', '.join(missing)}" if missing else "header has every column that is needed")]
     if not missing:
         rows.append((spec.name, "extra_columns", WARNING, ",".join(extra) or None, len(extra), [],
-                     f"Unexpected extra column(s) (will be ignored): {extra}" if extra
-                     else "no extra columns"))
+                     f"columns not used: {', '.join(extra)}" if extra else "header has no other column"))
     return _rows(spark, rows), not missing
 
 
@@ -89,58 +87,72 @@ def _predicates(spec: SourceSpec, as_of: Column) -> list[tuple[str, str, str | N
     d, a, t = F.col("_d"), F.col("_a"), F.col("_t")
     out = []
     for c in spec.non_nullable:
-        out.append(("nulls", ERROR, c, _col(c).isNull(), f"Column '{c}' has %d null value(s)"))
+        out.append(("nulls", ERROR, c, _col(c).isNull(), f"{c}: %d empty cell(s)"))
     out += [
-        ("unparseable_dates", ERROR, spec.date_column, d.isNull(),
-         f"Column '{spec.date_column}' has %d unparseable date(s)"),
-        ("future_dates", WARNING, spec.date_column, d > as_of,
-         f"Column '{spec.date_column}' has %d future-dated transaction(s)"),
+        ("unparseable_dates", ERROR, spec.date_column, d.isNull(), f"{spec.date_column}: %d cell(s) hold no date"),
+        ("future_dates", WARNING, spec.date_column, d > as_of, f"{spec.date_column}: %d date(s) lie ahead"),
         ("non_numeric_amounts", ERROR, spec.amount_column, a.isNull(),
-         "Column 'amount' has %d non-numeric value(s)"),
+         f"{spec.amount_column}: %d cell(s) hold no finite number"),
         ("amount_out_of_bounds", WARNING, spec.amount_column,
          (a < F.lit(AMOUNT_MIN)) | (a > F.lit(AMOUNT_MAX)),
-         f"%d amount(s) outside expected range [{AMOUNT_MIN:,.2f}, {AMOUNT_MAX:,.2f}]"),
-        ("zero_amounts", WARNING, spec.amount_column, a == F.lit(0.0),
-         "%d transaction(s) with an amount of $0.00"),
+         f"{spec.amount_column}: %d value(s) below {AMOUNT_MIN:.2f} or above {AMOUNT_MAX:.2f}"),
+        ("zero_amounts", WARNING, spec.amount_column, a == F.lit(0.0), f"{spec.amount_column}: %d zero value(s)"),
         ("invalid_transaction_types", ERROR, spec.type_column,
          ~t.isin(list(VALID_TRANSACTION_TYPES)),
-         "%d row(s) with an unexpected transaction_type value"),
+         f"{spec.type_column}: %d row(s) neither " + " nor ".join(VALID_TRANSACTION_TYPES)),
     ]
     return out
 
 
+def _with_malformed(preds: list, df: DataFrame) -> list:
+    """A reader that marks malformed rows adds a check of them."""
+    if MALFORMED not in df.columns:
+        return preds
+    return [*preds, ("malformed_rows", ERROR, None, _col(MALFORMED), "%d row(s) have more fields than the header")]
+
+
+def _entries(preds: list, row_max: int) -> list[Column]:
+    """One struct per check over the columns ``_rows`` and ``_c<i>``."""
+    n = F.col("_rows")
+
+    def entry(check: str, severity: str, column: str | None, bad: Column, message: Column) -> Column:
+        return F.struct(F.lit(check).alias("check"), F.lit(severity).alias("severity"),
+                        F.lit(column).cast("string").alias("column"), bad.cast("long").alias("n_bad"),
+                        message.alias("message"))
+    rows = F.format_string("%d row(s) read", n)
+    out = [entry("rows_read", INFO, None, n, rows),
+           entry("row_count_min", ERROR, None, (n < ROW_COUNT_MIN).cast("int"),
+                 F.concat(rows, F.lit(f", at least {ROW_COUNT_MIN} needed"))),
+           entry("row_count_max", WARNING, None, F.greatest(n - F.lit(row_max), F.lit(0)),
+                 F.concat(rows, F.lit(f", up to {row_max} usual")))]
+    return out + [entry(check, severity, column, F.col(f"_c{i}"), F.format_string(message, F.col(f"_c{i}")))
+                  for i, (check, severity, column, _, message) in enumerate(preds)]
+
+
+def _exploded(counts: DataFrame, entries: list[Column], source: str) -> DataFrame:
+    out = counts.select(F.explode(F.array(*entries)).alias("r")).select("r.*")
+    return out.select(F.lit(source).alias("source"), "check", "severity", "column", "n_bad",
+                      F.lit(None).cast("array<string>").alias("sample"), "message")
+
+
+def _now(as_of: Column | None) -> Column:
+    return as_of if as_of is not None else F.current_timestamp().cast("timestamp_ntz")
+
+
 def row_checks(df: DataFrame, spec: SourceSpec, as_of: Column | None = None,
                row_max: int = ROW_COUNT_MAX) -> DataFrame:
     """All per-row checks and the row-count checks in one aggregation pass."""
-    as_of = as_of if as_of is not None else F.current_timestamp().cast("timestamp_ntz")
-    preds = _predicates(spec, as_of)
+    preds = _with_malformed(_predicates(spec, _now(as_of)), df)
     aggs = [F.count(F.lit(1)).alias("_rows")]
-    aggs += [F.count(F.when(p, F.lit(1))).alias(f"_c{i}") for i, (_, _, _, p, _) in enumerate(preds)]
-    counts = _parsed(df, spec).agg(*aggs)
-    n = F.col("_rows")
-    entries = [
-        F.struct(F.lit("rows_read").alias("check"), F.lit(INFO).alias("severity"),
-                 F.lit(None).cast("string").alias("column"), n.cast("long").alias("n_bad"),
-                 F.format_string("%d data row(s)", n).alias("message")),
-        F.struct(F.lit("row_count_min").alias("check"), F.lit(ERROR).alias("severity"),
-                 F.lit(None).cast("string").alias("column"),
-                 F.when(n < ROW_COUNT_MIN, F.lit(1)).otherwise(F.lit(0)).cast("long").alias("n_bad"),
-                 F.format_string(f"File has %d data row(s) - minimum expected is {ROW_COUNT_MIN}", n)
-                 .alias("message")),
-        F.struct(F.lit("row_count_max").alias("check"), F.lit(WARNING).alias("severity"),
-                 F.lit(None).cast("string").alias("column"),
-                 F.greatest(n - F.lit(row_max), F.lit(0)).cast("long").alias("n_bad"),
-                 F.format_string(f"File has %d rows - expected maximum {row_max}", n).alias("message")),
-    ]
-    for i, (check, sev, col, _, msg) in enumerate(preds):
-        c = F.col(f"_c{i}")
-        entries.append(F.struct(F.lit(check).alias("check"), F.lit(sev).alias("severity"),
-                                F.lit(col).cast("string").alias("column"),
-                                c.cast("long").alias("n_bad"),
-                                F.format_string(msg, c).alias("message")))
-    out = counts.select(F.explode(F.array(*entries)).alias("r")).select("r.*")
-    return out.select(F.lit(spec.name).alias("source"), "check", "severity", "column", "n_bad",
-                      F.lit(None).cast("array<string>").alias("sample"), "message")
+    aggs += [F.count_if(p).alias(f"_c{i}") for i, (_, _, _, p, _) in enumerate(preds)]
+    return _exploded(_parsed(df, spec).agg(*aggs), _entries(preds, row_max), spec.name)
+
+
+def _duplicates_entry(spec: SourceSpec) -> Column:
+    n = F.col("_repeats")
+    return F.struct(F.lit("duplicate_ids").alias("check"), F.lit(ERROR).alias("severity"),
+                    F.lit(spec.id_column).alias("column"), n.cast("long").alias("n_bad"),
+                    F.format_string(f"{spec.id_column}: %d repeat(s) of an earlier row's value", n).alias("message"))
 
 
 def duplicate_ids(df: DataFrame, spec: SourceSpec) -> DataFrame:
@@ -151,57 +163,57 @@ def duplicate_ids(df: DataFrame, spec: SourceSpec) -> DataFrame:
     other id.
     """
     g = df.groupBy(_col(spec.id_column).alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
-    dup = g.filter(F.col("_n") > 1).agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("n_bad"))
-    return dup.select(F.lit(spec.name).alias("source"), F.lit("duplicate_ids").alias("check"),
-                      F.lit(ERROR).alias("severity"), F.lit(spec.id_column).alias("column"),
-                      "n_bad", F.lit(None).cast("array<string>").alias("sample"),
-                      F.format_string("Found %d duplicate transaction ID(s)", F.col("n_bad")).alias("message"))
+    return _exploded(g.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("_repeats")),
+                     [_duplicates_entry(spec)], spec.name)
+
+
+def all_checks(df: DataFrame, spec: SourceSpec, as_of: Column | None = None,
+               row_max: int = ROW_COUNT_MAX) -> DataFrame:
+    """Row checks, row counts and duplicate ids from one scan of the source.
+
+    One grouped pass by id counts rows and offenders of each id (hot ids
+    combine on the map side), one aggregate adds them up.
+    """
+    preds = _with_malformed(_predicates(spec, _now(as_of)), df)
+    names = [f"_c{i}" for i in range(len(preds))]
+    per_id = _parsed(df, spec).groupBy(_col(spec.id_column).alias("_id")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(p).alias(c) for c, (_, _, _, p, _) in zip(names, preds)])
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    counts = per_id.agg(total(F.col("_n")).alias("_rows"), *[total(F.col(c)).alias(c) for c in names],
+                        total(F.col("_n") - 1).alias("_repeats"))
+    return _exploded(counts, [*_entries(preds, row_max), _duplicates_entry(spec)], spec.name)
 
 
 def samples(df: DataFrame, spec: SourceSpec, as_of: Column | None = None,
             size: int = SAMPLE_SIZE) -> DataFrame:
     """First offenders per check: ``(source, check, column, sample)``.
 
-    The source is scanned once: only offending rows are kept (id, normalised
-    type and one flag per check, spilling to disk if large), and each check's
-    sample is a top-k over those rows, in which every partition keeps
-    ``size`` candidates. Duplicate ids give their smallest repeated ids (one
-    grouped count), the type check its smallest distinct offending values.
-    At most ``size`` values per check come back, so the result is built from
-    them directly. Checks without offenders have no row.
+    Each row names the checks it fails; a window numbers the ids within each
+    check and keeps ``size`` of them (every task prunes to that many before
+    the shuffle). Duplicate ids give their smallest repeated ids (one grouped
+    count), the type check its smallest distinct offending values. Lazy: no
+    job runs here. Checks without offenders have no row.
     """
-    spark = df.sparkSession
-    as_of = as_of if as_of is not None else F.current_timestamp().cast("timestamp_ntz")
     ident = _col(spec.id_column).cast("string")
-    preds = _predicates(spec, as_of)
-    flags = [pred.alias(f"_f{i}") for i, (_, _, _, pred, _) in enumerate(preds)]
-    any_bad = reduce(lambda a, b: a | b, [F.col(f"_f{i}") for i in range(len(preds))])
-    flagged = observe_rows(_parsed(df, spec).select(ident.alias("_id"), F.col("_t"), *flags),
-                           f"quality_{spec.name}")
-    bad = flagged.filter(any_bad).persist(StorageLevel.MEMORY_AND_DISK)
-    parts = []
-    for i, (check, _, col, _, _) in enumerate(preds):
-        flag = F.col(f"_f{i}")
-        if check == "invalid_transaction_types":
-            vals = bad.filter(flag).select(F.col("_t").alias("v")).distinct()
-        else:
-            vals = bad.filter(flag & F.col("_id").isNotNull()).select(F.col("_id").alias("v"))
-        parts.append(vals.orderBy("v").limit(size)
-                     .select(F.lit(check).alias("check"), F.lit(col).cast("string").alias("column"), "v"))
-    dups = (df.groupBy(ident.alias("v")).agg(F.count(F.lit(1)).alias("_n"))
-            .filter((F.col("_n") > 1) & F.col("v").isNotNull()).select("v").orderBy("v").limit(size))
-    parts.append(dups.select(F.lit("duplicate_ids").alias("check"),
-                             F.lit(spec.id_column).alias("column"), "v"))
-    try:
-        found = reduce(DataFrame.unionByName, parts).collect()  # at most `size` per check
-    finally:
-        bad.unpersist()
-    grouped: dict[tuple[str, str], list[str]] = {}
-    for r in found:
-        grouped.setdefault((r["check"], r["column"]), []).append(r["v"])
-    return spark.createDataFrame(
-        [(spec.name, chk, col, sorted(v)) for (chk, col), v in grouped.items()],
-        "source string, check string, column string, sample array<string>")
+    preds = _with_malformed(_predicates(spec, _now(as_of)), df)
+    failed = F.filter(F.array(*[
+        F.struct(F.lit(check).alias("check"), F.lit(column).cast("string").alias("column"),
+                 F.coalesce(p, F.lit(False)).alias("bad"))
+        for check, _, column, p, _ in preds if check != "invalid_transaction_types"]), lambda s: s["bad"])
+    by_row = (_parsed(df, spec).select(ident.alias("v"), F.explode(failed).alias("f"))
+              .filter(F.col("v").isNotNull()).select("f.check", "f.column", "v"))
+    types = (_parsed(df, spec).filter(~F.col("_t").isin(list(VALID_TRANSACTION_TYPES))).select("_t").distinct()
+             .select(F.lit("invalid_transaction_types").alias("check"), F.lit(spec.type_column).alias("column"),
+                     F.col("_t").alias("v")))
+    repeated = (df.groupBy(ident.alias("v")).agg(F.count(F.lit(1)).alias("_n"))
+                .filter((F.col("_n") > 1) & F.col("v").isNotNull())
+                .select(F.lit("duplicate_ids").alias("check"), F.lit(spec.id_column).alias("column"), "v"))
+    first = Window.partitionBy("check", "column").orderBy("v")
+    return (by_row.unionByName(types).unionByName(repeated)
+            .withColumn("_k", F.row_number().over(first)).filter(F.col("_k") <= size)
+            .groupBy("check", "column").agg(F.array_sort(F.collect_list("v")).alias("sample"))
+            .select(F.lit(spec.name).alias("source"), "check", "column", "sample"))
 
 
 def profile(spark: SparkSession, df: DataFrame, spec: SourceSpec, as_of: Column | None = None,
@@ -211,22 +223,23 @@ def profile(spark: SparkSession, df: DataFrame, spec: SourceSpec, as_of: Column
     cols, ok = check_columns(spark, df.columns, spec)
     if not ok:
         return cols
-    checks = row_checks(df, spec, as_of, row_max).unionByName(duplicate_ids(df, spec))
+    checks = all_checks(df, spec, as_of, row_max)
     if with_samples:
-        s = samples(df, spec, as_of).select("check", "column", F.col("sample").alias("_s"))
-        checks = (checks.join(s, ["check", "column"], "left")
+        s = samples(df, spec, as_of).select(F.col("check").alias("_k"), F.col("column").alias("_of"),
+                                            F.col("sample").alias("_s"))
+        checks = (checks.join(s, (F.col("check") == F.col("_k")) & F.col("column").eqNullSafe(F.col("_of")), "left")
                   .withColumn("sample", F.when(F.col("n_bad") > 0, F.coalesce(F.col("_s"), F.array().cast("array<string>"))))
-                  .drop("_s"))
+                  .drop("_s", "_k", "_of"))
     return cols.unionByName(checks.select(*cols.columns))
 
 
 def unknown_source(spark: SparkSession, name: str) -> DataFrame:
     return _rows(spark, [(name, "known_source", ERROR, None, 1, [],
-                          f"Unknown source '{name}' - expected 'bank' or 'card'")])
+                          f"no source is called '{name}'; there are bank and card")])
 
 
 def not_ready(spark: SparkSession, name: str, status: str, path: str) -> DataFrame:
-    msg = f"File not found: {path}" if status == "missing" else f"File is empty (0 bytes): {path}"
+    msg = f"nothing at {path}" if status == "missing" else f"no bytes at {path}"
     return _rows(spark, [(name, "file_ready", ERROR, None, 1, [], msg)])
 
 
@@ -251,26 +264,36 @@ def summarise(results: DataFrame) -> DataFrame:
                     (F.col("errors") == 0).alias("passed"), "rows", "errors", "warnings")
 
 
-def load_gate(batch: DataFrame, source: str) -> DataFrame:
+def load_gate(batch: DataFrame, source: str, by: str | None = None) -> DataFrame:
     """Gate applied before a load, on the standardised batch.
 
     Fails on: no rows, a missing date or amount (an amount that did not parse
-    is missing), or any repeated id (two missing ids are a repeat). One
-    grouped pass by id yields all four counts.
+    is missing), any repeated id (two missing ids are a repeat) or, where the
+    reader marks them, any malformed row. One grouped pass by id yields all
+    counts. With ``by``, one row per value of that column (for example a file).
     """
-    per_id = (batch.groupBy("transaction_id")
+    marked = MALFORMED in batch.columns
+    keys = [by] if by else []
+    per_id = (batch.groupBy(*keys, "transaction_id")
               .agg(F.count(F.lit(1)).alias("_n"),
-                   F.count(F.when(F.col("date").isNull(), F.lit(1))).alias("_nd"),
-                   F.count(F.when(F.col("amount").isNull(), F.lit(1))).alias("_na")))
-    g = per_id.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
-                   F.coalesce(F.sum("_nd"), F.lit(0)).alias("null_dates"),
-                   F.coalesce(F.sum("_na"), F.lit(0)).alias("null_amounts"),
-                   F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n") - 1)), F.lit(0)).alias("duplicate_ids"))
-    return g.select(F.lit(source).alias("source"),
-                    F.col("rows").cast("long"), F.col("null_dates").cast("long"),
-                    F.col("null_amounts").cast("long"), F.col("duplicate_ids").cast("long"),
-                    ((F.col("rows") > 0) & (F.col("null_dates") == 0) & (F.col("null_amounts") == 0)
-                     & (F.col("duplicate_ids") == 0)).alias("passed"))
+                   F.count_if(F.col("date").isNull()).alias("_nd"),
+                   F.count_if(F.col("amount").isNull()).alias("_na"),
+                   (F.count_if(F.col(MALFORMED)) if marked else F.max(F.lit(0))).alias("_nm")))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    g = per_id.groupBy(*keys).agg(
+        total("_n").alias("rows"), total("_nd").alias("null_dates"), total("_na").alias("null_amounts"),
+        total(F.col("_n") - 1).alias("duplicate_ids"), total("_nm").alias("malformed_rows"))
+    out = [*keys, F.lit(source).alias("source"), "rows", "null_dates", "null_amounts", "duplicate_ids"]
+    if marked:
+        out.append("malformed_rows")
+    return g.select(*out, ((F.col("rows") > 0) & (F.col("null_dates") == 0) & (F.col("null_amounts") == 0)
+                           & (F.col("duplicate_ids") == 0) & (F.col("malformed_rows") == 0)).alias("passed"))
+
+
+def gate_reason(gate) -> str:
+    """A failed gate's counts as text."""
+    shown = ("rows", "null_dates", "null_amounts", "duplicate_ids", "malformed_rows")
+    return " ".join(f"{k}={gate[k]}" for k in shown if k in gate)
 
 
 def rejects(raw: DataFrame, source: str) -> DataFrame:

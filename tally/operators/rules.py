@@ -37,9 +37,11 @@ FALLBACK_CATEGORY = "Other"
 # Provider categories that do not count as a category.
 NON_CATEGORIES = ("", "Unknown")
 
-# Rule tables are configuration; beyond this many rules the expression
-# would no longer compile into one generated method, so it is refused.
-MAX_RULES = 5_000
+# Up to this many rules one CASE per row compiles to generated code; longer
+# rule lists are matched by a join on keyword fragments, with equal results.
+CASE_RULES = 200
+#: Letters of the fragment on which rules and descriptions are joined.
+FRAGMENT = 4
 
 Rule = tuple[int, str, str]  # (priority, keyword, category)
 
@@ -79,8 +81,6 @@ def category_sql(description: str = "description", provider: str | None = "provi
     short CASE. ``description`` must hold upper-case text.
     """
     ordered = sorted(rules or default_rules(), key=lambda r: r[0])
-    if len(ordered) > MAX_RULES:
-        raise ValueError(f"rule table has {len(ordered)} rules; at most {MAX_RULES} supported")
     branches: list[tuple[str, list[str]]] = []
     for _, kw, cat in ordered:
         if branches and branches[-1][0] == cat:
@@ -116,8 +116,11 @@ def categorize(ledger: DataFrame, rules: Sequence[Rule] | None = None,
 
     The reference attaches the category by a self-join on the unique id; on
     unique ids that equals computing it on the same row, which is what this
-    does (no join, no shuffle).
+    does (no join, no shuffle). More than ``CASE_RULES`` rules go through
+    ``categorize_with_rule_table``.
     """
+    if rules is not None and len(rules) > CASE_RULES:
+        return categorize_with_rule_table(ledger, rules_frame(ledger.sparkSession, rules), use_provider)
     cat = category_expr("description", "provider_category" if use_provider else None, rules)
     return (ledger.withColumn("category", cat)
                   .withColumn("is_uncategorised",
@@ -136,48 +139,60 @@ def hold_category_predicates(df: DataFrame, name: str = "categorized") -> DataFr
                         F.count(F.when(F.col("is_uncategorised"), F.lit(1))).alias("uncategorised"))
 
 
-def collect_rules(rules_df: DataFrame, max_rules: int = MAX_RULES) -> list[Rule]:
-    """Bring a rule table to the driver after checking its size."""
-    n = rules_df.count()
-    if n > max_rules:
-        raise ValueError(f"rule table has {n} rules; at most {max_rules} supported")
-    return [(int(r["priority"]), str(r["keyword"]), str(r["category"]))
-            for r in rules_df.orderBy("priority").collect()]
+def read_rules(spark: SparkSession, path: str) -> DataFrame:
+    """A seed CSV of rules as ``priority, keyword, category``.
 
+    A seed with the columns ``keyword, category`` alone takes its priorities
+    from the order of its lines (one file, read in order).
+    """
+    seed = spark.read.option("header", True).option("escape", '"').csv(path)
+    if "priority" in seed.columns:
+        place = F.col("priority").cast("long")
+    else:
+        place = F.monotonically_increasing_id() + F.lit(1)
+    return seed.select(place.alias("priority"), "keyword", "category")
+
+
+def _fragments(text: Column, size: int) -> Column:
+    """Distinct substrings of ``size`` letters."""
+    last = F.length(text) - F.lit(size - 1)
+    return F.when(last >= 1, F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.substring(text, i, F.lit(size)))))
 
-def categorize_with_rule_table(ledger: DataFrame, rules_df: DataFrame,
-                               use_provider: bool = True) -> DataFrame:
-    """Categorise from a rule table given as data (for example a CSV seed)."""
-    return categorize(ledger, collect_rules(rules_df), use_provider)
 
+def match_rules(descriptions: DataFrame, rules_df: DataFrame) -> DataFrame:
+    """``description, rule_category`` of the first rule (by priority) that each
+    distinct description contains; descriptions without a match are left out.
 
-def categorize_by_rule_join(ledger: DataFrame, rules_df: DataFrame,
-                            use_provider: bool = True,
-                            max_rules: int = MAX_RULES) -> DataFrame:
-    """The same result as a join: rules broadcast (size checked), every
-    matching rule paired with the row, the lowest priority kept per id.
+    Every keyword of ``FRAGMENT`` letters or more hangs on its first
+    fragment, a shorter one on all of itself; a description meets the rules
+    of the fragments it holds (an equi-join whose strategy is chosen by bytes)
+    and the whole keyword is then looked for. There is no limit to the number
+    of rules, and none of them reaches the driver.
+    """
+    rules = (rules_df.filter(F.col("keyword").isNotNull() & (F.col("keyword") != ""))
+             .select(F.col("priority").cast("long").alias("_prio"), F.upper("keyword").alias("_kw"),
+                     F.col("category").alias("_cat"))
+             .withColumn("_part", F.substring("_kw", 1, FRAGMENT)))
+    texts = descriptions.select("description").filter(F.col("description").isNotNull()).distinct()
+    parts = F.concat(*[F.coalesce(_fragments(F.col("description"), k), F.array().cast("array<string>"))
+                       for k in range(1, FRAGMENT + 1)])
+    return (texts.select("description", F.explode(parts).alias("_part")).join(rules, "_part")
+            .filter(F.col("description").contains(F.col("_kw")))
+            .groupBy("description").agg(F.min_by("_cat", "_prio").alias("rule_category")))
+
+
+def categorize_with_rule_table(ledger: DataFrame, rules_df: DataFrame,
+                               use_provider: bool = True) -> DataFrame:
+    """Categorise from a rule table given as data (for example a CSV seed).
 
-    Kept for rule tables that arrive as data and must not reach the driver;
-    it shuffles the ledger by id, so ``categorize_with_rule_table`` is the
-    faster choice whenever the rules can be collected.
+    Rules are matched once per distinct description and joined back.
     """
-    n = rules_df.count()
-    if n > max_rules:
-        raise ValueError(f"rule table has {n} rules; at most {max_rules} can be broadcast")
-    rules = rules_df.select(F.col("priority").alias("_prio"),
-                            F.upper(F.col("keyword")).alias("_kw"),
-                            F.col("category").alias("_cat"))
-    hits = (ledger.select("unique_transaction_id", "description")
-            .join(F.broadcast(rules), F.col("description").contains(F.col("_kw")), "inner")
-            .groupBy("unique_transaction_id")
-            .agg(F.min_by("_cat", "_prio").alias("_rule_cat")))
-    joined = ledger.join(hits, "unique_transaction_id", "left")
-    keyword_cat = F.coalesce(F.col("_rule_cat"), F.lit(FALLBACK_CATEGORY))
+    hits = match_rules(ledger, rules_df).withColumnRenamed("description", "_text")
+    joined = ledger.join(hits, F.col("description") == F.col("_text"), "left").drop("_text")
+    cat = F.coalesce(F.col("rule_category"), F.lit(FALLBACK_CATEGORY))
     if use_provider:
-        cat = F.when(valid_provider(F.col("provider_category")),
-                     F.col("provider_category")).otherwise(keyword_cat)
-    else:
-        cat = keyword_cat
-    return (joined.withColumn("category", cat).drop("_rule_cat")
+        cat = F.when(valid_provider(F.col("provider_category")), F.col("provider_category")).otherwise(cat)
+    return (joined.withColumn("category", cat).drop("rule_category")
                   .withColumn("is_uncategorised",
                               F.coalesce(F.col("category") == F.lit(FALLBACK_CATEGORY), F.lit(False))))

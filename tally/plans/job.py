@@ -5,6 +5,9 @@
 
 (on a cluster: spark-submit --py-files tally.zip tally/plans/job.py ...)
 
+With --carry-provider-category the card export's merchant_category is stored
+in the raw card table and takes precedence over the rules.
+
 Steps: validation report (written next to the marts), per-source gated
 incremental load into the raw tables, the four marts written as parquet
 tables (full rebuild), then the mart column tests. Exit status 1 when a
@@ -22,7 +25,7 @@ from pyspark.sql import SparkSession
 
 from tally.operators import quality
 from tally.plans.models import ModelOptions, build_marts
-from tally.schema import BANK, CARD
+from tally.schema import BANK, CARD, PROVIDER_COLUMN
 from tally.sources.loader import SourceFile, load_sources
 from tally.sources.raw import RawStore
 
@@ -30,13 +33,18 @@ from tally.sources.raw import RawStore
 def run(spark: SparkSession, bank: str, card: str, store_root: str, marts_root: str,
         start_date: str = "2024-01-01", full_refresh: bool = False,
         carry_provider_category: bool = False) -> dict:
-    results, summary = quality.validation_report(spark, {"bank": bank, "card": card})
-    summary.write.mode("overwrite").parquet(os.path.join(marts_root, "validation_summary"))
-    results.write.mode("overwrite").parquet(os.path.join(marts_root, "validation_checks"))
-
-    store = RawStore(spark, store_root)
+    checks_path = os.path.join(marts_root, "validation_checks")
+    results, _ = quality.validation_report(spark, {"bank": bank, "card": card})
+    results.write.mode("overwrite").parquet(checks_path)  # the exports are validated once, here
+    summary_path = os.path.join(marts_root, "validation_summary")
+    quality.summarise(spark.read.schema(results.schema).parquet(checks_path)).write.mode("overwrite").parquet(summary_path)
+    summary = spark.read.parquet(summary_path)
+
+    carried = {CARD.raw_table: tuple(PROVIDER_COLUMN.values())} if carry_provider_category else {}
+    store = RawStore(spark, store_root, carry=carried)
     outcome, all_loaded = load_sources(spark, store, [SourceFile("bank", bank), SourceFile("card", card)],
-                                       full_refresh=full_refresh)
+                                       full_refresh=full_refresh,
+                                       carry={"card": PROVIDER_COLUMN} if carry_provider_category else None)
     outcome.write.mode("overwrite").parquet(os.path.join(marts_root, "load_outcome"))
 
     opts = ModelOptions(start_date=start_date, carry_provider_category=carry_provider_category)
@@ -67,10 +75,13 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--carry-provider-category", action="store_true")
     ap.add_argument("--master", default=None, help="only when not submitted (e.g. local[*])")
     a = ap.parse_args(argv)
-    from tally.session import build_session
+    from tally.session import build_session, clean_scratch
     spark = build_session(a.master)
-    out = run(spark, a.bank, a.card, a.store, a.marts, a.start_date, a.full_refresh,
-              a.carry_provider_category)
+    try:
+        out = run(spark, a.bank, a.card, a.store, a.marts, a.start_date, a.full_refresh,
+                  a.carry_provider_category)
+    finally:
+        clean_scratch(spark)
     print(out)
     return 0 if out["all_loaded"] and out["tests_passed"] else 1
 

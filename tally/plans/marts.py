@@ -222,16 +222,20 @@ def _income_windows(g: DataFrame, ordered: bool) -> DataFrame:
 
 
 def _months_from_groups(groups: DataFrame) -> DataFrame:
-    """Income and spend per month from grouped rows (transaction_month,
-    is_income, is_spend, _sum, _n): the sums of the marts' rounded totals."""
+    """Income and spend per month from grouped rows (transaction_month, dim,
+    is_income, _sum, _n): the sums of the marts' rounded totals."""
     r = Money.of(round_half_away(Money.named("_sum").value()))
-    income, spend = F.col("is_income"), F.col("is_spend")
+    income = F.col("is_income")
+    spend = ~income & (F.col("dim") != F.lit("Income"))
+    months = (groups.groupBy("transaction_month")
+              .agg(*r.when(income).sum().columns("_i"), *r.when(spend).sum().columns("_s"),
+                   F.sum(F.when(income, F.col("_n")).otherwise(0)).alias("income_n"),
+                   F.sum(F.when(spend, F.col("_n")).otherwise(0)).alias("spend_n")))
     # A month whose rows are all debits in the Income category has neither
     # side, so neither mart has it and the join would not produce it either.
-    return (groups.filter(income | spend).groupBy("transaction_month")
-            .agg(*r.when(income).sum().columns("_i"), *r.when(spend).sum().columns("_s"),
-                 F.sum(F.when(income, F.col("_n")).otherwise(0)).alias("income_n"),
-                 F.sum(F.when(spend, F.col("_n")).otherwise(0)).alias("spend_n")))
+    # (Filtered here, after the sums: a filter on the groups would be pushed
+    # to the scan and copy the rule CASE into it.)
+    return months.filter((F.col("income_n") > 0) | (F.col("spend_n") > 0))
 
 
 def monthly_activity(categorized: DataFrame, start_date: str = DEFAULT_START_DATE) -> DataFrame:
@@ -244,14 +248,12 @@ def monthly_activity(categorized: DataFrame, start_date: str = DEFAULT_START_DAT
     grouping reads rows; the second adds a few groups a month.
     """
     is_income = ~F.col("is_debit")
-    is_spend = F.col("is_debit") & (F.col("category") != F.lit("Income"))
-    # Only the cheap conjuncts filter rows; the category test is evaluated
-    # as a grouping column so the rule CASE is computed once per row.
+    # Only the cheap conjuncts filter rows; the category is a grouping column,
+    # so the rule CASE is computed once per row.
     rows = categorized.filter(~F.col("is_transfer") & ~F.col("is_payment")
                               & (F.col("transaction_date") >= _start(start_date)))
     dim = F.when(is_income, income_type_expr(F.col("description"))).otherwise(F.col("category"))
-    groups = (rows.groupBy("transaction_month", dim.alias("dim"), "source", is_income.alias("is_income"),
-                           is_spend.alias("is_spend"))
+    groups = (rows.groupBy("transaction_month", dim.alias("dim"), "source", is_income.alias("is_income"))
               .agg(*Money.of(F.col("absolute_amount")).sum().columns("_sum"), F.count(F.lit(1)).alias("_n")))
     return _months_from_groups(groups)
 
@@ -448,10 +450,9 @@ def marts_from_rollup(rollup: DataFrame, start_date: str = DEFAULT_START_DATE,
     kept = ~payment & ~transfer & F.col("in_range")
     spend = _spend_windows(_regroup(r.filter(debit & kept), "category"), ordered)
     income = _income_windows(_regroup(r.filter(~debit & kept), "income_type"), ordered)
-    is_spend = debit & (F.col("category") != F.lit("Income"))
     groups = (r.filter(kept).groupBy("transaction_month",
                                      F.when(~debit, F.col("income_type")).otherwise(F.col("category")).alias("dim"),
-                                     "source", (~debit).alias("is_income"), is_spend.alias("is_spend"))
+                                     "source", (~debit).alias("is_income"))
               .agg(*Money.named("_sum").sum().columns("_sum"), F.sum("_n").alias("_n")))
     savings = savings_from_months(_months_from_groups(groups), start_date)
     if ordered:

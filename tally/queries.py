@@ -15,11 +15,11 @@ from tally.functions.numeric import round_half_away, safe_div
 from tally.functions.text import contains_any, null_tokens_to_null, strip_ws
 from tally.operators import quality
 from tally.operators.ledger import union_ledger
-from tally.operators.rules import categorize_with_rule_table, category_expr, rules_frame
+from tally.operators.rules import categorize_with_rule_table, category_expr, read_rules, rules_frame
 from tally.schema import BANK, CARD, VALID_TRANSACTION_TYPES
 from tally.session import scratch_path
 from tally.sources.adapter import bank_export, card_export, card_export_dirty
-from tally.sources.files import file_readiness, map_to_common, read_source, write_csv
+from tally.sources.files import MALFORMED, file_readiness, map_to_common, read_source, write_csv
 from tally.sources.loader import SourceFile, load_sources
 from tally.sources.raw import RawStore, parse_number, standardise
 from tally.streaming.incremental import stream_load
@@ -137,20 +137,32 @@ def _savings(spark, sf, start=START):
 # sources and sinks
 # --------------------------------------------------------------------------
 
+def _awkward(text):
+    """A description with quotes, a comma and a trailing backslash, as exports may hold them."""
+    return F.concat(F.lit('"Q", '), text, F.lit(' "x" \\'))
+
+
 def q_read_bank(spark, sf):
-    path = write_csv(bank_export(spark, sf), scratch_path(spark, "bank-csv"))
-    return read_source(spark, path, BANK)
+    export = bank_export(spark, sf).withColumn("description", _awkward(F.col("description")))
+    return read_source(spark, write_csv(export, scratch_path(spark, "bank-csv")), BANK).drop(MALFORMED)
 
 
 def q_read_card(spark, sf):
-    path = write_csv(card_export(spark, sf, with_category=True), scratch_path(spark, "card-csv"))
-    return read_source(spark, path, CARD)
+    export = card_export(spark, sf, with_category=True).withColumn("merchant_name", _awkward(F.col("merchant_name")))
+    return read_source(spark, write_csv(export, scratch_path(spark, "card-csv")), CARD).drop(MALFORMED)
 
 
 def q_dq_file_ready(spark, sf):
+    """Readiness of two exports, an empty file and a path without one, with the rows that reading them finds."""
     paths = {"bank": write_csv(bank_export(spark, sf), scratch_path(spark, "bank-csv")),
-             "card": write_csv(card_export(spark, sf), scratch_path(spark, "card-csv"))}
-    return file_readiness(spark, paths).select("source", "status")
+             "card": write_csv(card_export(spark, sf), scratch_path(spark, "card-csv")),
+             "empty": scratch_path(spark, "empty-csv"), "missing": scratch_path(spark, "no-csv")}
+    spark.createDataFrame([], "value string").write.text(paths["empty"])
+    rows = [read_source(spark, paths[s.name], s).agg(F.lit(s.name).alias("source"), F.count(F.lit(1)).alias("n_rows"))
+            for s in (BANK, CARD)]
+    counts = rows[0].unionByName(rows[1])
+    return (file_readiness(spark, paths).join(counts, "source", "left")
+            .select("source", "status", F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows")))
 
 
 def q_standardise(spark, sf):
@@ -209,14 +221,24 @@ def q_mart_roundtrip(spark, sf):
 
 
 def q_load_stream(spark, sf):
-    """Exports land as CSV folders; a bounded stream loads the unseen ones."""
+    """Exports land in two runs; per source one file is good, one has its
+    columns in another order and one repeats ids, and is quarantined. Returns
+    the stored rows."""
     store = RawStore(spark, scratch_path(spark, "raw"))
     results = []
-    for spec, export in ((BANK, bank_export(spark, sf)), (CARD, card_export(spark, sf))):
+    for spec, export, text in ((BANK, bank_export(spark, sf), "description"), (CARD, card_export(spark, sf), "merchant_name")):
         landing = scratch_path(spark, f"landing-{spec.name}")
-        write_csv(export, landing + "/export-1")
-        stream_load(spark, store, spec, landing + "/*", scratch_path(spark, f"stream-ckpt-{spec.name}"),
-                    export.columns)
+        checkpoint = scratch_path(spark, f"stream-ckpt-{spec.name}")
+        late = F.crc32(F.col("transaction_id").cast("binary")) % 3 == 0
+        write_csv(export.filter(~late), landing + "/export-1")
+        bad = export.filter(late).limit(5)
+        write_csv(bad.unionByName(bad).coalesce(1), landing + "/export-2")
+        first = stream_load(spark, store, spec, landing + "/*", checkpoint)
+        if {o["status"] for o in first} != {"loaded", "rejected"}:
+            raise RuntimeError(f"outcomes of the first run: {first}")
+        swapped = [c for c in export.columns if c not in (text, "transaction_type")] + ["transaction_type", text]
+        write_csv(export.filter(late).select(*swapped), landing + "/export-3")
+        stream_load(spark, store, spec, landing + "/*", checkpoint)
         results.append(store.read(spec.raw_table))
     return results[0].unionByName(results[1])
 
@@ -238,9 +260,10 @@ def q_categorize(spark, sf):
 
 
 def q_categorize_rules(spark, sf):
-    """Rule table read from a seed CSV, then applied to the ledger."""
-    path = write_csv(rules_frame(spark), scratch_path(spark, "rules-csv"))
-    rules = spark.read.schema("priority int, keyword string, category string").option("header", True).csv(path)
+    """Rules read from a ``keyword, category`` seed in file order, matched by
+    the rule join (once per distinct description)."""
+    seed = rules_frame(spark).coalesce(1).orderBy("priority").select("keyword", "category")
+    rules = read_rules(spark, write_csv(seed.coalesce(1), scratch_path(spark, "rules-csv")))
     ledger = int_all_transactions(*_raw(spark, sf), OPTS)
     return categorize_with_rule_table(ledger, rules).select(*CAT_COLS)
 
@@ -445,9 +468,17 @@ def _dq_rows(spark, sf, checks: set[str]):
 
 
 def q_dq_columns(spark, sf):
-    a, _ = quality.check_columns(spark, bank_text(spark, sf).columns, BANK)
-    b, _ = quality.check_columns(spark, card_text(spark, sf, with_category=True).columns, CARD)
-    return a.unionByName(b).select(*DQ_COLS)
+    """Written exports, one without its description and one with a further
+    column, validated from their files."""
+    bank = write_csv(bank_export(spark, sf).drop("description"), scratch_path(spark, "bank-csv"))
+    card = write_csv(card_export(spark, sf, with_category=True), scratch_path(spark, "card-csv"))
+    parts = [quality.validate_file(spark, path, name, _as_of(), with_samples=False)
+             for path, name in ((bank, "bank"), (card, "card"), (card, "loan"), (card + "-none", "card"))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    wanted = ("required_columns", "extra_columns", "rows_read", "malformed_rows", "known_source", "file_ready")
+    return out.filter(F.col("check").isin(*wanted)).select(*DQ_COLS)
 
 
 def q_dq_row_count(spark, sf):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
@@ -40,7 +40,6 @@ class SourceSpec:
     amount_column: str = "amount"
     type_column: str = "transaction_type"
     raw_table: str = ""
-    extra_allowed: tuple[str, ...] = field(default_factory=tuple)
 
 
 # File column names of each export and their common names.
@@ -74,4 +73,8 @@ CARD = SourceSpec(
     raw_table="raw_card_transactions",
 )
 
+# The provider's own category, a further column of the card export that a
+# load can carry into the raw table.
+PROVIDER_COLUMN = {"merchant_category": "provider_category"}
+
 SOURCES = {"bank": BANK, "card": CARD}

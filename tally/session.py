@@ -40,7 +40,6 @@ def build_session(master: str | None = None, app: str = "tally",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -67,10 +66,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder under the shared checkpoint location."""
+    return os.path.join(ensure_checkpoint_dir(spark), "tally", spark.sparkContext.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the shared checkpoint location.
 
-    Used for tables and files that a query writes and reads back.
+    Used for tables and files that a query writes and reads back. Results
+    that are not yet computed may still read them; ``clean_scratch`` removes
+    them when an application is done.
     """
-    root = ensure_checkpoint_dir(spark)
-    return os.path.join(root, "tally", f"{name}-{uuid.uuid4().hex[:12]}")
+    return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote to the scratch location."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)

@@ -2,38 +2,84 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tally.functions.text import NULL_TOKENS, null_tokens_to_null
 from tally.schema import SourceSpec
 
 
+# One dialect for writing and reading: a quote inside a quoted cell is doubled
+# and a backslash is an ordinary character.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"',
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+MALFORMED = "_malformed"
+_RECORD = "_record"
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
     """Write an export as header CSV, keeping leading/trailing spaces."""
-    (df.write.mode(mode)
-       .option("header", True)
-       .option("ignoreLeadingWhiteSpace", False)
-       .option("ignoreTrailingWhiteSpace", False)
-       .csv(path))
+    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
     return path
 
 
-def read_csv_text(spark: SparkSession, path: str,
-                  null_tokens: tuple[str, ...] = NULL_TOKENS) -> DataFrame:
+def read_csv_text(spark: SparkSession, path: str | list[str],
+                  null_tokens: tuple[str, ...] = NULL_TOKENS, multi_line: bool = False,
+                  columns: list[str] | None = None, with_file: bool = False) -> DataFrame:
     """Read a header CSV with every column as text, named by the header.
 
-    No schema is passed: the CSV source would then bind by position and
-    hide a missing or reordered column. No inference either: ids keep
-    leading zeros and a bad cell cannot fail the read. Cells holding a
-    null token become NULL.
+    The header of the first file (or ``columns``) names the columns, and the
+    header of every other file must agree with it: a file whose columns stand
+    in another order stops the read instead of being bound by position. No
+    types are inferred: ids keep leading zeros and a bad cell cannot fail the
+    read. Cells holding a null token become NULL. ``_malformed`` marks rows with
+    more fields than the header; missing fields at a row's end are NULL.
+    ``multi_line`` allows line breaks inside quoted cells (files are then
+    not split). ``with_file`` adds each row's file as ``_file``.
     """
-    df = spread(spark.read.option("header", True)
-                .option("inferSchema", False)
-                .option("mode", "PERMISSIVE")
-                .csv(path))
-    return df.select(*[null_tokens_to_null(F.col(f"`{c}`"), null_tokens).alias(c)
-                       for c in df.columns])
+    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line)
+    names = columns or reader.option("inferSchema", False).csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, _RECORD]])
+    df = (spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line).schema(schema)
+          .option("enforceSchema", False).option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", _RECORD).csv(path))
+    bare = F.regexp_replace(F.col(_RECORD), r'"(?:[^"]|"")*"', "")
+    commas = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
+    file = [F.col("_metadata.file_path").alias("_file")] if with_file else []
+    return df.select(*[null_tokens_to_null(F.col(f"`{c}`"), null_tokens).alias(c) for c in names],
+                     F.coalesce(commas >= F.lit(len(names)), F.lit(False)).alias(MALFORMED), *file)
+
+
+def plain_path(spark: SparkSession, uri: str) -> str:
+    """The path that a file's URI names, as readers take it."""
+    jvm = spark.sparkContext._jvm
+    return jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)).toString()
+
+
+def header_line(spark: SparkSession, path: str) -> str:
+    """The first line of one file, read through the cluster's file system."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    stream = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(jpath)
+    try:
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    return line or ""
+
+
+def header_columns(line: str) -> list[str]:
+    """Column names of a header line."""
+    return next(csv.reader([line.removeprefix("\ufeff")]), [])
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder of our own."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
 def map_to_common(df: DataFrame, spec: SourceSpec,
@@ -42,16 +88,19 @@ def map_to_common(df: DataFrame, spec: SourceSpec,
     and add the source constant (the reader's projection).
 
     ``carry`` keeps further file columns under a new name, e.g. the card
-    provider's ``merchant_category`` as ``provider_category``.
+    provider's ``merchant_category`` as ``provider_category``. The mark of
+    malformed rows stays where the reader made one.
     """
     cols = [F.col(f"`{src}`").alias(dst) for src, dst in spec.column_map.items()]
     extra = [F.col(f"`{src}`").alias(dst) for src, dst in (carry or {}).items()]
-    return df.select(*cols, F.lit(spec.name).alias("source"), *extra)
+    mark = [F.col(MALFORMED)] if MALFORMED in df.columns else []
+    return df.select(*cols, F.lit(spec.name).alias("source"), *extra, *mark)
 
 
-def read_source(spark: SparkSession, path: str, spec: SourceSpec) -> DataFrame:
+def read_source(spark: SparkSession, path: str | list[str], spec: SourceSpec, multi_line: bool = False,
+                carry: dict[str, str] | None = None) -> DataFrame:
     """Bank or card CSV scan: read by header, rename, project, tag."""
-    return map_to_common(read_csv_text(spark, path), spec)
+    return map_to_common(read_csv_text(spark, path, multi_line=multi_line), spec, carry)
 
 
 def file_readiness(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
@@ -76,26 +125,3 @@ def file_readiness(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
         rows.append((source, path, status, n_files, n_bytes))
     return spark.createDataFrame(
         rows, "source string, path string, status string, n_files long, n_bytes long")
-
-
-def spread(df: DataFrame, min_fraction: float = 0.5, max_splits: int = 64) -> DataFrame:
-    """Spread an under-partitioned input over the cluster's cores.
-
-    A single unsplittable file (one parquet row group, one gzip CSV) is read
-    by one task, and everything up to the first shuffle (parsing, the rule
-    CASE) would then run on one core. When the scan yields fewer than
-    ``min_fraction`` x default-parallelism partitions, and fewer than
-    ``max_splits`` in any case, the rows are hash partitioned on all their
-    columns. A well-split input (the normal case for large data) is returned
-    unchanged, with no extra shuffle; the absolute cap keeps a big cluster
-    from reshuffling a large, already well-split input only to widen it
-    further. Only inputs read by fewer than ``max_splits`` tasks are moved.
-
-    Hashing whole rows is deterministic, so a retried task sends every row to
-    the same place without the per-task sort that round-robin partitioning
-    needs for that; only byte-identical rows share a task.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < max(2, min(int(target * min_fraction), max_splits)):
-        return df.repartition(target, *[F.col(f"`{c}`") for c in df.columns])
-    return df

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import uuid
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,10 +17,9 @@ from tally.schema import COMMON_COLUMNS, RAW_SCHEMA
 # Accepted date layouts besides ISO (which a plain cast already parses).
 DATE_FORMATS = ("MM/dd/yyyy", "yyyy/MM/dd", "dd-MMM-yyyy")
 
-# Largest batch (rows) whose ids are broadcast for the stored-id lookup.
-# Ids are a few dozen bytes, so this bounds each broadcast near 100 MB; above
-# it the lookups are shuffle joins.
-BROADCAST_BATCH_ROWS = 2_000_000
+# Buckets of a new raw table; an existing table keeps its own number. Choose
+# it so that a bucket's ids fit a task when the table is full-grown.
+BUCKETS = 64
 
 
 def parse_timestamp(col: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
@@ -72,99 +71,119 @@ def standardise(df: DataFrame) -> DataFrame:
     )
 
 
-def to_raw_contract(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_SCHEMA.fields])
-
-
-def _by_date(df: DataFrame) -> DataFrame:
-    """Order each write task's rows by date (no shuffle), so every parquet
-    row group covers a narrow date range and a date filter pushed into the
-    scan (the marts' start date) skips whole row groups."""
-    return df.sortWithinPartitions("date")
+def to_raw_contract(df: DataFrame, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
+    """The raw columns, typed; a carried column that the batch lacks is NULL."""
+    have = set(df.columns)
+    return df.select(*[(F.col(f.name) if f.name in have or f.name in COMMON_COLUMNS else F.lit(None))
+                       .cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 @dataclass
 class LoadResult:
     table: str
     rows_loaded: int
-    batch_rows: int
-    already_stored: int
 
 
 class RawStore:
-    """Raw tables stored as parquet folders under one shared root."""
+    """Raw tables stored as parquet under one shared root, bucketed by id.
+
+    Bucketing keeps each id's rows in a known bucket: a load shuffles its own
+    batch to the buckets and reads the stored ids where they lie, without
+    moving them. Within a bucket's file rows are ordered by date, so that a
+    date filter skips row groups. ``carry`` names further text columns of a
+    table that are stored besides the contract's (by table).
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, carry: dict[str, tuple[str, ...]] | None = None,
+                 buckets: int = BUCKETS):
         self.spark = spark
         self.root = root
+        self.carry = carry or {}
+        self.buckets = buckets
 
     def path(self, table: str) -> str:
         return os.path.join(self.root, table)
 
+    def schema(self, table: str) -> T.StructType:
+        extra = [T.StructField(c, T.StringType()) for c in self.carry.get(table, ())]
+        return T.StructType([*RAW_SCHEMA.fields, *extra])
+
+    def _file(self, path: str):
+        jpath = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return jpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
     def exists(self, table: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        jpath = jvm.org.apache.hadoop.fs.Path(self.path(table))
-        fs = jpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        fs, jpath = self._file(self.path(table))
         return fs.exists(jpath)
 
+    def _table(self, table: str) -> str:
+        """The session's name of a stored table, registered over its folder.
+
+        The number of buckets is kept beside the folder, as a table's files
+        can be read with that number only.
+        """
+        fs, note = self._file(os.path.join(self.root, f"_{table}.buckets"))
+        if fs.exists(note):
+            stream = fs.open(note)
+            buckets = int(stream.readInt())
+            stream.close()
+        else:
+            buckets = self.buckets
+            stream = fs.create(note, True)
+            stream.writeInt(buckets)
+            stream.close()
+        schema = self.schema(table)
+        key = hashlib.md5(f"{self.path(table)}|{buckets}|{schema.simpleString()}".encode()).hexdigest()[:16]
+        name = f"tally_raw_{key}"
+        if not self.spark.catalog.tableExists(name):
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+            where = self.path(table).replace("\\", "\\\\").replace("'", "\\'")
+            self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (transaction_id) "
+                           f"SORTED BY (date) INTO {buckets} BUCKETS LOCATION '{where}'")
+        return name
+
     def read(self, table: str) -> DataFrame:
         if not self.exists(table):
-            return self.spark.createDataFrame([], RAW_SCHEMA)
-        return self.spark.read.schema(RAW_SCHEMA).parquet(self.path(table))
-
-    def load(self, batch: DataFrame, table: str, full_refresh: bool = False,
-             batch_rows: int | None = None) -> LoadResult:
+            return self.spark.createDataFrame([], self.schema(table))
+        name = self._table(table)
+        self.spark.catalog.refreshTable(name)
+        return self.spark.table(name)
+
+    def _write(self, rows: DataFrame, table: str, overwrite: bool) -> int:
+        """Insert rows, each bucket by one task, and count them as they are written."""
+        name = self._table(table)
+        buckets = self.spark.sql(f"DESCRIBE EXTENDED {name}").filter("col_name = 'Num Buckets'").first()["data_type"]
+        written = Observation(f"load_{table}_{uuid.uuid4().hex[:12]}")
+        (rows.repartition(int(buckets), "transaction_id").observe(written, F.count(F.lit(1)).alias("rows"))
+         .write.insertInto(name, overwrite=overwrite))
+        self.spark.catalog.refreshTable(name)
+        return int(written.get["rows"])
+
+    def new_rows(self, batch: DataFrame, table: str) -> DataFrame:
+        """The batch's rows whose id is not stored yet.
+
+        The stored side is read bucket by bucket and is not shuffled; which
+        side is broadcast, if any, is left to the planner, by bytes. A
+        missing id counts as an id of its own: it is new only while no row
+        without an id is stored.
+        """
+        stored = self.read(table).select(F.col("transaction_id").alias("_stored"))
+        known = batch.filter(F.col("transaction_id").isNotNull()).join(
+            stored.filter(F.col("_stored").isNotNull()), F.col("transaction_id") == F.col("_stored"), "left_anti")
+        if not stored.filter(F.col("_stored").isNull()).isEmpty():
+            return known
+        return known.unionByName(batch.filter(F.col("transaction_id").isNull()))
+
+    def load(self, batch: DataFrame, table: str, full_refresh: bool = False) -> LoadResult:
         """Insert rows whose id is not stored yet; never update stored rows.
 
-        ``full_refresh`` replaces the table with the batch. Otherwise the
-        stored ids that also occur in the batch are found with a semi-join
-        that broadcasts the batch ids when the batch is within the checked
-        bound (the stored table is then scanned, never shuffled), and the
-        batch is anti-joined against them. Those matched ids are at most the
-        batch's distinct ids, so broadcasting them has the same bound. The
-        append is a single job: the stored files are listed when the job is
-        planned, so the rows it adds are never read back by it, and the
-        number of rows written is counted as they are written (an observed
-        metric), not by another pass.
+        ``full_refresh`` replaces the table with the batch. Loading the same
+        batch again adds nothing, rows without an id included. Stored files
+        are listed when the insert is planned, so the rows that it adds are
+        not read back by it.
         """
-        source_cached = batch.is_cached
-        batch = to_raw_contract(batch)
-        written = Observation(f"load_{table}_{uuid.uuid4().hex[:12]}")
-        counted = F.count(F.lit(1)).alias("rows")
+        batch = to_raw_contract(batch, self.schema(table))
         if full_refresh or not self.exists(table):
-            _by_date(batch.observe(written, counted)).write.mode("overwrite").parquet(self.path(table))
-            n = int(written.get["rows"])
-            return LoadResult(table, n, n, 0)
-        # The batch is read three times below (its size, its ids, the rows to
-        # append); keep it once unless the caller already did.
-        owned = not source_cached
-        if owned:
-            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            return self._append_new(batch, table, written, counted, batch_rows)
-        finally:
-            if owned:
-                batch.unpersist()
-
-    def _append_new(self, batch: DataFrame, table: str, written: Observation, counted: Column,
-                    batch_rows: int | None) -> LoadResult:
-        if batch_rows is None:
-            batch_rows = batch.count()
-        if batch_rows == 0:
-            return LoadResult(table, 0, 0, 0)
-
-        small = batch_rows <= BROADCAST_BATCH_ROWS
-        batch_ids = batch.select("transaction_id").filter(F.col("transaction_id").isNotNull())
-        stored_ids = self.read(table).select("transaction_id")
-        hits = stored_ids.join(F.broadcast(batch_ids) if small else batch_ids,
-                               "transaction_id", "left_semi").distinct()
-        delta = batch.join(F.broadcast(hits) if small else hits, "transaction_id", "left_anti")
-        _by_date(delta.select(*COMMON_COLUMNS).observe(written, counted)) \
-            .write.mode("append").parquet(self.path(table))
-        n = int(written.get["rows"])
-        return LoadResult(table, n, batch_rows, batch_rows - n)
-
-
-def persist_batch(df: DataFrame) -> DataFrame:
-    """Keep a standardised batch across the gate and the load (spills to disk)."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+            return LoadResult(table, self._write(batch, table, overwrite=True))
+        n = self._write(self.new_rows(batch, table), table, overwrite=False)
+        return LoadResult(table, n)

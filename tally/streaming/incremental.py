@@ -1,55 +1,131 @@
-"""Incremental load as a bounded Structured Streaming job.
-
-New CSV exports land in a folder; a file-source stream picks up only files
-it has not seen (the checkpoint remembers them), and each micro-batch runs
-the same standardisation, gate and stored-id anti-join as the batch load.
-The ``availableNow`` trigger processes what is there and stops, so the job
-can be scheduled like a batch job and resumes where it left off after a
-failure (the checkpoint lives in the shared checkpoint folder).
+"""Incremental load as a bounded Structured Streaming job, gated file by file.
+
+New CSV exports land in a folder; a file-source stream names the files it has
+not seen (the checkpoint remembers them). Each file is read by its own
+header, standardised and gated on its own: files that pass are loaded together
+through the stored-id anti-join, files that fail are recorded in a quarantine
+table with their path and reason, and no good file waits for a bad one. Every
+run first tries the quarantined files again, so a file corrected in place is
+loaded then. The ``availableNow`` trigger processes what is there and stops, so
+the job can be scheduled like a batch job and resumes where it left off after
+a failure (the checkpoint lives in the shared checkpoint folder).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
-from tally.operators.quality import load_gate
+from tally.operators.quality import gate_reason, load_gate
 from tally.schema import SourceSpec
-from tally.sources.files import map_to_common
-from tally.functions.text import null_tokens_to_null
-from tally.sources.raw import RawStore, persist_batch, standardise
-from pyspark.sql import functions as F
+from tally.session import scratch_path
+from tally.sources.files import header_columns, header_line, map_to_common, plain_path, read_csv_text, remove
+from tally.sources.raw import RawStore, standardise
+
+#: Files of one micro-batch: each one's header is read before its rows.
+MAX_FILES = 200
+
+QUARANTINE_SCHEMA = "file string, status string, reason string, at timestamp"
+
+
+def _quarantine_path(store: RawStore, table: str) -> str:
+    return store.path(f"{table}_quarantine")
+
+
+def _note(spark: SparkSession, store: RawStore, table: str, rows: list[tuple[str, str, str | None]]) -> None:
+    if rows:
+        (spark.createDataFrame(rows, "file string, status string, reason string")
+         .withColumn("at", F.current_timestamp()).coalesce(1)
+         .write.mode("append").parquet(_quarantine_path(store, table)))
+
+
+def quarantined(spark: SparkSession, store: RawStore, table: str) -> DataFrame:
+    """Files whose last attempt failed: file, reason, at."""
+    if not store.exists(f"{table}_quarantine"):
+        return spark.createDataFrame([], "file string, reason string, at timestamp")
+    notes = spark.read.schema(QUARANTINE_SCHEMA).parquet(_quarantine_path(store, table))
+    last = notes.groupBy("file").agg(F.max_by(F.struct("status", "reason", "at"), "at").alias("last"))
+    return last.filter("last.status = 'rejected'").select("file", "last.reason", "last.at")
+
+
+def load_files(spark: SparkSession, store: RawStore, spec: SourceSpec, files: list[str], table: str) -> list[dict]:
+    """Gate each file on its own and load those that pass; one outcome per file."""
+    outcomes: dict[str, dict] = {}
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for f in sorted(files):
+        try:
+            columns = tuple(header_columns(header_line(spark, plain_path(spark, f))))
+        except Exception as e:  # noqa: BLE001 - an unreadable file must not stop the others
+            outcomes[f] = {"file": f, "status": "rejected", "rows_loaded": 0, "reason": f"{type(e).__name__}: {e}"}
+            continue
+        missing = sorted(set(spec.column_map) - set(columns))
+        if missing or len(set(columns)) < len(columns):
+            reason = f"header lacks {missing}" if missing else "header repeats a column"
+            outcomes[f] = {"file": f, "status": "rejected", "rows_loaded": 0, "reason": reason}
+        else:
+            groups.setdefault(columns, []).append(f)
+    if groups:
+        # One read per set of equal headers; rows are then united by name.
+        parts = [standardise(map_to_common(read_csv_text(spark, [plain_path(spark, f) for f in fs], columns=list(cols),
+                                                         with_file=True), spec, {"_file": "_file"}))
+                 for cols, fs in groups.items()]
+        staged_path = scratch_path(spark, f"stream-{spec.name}")
+        try:
+            batch = reduce(DataFrame.unionByName, parts)
+            batch.write.parquet(staged_path)
+            staged = spark.read.schema(batch.schema).parquet(staged_path)
+            gates = {r["_file"]: r for r in load_gate(staged, spec.name, by="_file").collect()}
+            good = []
+            for f in (f for fs in groups.values() for f in fs):
+                gate = gates.get(f)
+                if gate is not None and gate["passed"]:
+                    good.append((f, gate["rows"]))
+                else:
+                    reason = gate_reason(gate) if gate is not None else "rows=0"
+                    outcomes[f] = {"file": f, "status": "rejected", "rows_loaded": 0, "reason": reason}
+            # An id in several files of one batch is loaded from the first of them by name.
+            passed = staged.join(F.broadcast(spark.createDataFrame([g[:1] for g in good], "_file string")), "_file",
+                                 "left_semi") if good else None
+            if passed is not None:
+                first = passed.groupBy("transaction_id").agg(F.min("_file").alias("_first"))
+                rows = passed.join(first, passed["transaction_id"].eqNullSafe(first["transaction_id"])
+                                   & (passed["_file"] == first["_first"]), "left_semi")
+                n = store.load(rows, table).rows_loaded
+                for f, _ in good:
+                    outcomes[f] = {"file": f, "status": "loaded", "rows_loaded": n, "reason": None}
+                    n = 0  # the rows of a batch are counted once
+        finally:
+            remove(spark, staged_path)
+    return [outcomes[f] for f in sorted(outcomes)]
 
 
 def stream_load(spark: SparkSession, store: RawStore, spec: SourceSpec, landing: str,
-                checkpoint: str, file_columns: list[str], table: str | None = None,
-                max_files_per_trigger: int | None = None) -> list[dict]:
-    """Load every not-yet-seen export in ``landing``; returns per-batch outcomes.
+                checkpoint: str, table: str | None = None, max_files_per_trigger: int = MAX_FILES) -> list[dict]:
+    """Load every not-yet-seen export in ``landing``, and quarantined files that now pass.
 
-    A stream needs its schema up front: all ``file_columns`` are read as text
-    (by name, from the header), as the batch reader does.
+    Returns one outcome per file tried. A micro-batch is committed when its
+    files are loaded or noted in quarantine; loading one again adds nothing.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in file_columns])
-    reader = (spark.readStream.schema(schema).option("header", True)
-              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.csv(landing)
+    table = table or spec.raw_table
     outcomes: list[dict] = []
 
+    def attempt(files: list[str]) -> None:
+        done = load_files(spark, store, spec, files, table)
+        _note(spark, store, table, [(o["file"], o["status"], o["reason"]) for o in done])
+        outcomes.extend(done)
+
+    again = [r["file"] for r in quarantined(spark, store, table).collect()]
+    for k in range(0, len(again), max_files_per_trigger):
+        attempt(again[k:k + max_files_per_trigger])
+
     def handle(batch_df: DataFrame, batch_id: int) -> None:
-        text = batch_df.select(*[null_tokens_to_null(F.col(f"`{c}`")).alias(c) for c in batch_df.columns])
-        batch = persist_batch(standardise(map_to_common(text, spec)))
-        try:
-            gate = load_gate(batch, spec.name).first()
-            if not gate["passed"]:
-                outcomes.append({"batch_id": batch_id, "status": "failed", "rows_loaded": 0})
-                return
-            res = store.load(batch, table or spec.raw_table, batch_rows=int(gate["rows"]))
-            outcomes.append({"batch_id": batch_id, "status": "loaded", "rows_loaded": res.rows_loaded})
-        finally:
-            batch.unpersist()
+        attempt([r["file"] for r in batch_df.select("file").distinct().collect()])
 
+    # The stream only names new files; their rows are read by their headers.
+    stream = (spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger).load(landing)
+              .select(F.col("_metadata.file_path").alias("file")))
     query = (stream.writeStream.foreachBatch(handle)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
