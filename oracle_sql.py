@@ -494,7 +494,11 @@ def operator_queries() -> dict[str, str]:
             SELECT 'card', CASE WHEN {dup_free(card_export_sql())} THEN 'loaded' ELSE 'failed' END,
                    CASE WHEN {dup_free(card_export_sql())} THEN (SELECT count(*) FROM lineitem) ELSE 0 END""",
         "mart_roundtrip": with_(base, sp) + "\nSELECT * FROM mart_monthly_spend",
-        "load_stream": stored_all,
+        "load_stream": "\nUNION ALL\n".join(
+            f"SELECT {raw_cols} FROM ({std}) WHERE {late} AND {dup_free(f'SELECT * FROM ({export}) WHERE {late}')}"
+            for std, export in ((std_bank(), bank_export_sql()), (std_card(), card_export_sql()))
+            for late in ("right(transaction_id, 1) IN ('0', '3', '6', '9')",
+                         "right(transaction_id, 1) NOT IN ('0', '3', '6', '9')")),
         # projections, filters, classification
         "union_ledger": with_(base) + """
 SELECT transaction_id, transaction_date, description, amount, is_debit, absolute_amount,
@@ -523,7 +527,7 @@ FROM mart_savings_rate""",
             + "\nSELECT * FROM mart_savings_rate",
         # joins
         "join_self_left": with_(base)
-            + "\nSELECT unique_transaction_id, description, category FROM cat",
+            + "\nSELECT unique_transaction_id, a.description, b.category FROM cat a LEFT JOIN cat b USING (unique_transaction_id)",
         "join_full_outer": with_(base, sp, inc, sav) + """
 """ + joined_select(),
         # aggregates

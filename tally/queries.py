@@ -221,23 +221,21 @@ def q_mart_roundtrip(spark, sf):
 
 
 def q_load_stream(spark, sf):
-    """Exports land in two runs; per source one file is good, one has its
-    columns in another order and one repeats ids, and is quarantined. Returns
-    the stored rows."""
+    """Exports land in two runs: of the first run's files one repeats ids and
+    is quarantined, the second run's has its columns in another order.
+    Returns the stored rows."""
     store = RawStore(spark, scratch_path(spark, "raw"))
     results = []
     for spec, export, text in ((BANK, bank_export(spark, sf), "description"), (CARD, card_export(spark, sf), "merchant_name")):
         landing = scratch_path(spark, f"landing-{spec.name}")
         checkpoint = scratch_path(spark, f"stream-ckpt-{spec.name}")
-        late = F.crc32(F.col("transaction_id").cast("binary")) % 3 == 0
-        write_csv(export.filter(~late), landing + "/export-1")
+        late = F.right("transaction_id", F.lit(1)).isin("0", "3", "6", "9")
+        write_csv(export.filter(~late).coalesce(1), landing + "/export-1")
         bad = export.filter(late).limit(5)
         write_csv(bad.unionByName(bad).coalesce(1), landing + "/export-2")
-        first = stream_load(spark, store, spec, landing + "/*", checkpoint)
-        if {o["status"] for o in first} != {"loaded", "rejected"}:
-            raise RuntimeError(f"outcomes of the first run: {first}")
+        stream_load(spark, store, spec, landing + "/*", checkpoint)
         swapped = [c for c in export.columns if c not in (text, "transaction_type")] + ["transaction_type", text]
-        write_csv(export.filter(late).select(*swapped), landing + "/export-3")
+        write_csv(export.filter(late).select(*swapped).coalesce(1), landing + "/export-3")
         stream_load(spark, store, spec, landing + "/*", checkpoint)
         results.append(store.read(spec.raw_table))
     return results[0].unionByName(results[1])
