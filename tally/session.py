@@ -17,6 +17,10 @@ _DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM never compiles methods of more than 8000 bytes of code; a stage
+    # whose one generated method is larger runs interpreted. Below this limit
+    # Spark generates smaller methods for it instead (the rule CASE: half the time).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
