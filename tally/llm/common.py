@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,6 +53,39 @@ def crc_bucket(col, mod: int):
     return F.crc32(col.cast("string").cast("binary")) % mod
 
 
+def give_back() -> None:
+    """Return freed memory of this Python worker to the system.
+
+    Workers are reused by later stages; without this each would keep the
+    most memory that any earlier stage needed.
+    """
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def tidy(run):
+    """A function over a task's batches that gives memory back when it ends."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return wrapped
+
+
+def tidy_group(run):
+    """The same for a function over a group's rows."""
+    def wrapped(group):
+        try:
+            return run(group)
+        finally:
+            give_back()
+    return wrapped
+
+
 def chunks(batch: pa.RecordBatch, text: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Row slices of a batch of about ``limit`` bytes of text each."""
     if batch.num_rows == 0:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tally.llm.common import materialise, table
+from tally.llm.common import materialise, table, tidy_group
 from tally.llm.components import connected_components
 
 THRESHOLD = 0.98
@@ -181,7 +181,7 @@ def _meet(lists: DataFrame, nodes: DataFrame, keep: int, bins: int) -> DataFrame
     there = (lists.select(F.col("a").alias("at"), F.col("b").alias("node")).unionByName(back)
              .unionByName(lists.select(F.col("a").alias("at"), F.col("a").alias("node"))).distinct())
     return (there.join(nodes.select("node", "unit"), "node").withColumn("bin", F.pmod(F.xxhash64("at"), F.lit(bins)))
-            .groupBy("bin").applyInPandas(_meetings(keep), PAIRS))
+            .groupBy("bin").applyInPandas(tidy_group(_meetings(keep)), PAIRS))
 
 
 def _exact(lists: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
@@ -315,7 +315,7 @@ def link_counts(nodes: DataFrame, edges: DataFrame, full: DataFrame, members: Da
                          .withColumn("blk", F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks"))), "knn-dense")
     met = (inside.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
            .withColumn("i", F.least("blk", "other")).withColumn("j", F.greatest("blk", "other")))
-    exact = (met.groupBy("root", "i", "j").applyInPandas(_count_blocks(threshold), "node long, n long")
+    exact = (met.groupBy("root", "i", "j").applyInPandas(tidy_group(_count_blocks(threshold)), "node long, n long")
              .groupBy("node").agg(F.sum("n").alias("n")))
     rest = (both.join(inside.select(F.col("node").alias("a")), "a", "left_anti")
             .join(nodes.select(F.col("node").alias("b"), "copies"), "b").groupBy(F.col("a").alias("node"))

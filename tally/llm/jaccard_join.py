@@ -48,13 +48,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tally.llm.common import chunks, id_and_text, materialise, table
+from tally.llm.common import chunks, id_and_text, materialise, table, tidy, tidy_group
 from tally.llm.components import Forest, connected_components
 from tally.llm.shingles import scramble, shingle_sets
 
 WIDTH, PERCENT = 5, 75
 #: Tokens aimed at in a bucket (the number of buckets grows with the texts), and bytes of text a token stands for.
-BUCKET_TOKENS, TOKEN_BYTES = 3_000_000, 6
+BUCKET_TOKENS, TOKEN_BYTES = 2_000_000, 6
 #: Classes joined in one task at a time.
 BLOCK = 1024
 #: A token held by this share of a chunk's texts (and so many at least) is counted per chunk.
@@ -180,39 +180,48 @@ def _count(buckets: int):
             return out[COUNTED]
         rows: list[tuple] = []
         plain, hot = pdf[pdf["kind"] == PIECES], pdf[pdf["kind"] == HOT_COUNTS]
-        cls = [np.frombuffer(x, np.int64) for x in plain["cls"]]
-        sizes = [_sizes_of(c, len(x)) for c, x in zip(plain["cnt"], cls)]
-        key = np.concatenate([np.zeros(0, _U), *(_unpack5(x) for x in plain["tok"])])
+        base = _U(bucket) << _U(40)
+        hot_keys = [_unpack5(x) for x in hot["tok"]]
+        hot_values, place = np.unique(np.concatenate([np.zeros(0, _U), *hot_keys]), return_inverse=True)
+        seen: set[int] = set()  # a class from several chunks counts once
+        cls, key, owner = [], [], []
+        for c, n, t in zip(plain["cls"], plain["cnt"], plain["tok"]):
+            c = np.frombuffer(c, np.int64)
+            n = _sizes_of(n, len(c))
+            once = np.array([x not in seen for x in c.tolist()])
+            seen.update(c.tolist())
+            key.append(_unpack5(t)[np.repeat(once, n)])
+            owner.append(np.repeat(np.arange(once.sum(), dtype=np.int32) + np.int32(sum(map(len, cls))), n[once]))
+            cls.append(c[once])
+        del plain, pdf, seen
         cls = np.concatenate([np.zeros(0, np.int64), *cls])
-        sizes = np.concatenate([np.zeros(0, np.int64), *sizes])
-        del plain
-        _, first = np.unique(cls, return_index=True)  # a class from several chunks counts once
-        once = np.zeros(len(cls), bool)
-        once[first] = True
-        key, cls, sizes = key[np.repeat(once, sizes)], cls[once], sizes[once]
-        owner = np.repeat(np.arange(len(cls), dtype=np.int32), sizes)
+        key = np.concatenate([np.zeros(0, _U), *key])
+        owner = np.concatenate([np.zeros(0, np.int32), *owner])
         order = np.argsort(key)
-        key, owner = key[order], owner[order]
-        del order
+        key = key[order]
+        # Tokens of one class alone go here, before anything is made of them.
+        same = key[1:] == key[:-1]
+        shared = np.append(same, False) | np.append(False, same)
+        if len(hot_values):
+            at = np.minimum(np.searchsorted(hot_values, key), len(hot_values) - 1)
+            shared |= hot_values[at] == key
+        key, owner = key[shared], owner[order[shared]]
+        del order, same, shared
         heads = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
-        values, df = key[heads], np.diff(np.append(heads, len(key)))
-        own = df.copy()
-        if len(hot):
-            hk = [_unpack5(x) for x in hot["tok"]]
-            hn = np.concatenate([np.frombuffer(x, "<i8") for x in hot["cnt"]])
-            hot_values, place = np.unique(np.concatenate(hk), return_inverse=True)
-            hot_df = np.bincount(place, weights=hn).astype(np.int64)
+        own = np.diff(np.append(heads, len(key)))
+        df = own.copy()
+        if len(hot_values):
+            hot_df = np.bincount(place, weights=np.concatenate([np.frombuffer(x, "<i8") for x in hot["cnt"]])).astype(np.int64)
+            values = key[heads]
             at = np.searchsorted(values, hot_values)
             known = at < len(values)
             known[known] = values[at[known]] == hot_values[known]
-            hot_df[known] += df[at[known]]
+            hot_df[known] += own[at[known]]
             df[at[known]] = hot_df[known]
-            base = _U(bucket) << _U(40)
-            for chunk, k in zip(hot["chunk"], hk):
+            for chunk, k in zip(hot["chunk"], hot_keys):
                 rows.append((HOT_COUNTS, 0, int(chunk), b"", b"", (k | base).astype("<u8").tobytes(),
                              hot_df[np.searchsorted(hot_values, k)].astype("<u4").tobytes()))
-        keep = np.repeat(df >= 2, own)
-        rows += _by_group(cls[owner[keep]], key[keep] | (_U(bucket) << _U(40)), np.repeat(df, own)[keep], buckets)
+        rows += _by_group(cls[owner], key | base, np.repeat(df, own), buckets)
         return pd.DataFrame(rows, columns=COUNTED)
     return run
 
@@ -352,7 +361,7 @@ def links(cand: DataFrame) -> DataFrame:
         F.when(large, F.pmod(F.xxhash64("cls"), F.ceil(F.col("size") / F.lit(BLOCK // 2)))).otherwise(
             F.pmod(F.xxhash64("grp"), F.lit(bins))).alias("blk"))
     dealt = materialise(cand.join(placed, "cls"), "jaccard-dealt")
-    edges = materialise(dealt.groupBy("grp", "blk").applyInPandas(_join_known, "a long, b long"), "jaccard-edges")
+    edges = materialise(dealt.groupBy("grp", "blk").applyInPandas(tidy_group(_join_known), "a long, b long"), "jaccard-edges")
     if largest <= BLOCK:
         return edges
     cand = dealt.filter("grp is not null").drop("grp", "blk")  # from here on, of large groups only
@@ -371,7 +380,7 @@ def links(cand: DataFrame) -> DataFrame:
         stand = stand.withColumn("k", F.expr(rank.format("at"))).filter(F.col("k") <= STAND_INS)
         span *= MEET
         up = (cand.join(stand.select("cls", "grp", "root", F.floor(F.col("blk") / F.lit(span)).alias("up")), "cls")
-              .groupBy("grp", "up").applyInPandas(_join_known, "a long, b long"))
+              .groupBy("grp", "up").applyInPandas(tidy_group(_join_known), "a long, b long"))
         new = materialise(up, "jaccard-up")
         edges, big_edges = edges.unionByName(new), big_edges.unionByName(new)
     rooted = materialise(_rooted(big, big_edges), "jaccard-rooted")
@@ -387,7 +396,7 @@ def links(cand: DataFrame) -> DataFrame:
     turns = ask.select("grp", "blk", "turn").distinct()
     rows = ask.withColumn("outside", F.lit(True)).unionByName(
         rooted.join(turns, ["grp", "blk"]).withColumn("outside", F.lit(False)))
-    last = (cand.join(rows, "cls").groupBy("grp", "blk", "turn").applyInPandas(_join_left, "a long, b long"))
+    last = (cand.join(rows, "cls").groupBy("grp", "blk", "turn").applyInPandas(tidy_group(_join_left), "a long, b long"))
     return edges.unionByName(materialise(last, "jaccard-last"))
 
 
@@ -414,13 +423,13 @@ def _found(docs: DataFrame) -> DataFrame:
     named = docs.select("doc_id", _class_of(F.col("text")).alias("cls"), "text")
     size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // (TOKEN_BYTES * BUCKET_TOKENS)))
-    packed = named.select("cls", "text").mapInArrow(_blocks(buckets), BLOCK_SCHEMA)
-    counted = materialise(packed.groupBy("bucket").applyInPandas(_count(buckets), COUNTED_SCHEMA), "jaccard-counted")
+    packed = named.select("cls", "text").mapInArrow(tidy(_blocks(buckets)), BLOCK_SCHEMA)
+    counted = materialise(packed.groupBy("bucket").applyInPandas(tidy_group(_count(buckets)), COUNTED_SCHEMA), "jaccard-counted")
     hot = (counted.filter(F.col("kind") == HOT_COUNTS).groupBy("chunk")
            .cogroup(counted.filter(F.col("kind") == HOT_MEMBERS).groupBy("chunk"))
            .applyInPandas(_hot_pieces(buckets), COUNTED_SCHEMA))
     cand = materialise(counted.filter(F.col("kind").isin(PIECES, SIZES)).unionByName(hot)
-                       .groupBy("part").applyInPandas(_prefixes, CANDIDATES), "jaccard-candidates")
+                       .groupBy("part").applyInPandas(tidy_group(_prefixes), CANDIDATES), "jaccard-candidates")
     cc = connected_components(links(cand))
     sizes = (counted.filter(F.col("kind") == SIZES).select("cls", "cnt").mapInArrow(_unpacked, "cls long, n long")
              .groupBy("cls").agg(F.max("n").alias("n")))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tally.llm.common import chunks, id_and_text, table
+from tally.llm.common import chunks, id_and_text, table, tidy
 
 # Base phrases and their labels.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -133,7 +133,7 @@ def word_counts(docs: DataFrame, vocabulary: frozenset[bytes]) -> dict[bytes, in
                     n.update(vocabulary.intersection(words_of(text)))
         yield pa.record_batch([pa.array([w.decode() for w in n], pa.string()), pa.array(list(n.values()), pa.int64())],
                               names=["word", "n"])
-    got = docs.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    got = docs.mapInArrow(tidy(run), "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
     return dict.fromkeys(vocabulary, 0) | {r["word"].encode(): r["n"] for r in got}
 
 
@@ -182,7 +182,7 @@ def scan_licenses(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLA
                 yield pa.record_batch([b.column(0), pa.array([g[0] for g in got], pa.int64()),
                                        pa.array([g[1] for g in got], places_t), pa.array([g[2] for g in got], blocks_t)],
                                       names=["doc_id", "n_words", "places", "blocks"])
-    return docs.mapInArrow(run, f"doc_id {kind}, n_words long, places array<struct<start:long,label:string>>, "
+    return docs.mapInArrow(tidy(run), f"doc_id {kind}, n_words long, places array<struct<start:long,label:string>>, "
                                 "blocks array<struct<block:long,label:string,containment:double>>")
 
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from tally.llm.common import chunks, id_and_text, materialise, table
+from tally.llm.common import chunks, id_and_text, materialise, table, tidy
 from tally.llm.wordmemo import WordMemo
 
 SEQUENCE = 4096
@@ -152,7 +152,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
                 yield pa.record_batch([b.column(0), pa.array(keys), pa.array(lengths + 1),
                                        pa.array([zlib.crc32(c) for c in cells], pa.int64()), pa.array(cells, pa.binary())],
                                       names=["doc_id", "key", "n", "crc", "ids"])
-    return docs.mapInArrow(run, f"doc_id {kind}, key long, n long, crc long, ids binary")
+    return docs.mapInArrow(tidy(run), f"doc_id {kind}, key long, n long, crc long, ids binary")
 
 
 PIECE_COLUMNS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -233,7 +233,7 @@ def pack(docs: DataFrame, path: str | None = None, size: int = SEQUENCE, with_id
               "offset long" + (", ids array<int>" if with_ids else ""))
     ordered = (encoded.repartitionByRange("key", "doc_id").sortWithinPartitions("key", "doc_id", "crc")
                .select("doc_id", "ids"))
-    return ordered.mapInArrow(_pieces(size, with_ids), schema)
+    return ordered.mapInArrow(tidy(_pieces(size, with_ids)), schema)
 
 
 def op1_hilbert_pack(spark: SparkSession, sf_dir: str) -> DataFrame:

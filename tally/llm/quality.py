@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tally.llm.common import chunks, crc_bucket, id_and_text, materialise, table
+from tally.llm.common import chunks, crc_bucket, id_and_text, materialise, table, tidy
 from tally.llm.wordmemo import WordMemo
 
 BUCKETS, DIMENSIONS, NONZERO = 4096, 64, 4
@@ -122,7 +122,7 @@ def word_vectors(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     What reaches the driver has a fixed size whatever the corpus.
     """
-    rows = (docs.mapInArrow(_gather, "part int, sums binary").groupBy("part")
+    rows = (docs.mapInArrow(tidy(_gather), "part int, sums binary").groupBy("part")
             .applyInPandas(_add, "part int, sums binary").collect())
     full = np.zeros((BUCKETS, DIMENSIONS + 1))
     for r in rows:
@@ -158,7 +158,7 @@ def pool(docs: DataFrame, vectors: np.ndarray, weights: np.ndarray) -> DataFrame
                 at = np.arange(0, out.size + 1, DIMENSIONS + 2, dtype=np.int32)
                 yield pa.record_batch([b.column(0), pa.ListArray.from_arrays(pa.array(at), pa.array(out.ravel()))],
                                       names=["doc_id", "features"])
-    return docs.mapInArrow(run, f"doc_id {kind}, features array<float>")
+    return docs.mapInArrow(tidy(run), f"doc_id {kind}, features array<float>")
 
 
 @dataclass(frozen=True)

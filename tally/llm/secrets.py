@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tally.llm.common import chunks, id_and_text, table
+from tally.llm.common import chunks, id_and_text, table, tidy
 
 # The kinds of secrets in their order, and their patterns.
 KINDS = ("assign", "access", "hex", "oversize")
@@ -232,7 +232,7 @@ def scan_secrets(docs: DataFrame, limit: int = MAX_LAYER) -> DataFrame:
                 cols = [[[{"kind": k, "start": s, "end": e} for k, s, e in f[i]] for f in found] for i in (0, 1)]
                 yield pa.record_batch([b.column(0), *(pa.array(c, SPAN_TYPE) for c in cols)],
                                       names=["doc_id", "base", "spans"])
-    return ids.mapInArrow(run, f"doc_id {kind}, base {span}, spans {span}")
+    return ids.mapInArrow(tidy(run), f"doc_id {kind}, base {span}, spans {span}")
 
 
 def redact(docs: DataFrame, marker: str = "[SECRET]") -> DataFrame:
@@ -258,7 +258,7 @@ def redact(docs: DataFrame, marker: str = "[SECRET]") -> DataFrame:
                 i = b.schema.get_field_index("text")
                 new = pa.array([None if t is None else clean(t) for t in b.column(i).to_pylist()], b.schema.field(i).type)
                 yield pa.record_batch([new if k == i else b.column(k) for k in range(b.num_columns)], schema=b.schema)
-    out = docs.mapInArrow(run, docs.schema)
+    out = docs.mapInArrow(tidy(run), docs.schema)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars"))

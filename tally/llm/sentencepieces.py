@@ -29,7 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from tally.llm.common import chunks, id_and_text, ragged_take, table
+from tally.llm.common import chunks, id_and_text, ragged_take, table, tidy
 from tally.llm.wordmemo import WordMemo
 
 MARK = "▁"
@@ -171,7 +171,7 @@ def encode(docs: DataFrame, path: str | None = None, threads: int = THREADS) ->
                 at = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
                 yield pa.record_batch([b.column(0), pa.ListArray.from_arrays(pa.array(at), pa.array(ids.astype(np.int32)))],
                                       names=["doc_id", "ids"])
-    return docs.mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    return docs.mapInArrow(tidy(run), f"doc_id {kind}, ids array<int>")
 
 
 def decode(rows: DataFrame, path: str | None = None) -> DataFrame:
@@ -184,7 +184,7 @@ def decode(rows: DataFrame, path: str | None = None) -> DataFrame:
         for b in batches:
             texts = [model.decode(np.asarray(x or [], np.int64)) for x in b.column(1).to_pylist()]
             yield pa.record_batch([b.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
-    return rows.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
+    return rows.select("doc_id", "ids").mapInArrow(tidy(run), f"doc_id {kind}, text string")
 
 
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -208,7 +208,7 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
                 yield pa.record_batch([b.column(0), pa.array(lengths), pa.array(crc, pa.int64()),
                                        pa.array(back, pa.int64()), pa.array(same)],
                                       names=["doc_id", "n_ids", "ids_crc32", "text_crc32", "round_trip"])
-    return docs.mapInArrow(run, f"doc_id {kind}, n_ids long, ids_crc32 long, text_crc32 long, round_trip boolean")
+    return docs.mapInArrow(tidy(run), f"doc_id {kind}, n_ids long, ids_crc32 long, text_crc32 long, round_trip boolean")
 
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tally.llm.common import chunks, crc_bucket, id_and_text, table
+from tally.llm.common import chunks, crc_bucket, id_and_text, table, tidy
 
 # Insults that are always in the lexicon (whole words and plurals as stems).
 INSULTS = ("idiot", "moron", "stupid", "pathetic", "loser", "scum", "trash", "worthless", "clown", "disgusting",
@@ -134,7 +134,7 @@ def _words(sample: DataFrame) -> DataFrame:
             for b in chunks(whole):
                 words = [sorted(set(_WORD.findall(fold(t)))) for t in b.column(1).to_pylist()]
                 yield pa.record_batch([b.column(0), pa.array(words, pa.list_(pa.string()))], names=["label", "words"])
-    w = sample.select("label", "text").mapInArrow(run, "label int, words array<string>")
+    w = sample.select("label", "text").mapInArrow(tidy(run), "label int, words array<string>")
     least = [F.expr(f"array_min(transform(words, x -> xxhash64(x, {k})))") for k in range(3)]
     return w.withColumn("sig", F.struct(*least))
 
@@ -218,7 +218,7 @@ def fit(docs: DataFrame, labels: DataFrame, train, sample_rows: int = SAMPLE_ROW
     """Learn lexicon weights and curve from ``labels`` (doc_id, label) where ``train(doc_id)`` holds."""
     sample = labelled_sample(id_and_text(docs), labels, train, sample_rows)
     lexicon = mine(sample)
-    got = (sample.select("label", "text").mapInArrow(_hits(lexicon), "label int, n_words long, n_hits long, weight double")
+    got = (sample.select("label", "text").mapInArrow(tidy(_hits(lexicon)), "label int, n_words long, n_hits long, weight double")
            .toPandas())  # at most sample_rows small rows (times repeats of an id)
     a, b = curve(density(got["n_words"], got["weight"]), got["label"].to_numpy(float))
     return ToxicityModel(lexicon, a, b)
@@ -228,7 +228,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """doc_id, n_words, n_hits, weight, score of every row, in one pass."""
     ids = id_and_text(docs)
     kind = ids.schema["doc_id"].dataType.simpleString()
-    out = ids.mapInArrow(_hits(model.lexicon), f"doc_id {kind}, n_words long, n_hits long, weight double")
+    out = ids.mapInArrow(tidy(_hits(model.lexicon)), f"doc_id {kind}, n_words long, n_hits long, weight double")
     x = F.log1p(100.0 * F.col("weight") / F.greatest(F.col("n_words").cast("double"), F.lit(1.0)))
     return out.withColumn("score", 1.0 / (1.0 + F.exp(-(F.lit(model.a) + F.lit(model.b) * x))))
 
@@ -245,7 +245,7 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.3) ->
                                dtype=float).reshape(-1, 3)
                 s = 1 / (1 + np.exp(-(a + b * density(got[:, 0], got[:, 2]))))
                 yield part.filter(pa.array(s < threshold))
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def training_row(doc_id):

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from tally.llm.common import ragged_take, translated
 
 #: Distinct words kept between batches; beyond that the memo starts anew.
-MEMO_WORDS = 800_000
+MEMO_WORDS = 600_000
 
 
 _BLANK = bytes(32 if b == 10 else b for b in range(256))
