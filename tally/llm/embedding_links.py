@@ -6,10 +6,13 @@ hyperplane signatures (near vectors share long prefixes). A round then joins
 neighbours of neighbours: each node's neighbours in either direction meet at
 it, and every one keeps the best of those it met. Rounds end when a round
 changes few lists. Lists whose last place still meets the threshold are
-saturated: they are enlarged, and what no list can hold is counted exactly:
-within a component with saturated nodes, blocks of vectors are compared with
-blocks, and only counts leave a task. Recall is audited against brute force for
-a fixed number of nodes; short of the target, rounds go on with longer lists.
+saturated: they are enlarged, and what no list can hold is found exactly: blocks
+of saturated nodes of different components meet where their centers and radii
+allow a link, and one link joins the components; within a component with
+saturated nodes, blocks of vectors are compared with blocks, and only counts
+leave a task. Recall of the other nodes' lists is audited against brute force
+for a fixed number of nodes; short of the target, rounds go on with more orders,
+and if that does not reach it, every node is treated as saturated.
 
 Links found have a cosine of at least the threshold, in double precision.
 
@@ -35,7 +38,7 @@ from tally.llm.common import materialise, table, tidy_group
 from tally.llm.components import connected_components
 
 THRESHOLD = 0.98
-#: Neighbours of a list at first and at most; what a full list cannot hold is counted in blocks.
+#: Neighbours of a list at first and at most; what a full list cannot hold is found in blocks.
 NEIGHBOURS, LONGEST = 8, 32
 #: Signature orders at the start, bits of a signature, neighbours taken on each side.
 ORDERS, BITS, SIDE = 8, 48, 3
@@ -213,16 +216,20 @@ def descend(nodes: DataFrame, keep: int, start: DataFrame, count: int, threshold
     return lists
 
 
-def audit(nodes: DataFrame, lists: DataFrame, threshold: float, count: int = AUDIT_NODES) -> tuple[int, int]:
+def audit(nodes: DataFrame, lists: DataFrame, threshold: float, count: int = AUDIT_NODES,
+          full: DataFrame | None = None) -> tuple[int, int]:
     """(links found, links there) of a fixed number of nodes, by brute force over all nodes.
 
     Nodes with the smallest hashes that have a listed neighbour over the
     threshold are audited with as many others, so that links are seen at all.
-    A full list holds no more than its length, so at most that many count.
+    Nodes (a) of ``full`` are not asked: links between them are found in blocks,
+    and their other links are in the lists of nodes that are asked.
     """
     linked = lists.filter(F.col("sim") >= threshold).groupBy("a").agg(F.count(F.lit(1)).alias("got"))
     mixed = nodes.join(linked, nodes["node"] == linked["a"], "left").select("node", "label", "unit",
                                                                            F.coalesce("got", F.lit(0)).alias("got"))
+    if full is not None:
+        mixed = mixed.join(full, mixed["node"] == full["a"], "left_anti")
     order = [F.xxhash64("node", F.lit(11)), F.col("node")]
     asked = (mixed.filter("got > 0").orderBy(*order).limit(count // 2)
              .unionByName(mixed.filter("got = 0").orderBy(*order).limit(count // 2))).collect()
@@ -249,9 +256,7 @@ def audit(nodes: DataFrame, lists: DataFrame, threshold: float, count: int = AUD
                                   names=["node", "n"])
     there = {r["node"]: r["n"] for r in nodes.select("node", "label", "unit").mapInArrow(run, "node long, n long")
              .groupBy("node").agg(F.sum("n").alias("n")).collect()}
-    longest = lists.groupBy("a").count().agg(F.max("count")).first()[0] or 1
-    want = sum(min(there.get(r["node"], 0), longest) for r in asked)
-    return sum(r["got"] for r in asked), want
+    return sum(r["got"] for r in asked), sum(there.get(r["node"], 0) for r in asked)
 
 
 def _full(lists: DataFrame, keep: int, threshold: float) -> DataFrame:
@@ -261,7 +266,10 @@ def _full(lists: DataFrame, keep: int, threshold: float) -> DataFrame:
 
 
 def neighbour_graph(nodes: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame, float]:
-    """(lists (a, b, sim), nodes (a) whose longest list is full, recall audited)."""
+    """(lists (a, b, sim), nodes (a) whose longest list is full, recall audited).
+
+    If the recall stays short of the target, all nodes count as full.
+    """
     count = nodes.count()
     orders, start = ORDERS, first_pairs(nodes, range(ORDERS))
     while True:
@@ -276,14 +284,83 @@ def neighbour_graph(nodes: DataFrame, threshold: float = THRESHOLD) -> tuple[Dat
             longer = descend(nodes, keep, near.join(about, "a", "left_semi"), many, threshold)
             lists = materialise(_top(lists.unionByName(longer), keep), "knn-merged")
             full = materialise(_full(lists, keep, threshold), "knn-full")
-        got, want = audit(nodes, lists, threshold)
+        got, want = audit(nodes, lists, threshold, full=full)
         recall = got / want if want else 1.0
-        if recall >= TARGET or orders >= 4 * ORDERS:
+        if recall >= TARGET:
             return lists, full, recall
+        if orders >= 4 * ORDERS:
+            return lists, nodes.select(F.col("node").alias("a")), recall
         start = lists.unionByName(first_pairs(nodes, range(orders, orders + ORDERS)))
         orders += ORDERS
 
 
+def _center(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A block's center and the largest angle of its vectors to it."""
+    x = _matrix(pdf["unit"])
+    c = x.sum(0)
+    c = c / np.linalg.norm(c) if np.linalg.norm(c) > 1e-9 else x[0]
+    radius = float(np.arccos(np.clip(x @ c, -1.0, 1.0)).max())
+    return pd.DataFrame({"label": pdf["label"].iloc[:1], "root": pdf["root"].iloc[:1], "blk": pdf["blk"].iloc[:1],
+                         "center": [c.tobytes()], "radius": [radius]})
+
+
+def _reachable(threshold: float):
+    """Two parts of a label's blocks (or one with itself): pairs of blocks of two components that may hold a link."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        one, two = pdf["i"].iloc[0], pdf["j"].iloc[0]
+        left = pdf[pdf["part"] == one]
+        right = left if one == two else pdf[pdf["part"] == two]
+        names = ["ir", "ib", "jr", "jb"]
+        if not len(left) or not len(right):
+            return pd.DataFrame([], columns=names).astype("int64")
+        reach = np.arccos(threshold) + 1e-6 + left["radius"].to_numpy()[:, None] + right["radius"].to_numpy()
+        near = _matrix(left["center"]) @ _matrix(right["center"]).T >= np.cos(np.minimum(reach, np.pi)) - 1e-9
+        near &= left["root"].to_numpy()[:, None] != right["root"].to_numpy()
+        i, j = np.nonzero(np.triu(near) if one == two else near)
+        return pd.DataFrame(dict(zip(names, (left["root"].to_numpy()[i], left["blk"].to_numpy()[i],
+                                             right["root"].to_numpy()[j], right["blk"].to_numpy()[j]))))
+    return run
+
+
+def _closest(threshold: float):
+    """Two blocks of two components: their closest pair, if it is a link."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        left, right = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
+        sims = _matrix(left["unit"]) @ _matrix(right["unit"]).T
+        i, j = np.unravel_index(sims.argmax(), sims.shape)
+        found = [(left["node"].iloc[i], right["node"].iloc[j])] if sims[i, j] >= threshold else []
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+    return run
+
+
+def cross_links(nodes: DataFrame, full: DataFrame, members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Links (a, b) that join the components of all links between nodes (a) of ``full``.
+
+    A link that no list holds is one between two full lists. Blocks of such
+    nodes are of one component each; one link of two blocks is enough.
+    """
+    rooted = (nodes.join(full, nodes["node"] == full["a"], "left_semi").join(members, "node", "left")
+              .select("node", "label", F.coalesce("root", "node").alias("root"), F.col("exact").alias("unit")))
+    sizes = rooted.groupBy("label", "root").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks"))
+    several = sizes.groupBy("label").agg(F.count(F.lit(1)).alias("roots"), F.sum("blocks").alias("all")).filter("roots > 1")
+    inside = materialise(rooted.join(sizes.join(several, "label"), ["label", "root"])
+                         .withColumn("blk", F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks")))
+                         .select("node", "label", "root", "unit", "blk", F.ceil(F.col("all") / F.lit(BLOCK)).alias("parts")),
+                         "knn-full-blocks")
+    centers = materialise(inside.groupBy("root", "blk").applyInPandas(
+        tidy_group(_center), "label string, root long, blk long, center binary, radius double"), "knn-centers")
+    parts = inside.select("label", "parts").distinct()
+    placed = (centers.join(parts, "label").withColumn("part", F.pmod(F.xxhash64("root", "blk"), F.col("parts")))
+              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+              .withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")))
+    pairs = materialise(placed.groupBy("label", "i", "j").applyInPandas(
+        tidy_group(_reachable(threshold)), "ir long, ib long, jr long, jb long"), "knn-reachable")
+    sides = [pairs.join(inside.select(F.col("root").alias(f"{s}r"), F.col("blk").alias(f"{s}b"), "node", "unit"), [f"{s}r", f"{s}b"])
+             .select("ir", "ib", "jr", "jb", "node", "unit", F.lit(k).alias("side")) for k, s in enumerate("ij")]
+    return (sides[0].unionByName(sides[1]).groupBy("ir", "ib", "jr", "jb")
+            .applyInPandas(tidy_group(_closest(threshold)), "a long, b long"))
+
+
 def _count_blocks(threshold: float):
     """Two blocks of one component (or one with itself): links of each vector to the other block's."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -323,14 +400,24 @@ def link_counts(nodes: DataFrame, edges: DataFrame, full: DataFrame, members: Da
     return exact.unionByName(rest)
 
 
+def _members(edges: DataFrame) -> DataFrame:
+    """(node, root) of all nodes of links, roots included."""
+    cc = connected_components(edges)
+    return materialise(cc.unionByName(cc.select(F.col("root").alias("node"), "root").distinct()), "knn-members")
+
+
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """vec_id, n_links, component_id of every row of (vec_id, embedding, label)."""
     vectors = vectors.select("vec_id", "embedding", "label")
     nodes = materialise(nodes_of(vectors), "knn-nodes")
     lists, full, _ = neighbour_graph(nodes, threshold)
     edges = materialise(_exact(lists, nodes, threshold), "knn-links")
-    cc = connected_components(edges)
-    members = materialise(cc.unionByName(cc.select(F.col("root").alias("node"), "root").distinct()), "knn-members")
+    members = _members(edges)
+    if not full.isEmpty():
+        cross = materialise(cross_links(nodes, full, members, threshold), "knn-cross")
+        if not cross.isEmpty():
+            edges = edges.unionByName(cross)
+            members = _members(edges)
     counts = link_counts(nodes, edges, full, members, threshold)
     usable = F.col("label").isNotNull() & _usable(F.col("embedding"))
     rows = vectors.select("vec_id", F.when(usable, F.xxhash64(F.col("label").cast("string"),

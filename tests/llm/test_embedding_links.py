@@ -58,6 +58,31 @@ def test_clusters_of_all_sizes(spark, monkeypatch):
     assert result(frame(spark, rows)) == brute(rows)
 
 
+def near_clusters(seed, size, dims=16, spread=0.01, cos=0.982):
+    """Two tight clusters of one label: links across are weaker than ``size`` links inside."""
+    rng = np.random.default_rng(seed)
+    q, _ = np.linalg.qr(rng.standard_normal((dims, 2)))
+    centers = (q[:, 0], cos * q[:, 0] + np.sqrt(1 - cos * cos) * q[:, 1])
+    return [(k, [float(np.float32(x)) for x in centers[k % 2] + spread * rng.standard_normal(dims)], 0) for k in range(2 * size)]
+
+
+@pytest.mark.parametrize("block", [1024, 25])
+def test_links_between_full_lists(spark, monkeypatch, block):
+    monkeypatch.setattr(el, "BLOCK", block)
+    rows = near_clusters(1, 75)
+    want = brute(rows)
+    assert {c for _, _, c in want} == {0}
+    assert result(frame(spark, rows)) == want
+
+
+def test_short_recall_is_made_up_for(spark, monkeypatch):
+    monkeypatch.setattr(el, "audit", lambda *a, **k: (0, 1))
+    monkeypatch.setattr(el, "descend", lambda nodes, keep, start, count, threshold: el._top(start, keep).limit(3))
+    monkeypatch.setattr(el, "ORDERS", 1)
+    rows = clusters(5, (3, 9), alone=30)
+    assert result(frame(spark, rows)) == brute(rows)
+
+
 def test_odd_vectors(spark):
     v = [1.0, 2.0, 3.0]
     rows = [(1, v, 0), (2, v, 0), (3, [2.0, 4.0, 6.0], 0), (4, v, 1), (5, v, None), (6, None, 0), (7, [], 0),
