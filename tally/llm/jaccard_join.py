@@ -20,8 +20,8 @@ no prefix left to match.
    classes that share prefix tokens: connected groups of these hold all links.
 4. A group of up to ``BLOCK`` classes is joined in one task; a pair already
    connected is skipped. Larger groups are dealt into blocks: each block is
-   joined; members of the blocks' components are joined block by block up a
-   tree; then each class outside its group's largest component is joined with
+   joined; members of the blocks' components of more than one class are joined,
+   a bounded number at a time, up a tree; then each class outside its group's largest component is joined with
    every block of the group that holds one of its prefix tokens. That covers
    every pair of different components, without a pass over all pairs of a group.
 5. Components of the links found are contracted by stars.
@@ -370,17 +370,20 @@ def links(cand: DataFrame) -> DataFrame:
     parts, span = -(-largest // (BLOCK // 2)), 1
     while span < parts:  # stand-ins of each component meet, block by block up a tree
         rooted = materialise(_rooted(big, big_edges), "jaccard-rooted")
-        # One of each block and component, then a few of each subtree and component; alone ones come last.
+        # Classes linked with nothing so far stay behind: the last phase looks at them.
+        many = rooted.groupBy("grp", "root").agg(F.count(F.lit(1)).alias("many")).filter("many > 1").drop("many")
+        # One of each block and component, then a few of each subtree and component.
         rank = "row_number() over (partition by grp, {}, root order by xxhash64(cls))"
-        stand = rooted.withColumn("at", F.floor(F.col("blk") / F.lit(span)))
-        if span == 1:
-            stand = (stand.withColumn("many", F.expr("count(*) over (partition by grp, blk, root)")).filter("many > 1"))
-        else:
+        stand = rooted.join(many, ["grp", "root"]).withColumn("at", F.floor(F.col("blk") / F.lit(span)))
+        if span > 1:
             stand = stand.withColumn("k", F.expr(rank.format("blk"))).filter("k = 1")
         stand = stand.withColumn("k", F.expr(rank.format("at"))).filter(F.col("k") <= STAND_INS)
         span *= MEET
-        up = (cand.join(stand.select("cls", "grp", "root", F.floor(F.col("blk") / F.lit(span)).alias("up")), "cls")
-              .groupBy("grp", "up").applyInPandas(tidy_group(_join_known), "a long, b long"))
+        stand = materialise(stand.select("cls", "grp", "root", F.floor(F.col("blk") / F.lit(span)).alias("up")), "jaccard-stand")
+        full = stand.groupBy("grp", "up").agg(F.count(F.lit(1)).alias("rows"))
+        salt = F.when(F.col("rows") > BLOCK, F.pmod(F.xxhash64("cls", F.lit(span)), F.ceil(F.col("rows") / F.lit(BLOCK // 2))))
+        met = stand.join(full, ["grp", "up"]).select("cls", "grp", "root", "up", F.coalesce(salt, F.lit(0)).alias("salt"))
+        up = cand.join(met, "cls").groupBy("grp", "up", "salt").applyInPandas(tidy_group(_join_known), "a long, b long")
         new = materialise(up, "jaccard-up")
         edges, big_edges = edges.unionByName(new), big_edges.unionByName(new)
     rooted = materialise(_rooted(big, big_edges), "jaccard-rooted")

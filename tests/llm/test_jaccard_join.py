@@ -77,6 +77,26 @@ def test_against_all_pairs(spark, monkeypatch, block, meet):
     assert result(df) == brute(rows)
 
 
+def test_large_group_of_unlinked_texts(spark, monkeypatch):
+    monkeypatch.setattr(jj, "BLOCK", 64)
+    monkeypatch.setattr(jj, "MEET", 2)
+
+    def bounded(pdf):
+        if len(pdf) > 64 * 2:
+            raise ValueError(f"{len(pdf)} classes in one task")
+        return jj.join_block(pdf)
+    monkeypatch.setattr(jj, "_join_known", bounded)
+    rng = random.Random(5)
+    passages = [" ".join(f"p{k}w{i}" for i in range(12)) for k in range(40)]
+    texts = [" ".join(rng.sample(passages, 4)) for _ in range(1200)]
+    texts += [t + " end" for t in texts[:200]]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = brute(rows)
+    assert len({c for _, _, c in want}) > 1000
+    assert result(df) == want
+
+
 def test_frequent_tokens_and_many_buckets(spark, monkeypatch):
     monkeypatch.setattr(jj, "HOT_TEXTS", 5)
     monkeypatch.setattr(jj, "BUCKET_TOKENS", 500)
