@@ -3,7 +3,8 @@
 Each text is the first layer of a worklist. A layer is scanned, and every
 encoded part of it becomes another layer: the whole layer with its URL
 escapes resolved, the whole layer with its Unicode escapes resolved, and each
-base64 run that holds text or a gzip/zlib stream. New layers are scanned
+base64 run that holds ASCII text (as such, among other bytes, or in UTF-16) or
+gzip/zlib streams. New layers are scanned
 and unwrapped in turn until none is left. A layer whose content already stands
 among its own ancestors is a cycle and is not entered again. Spans found in a
 layer are mapped back, step by step, to code points of the original text:
@@ -43,6 +44,10 @@ URL_ESCAPES = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE_ESCAPES = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+")
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 
+# The shortest secret has 12 characters, all of them ASCII: token=abcdef.
+ASCII_RUN = re.compile(rb"[\t\n\r\x20-\x7e]{12,}")
+WIDE_RUNS = (re.compile(rb"(?:[\t\n\r\x20-\x7e]\x00){12,}"), re.compile(rb"(?:\x00[\t\n\r\x20-\x7e]){12,}"))
+
 #: Bytes that one compressed layer may inflate to.
 MAX_LAYER = 64 << 20
 
@@ -129,38 +134,50 @@ def _unicode(escapes: str, at: int) -> list[tuple[str, int, int]]:
     return [("�" if 0xD800 <= ord(c) < 0xE000 else c, s, w) for c, s, w in out]
 
 
-def _readable(data: bytes) -> str | None:
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    bare = text.replace("\n", "").replace("\t", "").replace("\r", "")
-    return text if bare.isprintable() and text else None
-
+def _readable(data: bytes) -> list[str]:
+    """The texts of a decoded layer that can hold a secret.
 
-def _inflate(data: bytes, limit: int) -> bytes | None:
-    """The content of a gzip or zlib stream; None if it is none; OverflowError beyond ``limit``."""
-    if data[:2] != b"\x1f\x8b" and not (len(data) > 2 and data[0] & 15 == 8 and (data[0] << 8 | data[1]) % 31 == 0):
-        return None
-    try:
-        d = zlib.decompressobj(wbits=47)
-        out = d.decompress(data, limit)
-    except zlib.error:
-        return None
-    if d.unconsumed_tail:
-        raise OverflowError
-    return out if d.eof else None
+    Secrets and encoded parts are ASCII, so whatever else stands in the layer
+    does not matter: a layer with a long enough ASCII run is read whole, and
+    ASCII in UTF-16 of either byte order is read from its runs.
+    """
+    out = []
+    if ASCII_RUN.search(data):
+        out.append(data.decode("utf-8", "replace"))
+    for wide in WIDE_RUNS:
+        if found := wide.findall(data):
+            out.append("\n".join(x.replace(b"\0", b"").decode("ascii") for x in found))
+    return out
 
 
-def _unpack(run: str, limit: int) -> str | None:
-    """Text inside a base64 run, compressed or not."""
+def _inflate(data: bytes, limit: int) -> bytes | None:
+    """The content of gzip or zlib streams, one behind the other; None if there is none; OverflowError beyond ``limit``."""
+    out = []
+    while data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] & 15 == 8 and (data[0] << 8 | data[1]) % 31 == 0):
+        try:
+            d = zlib.decompressobj(wbits=47)
+            part = d.decompress(data, limit + 1)
+        except zlib.error:
+            break
+        limit -= len(part)
+        if limit < 0 or d.unconsumed_tail:
+            raise OverflowError
+        if not d.eof:
+            break
+        out.append(part)
+        data = d.unused_data.lstrip(b"\0")
+    return b"".join(out) if out else None
+
+
+def _unpack(run: str, limit: int) -> list[str]:
+    """Texts inside a base64 run, compressed or not."""
     body = run.rstrip("=").replace("-", "+").replace("_", "/")
     if len(body) % 4 == 1:
-        return None
+        return []
     try:
         data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
     except (binascii.Error, ValueError):
-        return None
+        return []
     while (inner := _inflate(data, limit)) is not None:  # streams inside streams
         data = inner
     return _readable(data)
@@ -180,8 +197,7 @@ def layers_of(text: str, limit: int) -> tuple[list[_Escaped | _Run], list[Span]]
         except OverflowError:
             large.append(("oversize", m.start(), m.end()))
             continue
-        if inner:
-            out.append(_Run(inner, m.start(), m.end()))
+        out += [_Run(x, m.start(), m.end()) for x in inner]
     return out, large
 
 

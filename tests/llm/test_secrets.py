@@ -43,6 +43,29 @@ def test_layers_are_unwrapped_and_mapped(name):
     assert any(k == "assign" and 12 <= a < b <= 12 + len(inner) for k, a, b in spans)
 
 
+BYTES = {
+    "no-break space": f"a\u00a0b {SECRET}".encode(), "soft hyphen": f"so\u00adft {SECRET}".encode(),
+    "byte order mark": f"\ufeff{SECRET}".encode(), "zero-width": f"\u200b\u200d{SECRET}".encode(),
+    "nul": b"\0" + SECRET.encode() + b"\0", "latin-1": b"\xe9t\xe9 " + SECRET.encode(),
+    "binary": bytes(range(256)) + SECRET.encode() + b"\xff\x00", "utf-16": SECRET.encode("utf-16"),
+    "utf-16-le": SECRET.encode("utf-16-le"), "utf-16-be": SECRET.encode("utf-16-be"),
+    "second gzip member": gzip.compress(b"first words\n") + gzip.compress(SECRET.encode()),
+    "padded zlib": zlib.compress(b"first\n") + b"\0\0" + zlib.compress(SECRET.encode()),
+}
+
+
+@pytest.mark.parametrize("name", BYTES)
+def test_layers_with_other_bytes(name):
+    inner = base64.b64encode(BYTES[name]).decode()
+    _, spans = secrets.find("x " + inner + " y")
+    assert ("assign", 2, 2 + len(inner)) in spans
+
+
+def test_members_together_are_bounded():
+    two = base64.b64encode(zlib.compress(b"0" * 700) + zlib.compress(b"0" * 700)).decode()
+    assert secrets.find("x " + two, limit=1000)[1][0][0] == "oversize"
+
+
 def test_character_spans():
     text = "a %74oken%3dabcdefgh z"
     assert secrets.find(text)[1] == [("assign", 2, 20)]
