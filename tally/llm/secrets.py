@@ -4,11 +4,13 @@ Each text is the first layer of a worklist. A layer is scanned, and every
 encoded part of it becomes another layer: the whole layer with its URL
 escapes resolved, the whole layer with its Unicode escapes resolved, and each
 base64 run that holds ASCII text (as such, among other bytes, or in UTF-16) or
-gzip/zlib streams. New layers are scanned
+gzip/zlib streams, also behind other characters of the run or wrapped over
+lines. New layers are scanned
 and unwrapped in turn until none is left. A layer whose content already stands
 among its own ancestors is a cycle and is not entered again. Spans found in a
 layer are mapped back, step by step, to code points of the original text:
-escapes map character by character, a base64 run as a whole.
+escapes map character by character, a base64 run as a whole, a wrapped one
+by whole lines.
 
 Base spans (the original text's own matches) always stay; layers add spans.
 
@@ -44,6 +46,11 @@ URL_ESCAPES = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE_ESCAPES = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+")
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 
+#: A run wrapped at line breaks (which may be indented), its lines, and what may stand before a payload.
+WRAPPED_RUN = re.compile(r"[A-Za-z0-9+/_-]+(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
+BASE64_LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+SEPARATOR = re.compile(r"[/_-]")
+STREAM = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
 # The shortest secret has 12 characters, all of them ASCII: token=abcdef.
 ASCII_RUN = re.compile(rb"[\t\n\r\x20-\x7e]{12,}")
 WIDE_RUNS = (re.compile(rb"(?:[\t\n\r\x20-\x7e]\x00){12,}"), re.compile(rb"(?:\x00[\t\n\r\x20-\x7e]){12,}"))
@@ -150,9 +157,9 @@ def _readable(data: bytes) -> list[str]:
     return out
 
 
-def _inflate(data: bytes, limit: int) -> bytes | None:
-    """The content of gzip or zlib streams, one behind the other; None if there is none; OverflowError beyond ``limit``."""
-    out = []
+def _inflate(data: bytes, limit: int) -> tuple[bytes, int] | None:
+    """The content of gzip or zlib streams, one behind the other, and the bytes read; None if there is none; OverflowError beyond ``limit``."""
+    out, size = [], len(data)
     while data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] & 15 == 8 and (data[0] << 8 | data[1]) % 31 == 0):
         try:
             d = zlib.decompressobj(wbits=47)
@@ -166,21 +173,40 @@ def _inflate(data: bytes, limit: int) -> bytes | None:
             break
         out.append(part)
         data = d.unused_data.lstrip(b"\0")
-    return b"".join(out) if out else None
+    return (b"".join(out), size - len(data)) if out else None
+
 
+def _unpack(run: str, limit: int, starts: list[int]) -> list[tuple[str, int, int]]:
+    """Texts inside a base64 run, compressed or not, each with the part of the run that holds it.
 
-def _unpack(run: str, limit: int) -> list[str]:
-    """Texts inside a base64 run, compressed or not."""
-    body = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return []
-    try:
-        data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except (binascii.Error, ValueError):
-        return []
-    while (inner := _inflate(data, limit)) is not None:  # streams inside streams
-        data = inner
-    return _readable(data)
+    The run is decoded at all four alignments, so a payload may stand behind
+    other characters of the run. Compressed streams are looked for by their
+    first bytes, and at ``starts`` and behind each separator.
+    """
+    body = run.rstrip("=")
+    starts = sorted({0, *starts, *(m.end() for m in SEPARATOR.finditer(body))})
+    body = body.replace("-", "+").replace("_", "/")
+    out: list[tuple[str, int, int]] = []
+    for shift in range(min(4, len(body))):
+        part = body[shift:]
+        part = part[:len(part) - (len(part) % 4 == 1)]
+        data = base64.b64decode(part + "=" * (-len(part) % 4))
+        for m in ASCII_RUN.finditer(data):
+            out.append((m[0].decode("ascii"), shift + m.start() * 4 // 3, shift - (-m.end() * 4 // 3)))
+        if any(wide.search(data) for wide in WIDE_RUNS):
+            out += [(x, shift, len(run)) for x in _readable(data)]
+        places = {(k - shift) // 4 * 3 for k in starts if k >= shift and (k - shift) % 4 == 0}
+        places.update(m.start() for m in STREAM.finditer(data))
+        done = 0
+        for k in sorted(places):
+            if k < done or (inner := _inflate(data[k:], limit)) is None:
+                continue
+            content, done = inner
+            done += k
+            while (inner := _inflate(content, limit)) is not None:  # streams inside streams
+                content = inner[0]
+            out += [(x, shift + k * 4 // 3, min(len(run), shift - (-done * 4 // 3))) for x in _readable(content)]
+    return out
 
 
 def layers_of(text: str, limit: int) -> tuple[list[_Escaped | _Run], list[Span]]:
@@ -193,11 +219,24 @@ def layers_of(text: str, limit: int) -> tuple[list[_Escaped | _Run], list[Span]]
         out.append(_Escaped(text, UNICODE_ESCAPES, _unicode))
     for m in BASE64_RUN.finditer(text):
         try:
-            inner = _unpack(m[0], limit)
+            out += [_Run(x, m.start(), m.end()) for x, _, _ in _unpack(m[0], limit, [])]
+        except OverflowError:
+            large.append(("oversize", m.start(), m.end()))
+    for m in WRAPPED_RUN.finditer(text):
+        lines = [(m.start() + x.start(), m.start() + x.end()) for x in BASE64_LINE.finditer(m[0])]
+        run = "".join(text[a:b] for a, b in lines)
+        if len(run) < 16:
+            continue
+        heads = [0]
+        for a, b in lines:
+            heads.append(heads[-1] + b - a)
+        line_of = lambda k: bisect_right(heads, k, 0, len(lines)) - 1
+        try:
+            inner = _unpack(run, limit, heads[:-1])
         except OverflowError:
             large.append(("oversize", m.start(), m.end()))
             continue
-        out += [_Run(x, m.start(), m.end()) for x in inner]
+        out += [_Run(x, lines[line_of(a)][0], lines[line_of(b - 1)][1]) for x, a, b in inner]
     return out, large
 
 

