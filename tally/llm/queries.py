@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tally.llm.embedding_links import op7_nn_descent
 from tally.llm.exact_dedup import OP6_SQL, op6_exact_dedup
+from tally.llm.filter_audit import OP11_SQL, op11_filter_audit
 from tally.llm.jaccard_join import op10_ngram_jaccard
 from tally.llm.licenses import op3_license_scan
 from tally.llm.packing import op1_hilbert_pack
@@ -24,8 +25,10 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 ORACLE_SQL = {
     "op6_exact_dedup": OP6_SQL,
+    "op11_filter_audit": OP11_SQL,
 }
