@@ -9,11 +9,11 @@ copies; their ids are united with the other failures' and summed up into one
 bit mask per document. Everything after that needs only how many documents
 each part has of each of the 32 masks.
 
-Scale: texts cross the network only where their hash repeats: once per task
-on the side of the smallest ids, and once per row on the other, dealt over
-``SPREAD`` keys so that one large group of copies is not one task (the small
-side, a row per distinct repeated text, is repeated for each of them; beyond
-that the planner splits skewed partitions of a left-semi join). The
+Scale: the texts cross the network once, to find those whose hash repeats;
+only these are written, and meet again by hash and text, the smallest ids
+found per task first. A hash's rows are dealt over ``SPREAD`` keys, then over
+as many as its group needs at ``GROUP_ROWS`` rows each, so that one large
+group of copies is not one task (the small side is repeated for each). The
 counts are added up per task before their shuffle, by part and mask, so that
 a source with a third of all rows is a few rows of each task. A part's 120
 orders are laid out from its own row of at most 32 counts, without a join.
@@ -37,8 +37,10 @@ from tally.llm.common import materialise, table
 
 FILTERS = "ABCDE"
 BLANKS = r"[\x20\x09-\x0D]+"
-#: Join keys over which the rows of one text hash are dealt.
+#: Join keys over which the rows of any text hash are dealt while it is not
+#: known how many they are, and the rows of a hash that share a key after that.
 SPREAD = 32
+GROUP_ROWS = 1_000
 
 MIN_WORDS = 50
 MIN_DISTINCT = 65   # percent of the words
@@ -64,13 +66,17 @@ def copies(docs: DataFrame) -> DataFrame:
     """The rows of (doc_id, part, text, hash) whose exact text a smaller doc_id has too."""
     known = docs.filter("doc_id is not null")
     repeated = known.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("salt")
-    dealt = known.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SPREAD)).cast("int"))
-    dealt = dealt.join(repeated.select("hash", salts), ["hash", "salt"], "left_semi")
-    first = dealt.groupBy("hash", "text").agg(F.min("doc_id").alias("first"))
-    first = first.select(F.col("hash").alias("r_hash"), F.col("text").alias("r_text"), "first", salts.alias("r_salt"))
+    place = F.xxhash64("doc_id")
+    dealt = known.withColumn("salt", F.pmod(place, F.lit(SPREAD)).cast("int")).join(
+        repeated.select("hash", "n", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("salt")), ["hash", "salt"])
+    # Only the rows of repeated hashes are written, with the share of their group that a task takes.
+    dealt = dealt.withColumn("salts", F.ceil(F.col("n") / GROUP_ROWS).cast("int")).drop("salt", "n")
+    dealt = materialise(dealt.withColumn("salt", F.pmod(place, "salts").cast("int")), "repeated-texts")
+    first = dealt.groupBy("hash", "text").agg(F.min("doc_id").alias("first"), F.max("salts").alias("salts")).select(
+        F.col("hash").alias("r_hash"), F.col("text").alias("r_text"), "first",
+        F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("r_salt"))
     return dealt.join(first, (F.col("hash") == F.col("r_hash")) & (F.col("salt") == F.col("r_salt"))
-                      & (F.col("text") == F.col("r_text")) & (F.col("first") < F.col("doc_id")), "left_semi").drop("salt")
+                      & (F.col("text") == F.col("r_text")) & (F.col("first") < F.col("doc_id")), "left_semi")
 
 
 def failures(documents: DataFrame) -> DataFrame:
