@@ -12,6 +12,7 @@ from tally.llm.quality import op4_quality
 from tally.llm.secrets import op8_secret_scan
 from tally.llm.sentencepieces import op9_sentencepiece
 from tally.llm.spelling import op13_spelling_variants
+from tally.llm.suffix_tree import op12_suffix_tree_scores
 from tally.llm.toxicity import op5_toxicity
 from tally.llm.url_rules import op2_url_rules
 
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_ngram_jaccard": op10_ngram_jaccard,
     "op11_filter_audit": op11_filter_audit,
+    "op12_suffix_tree_scores": op12_suffix_tree_scores,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
