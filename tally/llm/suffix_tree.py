@@ -53,7 +53,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tally.llm.common import CHUNK_BYTES, chunks, crc_bucket, id_and_text, materialise, table, tidy, tidy_group
+from tally.llm.common import CHUNK_BYTES, chunks, crc_bucket, give_back, id_and_text, materialise, table, tidy, tidy_group
 from tally.llm.shingles import scramble, word_hashes
 from tally.session import scratch_path
 
@@ -140,6 +140,20 @@ def _chunked(batches: Iterator[pa.RecordBatch], size: int = CHUNK_BYTES) -> Iter
                 names=["doc_ids", "docs", "words", "codes", "tokens", "train"])
 
 
+def tidy_some(run, every: int = 8):
+    """Memory given back after every few groups: chunks are alike, so one's memory serves the next."""
+    done = [0]
+
+    def wrapped(pdf: pd.DataFrame) -> pd.DataFrame:
+        try:
+            return run(pdf)
+        finally:
+            done[0] += 1
+            if done[0] % every == 1:
+                give_back()
+    return wrapped
+
+
 class Shared:
     """Tables bucketed by chunk under the shared folder, joined without moving."""
 
@@ -216,6 +230,7 @@ class Chunk:
         self.train = np.repeat(~self.held, self.lengths)
         self.key = [words[codes]]
         self.count: list[np.ndarray] = []
+        self.context: list[np.ndarray] = []
         self.gain: list[np.ndarray] = [np.zeros(n, np.int64)]
         for k in range(rounds):
             blocks = row[f"blocks{k}"]  # none: the chunk asked nothing
@@ -231,14 +246,18 @@ class Chunk:
 
     def context_count(self, k: int) -> np.ndarray:
         """Occurrences of the k words before each token."""
-        return self.before(self.count[k - 1])
+        if len(self.context) < k:
+            self.context.append(self.before(self.count[k - 1]))
+        return self.context[k - 1]
 
     def _wanted(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Tokens whose n-gram of level k, and whose context of k - 1 words, are asked about in round k."""
         n = len(self.place)
-        grams = np.ones(n, bool) if k == 0 else (
-            np.zeros(n, bool) if k > self.tree.depth else (self.place >= k) & (self.context_count(k) >= self.tree.min_count))
-        contexts = np.zeros(n, bool) if k < 2 else (self.place >= k - 1) & (self.context_count(k - 1) >= self.tree.min_count)
+        if k == 0:
+            return np.ones(n, bool), np.zeros(n, bool)
+        # A context that reaches over the text's start has no count.
+        grams = self.context_count(k) >= self.tree.min_count if k <= self.tree.depth else np.zeros(n, bool)
+        contexts = self.context_count(k - 1) >= self.tree.min_count if k > 1 else np.zeros(n, bool)
         return grams, contexts
 
     def _keys(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -278,7 +297,7 @@ class Chunk:
             count[grams] = totals[at[:n]]
             self.count.append(count)
         if k > 1:
-            gain = np.full(len(self.place), -1, np.int64)
+            gain = np.full(len(self.place), np.iinfo(np.int64).min)
             gain[contexts] = totals[at[n:]]
             self.gain.append(gain)
 
@@ -300,7 +319,7 @@ class Chunk:
         p = self.chances(self.tree.depth, root)
         model, state = p[0].copy(), np.ones(len(p[0]), bool)
         for k in range(1, self.tree.depth + 1):
-            state &= (self.place >= k) & (self.gain[k] >= self.tree.divergence * NAT)
+            state &= self.gain[k] >= self.tree.divergence * NAT
             model[state] = p[k][state]
         first = np.cumsum(self.lengths) - self.lengths
         return (np.add.reduceat((self.count[0] > 0).astype(np.int64), first),
@@ -329,7 +348,7 @@ def score(docs: DataFrame, held_out, tree: Tree = Tree(), bucket_keys: int = BUC
 
         def question(pdf: pd.DataFrame, k=k, root=root) -> pd.DataFrame:
             return Chunk(pdf.iloc[0], k, tree).question(k, root, bits)
-        asked = known.groupBy("chunk").applyInPandas(tidy_group(question), "chunk long, bucket long, keys binary")
+        asked = known.groupBy("chunk").applyInPandas(tidy_some(question), "chunk long, bucket long, keys binary")
         answer = exchange(shared, asked, bits, f"round{k}")
         if k == 0:
             # Distinct tokens with a training count.
@@ -343,7 +362,7 @@ def score(docs: DataFrame, held_out, tree: Tree = Tree(), bucket_keys: int = BUC
                              "n_known": n_known, "train_tokens": train, "base_score": base, "score": model})
     known = reduce(lambda a, b: a.join(b, "chunk", "left"), told, rows)
     out = materialise(known.groupBy("chunk").applyInPandas(
-        tidy_group(final), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+        tidy_some(final), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                            "base_score double, score double"), "pst-scores")
     shared.drop()
     return out
