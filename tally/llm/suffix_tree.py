@@ -53,7 +53,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tally.llm.common import CHUNK_BYTES, chunks, crc_bucket, give_back, id_and_text, materialise, table, tidy, tidy_group
+from tally.llm.common import CHUNK_BYTES, chunks, crc_bucket, id_and_text, materialise, table, tidy, tidy_group
 from tally.llm.shingles import scramble, word_hashes
 from tally.session import scratch_path
 
@@ -130,7 +130,7 @@ def _chunked(batches: Iterator[pa.RecordBatch], size: int = CHUNK_BYTES) -> Iter
             inner = np.ones(len(tokens), bool)
             inner[ends] = False
             tokens[inner] = hashes
-            words_here, codes = distinct(scramble(tokens) & ~_U(1))
+            words_here, codes = distinct(scramble(tokens))
             held = np.asarray(b.column(2)).astype(bool)
             yield pa.record_batch([
                 pa.array([b.column(0).to_pylist()], pa.list_(b.schema.field(0).type)),
@@ -140,20 +140,6 @@ def _chunked(batches: Iterator[pa.RecordBatch], size: int = CHUNK_BYTES) -> Iter
                 names=["doc_ids", "docs", "words", "codes", "tokens", "train"])
 
 
-def tidy_some(run, every: int = 8):
-    """Memory given back after every few groups: chunks are alike, so one's memory serves the next."""
-    done = [0]
-
-    def wrapped(pdf: pd.DataFrame) -> pd.DataFrame:
-        try:
-            return run(pdf)
-        finally:
-            done[0] += 1
-            if done[0] % every == 1:
-                give_back()
-    return wrapped
-
-
 class Shared:
     """Tables bucketed by chunk under the shared folder, joined without moving."""
 
@@ -175,48 +161,44 @@ class Shared:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def _sums(bits: int):
+def _sums(pdf: pd.DataFrame) -> pd.DataFrame:
     """A bucket's blocks of keys and values: the sum of each block's keys over all blocks."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        blocks = [unpack(d, 2) for d in pdf["keys"]]
-        keys = np.concatenate([b[0] for b in blocks]).view(_U)
-        own, place = distinct(keys)
-        total = np.zeros(len(own), np.int64)
-        np.add.at(total, place, np.concatenate([b[1] for b in blocks]))
-        cuts = np.cumsum([len(b[0]) for b in blocks])[:-1]
-        seen = int((total[own % _U(2) == 0] > 0).sum())  # n-grams, not divergences
-        bucket = int(pdf["bucket"].iloc[0])
-        out = [(int(c), bucket, pack(total[p]), 0) for c, p in zip(pdf["chunk"], np.split(place, cuts))]
-        return pd.DataFrame([*out, (-1, bucket, b"", seen)], columns=["chunk", "bucket", "totals", "seen"])
-    return run
-
-
-def exchange(shared: Shared, asked: DataFrame, bits: int, name: str) -> DataFrame:
-    """chunk, blocks, seen: what each chunk asked about, totalled; chunk -1 has the number of n-grams counted.
+    blocks = [unpack(d, 2) for d in pdf["keys"]]
+    own, place = distinct(np.concatenate([b[0] for b in blocks]).view(_U))
+    total = np.zeros(len(own), np.int64)
+    np.add.at(total, place, np.concatenate([b[1] for b in blocks]))
+    cuts = np.cumsum([len(b[0]) for b in blocks])[:-1]
+    bucket = int(pdf["bucket"].iloc[0])
+    out = [(int(c), bucket, pack(total[p]), 0) for c, p in zip(pdf["chunk"], np.split(place, cuts))]
+    return pd.DataFrame([*out, (-1, bucket, b"", int((total > 0).sum()))], columns=["chunk", "bucket", "totals", "seen"])
+
+
+def exchange(shared: Shared, asked: DataFrame, name: str) -> DataFrame:
+    """chunk, blocks, seen: what each chunk asked about, totalled; chunk -1 has the number of keys with a total.
 
     ``asked`` is (chunk, bucket, keys): sorted distinct keys and values, cut into buckets by their first bits.
     """
     back = asked.groupBy("bucket").applyInPandas(
-        tidy_group(_sums(bits)), "chunk long, bucket long, totals binary, seen long")
+        tidy_group(_sums), "chunk long, bucket long, totals binary, seen long")
     blocks = F.sort_array(F.collect_list(F.struct("bucket", "totals"))).alias("blocks")
     return shared.write(back.repartition(shared.buckets, "chunk").groupBy("chunk")
                         .agg(blocks, F.sum("seen").alias("seen")), name)
 
 
-def ask(chunk: int, keys: np.ndarray, values: np.ndarray, bits: int) -> pd.DataFrame:
-    """Blocks of sorted keys by their first ``bits`` bits."""
+def ask(chunk: int, keys: np.ndarray, values: np.ndarray, bits: int, kind: int = 0) -> list[tuple]:
+    """Blocks of sorted keys by their first ``bits`` bits; each kind of key has its own buckets."""
     bucket = (keys >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
     at = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(keys))
-    rows = [(chunk, int(bucket[a]), pack(keys[a:b], values[a:b])) for a, b in zip(at[:-1], at[1:])]
-    return pd.DataFrame(rows, columns=["chunk", "bucket", "keys"])
+    return [(chunk, int(bucket[a]) + (kind << bits), pack(keys[a:b], values[a:b])) for a, b in zip(at[:-1], at[1:])]
 
 
 class Chunk:
     """A chunk's tokens with what the rounds have told about them so far.
 
-    Per level k (n-grams of k + 1 tokens): ``count[k]`` of the n-gram that ends
-    at each token (0 where it was not asked about), and ``gain[k]``, the
-    divergence sum of the k words before it (where asked).
+    Level k has the n-grams of k + 1 tokens that end at the tokens ``at[k]``,
+    those after a candidate context of k words: ``keys[k]`` distinct ones,
+    ``code[k]`` each token's among them and ``count[k]`` their counts.
+    ``gain[k]`` is the divergence sum of the context of each of ``at[k]``.
     """
 
     def __init__(self, row, rounds: int, tree: Tree = Tree()):
@@ -224,106 +206,101 @@ class Chunk:
         self.lengths, held = unpack(row["docs"], 2)
         self.held = held.astype(bool)
         (words,), (codes,) = unpack(row["words"], 1, _U), unpack(row["codes"], 1)
-        self.words, self.codes = words, codes
-        n = len(codes)
-        self.place = np.arange(n) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
         self.train = np.repeat(~self.held, self.lengths)
-        self.key = [words[codes]]
+        self.last = np.cumsum(self.lengths) - 1  # every text's end
+        self.at, self.key = [np.arange(len(codes))], [words[codes]]
+        self.keys, self.code = [words], [codes]
         self.count: list[np.ndarray] = []
-        self.context: list[np.ndarray] = []
-        self.gain: list[np.ndarray] = [np.zeros(n, np.int64)]
+        self.gain: list[np.ndarray] = [np.zeros(0, np.int64)]
         for k in range(rounds):
             blocks = row[f"blocks{k}"]  # none: the chunk asked nothing
             blocks = [] if blocks is None else blocks
-            self.told(k, np.concatenate([unpack(t["totals"], 1)[0] for t in blocks] or [np.zeros(0, np.int64)]))
-
-    def before(self, values: np.ndarray, empty=0) -> np.ndarray:
-        """The value at the token before, within the text."""
-        out = np.empty_like(values)
-        out[1:] = values[:-1]
-        out[self.place == 0] = empty
-        return out
-
-    def context_count(self, k: int) -> np.ndarray:
-        """Occurrences of the k words before each token."""
-        if len(self.context) < k:
-            self.context.append(self.before(self.count[k - 1]))
-        return self.context[k - 1]
-
-    def _wanted(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens whose n-gram of level k, and whose context of k - 1 words, are asked about in round k."""
-        n = len(self.place)
-        if k == 0:
-            return np.ones(n, bool), np.zeros(n, bool)
-        # A context that reaches over the text's start has no count.
-        grams = self.context_count(k) >= self.tree.min_count if k <= self.tree.depth else np.zeros(n, bool)
-        contexts = self.context_count(k - 1) >= self.tree.min_count if k > 1 else np.zeros(n, bool)
-        return grams, contexts
-
-    def _keys(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Keys asked about in round k, the asking tokens' masks, and each one's key (n-grams first)."""
-        grams, contexts = self._wanted(k)
-        if k == 0:
-            return self.words, self.codes, grams, contexts
-        if len(self.key) == k:
-            with np.errstate(over="ignore"):
-                gram = scramble(self.before(self.key[k - 1]) + self.key[0] * _U(0x9E3779B97F4A7C15), k)
-            self.key.append(gram & ~_U(1))
-        mine = [self.key[k][grams]]
-        if k > 1:
-            mine.append(self.before(self.key[k - 2])[contexts] | _U(1))
-        keys, at = distinct(np.concatenate(mine))
-        return keys, at, grams, contexts
+            self._told(k, np.concatenate([unpack(t["totals"], 1)[0] for t in blocks] or [np.zeros(0, np.int64)]))
+
+    def _level(self, k: int) -> None:
+        """The n-grams of level k, from the counts of the contexts before them."""
+        if k < len(self.at) or k > self.tree.depth:
+            return
+        before = self.at[k - 1]
+        before = before[self.count[k - 1][before] >= self.tree.min_count]
+        ends = np.zeros(len(self.train), bool)
+        ends[self.last] = True
+        at = before[~ends[before]] + 1
+        with np.errstate(over="ignore"):
+            grams = scramble(self.key[k - 1][at - 1] + self.key[0][at] * _U(0x9E3779B97F4A7C15), k)
+        key, code = np.zeros_like(self.key[0]), np.zeros_like(self.code[0])
+        key[at] = grams
+        keys, code[at] = distinct(grams)
+        self.at.append(at)
+        self.key.append(key)
+        self.keys.append(keys)
+        self.code.append(code)
+
+    def _contexts(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which keys of level k - 1 are contexts of level k, and each asking token's place among them."""
+        code = self.code[k - 1][self.at[k] - 1]
+        asked = np.zeros(len(self.keys[k - 1]), bool)
+        asked[code] = True
+        return asked, (np.cumsum(asked) - 1)[code]
 
     def question(self, k: int, root: tuple[float, float], bits: int) -> pd.DataFrame:
-        """Round k: training counts of n-grams of k + 1 tokens, divergence sums of contexts of k - 1 words."""
-        keys, at, grams, contexts = self._keys(k)
-        value = np.zeros(len(keys), np.int64)
-        n = int(grams.sum())
-        np.add.at(value, at[:n], self.train[grams].astype(np.int64))
-        if contexts.any():
-            mine = contexts & self.train
+        """Round k: training counts of level k, divergence sums of the contexts of level k - 1."""
+        self._level(k)
+        rows = []
+        if k <= self.tree.depth:
+            at = self.at[k]
+            value = np.bincount(self.code[k][at[self.train[at]]], minlength=len(self.keys[k])).astype(np.int64)
+            rows += ask(self.chunk, self.keys[k], value, bits)
+        if k > 1:
+            asked, place = self._contexts(k - 1)
+            mine = self.at[k - 1]
             p = self.chances(k - 1, root, left_out=1)
-            gain = np.zeros(len(self.place), np.int64)
-            gain[mine] = np.rint(NAT * np.log(p[k - 1][mine] / p[k - 2][mine])).astype(np.int64)
-            np.add.at(value, at[n:], gain[contexts])
-        return ask(self.chunk, keys, value, bits)
-
-    def told(self, k: int, totals: np.ndarray) -> None:
-        _, at, grams, contexts = self._keys(k)
-        n = int(grams.sum())
+            gain = np.rint(NAT * np.log(p[k - 1][mine] / p[k - 2][mine]))
+            # Whole numbers, exact in double precision.
+            value = np.bincount(place, np.where(self.train[mine], gain, 0), int(asked.sum())).astype(np.int64)
+            rows += ask(self.chunk, self.keys[k - 2][asked], value, bits, kind=1)
+        return pd.DataFrame(rows, columns=["chunk", "bucket", "keys"])
+
+    def _told(self, k: int, totals: np.ndarray) -> None:
+        """The totals of round k, in the order in which they were asked for."""
+        self._level(k)
+        grams = len(self.keys[k]) if k <= self.tree.depth else 0
         if k <= self.tree.depth:
-            count = np.zeros(len(self.place), np.int64)
-            count[grams] = totals[at[:n]]
+            at = self.at[k]
+            count = np.zeros(len(self.train), np.int64)
+            count[at] = totals[:grams][self.code[k][at]]
             self.count.append(count)
         if k > 1:
-            gain = np.full(len(self.place), np.iinfo(np.int64).min)
-            gain[contexts] = totals[at[n:]]
-            self.gain.append(gain)
+            self.gain.append(totals[grams:][self._contexts(k - 1)[1]])
 
     def chances(self, depth: int, root: tuple[float, float], left_out: int = 0) -> list[np.ndarray]:
-        """p(token | the last k words) for k up to ``depth``, as if every context were a state.
+        """p(token | the last k words) at the tokens of level k up to ``depth``, as if every context were a state.
 
-        With ``left_out``, each token's own occurrence is taken out of the counts.
+        With ``left_out``, each training token's own occurrence is taken out of the counts.
         """
         tokens, words = root
         own = left_out * self.train
         out = [np.maximum(self.count[0] - own + ADD, ADD) / (np.maximum(tokens - own, 0) + ADD * (words + 1))]
         for k, weight in zip(range(1, depth + 1), self.tree.parent):
-            context = np.maximum(self.context_count(k) - own, 0)
-            out.append((np.maximum(self.count[k] - own, 0) + weight * out[-1]) / (context + weight))
+            at = self.at[k]
+            p, mine = np.zeros_like(out[0]), own[at]
+            context = np.maximum(self.count[k - 1][at - 1] - mine, 0)
+            p[at] = (np.maximum(self.count[k][at] - mine, 0) + weight * out[-1][at]) / (context + weight)
+            out.append(p)
         return out
 
     def scores(self, root: tuple[float, float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(known tokens, base score, model score) of every document."""
         p = self.chances(self.tree.depth, root)
-        model, state = p[0].copy(), np.ones(len(p[0]), bool)
+        base = np.log10(p[0])
+        model, state = base.copy(), np.ones(len(base), bool)
         for k in range(1, self.tree.depth + 1):
-            state &= self.gain[k] >= self.tree.divergence * NAT
-            model[state] = p[k][state]
-        first = np.cumsum(self.lengths) - self.lengths
-        return (np.add.reduceat((self.count[0] > 0).astype(np.int64), first),
-                np.add.reduceat(np.log10(p[0]), first), np.add.reduceat(np.log10(model), first))
+            retained = np.zeros(len(base), bool)
+            retained[self.at[k][self.gain[k] >= self.tree.divergence * NAT]] = True
+            state &= retained
+            model[state] = np.log10(p[k][state])
+        first = self.last + 1 - self.lengths
+        return tuple(np.add.reduceat(v, first) for v in ((self.count[0] > 0).astype(np.int64), base, model))
 
 
 def score(docs: DataFrame, held_out, tree: Tree = Tree(), bucket_keys: int = BUCKET_KEYS) -> DataFrame:
@@ -348,8 +325,8 @@ def score(docs: DataFrame, held_out, tree: Tree = Tree(), bucket_keys: int = BUC
 
         def question(pdf: pd.DataFrame, k=k, root=root) -> pd.DataFrame:
             return Chunk(pdf.iloc[0], k, tree).question(k, root, bits)
-        asked = known.groupBy("chunk").applyInPandas(tidy_some(question), "chunk long, bucket long, keys binary")
-        answer = exchange(shared, asked, bits, f"round{k}")
+        asked = known.groupBy("chunk").applyInPandas(tidy_group(question), "chunk long, bucket long, keys binary")
+        answer = exchange(shared, asked, f"round{k}")
         if k == 0:
             # Distinct tokens with a training count.
             root = (float(train), float(answer.filter("chunk = -1").agg(F.sum("seen")).first()[0] or 0))
@@ -362,7 +339,7 @@ def score(docs: DataFrame, held_out, tree: Tree = Tree(), bucket_keys: int = BUC
                              "n_known": n_known, "train_tokens": train, "base_score": base, "score": model})
     known = reduce(lambda a, b: a.join(b, "chunk", "left"), told, rows)
     out = materialise(known.groupBy("chunk").applyInPandas(
-        tidy_some(final), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+        tidy_group(final), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                            "base_score double, score double"), "pst-scores")
     shared.drop()
     return out
