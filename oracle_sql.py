@@ -499,6 +499,16 @@ def operator_queries() -> dict[str, str]:
             for std, export in ((std_bank(), bank_export_sql()), (std_card(), card_export_sql()))
             for late in ("right(transaction_id, 1) IN ('0', '3', '6', '9')",
                          "right(transaction_id, 1) NOT IN ('0', '3', '6', '9')")),
+        "load_race": stored_all,
+        "raw_since": f"SELECT * FROM ({stored_all}) WHERE date IS NULL OR date >= date_trunc('month', DATE '{MID_MONTH_START}')",
+        "view_models": with_(base) + """
+SELECT 'int_categorized' AS model, source, category, count(*) AS n, count(*) FILTER (WHERE is_payment) AS payments
+FROM typed GROUP BY source, category
+UNION ALL SELECT 'int_all_transactions', source, NULL, count(*), count(*) FILTER (WHERE is_payment) FROM dated GROUP BY source
+UNION ALL SELECT 'stg_' || source || '_txns', source, NULL, count(*), NULL FROM led GROUP BY source""",
+        "audit_time": with_(base) + """
+SELECT source, count(*) AS rows, 0::bigint AS without_time, true AS one_time, true AS not_before_the_query,
+       true AS not_after_the_query FROM led GROUP BY source""",
         # projections, filters, classification
         "union_ledger": with_(base) + """
 SELECT transaction_id, transaction_date, description, amount, is_debit, absolute_amount,
@@ -527,7 +537,10 @@ FROM mart_savings_rate""",
             + "\nSELECT * FROM mart_savings_rate",
         # joins
         "join_self_left": with_(base)
-            + "\nSELECT unique_transaction_id, a.description, b.category FROM cat a LEFT JOIN cat b USING (unique_transaction_id)",
+            # The join meets itself on a numbered id: the ledger is worked out once.
+            + """, own AS MATERIALIZED (
+    SELECT unique_transaction_id, description, category, dense_rank() OVER (ORDER BY unique_transaction_id) AS k FROM cat)
+SELECT a.unique_transaction_id, a.description, b.category FROM own a LEFT JOIN own b ON a.k = b.k""",
         "join_full_outer": with_(base, sp, inc, sav) + """
 """ + joined_select(),
         # aggregates

@@ -9,8 +9,9 @@ With --carry-provider-category the card export's merchant_category is stored
 in the raw card table and takes precedence over the rules.
 
 Steps: validation report (written next to the marts), per-source gated
-incremental load into the raw tables, the four marts written as parquet
-tables (full rebuild), then the mart column tests. Exit status 1 when a
+incremental load into the raw tables, the four marts written as snapshots
+(full rebuild; read them with ``SnapshotStore(spark, marts).read(name)``), then
+the mart column tests. Exit status 1 when a
 source failed to load or a column test failed, as the reference's scripts
 signal failure.
 """
@@ -18,7 +19,6 @@ signal failure.
 from __future__ import annotations
 
 import argparse
-import os
 import sys
 
 from pyspark.sql import SparkSession
@@ -28,35 +28,41 @@ from tally.plans.models import ModelOptions, build_marts
 from tally.schema import BANK, CARD, PROVIDER_COLUMN
 from tally.sources.loader import SourceFile, load_sources
 from tally.sources.raw import RawStore
+from tally.sources.snapshots import SnapshotStore
+
+#: Snapshots of each mart that a run leaves: the new one, and the one that readers may still be at.
+KEPT = 2
 
 
 def run(spark: SparkSession, bank: str, card: str, store_root: str, marts_root: str,
         start_date: str = "2024-01-01", full_refresh: bool = False,
         carry_provider_category: bool = False) -> dict:
-    checks_path = os.path.join(marts_root, "validation_checks")
+    tables = SnapshotStore(spark, marts_root)
     results, _ = quality.validation_report(spark, {"bank": bank, "card": card})
-    results.write.mode("overwrite").parquet(checks_path)  # the exports are validated once, here
-    summary_path = os.path.join(marts_root, "validation_summary")
-    quality.summarise(spark.read.schema(results.schema).parquet(checks_path)).write.mode("overwrite").parquet(summary_path)
-    summary = spark.read.parquet(summary_path)
+    tables.write(results, "validation_checks")  # the exports are validated once, here
+    tables.write(quality.summarise(tables.read("validation_checks")), "validation_summary")
+    summary = tables.read("validation_summary")
 
     carried = {CARD.raw_table: tuple(PROVIDER_COLUMN.values())} if carry_provider_category else {}
     store = RawStore(spark, store_root, carry=carried)
     outcome, all_loaded = load_sources(spark, store, [SourceFile("bank", bank), SourceFile("card", card)],
                                        full_refresh=full_refresh,
                                        carry={"card": PROVIDER_COLUMN} if carry_provider_category else None)
-    outcome.write.mode("overwrite").parquet(os.path.join(marts_root, "load_outcome"))
+    tables.write(outcome, "load_outcome")
 
     opts = ModelOptions(start_date=start_date, carry_provider_category=carry_provider_category)
     marts = build_marts(store.read(BANK.raw_table), store.read(CARD.raw_table), opts)
     try:
         for name, df in marts.items():
             if not name.startswith("_"):
-                df.write.mode("overwrite").parquet(os.path.join(marts_root, name))
+                tables.write(df, name)
     finally:
         marts["_rollup"].unpersist()
 
-    stats = spark.read.parquet(os.path.join(marts_root, "mart_spending_stats"))
+    for name in ("validation_checks", "validation_summary", "load_outcome", *(n for n in marts if not n.startswith("_"))):
+        tables.vacuum(name, keep=KEPT)
+
+    stats = tables.read("mart_spending_stats")
     tests = quality.test_not_null(stats, "mart_spending_stats", ["category", "mean_monthly_spend"]) \
         .unionByName(quality.test_unique(stats, "mart_spending_stats", "category"))
     tests_passed = all(r["passed"] for r in tests.collect())

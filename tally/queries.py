@@ -7,6 +7,7 @@ over all of their rows. The keys match ``oracle_sql.oracle_queries``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from tally.sources.adapter import bank_export, card_export, card_export_dirty
 from tally.sources.files import MALFORMED, file_readiness, map_to_common, read_source, write_csv
 from tally.sources.loader import SourceFile, load_sources
 from tally.sources.raw import RawStore, parse_number, standardise
+from tally.sources.snapshots import SnapshotStore, file_system, names_in
 from tally.streaming.incremental import stream_load
 
 from tally.plans import marts
@@ -31,6 +33,7 @@ from tally.plans.models import (
     int_categorized,
     raw_bank_from_tables,
     raw_card_from_tables,
+    register_views,
 )
 from tally.operators.staging import stg_bank, stg_card
 
@@ -143,8 +146,12 @@ def _awkward(text):
 
 
 def q_read_bank(spark, sf):
+    """A folder of exports in two column orders, each read by its own header."""
     export = bank_export(spark, sf).withColumn("description", _awkward(F.col("description")))
-    return read_source(spark, write_csv(export, scratch_path(spark, "bank-csv")), BANK).drop(MALFORMED)
+    folder, odd = scratch_path(spark, "bank-csv"), F.col("transaction_id").rlike("[13579]$")
+    write_csv(export.filter(odd), folder + "/odd")
+    write_csv(export.filter(~odd).select("amount", "description", "transaction_id", "transaction_type", "date"), folder + "/even")
+    return read_source(spark, folder + "/*", BANK).drop(MALFORMED)
 
 
 def q_read_card(spark, sf):
@@ -171,6 +178,14 @@ def q_standardise(spark, sf):
     return bank.unionByName(card)
 
 
+#: Buckets of the queries' raw tables: every month of a load has a file for each.
+QUERY_BUCKETS = 4
+
+
+def _store(spark) -> RawStore:
+    return RawStore(spark, scratch_path(spark, "raw"), buckets=QUERY_BUCKETS)
+
+
 def _stored(store):
     return store.read(BANK.raw_table).unionByName(store.read(CARD.raw_table))
 
@@ -185,7 +200,7 @@ def _first_batches(spark, sf):
 
 
 def q_load_full(spark, sf):
-    store = RawStore(spark, scratch_path(spark, "raw"))
+    store = _store(spark)
     bank, card, early_bank, early_card = _first_batches(spark, sf)
     store.load(early_bank, BANK.raw_table)
     store.load(early_card, CARD.raw_table)
@@ -197,7 +212,7 @@ def q_load_full(spark, sf):
 def q_load_incremental(spark, sf):
     """First load about 90% of the ids, then the whole export with every
     description revised: only the new ids are added, stored rows stay."""
-    store = RawStore(spark, scratch_path(spark, "raw"))
+    store = _store(spark)
     bank, card, early_bank, early_card = _first_batches(spark, sf)
     store.load(early_bank, BANK.raw_table)
     store.load(early_card, CARD.raw_table)
@@ -210,37 +225,108 @@ def q_load_incremental(spark, sf):
 def q_load_outcome(spark, sf):
     files = [SourceFile("bank", write_csv(bank_export(spark, sf), scratch_path(spark, "bank-csv"))),
              SourceFile("card", write_csv(card_export(spark, sf), scratch_path(spark, "card-csv")))]
-    outcome, _ = load_sources(spark, RawStore(spark, scratch_path(spark, "raw")), files)
+    outcome, _ = load_sources(spark, _store(spark), files)
     return outcome.select("source", "status", "rows_loaded")
 
 
+def q_load_race(spark, sf):
+    """Two loads follow the same version of the table, and their batches share
+    a third of the ids: the one that ends later leaves out what the other stored."""
+    store = _store(spark)
+    bank, card, _, _ = _first_batches(spark, sf)
+    for batch, table in ((bank, BANK.raw_table), (card, CARD.raw_table)):
+        third = F.pmod(F.xxhash64("transaction_id"), F.lit(3))
+        store.load(batch.filter(third == 0), table)
+        rival = RawStore(spark, store.root, buckets=QUERY_BUCKETS)
+        store.load(batch.filter(third != 0), table,
+                   before_commit=lambda: rival.load(batch.filter(third < 2), table))  # noqa: B023
+    return _stored(store)
+
+
+def q_raw_since(spark, sf):
+    """Raw rows of the months from a start date on, other months' files not read."""
+    store = _store(spark)
+    bank, card, early_bank, early_card = _first_batches(spark, sf)
+    for batch in (early_bank, bank):
+        store.load(batch, BANK.raw_table)
+    for batch in (early_card, card):
+        store.load(batch, CARD.raw_table)
+    since = MID_MONTH_START
+    return store.read(BANK.raw_table, since=since).unionByName(store.read(CARD.raw_table, since=since))
+
+
 def q_mart_roundtrip(spark, sf):
-    path = scratch_path(spark, "mart_monthly_spend")
-    _spend_mart(spark, sf).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    """The spend mart written over an older snapshot and read back; the older one stays readable until vacuumed."""
+    store = SnapshotStore(spark, scratch_path(spark, "marts"))
+    name = "mart_monthly_spend"
+    older = marts.mart_monthly_spend(categorized(spark, sf), "1998-01-01", ordered=False)
+    store.write(older, name)
+    store.write(_spend_mart(spark, sf), name)
+    store.vacuum(name, keep=1)
+    return store.read(name)
+
+
+def _land(spark, export, path: str) -> None:
+    """One export as exactly this file (in place of what is there)."""
+    part = write_csv(export.coalesce(1), scratch_path(spark, "part-csv"))
+    fs, target = file_system(spark, path)
+    name = next(n for n in names_in(spark, part) if n.endswith(".csv"))
+    fs.delete(target, False)
+    fs.mkdirs(target.getParent())
+    fs.rename(file_system(spark, f"{part}/{name}")[1], target)
 
 
 def q_load_stream(spark, sf):
-    """Exports land in two runs: of the first run's files one repeats ids and
-    is quarantined, the second run's has its columns in another order.
-    Returns the stored rows."""
-    store = RawStore(spark, scratch_path(spark, "raw"))
+    """Exports land in two runs: of the first run's files one repeats ids and one
+    is empty, and both are quarantined; the second run's has its columns in
+    another order, and the empty one has been filled in place. Returns the stored rows."""
+    store = _store(spark)
     results = []
     for spec, export, text in ((BANK, bank_export(spark, sf), "description"), (CARD, card_export(spark, sf), "merchant_name")):
         landing = scratch_path(spark, f"landing-{spec.name}")
         checkpoint = scratch_path(spark, f"stream-ckpt-{spec.name}")
-        late = F.right("transaction_id", F.lit(1)).isin("0", "3", "6", "9")
-        write_csv(export.filter(~late).coalesce(1), landing + "/export-1")
+        late, filled = F.right("transaction_id", F.lit(1)).isin("0", "3", "6", "9"), F.endswith("transaction_id", F.lit("9"))
+        _land(spark, export.filter(~late), landing + "/export-1.csv")
         bad = export.filter(late).limit(5)
-        write_csv(bad.unionByName(bad).coalesce(1), landing + "/export-2")
-        stream_load(spark, store, spec, landing + "/*", checkpoint)
+        _land(spark, bad.unionByName(bad), landing + "/export-2.csv")
+        fs, empty = file_system(spark, landing + "/export-4.csv")
+        fs.create(empty).close()
+        stream_load(spark, store, spec, landing, checkpoint)
         swapped = [c for c in export.columns if c not in (text, "transaction_type")] + ["transaction_type", text]
-        write_csv(export.filter(late).select(*swapped).coalesce(1), landing + "/export-3")
-        stream_load(spark, store, spec, landing + "/*", checkpoint)
+        _land(spark, export.filter(late & ~filled).select(*swapped), landing + "/export-3.csv")
+        _land(spark, export.filter(filled), landing + "/export-4.csv")
+        stream_load(spark, store, spec, landing, checkpoint)
         results.append(store.read(spec.raw_table))
     return results[0].unionByName(results[1])
 
 
+def q_view_models(spark, sf):
+    """The staging and intermediate models through their catalog views, by SQL alone."""
+    register_views(*_raw(spark, sf), OPTS)
+    return spark.sql("""
+        SELECT 'int_categorized' AS model, source, category, count(*) AS n, count_if(is_payment) AS payments
+        FROM int_categorized GROUP BY source, category
+        UNION ALL
+        SELECT 'int_all_transactions', source, CAST(NULL AS string), count(*), count_if(is_payment)
+        FROM int_all_transactions GROUP BY source
+        UNION ALL
+        SELECT 'stg_bank_txns', source, CAST(NULL AS string), count(*), CAST(NULL AS bigint) FROM stg_bank_txns GROUP BY source
+        UNION ALL
+        SELECT 'stg_card_txns', source, CAST(NULL AS string), count(*), CAST(NULL AS bigint) FROM stg_card_txns GROUP BY source""")
+
+
+def q_audit_time(spark, sf):
+    """What holds of the load time of staged rows: present, one value a query, between the query's planning and now."""
+    bank, card = _raw(spark, sf)
+    start = F.lit(datetime.now(timezone.utc))
+    staged = stg_bank(bank).select("source", "_loaded_at").unionByName(stg_card(card).select("source", "_loaded_at"))
+    return staged.groupBy("source").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_loaded_at").isNull()).alias("without_time"),
+        (F.min("_loaded_at") == F.max("_loaded_at")).alias("one_time"),
+        (F.min("_loaded_at") >= start).alias("not_before_the_query"),
+        (F.max("_loaded_at") <= F.current_timestamp()).alias("not_after_the_query"))
+
+
 # --------------------------------------------------------------------------
 # projections, filters, classifications
 # --------------------------------------------------------------------------
@@ -564,6 +650,10 @@ QUERIES: dict[str, Query] = {
     "load_outcome": q_load_outcome,
     "mart_roundtrip": q_mart_roundtrip,
     "load_stream": q_load_stream,
+    "load_race": q_load_race,
+    "raw_since": q_raw_since,
+    "view_models": q_view_models,
+    "audit_time": q_audit_time,
     # projections, filters, classification
     "union_ledger": q_union_ledger,
     "categorize": q_categorize,

@@ -85,7 +85,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+_NAMED: dict[str, str] = {}
+
+
+def note_table(spark: SparkSession, name: str, root: str) -> None:
+    """Remember a catalog name given to files under ``root``."""
+    _NAMED[name] = root
+
+
 def clean_scratch(spark: SparkSession) -> None:
-    """Delete what this application wrote to the scratch location."""
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    """Delete what this application wrote to the scratch location, and the catalog names given to it."""
+    root = scratch_root(spark)
+    for name in [n for n, where in _NAMED.items() if where.startswith(root)]:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        del _NAMED[name]
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
     jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import csv
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,8 @@ CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"',
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 MALFORMED = "_malformed"
 _RECORD = "_record"
+#: Different headers of one folder, each a branch of the plan; more are taken for a folder that holds something else.
+MOST_HEADERS = 50
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
@@ -28,29 +30,80 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
 
 def read_csv_text(spark: SparkSession, path: str | list[str],
                   null_tokens: tuple[str, ...] = NULL_TOKENS, multi_line: bool = False,
-                  columns: list[str] | None = None, with_file: bool = False) -> DataFrame:
-    """Read a header CSV with every column as text, named by the header.
-
-    The header of the first file (or ``columns``) names the columns, and the
-    header of every other file must agree with it: a file whose columns stand
-    in another order stops the read instead of being bound by position. No
-    types are inferred: ids keep leading zeros and a bad cell cannot fail the
-    read. Cells holding a null token become NULL. ``_malformed`` marks rows with
-    more fields than the header; missing fields at a row's end are NULL.
-    ``multi_line`` allows line breaks inside quoted cells (files are then
-    not split). ``with_file`` adds each row's file as ``_file``.
+                  one_header: bool = False) -> DataFrame:
+    """Read header CSVs with every column as text, named by the header.
+
+    Of a folder, each file is read by its own header: columns that stand in
+    another order are united by name, and a column that a file lacks is NULL
+    in its rows. For this the headers are looked up in one pass over the files
+    first; ``one_header`` says that all files share a header and saves
+    the pass (a file that differs then stops the read). No types are inferred:
+    ids keep leading zeros and a bad cell cannot fail the read. Cells
+    holding a null token become NULL. ``_malformed`` marks rows with more fields
+    than the header; missing fields at a row's end are NULL. ``multi_line``
+    allows line breaks inside quoted cells (files are then not split, and
+    must share a header).
     """
+    if not one_header and not multi_line:
+        lines = csv_lines(spark, path)
+        if len(lines.inputFiles()) > 1:
+            heads = file_headers(lines)
+            found = [r["head"] for r in heads.select("head").distinct().limit(MOST_HEADERS + 1).collect()]
+            if len(found) > MOST_HEADERS:
+                raise ValueError(f"more than {MOST_HEADERS} different headers in {path}")
+            if len(found) > 1:
+                return parse_lines(lines, heads, sorted(found), null_tokens).drop("_file")
     reader = spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line)
-    names = columns or reader.option("inferSchema", False).csv(path).columns
+    names = reader.option("inferSchema", False).csv(path).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, _RECORD]])
     df = (spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line).schema(schema)
           .option("enforceSchema", False).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", _RECORD).csv(path))
-    bare = F.regexp_replace(F.col(_RECORD), r'"(?:[^"]|"")*"', "")
-    commas = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
-    file = [F.col("_metadata.file_path").alias("_file")] if with_file else []
     return df.select(*[null_tokens_to_null(F.col(f"`{c}`"), null_tokens).alias(c) for c in names],
-                     F.coalesce(commas >= F.lit(len(names)), F.lit(False)).alias(MALFORMED), *file)
+                     _too_long(F.col(_RECORD), len(names)).alias(MALFORMED))
+
+
+def _too_long(record: Column, fields: int | Column) -> Column:
+    """Whether a line has more fields than the header."""
+    bare = F.regexp_replace(record, r'"(?:[^"]|"")*"', "")
+    commas = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
+    return F.coalesce(commas >= fields, F.lit(False))
+
+
+def csv_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The lines of files that are not blank: value, _file, _start (of its block), _at (order within the block)."""
+    return spark.read.text(path).filter(F.length(F.trim("value")) > 0).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_at"))
+
+
+def file_headers(lines: DataFrame) -> DataFrame:
+    """_file, head, head_at: the first line of every file, found where the file is read."""
+    first = F.min(F.struct("_at", "value")).alias("first")
+    return lines.filter("_start = 0").groupBy("_file").agg(first).select(
+        "_file", F.col("first.value").alias("head"), F.col("first._at").alias("head_at"))
+
+
+def parse_lines(lines: DataFrame, heads: DataFrame, headers: list[str],
+                null_tokens: tuple[str, ...] = NULL_TOKENS) -> DataFrame:
+    """Lines as rows by their own file's header, united by name, with ``_malformed`` and ``_file``.
+
+    ``headers`` are the header lines that occur (lines of files with another one are left out).
+    """
+    columns = {h: header_columns(h) for h in headers}
+    names = list(dict.fromkeys(c for h in headers for c in columns[h]))
+    rows = lines.join(heads, "_file").filter((F.col("_at") != F.col("head_at")) & F.col("head").isin(headers))
+    parsed = []
+    for k, h in enumerate(headers):
+        cells = ", ".join(f"c{j} string" for j in range(len(columns[h])))
+        own = F.col("head") == F.lit(h)
+        parsed.append(F.when(own, F.from_csv("value", F.lit(cells), CSV_OPTIONS)).alias(f"p{k}"))
+    fields = F.coalesce(*[F.when(F.col("head") == F.lit(h), F.lit(len(columns[h]))) for h in headers])
+    rows = rows.select("_file", _too_long(F.col("value"), fields).alias(MALFORMED), *parsed)
+
+    def named(c: str) -> Column:
+        return F.coalesce(*[F.col(f"p{k}.c{columns[h].index(c)}") for k, h in enumerate(headers) if c in columns[h]])
+    return rows.select(*[null_tokens_to_null(named(c), null_tokens).alias(c) for c in names], MALFORMED, "_file")
 
 
 def plain_path(spark: SparkSession, uri: str) -> str:
@@ -59,18 +112,6 @@ def plain_path(spark: SparkSession, uri: str) -> str:
     return jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)).toString()
 
 
-def header_line(spark: SparkSession, path: str) -> str:
-    """The first line of one file, read through the cluster's file system."""
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    stream = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(jpath)
-    try:
-        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
-    finally:
-        stream.close()
-    return line or ""
-
-
 def header_columns(line: str) -> list[str]:
     """Column names of a header line."""
     return next(csv.reader([line.removeprefix("\ufeff")]), [])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import os
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -13,13 +14,16 @@ from pyspark.sql import types as T
 
 from tally.functions.text import strip_ws
 from tally.schema import COMMON_COLUMNS, RAW_SCHEMA
+from tally.session import note_table
+from tally.sources.snapshots import Versions, file_system
 
 # Accepted date layouts besides ISO (which a plain cast already parses).
 DATE_FORMATS = ("MM/dd/yyyy", "yyyy/MM/dd", "dd-MMM-yyyy")
 
 # Buckets of a new raw table; an existing table keeps its own number. Choose
-# it so that a bucket's ids fit a task when the table is full-grown.
-BUCKETS = 64
+# it so that a bucket's ids fit a task when the table is full-grown (a load
+# writes a file for each month and bucket that it has rows of).
+BUCKETS = 16
 
 
 def parse_timestamp(col: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
@@ -84,14 +88,45 @@ class LoadResult:
     rows_loaded: int
 
 
-class RawStore:
-    """Raw tables stored as parquet under one shared root, bucketed by id.
+#: The month of rows without a date. It sorts behind all months, so that no start date drops it.
+NO_MONTH = "none"
+
+
+def month_of(date: Column) -> Column:
+    """The month partition of a row."""
+    return F.coalesce(F.date_format(date, "yyyy-MM"), F.lit(NO_MONTH))
+
+
+def unseen(batch: DataFrame, stored: DataFrame) -> DataFrame:
+    """The batch's rows whose id is not among the stored rows' ids.
+
+    A missing id counts as an id of its own: it is new only while no row
+    without an id is stored.
+    """
+    stored = stored.select(F.col("transaction_id").alias("_stored"))
+    known = batch.filter(F.col("transaction_id").isNotNull()).join(
+        stored.filter(F.col("_stored").isNotNull()), F.col("transaction_id") == F.col("_stored"), "left_anti")
+    if not stored.filter(F.col("_stored").isNull()).isEmpty():
+        return known
+    return known.unionByName(batch.filter(F.col("transaction_id").isNull()))
+
 
-    Bucketing keeps each id's rows in a known bucket: a load shuffles its own
-    batch to the buckets and reads the stored ids where they lie, without
-    moving them. Within a bucket's file rows are ordered by date, so that a
-    date filter skips row groups. ``carry`` names further text columns of a
-    table that are stored besides the contract's (by table).
+class RawStore:
+    """Raw tables stored as parquet under one shared root, in versions.
+
+    Every load writes a folder of its own, partitioned by month and bucketed by
+    id, and a new version of the table then names it beside the folders of the
+    version before (``snapshots.Versions``). A full refresh's version names its
+    own folder alone. So a load that is killed, or one that is still
+    writing, is never seen, readers keep the version that they began with, and
+    two loads at once cannot both follow the same version: the second one
+    looks again at what the first one added and leaves out the ids it has.
+
+    Months let a start date skip files (``read(since=...)``). Buckets keep each
+    id's rows in a known place: a load shuffles its own batch to the buckets
+    and reads the stored ids where they lie. Rows are ordered by date within a
+    file. ``carry`` names further text columns of a table that are stored
+    besides the contract's (by table).
     """
 
     def __init__(self, spark: SparkSession, root: str, carry: dict[str, tuple[str, ...]] | None = None,
@@ -100,6 +135,7 @@ class RawStore:
         self.root = root
         self.carry = carry or {}
         self.buckets = buckets
+        self._added: set[tuple[str, str]] = set()
 
     def path(self, table: str) -> str:
         return os.path.join(self.root, table)
@@ -108,82 +144,127 @@ class RawStore:
         extra = [T.StructField(c, T.StringType()) for c in self.carry.get(table, ())]
         return T.StructType([*RAW_SCHEMA.fields, *extra])
 
-    def _file(self, path: str):
-        jpath = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return jpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jpath
+    def versions(self, table: str) -> Versions:
+        return Versions(self.spark, self.path(table))
 
     def exists(self, table: str) -> bool:
-        fs, jpath = self._file(self.path(table))
-        return fs.exists(jpath)
+        return self.versions(table).latest()[1] is not None
 
-    def _table(self, table: str) -> str:
-        """The session's name of a stored table, registered over its folder.
-
-        The number of buckets is kept beside the folder, as a table's files
-        can be read with that number only.
-        """
-        fs, note = self._file(os.path.join(self.root, f"_{table}.buckets"))
-        if fs.exists(note):
-            stream = fs.open(note)
-            buckets = int(stream.readInt())
-            stream.close()
-        else:
-            buckets = self.buckets
-            stream = fs.create(note, True)
-            stream.writeInt(buckets)
-            stream.close()
+    def _table(self, table: str, manifest: dict) -> str:
+        """The session's name of a stored table, with the folders of a version among its partitions."""
         schema = self.schema(table)
-        key = hashlib.md5(f"{self.path(table)}|{buckets}|{schema.simpleString()}".encode()).hexdigest()[:16]
-        name = f"tally_raw_{key}"
-        if not self.spark.catalog.tableExists(name):
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-            where = self.path(table).replace("\\", "\\\\").replace("'", "\\'")
-            self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (transaction_id) "
-                           f"SORTED BY (date) INTO {buckets} BUCKETS LOCATION '{where}'")
+        key = f"{self.path(table)}|{manifest['buckets']}|{schema.simpleString()}"
+        name = f"tally_raw_{hashlib.md5(key.encode()).hexdigest()[:16]}"
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}, `_load` string, `_month` string) USING parquet "
+                       f"PARTITIONED BY (`_load`, `_month`) CLUSTERED BY (transaction_id) SORTED BY (date) "
+                       f"INTO {manifest['buckets']} BUCKETS LOCATION '{_quoted(self.path(table))}'")
+        note_table(self.spark, name, self.root)
+        new = [(load["id"], m) for load in manifest["loads"] if (name, load["id"]) not in self._added
+               for m in load["months"]]
+        for k in range(0, len(new), 500):
+            parts = " ".join(f"PARTITION (`_load`='{i}', `_month`='{m}')" for i, m in new[k:k + 500])
+            self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
+        self._added |= {(name, load["id"]) for load in manifest["loads"]}
         return name
 
-    def read(self, table: str) -> DataFrame:
-        if not self.exists(table):
+    def _rows(self, table: str, manifest: dict, loads: list[str] | None = None) -> DataFrame:
+        """The rows of a version, or of some of its loads, with their month."""
+        ids = [load["id"] for load in manifest["loads"] if loads is None or load["id"] in loads]
+        return self.spark.table(self._table(table, manifest)).filter(F.col("_load").isin(ids)).drop("_load")
+
+    def read(self, table: str, version: int | None = None, since: str | None = None) -> DataFrame:
+        """A version of a table (default: the newest). ``since`` (a date, 'yyyy-MM-dd')
+        leaves out the files of earlier months, and nothing else: rows of its own
+        month and rows without a date are returned."""
+        versions = self.versions(table)
+        manifest = versions.read(version) if version else versions.latest()[1]
+        if manifest is None:
             return self.spark.createDataFrame([], self.schema(table))
-        name = self._table(table)
-        self.spark.catalog.refreshTable(name)
-        return self.spark.table(name)
-
-    def _write(self, rows: DataFrame, table: str, overwrite: bool) -> int:
-        """Insert rows, each bucket by one task, and count them as they are written."""
-        name = self._table(table)
-        buckets = self.spark.sql(f"DESCRIBE EXTENDED {name}").filter("col_name = 'Num Buckets'").first()["data_type"]
-        written = Observation(f"load_{table}_{uuid.uuid4().hex[:12]}")
-        (rows.repartition(int(buckets), "transaction_id").observe(written, F.count(F.lit(1)).alias("rows"))
-         .write.insertInto(name, overwrite=overwrite))
-        self.spark.catalog.refreshTable(name)
-        return int(written.get["rows"])
-
-    def new_rows(self, batch: DataFrame, table: str) -> DataFrame:
-        """The batch's rows whose id is not stored yet.
-
-        The stored side is read bucket by bucket and is not shuffled; which
-        side is broadcast, if any, is left to the planner, by bytes. A
-        missing id counts as an id of its own: it is new only while no row
-        without an id is stored.
-        """
-        stored = self.read(table).select(F.col("transaction_id").alias("_stored"))
-        known = batch.filter(F.col("transaction_id").isNotNull()).join(
-            stored.filter(F.col("_stored").isNotNull()), F.col("transaction_id") == F.col("_stored"), "left_anti")
-        if not stored.filter(F.col("_stored").isNull()).isEmpty():
-            return known
-        return known.unionByName(batch.filter(F.col("transaction_id").isNull()))
-
-    def load(self, batch: DataFrame, table: str, full_refresh: bool = False) -> LoadResult:
+        rows = self._rows(table, manifest)
+        if since is not None:
+            rows = rows.filter(F.col("_month") >= since[:7])
+        return rows.drop("_month")
+
+    def _write(self, rows: DataFrame, table: str, buckets: int) -> dict:
+        """Write a load's folder, each bucket by one task, and count its rows as they are written."""
+        load = uuid.uuid4().hex
+        written = Observation(f"load_{load}")
+        name = f"tally_load_{load}"
+        (rows.withColumn("_month", month_of(F.col("date"))).repartition(buckets, "transaction_id")
+         .observe(written, F.count(F.lit(1)).alias("rows")).write.format("parquet").partitionBy("_month")
+         .bucketBy(buckets, "transaction_id").sortBy("date")
+         .option("path", os.path.join(self.path(table), f"_load={load}")).saveAsTable(name))
+        months = [r[0].split("=", 1)[1] for r in self.spark.sql(f"SHOW PARTITIONS {name}").collect()]
+        self.spark.sql(f"DROP TABLE {name}")  # the name alone; the folder stays
+        return {"id": load, "rows": int(written.get["rows"]), "months": sorted(months)}
+
+    def _discard(self, table: str, load: dict) -> None:
+        fs, path = file_system(self.spark, os.path.join(self.path(table), f"_load={load['id']}"))
+        fs.delete(path, True)
+
+    def new_rows(self, batch: DataFrame, table: str, version: int | None = None) -> DataFrame:
+        """The batch's rows whose id a version does not store. The stored side is
+        read bucket by bucket and is not shuffled; which side is broadcast, if
+        any, is left to the planner, by bytes."""
+        return unseen(batch, self.read(table, version))
+
+    def load(self, batch: DataFrame, table: str, full_refresh: bool = False,
+             before_commit: Callable[[], object] | None = None) -> LoadResult:
         """Insert rows whose id is not stored yet; never update stored rows.
 
         ``full_refresh`` replaces the table with the batch. Loading the same
-        batch again adds nothing, rows without an id included. Stored files
-        are listed when the insert is planned, so the rows that it adds are
-        not read back by it.
+        batch again adds nothing, rows without an id included, also while
+        another load of the same ids is running. ``before_commit`` is called
+        when the rows are written and their version is not.
         """
         batch = to_raw_contract(batch, self.schema(table))
-        if full_refresh or not self.exists(table):
-            return LoadResult(table, self._write(batch, table, overwrite=True))
-        n = self._write(self.new_rows(batch, table), table, overwrite=False)
-        return LoadResult(table, n)
+        versions = self.versions(table)
+        while True:
+            number, base = versions.latest()
+            if full_refresh or base is None:
+                mine, kept, buckets = self._write(batch, table, self.buckets), [], self.buckets
+            else:
+                kept, buckets = base["loads"], base["buckets"]
+                mine = self._write(self.new_rows(batch, table, number), table, buckets)
+            while True:
+                if not mine["rows"] and base is not None and not full_refresh:
+                    self._discard(table, mine)
+                    return LoadResult(table, 0)
+                if before_commit is not None:
+                    before_commit, call = None, before_commit
+                    call()
+                if versions.commit(number + 1, {"buckets": buckets, "loads": [*kept, mine]}):
+                    return LoadResult(table, mine["rows"])
+                # Another load came first.
+                number, newer = versions.latest()
+                if full_refresh:
+                    continue
+                before = {load["id"] for load in kept}
+                added = [load["id"] for load in newer["loads"] if load["id"] not in before]
+                if newer["buckets"] != buckets or len(added) + len(before) != len(newer["loads"]):
+                    self._discard(table, mine)  # the table was replaced: begin anew
+                    break
+                base, kept = newer, newer["loads"]
+                own = self._rows(table, {"buckets": buckets, "loads": [mine]}).drop("_month")
+                fresh = unseen(own, self._rows(table, newer, added))
+                if fresh.count() < mine["rows"]:
+                    mine, old = self._write(fresh, table, buckets), mine
+                    self._discard(table, old)
+
+    def vacuum(self, table: str, keep: int = 2) -> None:
+        """Remove all but the newest ``keep`` versions, and the folders that only
+        they name; their readers must be done. Folders of running loads stay."""
+        versions = self.versions(table)
+        numbers = versions.numbers()
+        kept = {load["id"] for n in numbers[-keep:] for load in versions.read(n)["loads"]}
+        for n in numbers[:-keep]:
+            manifest = versions.read(n)
+            versions.remove(n)
+            for load in manifest["loads"]:
+                if load["id"] not in kept:
+                    self._discard(table, load)
+
+
+def _quoted(path: str) -> str:
+    return path.replace("\\", "\\\\").replace("'", "\\'")

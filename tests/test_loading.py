@@ -5,6 +5,7 @@ import io
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import raw_frame
 from tally.operators import quality
@@ -12,6 +13,7 @@ from tally.schema import BANK, CARD
 from tally.sources.files import read_csv_text, read_source
 from tally.sources.loader import SourceFile, load_sources
 from tally.sources.raw import RawStore, standardise
+from tally.sources.snapshots import SnapshotStore
 from tally.streaming.incremental import quarantined, stream_load
 
 HEADER = "transaction_id,date,description,amount,transaction_type\n"
@@ -43,16 +45,40 @@ def test_rows_with_too_many_fields_are_reported_and_stop_a_load(spark, tmp_path,
     assert not ok and "malformed_rows=1" in out.first()["reason"]
 
 
-def test_folder_with_differing_headers_is_refused(spark, tmp_path, scratch):
-    (tmp_path / "f").mkdir()
-    (tmp_path / "f" / "a.csv").write_text(HEADER + "1,2024-01-01,KROGER,-5.00,debit\n")
-    (tmp_path / "f" / "b.csv").write_text("transaction_id,date,amount,description,transaction_type\n2,2024-01-02,-6.00,SHELL,debit\n")
-    out, ok = load_sources(spark, RawStore(spark, scratch("raw")), [SourceFile("bank", str(tmp_path / "f"))])
-    row = out.first()
-    assert not ok and row["status"] == "error" and "header" in row["reason"].lower() and len(row["reason"]) > 200
-    (tmp_path / "f" / "b.csv").write_text(HEADER + "2,2024-01-02,SHELL,-6.00,debit\n")
-    out, ok = load_sources(spark, RawStore(spark, scratch("raw2")), [SourceFile("bank", str(tmp_path / "f"))])
+SWAPPED = "transaction_id,date,amount,description,transaction_type,more\n"
+
+
+def test_folder_with_differing_headers_is_read_by_name(spark, tmp_path, scratch):
+    folder = tmp_path / "f"
+    folder.mkdir()
+    (folder / "a.csv").write_text(HEADER + '1,2024-01-01,"KROGER, ""X""",-5.00,debit\n\n4,2024-01-01,SHORT,-1\n')
+    (folder / "b.csv").write_text(SWAPPED + "2,2024-01-02,-6.00,SHELL,debit,x\n3,2024-01-02,-7.00,A,B,debit,x\n")
+    (folder / "c.csv").write_text("transaction_type,transaction_id,date,description\ndebit,5,2024-01-03,NO AMOUNT\n")
+    rows = {r["transaction_id"]: r for r in read_csv_text(spark, str(folder)).collect()}
+    assert rows["1"]["description"] == 'KROGER, "X"' and rows["1"]["amount"] == "-5.00" and rows["1"]["more"] is None
+    assert rows["2"]["description"] == "SHELL" and rows["2"]["amount"] == "-6.00" and rows["2"]["more"] == "x"
+    assert rows["4"]["amount"] == "-1" and rows["4"]["transaction_type"] is None
+    assert rows["5"]["amount"] is None and rows["5"]["transaction_type"] == "debit"
+    assert {k for k, r in rows.items() if r["_malformed"]} == {"3"}
+    (folder / "b.csv").write_text(SWAPPED + "2,2024-01-02,-6.00,SHELL,debit,x\n")
+    (folder / "a.csv").write_text(HEADER + "1,2024-01-01,KROGER,-5.00,debit\n")
+    (folder / "c.csv").unlink()
+    store = RawStore(spark, scratch("raw"))
+    out, ok = load_sources(spark, store, [SourceFile("bank", str(folder))])
     assert ok and out.first()["rows_loaded"] == 2
+    got = {r["transaction_id"]: (r["description"], r["amount"]) for r in store.read(BANK.raw_table).collect()}
+    assert got == {"1": ("KROGER", -5.0), "2": ("SHELL", -6.0)}
+
+
+def test_one_header_saves_the_look_and_is_enforced(spark, tmp_path):
+    folder = tmp_path / "f"
+    folder.mkdir()
+    (folder / "a.csv").write_text(HEADER + "1,2024-01-01,KROGER,-5.00,debit\n")
+    (folder / "b.csv").write_text(SWAPPED + "2,2024-01-02,-6.00,SHELL,debit,x\n")
+    with pytest.raises(Exception, match="header"):
+        read_csv_text(spark, str(folder), one_header=True).collect()
+    (folder / "b.csv").write_text(HEADER + "2,2024-01-02,SHELL,-6.00,debit\n")
+    assert read_csv_text(spark, str(folder), one_header=True).count() == 2
 
 
 def test_numbers_that_are_not_finite_are_no_numbers(spark):
@@ -101,9 +127,9 @@ def test_provider_category_from_file_to_mart(spark, sample_paths, scratch):
         marts_root = scratch("marts")
         run(spark, sample_paths["bank"], sample_paths["card"], scratch("raw"), marts_root, "2024-01-01",
             carry_provider_category=carry)
-        spend = spark.read.parquet(marts_root + "/mart_monthly_spend").collect()
+        spend = SnapshotStore(spark, marts_root).read("mart_monthly_spend").collect()
         found[carry] = {r["category"]: r["total_spend"] for r in spend if r["source"] == "card"}
-        summary = spark.read.parquet(marts_root + "/validation_summary").count()
+        summary = SnapshotStore(spark, marts_root).read("validation_summary").count()
         assert summary == 3
     assert found[True]["Home Improvement"] == 113.76 and "Home Improvement" not in found[False]
 
@@ -142,6 +168,30 @@ def test_bad_file_among_good_ones_is_kept_and_retried(spark, tmp_path, scratch):
     assert [r["file"].rsplit("/", 1)[1] for r in quarantined(spark, store, BANK.raw_table).collect()] == ["odd.csv"]
 
 
+def test_empty_file_is_noted_and_loaded_when_filled(spark, tmp_path, scratch):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a b.csv").write_text("")
+    (folder / "blank.csv").write_text("\n  \n\n")
+    (folder / "head.csv").write_text(HEADER)
+    (folder / "good.csv").write_text(HEADER + "1,2024-01-01,A,-5.00,debit\n")
+    (folder / "_SUCCESS").write_text("")
+    store, ckpt = RawStore(spark, scratch("raw")), scratch("ckpt")
+    done = stream_load(spark, store, BANK, str(folder), ckpt)
+    assert outcome(done) == {"a b.csv": "rejected", "blank.csv": "rejected", "head.csv": "rejected", "good.csv": "loaded"}
+    noted = {r["file"].rsplit("/", 1)[1]: r["reason"] for r in quarantined(spark, store, BANK.raw_table).collect()}
+    assert noted["a b.csv"] == noted["blank.csv"] == "the file is empty" and "rows=0" in noted["head.csv"]
+    # Still empty: tried and noted again, once. One file goes away.
+    (folder / "head.csv").unlink()
+    done = stream_load(spark, store, BANK, str(folder), ckpt)
+    assert outcome(done) == {"a b.csv": "rejected", "blank.csv": "rejected", "head.csv": "gone"} and len(done) == 3
+    (folder / "a b.csv").write_text(HEADER + "2,2024-01-02,B,-6.00,debit\n")
+    (folder / "late.csv").write_text("")
+    done = stream_load(spark, store, BANK, str(folder) + "/*", ckpt, max_files_per_trigger=1)
+    assert outcome(done) == {"a b.csv": "loaded", "blank.csv": "rejected", "late.csv": "rejected"}
+    assert sorted(r["transaction_id"] for r in store.read(BANK.raw_table).collect()) == ["1", "2"]
+
+
 @pytest.mark.parametrize("per_batch", [1, 10])
 def test_an_id_in_two_files_is_stored_once(spark, tmp_path, scratch, per_batch):
     (tmp_path / "in").mkdir()
@@ -152,6 +202,139 @@ def test_an_id_in_two_files_is_stored_once(spark, tmp_path, scratch, per_batch):
     assert sorted(r["transaction_id"] for r in store.read(BANK.raw_table).collect()) == ["1", "2"]
 
 
+def ids(store, table="t", **more):
+    return sorted(r["transaction_id"] for r in store.read(table, **more).collect())
+
+
+def bank(spark, first, last, text="X", date="2024-01-01"):
+    return raw_frame(spark, [(f"i{k:03d}", date, text, -1.0, "debit") for k in range(first, last)], "bank")
+
+
+def racing(store, monkeypatch, other):
+    """Let ``other`` load right before the store's next commit."""
+    from tally.sources import raw
+    todo = [other]
+
+    def commit(self, number, manifest, plain=raw.Versions.commit):
+        if todo:
+            todo.pop()()
+        return plain(self, number, manifest)
+    monkeypatch.setattr(raw.Versions, "commit", commit)
+
+
+def test_two_loads_of_the_same_ids_at_once(spark, scratch, monkeypatch):
+    root = scratch("raw")
+    store, rival = RawStore(spark, root, buckets=2), RawStore(spark, root, buckets=2)
+    store.load(bank(spark, 0, 10), "t")
+    racing(store, monkeypatch, lambda: rival.load(bank(spark, 5, 20, "RIVAL"), "t"))
+    assert store.load(bank(spark, 0, 30, "MINE"), "t").rows_loaded == 10
+    assert ids(store) == [f"i{k:03d}" for k in range(30)]
+    texts = {r["transaction_id"]: r["description"] for r in store.read("t").collect()}
+    assert (texts["i004"], texts["i012"], texts["i025"]) == ("X", "RIVAL", "MINE")
+    # Other ids: nothing is written anew; the very same ids: nothing is left to add.
+    racing(store, monkeypatch, lambda: rival.load(bank(spark, 40, 45), "t"))
+    assert store.load(bank(spark, 30, 40), "t").rows_loaded == 10
+    racing(store, monkeypatch, lambda: rival.load(bank(spark, 50, 60), "t"))
+    assert store.load(bank(spark, 50, 60), "t").rows_loaded == 0
+    assert ids(store) == [f"i{k:03d}" for k in range(45)] + [f"i{k:03d}" for k in range(50, 60)]
+
+
+def test_first_loads_and_refreshes_at_once(spark, scratch, monkeypatch):
+    root = scratch("raw")
+    store, rival = RawStore(spark, root, buckets=2), RawStore(spark, root, buckets=3)
+    racing(store, monkeypatch, lambda: rival.load(bank(spark, 0, 5, "RIVAL"), "t"))
+    assert store.load(bank(spark, 0, 8), "t").rows_loaded == 3
+    racing(store, monkeypatch, lambda: rival.load(bank(spark, 6, 9), "t", full_refresh=True))
+    assert store.load(bank(spark, 0, 12), "t").rows_loaded == 9
+    assert ids(store) == [f"i{k:03d}" for k in range(12)]
+    racing(store, monkeypatch, lambda: rival.load(bank(spark, 20, 30), "t"))
+    assert store.load(bank(spark, 0, 2), "t", full_refresh=True).rows_loaded == 2
+    assert ids(store) == ["i000", "i001"]
+
+
+def test_loads_from_threads(spark, scratch):
+    from concurrent.futures import ThreadPoolExecutor
+    root = scratch("raw")
+    with ThreadPoolExecutor(4) as pool:
+        done = list(pool.map(lambda k: RawStore(spark, root, buckets=2).load(bank(spark, k, k + 20), "t").rows_loaded, (0, 10, 5, 0)))
+    assert sum(done) == 30 and ids(RawStore(spark, root)) == [f"i{k:03d}" for k in range(30)]
+
+
+def test_killed_writes_leave_the_old_table(spark, scratch, monkeypatch):
+    from tally.sources import raw
+    store = RawStore(spark, scratch("raw"), buckets=2)
+    store.load(bank(spark, 0, 10), "t")
+
+    def killed(*args):
+        raise KeyboardInterrupt
+    with monkeypatch.context() as m:
+        m.setattr(raw.Versions, "commit", killed)  # all rows written, the job ends before its version
+        for refresh in (False, True):
+            with pytest.raises(KeyboardInterrupt):
+                store.load(bank(spark, 5, 20), "t", full_refresh=refresh)
+    broken = bank(spark, 0, 5).withColumn("amount", F.raise_error(F.lit("lost in the middle")).cast("double"))
+    with pytest.raises(Exception, match="lost in the middle"):
+        store.load(broken, "t", full_refresh=True)
+    assert ids(store) == [f"i{k:03d}" for k in range(10)]
+    assert ids(RawStore(spark, store.root)) == ids(store) and store.versions("t").numbers() == [1]
+
+
+def test_readers_keep_their_version(spark, scratch):
+    store = RawStore(spark, scratch("raw"), buckets=2)
+    store.load(bank(spark, 0, 3), "t")
+    old = store.read("t")
+    store.load(bank(spark, 3, 5), "t")
+    added = store.read("t")
+    store.load(bank(spark, 9, 10), "t", full_refresh=True)
+    assert (old.count(), added.count(), store.read("t").count()) == (3, 5, 1)
+    assert ids(store, version=1) == ["i000", "i001", "i002"] and len(ids(store, version=2)) == 5
+    store.vacuum("t", keep=1)
+    assert store.versions("t").numbers() == [3] and ids(store) == ["i009"]
+
+
+def test_start_date_skips_files(spark, scratch):
+    store = RawStore(spark, scratch("raw"), buckets=2)
+    for month in range(1, 7):
+        store.load(bank(spark, 10 * month, 10 * month + 4, date=f"2024-{month:02d}-15"), "t")
+    store.load(raw_frame(spark, [("none", None, "A", -1.0, "debit")], "bank"), "t")
+    recent = store.read("t", since="2024-05-20")
+    assert len(recent.inputFiles()) < len(store.read("t").inputFiles())
+    assert ids(store, since="2024-05-20") == sorted([f"i{k:03d}" for m in (5, 6) for k in range(10 * m, 10 * m + 4)] + ["none"])
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        recent.select("amount").explain("formatted")
+    assert re.search(r"PartitionFilters: .*_month#\d+ >= 2024-05", buf.getvalue())
+    assert len(store.read("t").columns) == 6
+
+
+def test_catalog_names_go_with_the_scratch(spark, scratch):
+    from tally import session
+    store = RawStore(spark, scratch("raw"), buckets=2)
+    store.load(bank(spark, 0, 2), "t")
+    store.read("t")
+    mine = [n for n, where in session._NAMED.items() if where == store.root]
+    assert mine and all(spark.catalog.tableExists(n) for n in mine)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("tally_load_")]
+
+
+def test_snapshots_are_whole_and_pinned(spark, scratch):
+    store = SnapshotStore(spark, scratch("marts"))
+    with pytest.raises(FileNotFoundError):
+        store.read("m")
+    assert store.write(spark.range(5), "m") == 1
+    old = store.read("m")
+    broken = spark.range(8).select(F.when(F.col("id") < 7, F.col("id")).otherwise(F.raise_error(F.lit("killed")).cast("long")).alias("id"))
+    with pytest.raises(Exception, match="killed"):
+        store.write(broken, "m")
+    assert store.read("m").count() == 5
+    assert store.write(spark.range(3).toDF("other"), "m") == 2
+    assert old.count() == 5 and store.read("m").columns == ["other"] and store.read("m", version=1).count() == 5
+    assert not store.versions("m").commit(2, {}) and store.versions("m").latest()[1]["schema"]
+    store.write(spark.range(1), "m")
+    store.vacuum("m", keep=1)
+    assert store.versions("m").numbers() == [3] and store.read("m").count() == 1
+
+
 def test_profile_scans_a_source_once(spark, tmp_path):
     df = spark.createDataFrame([("1", "2024-01-01", "A", "1", "debit")] * 3, ",".join(f"{c} string" for c in BANK.required))
     p = str(tmp_path / "t")

@@ -10,6 +10,7 @@ from tally.schema import BANK, CARD
 from tally.sources.files import read_csv_text, read_source
 from tally.sources.loader import SourceFile, load_sources
 from tally.sources.raw import RawStore, standardise
+from tally.sources.snapshots import SnapshotStore
 
 START = "2024-01-01"
 
@@ -151,7 +152,7 @@ def test_batch_job_end_to_end(spark, sample_paths, scratch):
     marts_root = scratch("marts")
     out = run(spark, sample_paths["bank"], sample_paths["card"], scratch("raw"), marts_root, START)
     assert out == {"all_loaded": True, "tests_passed": True, "validation_passed": True}
-    sav = spark.read.parquet(marts_root + "/mart_savings_rate").first()
+    sav = SnapshotStore(spark, marts_root).read("mart_savings_rate").first()
     assert (sav["total_income"], sav["total_spend"]) == (6503.12, 2149.29)
     bank = standardise(read_source(spark, sample_paths["bank"], BANK))
     card = standardise(read_source(spark, sample_paths["card"], CARD))
