@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Decimal places that money sums keep (a parameter of the helpers below).
+#: Decimal places that money sums add exactly (a parameter of the helpers below).
 MONEY_SCALE = 6
 #: Digits of one exact amount; larger amounts are summed as doubles.
 MONEY_DIGITS = 18
@@ -27,8 +27,10 @@ def exact_part(amount: Column, scale: int = MONEY_SCALE) -> Column:
 
 
 def large_part(amount: Column, scale: int = MONEY_SCALE) -> Column:
-    """The amount as a double where ``exact_part`` is NULL for its size."""
-    return F.when(F.abs(amount) >= F.lit(_exact_below(scale)), amount)
+    """What ``exact_part`` leaves of the amount, as a double: all of one that is too
+    large for it, else the digits beyond its last place (zero for most amounts)."""
+    exact = exact_part(amount, scale)
+    return F.when(F.abs(amount) >= F.lit(_exact_below(scale)), amount).otherwise(amount - to_double(exact))
 
 
 class Money:
@@ -36,7 +38,8 @@ class Money:
 
     The decimal column adds exactly and independently of the order of rows;
     the double column takes amounts beyond its range, so that no finite amount
-    can overflow. Every linear operation works on both.
+    can overflow, and digits beyond its places, so that no small amount is cut.
+    Every linear operation works on both.
     """
 
     def __init__(self, exact: Column, large: Column) -> None:

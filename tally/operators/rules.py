@@ -56,7 +56,7 @@ def default_rules() -> list[Rule]:
 
 def rules_frame(spark: SparkSession, rules: Sequence[Rule] | None = None) -> DataFrame:
     """The rule table as data: ``priority int, keyword string, category string``."""
-    return spark.createDataFrame(list(rules or default_rules()),
+    return spark.createDataFrame(default_rules() if rules is None else list(rules),
                                  "priority int, keyword string, category string")
 
 
@@ -64,6 +64,16 @@ def valid_provider(provider: Column) -> Column:
     return provider.isNotNull() & ~provider.isin(list(NON_CATEGORIES))
 
 
+def ordered_rules(rules: Sequence[Rule]) -> list[Rule]:
+    """Rules in the order in which they are tried: by priority, ties by keyword, then category.
+
+    A rule without a priority, a keyword (an empty one included) or a category
+    is no rule. ``match_rules`` does the same with a rule table.
+    """
+    whole = [(p, kw.upper(), cat) for p, kw, cat in rules if p is not None and kw and cat is not None]
+    return sorted(whole, key=lambda r: (r[0], r[1].encode(), r[2].encode()))
+
+
 def _sql_string(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -80,7 +90,7 @@ def category_sql(description: str = "description", provider: str | None = "provi
     OR of ``contains`` tests), which keeps first-match semantics and makes a
     short CASE. ``description`` must hold upper-case text.
     """
-    ordered = sorted(rules or default_rules(), key=lambda r: r[0])
+    ordered = ordered_rules(default_rules() if rules is None else rules)
     branches: list[tuple[str, list[str]]] = []
     for _, kw, cat in ordered:
         if branches and branches[-1][0] == cat:
@@ -94,8 +104,10 @@ def category_sql(description: str = "description", provider: str | None = "provi
         excluded = ", ".join(_sql_string(v) for v in NON_CATEGORIES)
         parts.append(f"WHEN {p} IS NOT NULL AND {p} NOT IN ({excluded}) THEN CAST({p} AS STRING)")
     for cat, kws in branches:
-        cond = " OR ".join(f"contains({d}, {_sql_string(kw.upper())})" for kw in kws)
+        cond = " OR ".join(f"contains({d}, {_sql_string(kw)})" for kw in kws)
         parts.append(f"WHEN {cond} THEN {_sql_string(cat)}")
+    if not parts:
+        return _sql_string(FALLBACK_CATEGORY)
     return "CASE " + " ".join(parts) + f" ELSE {_sql_string(FALLBACK_CATEGORY)} END"
 
 
@@ -143,13 +155,16 @@ def read_rules(spark: SparkSession, path: str) -> DataFrame:
     """A seed CSV of rules as ``priority, keyword, category``.
 
     A seed with the columns ``keyword, category`` alone takes its priorities
-    from the order of its lines (one file, read in order).
+    from the order of its files' names, of the blocks in a file and of the lines
+    in a block, however Spark deals the blocks out: a priority is anything that
+    sorts.
     """
     seed = spark.read.option("header", True).option("escape", '"').csv(path)
     if "priority" in seed.columns:
-        place = F.col("priority").cast("long")
+        place = F.col("priority").try_cast("long")
     else:
-        place = F.monotonically_increasing_id() + F.lit(1)
+        place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                         F.monotonically_increasing_id().alias("line"))
     return seed.select(place.alias("priority"), "keyword", "category")
 
 
@@ -168,10 +183,11 @@ def match_rules(descriptions: DataFrame, rules_df: DataFrame) -> DataFrame:
     fragment, a shorter one on all of itself; a description meets the rules
     of the fragments it holds (an equi-join whose strategy is chosen by bytes)
     and the whole keyword is then looked for. There is no limit to the number
-    of rules, and none of them reaches the driver.
+    of rules, and none of them reaches the driver. Which rules count, and how
+    ties are broken, is as in ``ordered_rules``.
     """
-    rules = (rules_df.filter(F.col("keyword").isNotNull() & (F.col("keyword") != ""))
-             .select(F.col("priority").cast("long").alias("_prio"), F.upper("keyword").alias("_kw"),
+    rules = (rules_df.filter(F.col("priority").isNotNull() & (F.col("keyword") != "") & F.col("category").isNotNull())
+             .select(F.col("priority").alias("_prio"), F.upper("keyword").alias("_kw"),
                      F.col("category").alias("_cat"))
              .withColumn("_part", F.substring("_kw", 1, FRAGMENT)))
     texts = descriptions.select("description").filter(F.col("description").isNotNull()).distinct()
@@ -179,7 +195,7 @@ def match_rules(descriptions: DataFrame, rules_df: DataFrame) -> DataFrame:
                        for k in range(1, FRAGMENT + 1)])
     return (texts.select("description", F.explode(parts).alias("_part")).join(rules, "_part")
             .filter(F.col("description").contains(F.col("_kw")))
-            .groupBy("description").agg(F.min_by("_cat", "_prio").alias("rule_category")))
+            .groupBy("description").agg(F.min_by("_cat", F.struct("_prio", "_kw", "_cat")).alias("rule_category")))
 
 
 def categorize_with_rule_table(ledger: DataFrame, rules_df: DataFrame,

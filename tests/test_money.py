@@ -87,3 +87,13 @@ def test_rules_by_their_own_values():
     assert marts.INCOME_TYPE_RULES == [
         ("Payroll", ["PAYROLL", "DIRECT DEPOSIT"]), ("Interest", ["INTEREST"]), ("Refund", ["REFUND", "RETURN", "CREDIT"]),
         ("Peer transfer", ["VENMO", "ZELLE", "CASHAPP"]), ("Rewards", ["CASHBACK", "REWARDS"])]
+
+
+def test_no_small_amount_is_cut(spark):
+    rows = [(4e-7,)] * 1000 + [(0.1,), (None,)]
+    df = spark.createDataFrame(rows, "a double").repartition(5)
+    total = df.agg(*Money.of(F.col("a")).sum().columns("s")).select(Money.named("s").value()).first()[0]
+    assert total == pytest.approx(0.1004, rel=1e-12)
+    exact = spark.createDataFrame([(k / 100,) for k in range(10_000)], "a double").agg(
+        *Money.of(F.col("a")).sum().columns("s")).first()
+    assert exact["s_b"] == 0.0 and float(exact["s_d"]) == 499_950.0

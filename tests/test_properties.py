@@ -4,13 +4,22 @@ import datetime as dt
 import statistics
 
 import duckdb
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.conftest import raw_frame
 from tally.functions.numeric import round_half_away
-from tally.operators.rules import DEFAULT_RULE_GROUPS, FALLBACK_CATEGORY, category_expr
+from tally.operators.rules import (
+    DEFAULT_RULE_GROUPS,
+    FALLBACK_CATEGORY,
+    categorize,
+    categorize_with_rule_table,
+    category_expr,
+    read_rules,
+    rules_frame,
+)
 from tally.plans import marts
 from tally.plans.models import ModelOptions, int_categorized
 
@@ -104,3 +113,29 @@ def test_single_pass_savings_equals_join_form(spark, rows):
         assert (f["income_transaction_count"], f["spend_transaction_count"]) == (
             r["income_transaction_count"], r["spend_transaction_count"])
     assert all(isinstance(m, dt.date) for m in fast)
+
+
+@pytest.mark.parametrize("filler", [0, 300])
+def test_rules_mean_the_same_at_any_number(spark, filler):
+    """Odd rules (empty, null, tied, another case) below and above the size at which a join takes over."""
+    odd = [(5, "", "Everything"), (4, None, "Nothing"), (3, "cafe", "B"), (3, "cafe", "A"), (3, "CAF", "Tie by keyword"),
+           (1, "zürich", None), (2, "ZÜRICH", "City"), (None, "bar", "No priority"), (7, "bar", "Late"), (6, "it's \\", "Quoted")]
+    rules = odd + [(100 + k, f"FILLER{k:04d}", f"F{k}") for k in range(filler)]
+    texts = ["CAFE BAR", "ABC", "ZÜRICH BAR", "BAR", "IT'S \\ HERE", "", None]
+    ledger = spark.createDataFrame([(t, None) for t in texts], "description string, provider_category string")
+    for form in (categorize(ledger, rules), categorize_with_rule_table(ledger, rules_frame(spark, rules))):
+        got = {r["description"]: r["category"] for r in form.collect()}
+        assert got == {"CAFE BAR": "Tie by keyword", "ABC": "Other", "ZÜRICH BAR": "City", "BAR": "Late",
+                       "IT'S \\ HERE": "Quoted", "": "Other", None: "Other"}
+    assert {r["category"] for r in categorize(ledger, []).collect()} == {"Other"}
+
+
+def test_seed_order_over_files(spark, tmp_path):
+    """Lines of several files take their order from the files' names, not from how Spark packs them."""
+    (tmp_path / "2.csv").write_text("keyword,category\nAAAA,Second\n" + "".join(f"X{k:05d},Long file\n" for k in range(3000)))
+    (tmp_path / "1.csv").write_text("keyword,category\nBBBB,First\nAAAA CC,First too\n")
+    ledger = spark.createDataFrame([("AAAA BBBB",), ("AAAA CC",), ("X00007",), ("AAAA",)], "description string")
+    ledger = ledger.withColumn("provider_category", F.lit(None).cast("string"))
+    got = {r[0]: r[1] for r in categorize_with_rule_table(ledger, read_rules(spark, str(tmp_path)))
+           .select("description", "category").collect()}
+    assert got == {"AAAA BBBB": "First", "AAAA CC": "First too", "X00007": "Long file", "AAAA": "Second"}
