@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from tally.functions.text import strip_ws
 from tally.schema import COMMON_COLUMNS, RAW_SCHEMA
 from tally.session import note_table
+from tally.sources.blooms import block_count, bloom_filter, possible, united
 from tally.sources.snapshots import Versions, file_system
 
 # Accepted date layouts besides ISO (which a plain cast already parses).
@@ -88,6 +89,8 @@ class LoadResult:
     rows_loaded: int
 
 
+#: Ids that a load looks up one by one in their buckets; more go through the join.
+FEW_IDS = 500
 #: The month of rows without a date. It sorts behind all months, so that no start date drops it.
 NO_MONTH = "none"
 
@@ -97,18 +100,20 @@ def month_of(date: Column) -> Column:
     return F.coalesce(F.date_format(date, "yyyy-MM"), F.lit(NO_MONTH))
 
 
-def unseen(batch: DataFrame, stored: DataFrame) -> DataFrame:
+def unseen(batch: DataFrame, stored: DataFrame, null_stored: bool) -> DataFrame:
     """The batch's rows whose id is not among the stored rows' ids.
 
     A missing id counts as an id of its own: it is new only while no row
-    without an id is stored.
+    without an id is stored (``null_stored``).
     """
     stored = stored.select(F.col("transaction_id").alias("_stored"))
     known = batch.filter(F.col("transaction_id").isNotNull()).join(
         stored.filter(F.col("_stored").isNotNull()), F.col("transaction_id") == F.col("_stored"), "left_anti")
-    if not stored.filter(F.col("_stored").isNull()).isEmpty():
-        return known
-    return known.unionByName(batch.filter(F.col("transaction_id").isNull()))
+    return known if null_stored else known.unionByName(batch.filter(F.col("transaction_id").isNull()))
+
+
+def _nulls(loads: list[dict]) -> bool:
+    return any(load["without_id"] for load in loads)
 
 
 class RawStore:
@@ -127,14 +132,23 @@ class RawStore:
     and reads the stored ids where they lie. Rows are ordered by date within a
     file. ``carry`` names further text columns of a table that are stored
     besides the contract's (by table).
+
+    With ``bloom_ids``, the number of ids that a table is planned for, every
+    load also writes a Bloom filter of its ids (``blooms``), and a batch meets
+    these first: a batch of new ids reads no stored id at all, a few ids that
+    may be stored are looked up in their own buckets, and more of them send the
+    load the plain way. That pays where batches bring new ids to a large table,
+    and costs where they repeat what is stored; the default is without. A
+    table keeps to what its first load (or full refresh) chose.
     """
 
     def __init__(self, spark: SparkSession, root: str, carry: dict[str, tuple[str, ...]] | None = None,
-                 buckets: int = BUCKETS):
+                 buckets: int = BUCKETS, bloom_ids: int | None = None):
         self.spark = spark
         self.root = root
         self.carry = carry or {}
         self.buckets = buckets
+        self.bloom_ids = bloom_ids
         self._added: set[tuple[str, str]] = set()
 
     def path(self, table: str) -> str:
@@ -186,28 +200,56 @@ class RawStore:
             rows = rows.filter(F.col("_month") >= since[:7])
         return rows.drop("_month")
 
-    def _write(self, rows: DataFrame, table: str, buckets: int) -> dict:
+    def _bloom_path(self, table: str, load: str) -> str:
+        return os.path.join(self.path(table), "_blooms", load)
+
+    def _write(self, rows: DataFrame, table: str, layout: dict) -> dict:
         """Write a load's folder, each bucket by one task, and count its rows as they are written."""
         load = uuid.uuid4().hex
         written = Observation(f"load_{load}")
-        name = f"tally_load_{load}"
+        name, buckets = f"tally_load_{load}", layout["buckets"]
+        counts = [F.count(F.lit(1)).alias("rows"), F.count_if(F.col("transaction_id").isNull()).alias("without_id")]
         (rows.withColumn("_month", month_of(F.col("date"))).repartition(buckets, "transaction_id")
-         .observe(written, F.count(F.lit(1)).alias("rows")).write.format("parquet").partitionBy("_month")
+         .observe(written, *counts).write.format("parquet").partitionBy("_month")
          .bucketBy(buckets, "transaction_id").sortBy("date")
          .option("path", os.path.join(self.path(table), f"_load={load}")).saveAsTable(name))
         months = [r[0].split("=", 1)[1] for r in self.spark.sql(f"SHOW PARTITIONS {name}").collect()]
+        if layout["blocks"]:
+            bloom_filter(self.spark.table(name), "transaction_id", layout["blocks"]).write.parquet(self._bloom_path(table, load))
         self.spark.sql(f"DROP TABLE {name}")  # the name alone; the folder stays
-        return {"id": load, "rows": int(written.get["rows"]), "months": sorted(months)}
+        return {"id": load, "rows": int(written.get["rows"]), "without_id": int(written.get["without_id"]),
+                "months": sorted(months)}
 
     def _discard(self, table: str, load: dict) -> None:
-        fs, path = file_system(self.spark, os.path.join(self.path(table), f"_load={load['id']}"))
-        fs.delete(path, True)
+        for folder in (os.path.join(self.path(table), f"_load={load['id']}"), self._bloom_path(table, load["id"])):
+            fs, path = file_system(self.spark, folder)
+            fs.delete(path, True)
+
+    def _candidates(self, batch: DataFrame, table: str, manifest: dict) -> list[str] | None:
+        """The batch's ids that may be stored, by the Bloom filters; None if they are more than ``FEW_IDS``."""
+        paths = [self._bloom_path(table, load["id"]) for load in manifest["loads"] if load["rows"]]
+        if not paths:
+            return []
+        stored = united(self.spark.read.schema("block long, bits binary").parquet(*paths))
+        ids = possible(batch, "transaction_id", stored, manifest["blocks"]).limit(FEW_IDS + 1).collect()
+        return [r[0] for r in ids] if len(ids) <= FEW_IDS else None
 
     def new_rows(self, batch: DataFrame, table: str, version: int | None = None) -> DataFrame:
         """The batch's rows whose id a version does not store. The stored side is
         read bucket by bucket and is not shuffled; which side is broadcast, if
         any, is left to the planner, by bytes."""
-        return unseen(batch, self.read(table, version))
+        versions = self.versions(table)
+        manifest = versions.read(version) if version else versions.latest()[1]
+        if manifest is None:
+            return batch
+        null_stored = _nulls(manifest["loads"])
+        few = self._candidates(batch, table, manifest) if manifest["blocks"] else None
+        if few is None:
+            return unseen(batch, self._rows(table, manifest), null_stored)
+        if not few:
+            return batch.filter(F.col("transaction_id").isNotNull()) if null_stored else batch
+        # These ids alone are looked up, in the buckets that they belong to.
+        return unseen(batch, self._rows(table, manifest).filter(F.col("transaction_id").isin(few)), null_stored)
 
     def load(self, batch: DataFrame, table: str, full_refresh: bool = False,
              before_commit: Callable[[], object] | None = None) -> LoadResult:
@@ -223,10 +265,11 @@ class RawStore:
         while True:
             number, base = versions.latest()
             if full_refresh or base is None:
-                mine, kept, buckets = self._write(batch, table, self.buckets), [], self.buckets
+                layout = {"buckets": self.buckets, "blocks": block_count(self.bloom_ids) if self.bloom_ids else 0}
+                mine, kept = self._write(batch, table, layout), []
             else:
-                kept, buckets = base["loads"], base["buckets"]
-                mine = self._write(self.new_rows(batch, table, number), table, buckets)
+                layout, kept = {k: base[k] for k in ("buckets", "blocks")}, base["loads"]
+                mine = self._write(self.new_rows(batch, table, number), table, layout)
             while True:
                 if not mine["rows"] and base is not None and not full_refresh:
                     self._discard(table, mine)
@@ -234,22 +277,22 @@ class RawStore:
                 if before_commit is not None:
                     before_commit, call = None, before_commit
                     call()
-                if versions.commit(number + 1, {"buckets": buckets, "loads": [*kept, mine]}):
+                if versions.commit(number + 1, {**layout, "loads": [*kept, mine]}):
                     return LoadResult(table, mine["rows"])
                 # Another load came first.
                 number, newer = versions.latest()
                 if full_refresh:
                     continue
                 before = {load["id"] for load in kept}
-                added = [load["id"] for load in newer["loads"] if load["id"] not in before]
-                if newer["buckets"] != buckets or len(added) + len(before) != len(newer["loads"]):
+                added = [load for load in newer["loads"] if load["id"] not in before]
+                if any(newer[k] != layout[k] for k in layout) or len(added) + len(before) != len(newer["loads"]):
                     self._discard(table, mine)  # the table was replaced: begin anew
                     break
                 base, kept = newer, newer["loads"]
-                own = self._rows(table, {"buckets": buckets, "loads": [mine]}).drop("_month")
-                fresh = unseen(own, self._rows(table, newer, added))
+                own = self._rows(table, {**layout, "loads": [mine]}).drop("_month")
+                fresh = unseen(own, self._rows(table, newer, [load["id"] for load in added]), _nulls(added))
                 if fresh.count() < mine["rows"]:
-                    mine, old = self._write(fresh, table, buckets), mine
+                    mine, old = self._write(fresh, table, layout), mine
                     self._discard(table, old)
 
     def vacuum(self, table: str, keep: int = 2) -> None:

@@ -307,6 +307,44 @@ def test_start_date_skips_files(spark, scratch):
     assert len(store.read("t").columns) == 6
 
 
+def test_new_ids_read_no_stored_id(spark, scratch, monkeypatch):
+    store = RawStore(spark, scratch("raw"), buckets=4, bloom_ids=5_000)
+    plain = RawStore(spark, scratch("raw"), buckets=4)
+    read = []
+    rows = RawStore._rows
+    monkeypatch.setattr(RawStore, "_rows", lambda self, *a, **k: read.append(self) or rows(self, *a, **k))
+    batches = [bank(spark, 0, 300), bank(spark, 300, 900), bank(spark, 900, 901)]
+    for batch in batches:
+        assert store.load(batch, "t").rows_loaded == plain.load(batch, "t").rows_loaded > 0
+    assert store not in read and plain in read  # disjoint batches: filters alone
+    some = bank(spark, 890, 950)  # few ids that are stored: their buckets are looked into
+    plan, before = io.StringIO(), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    with contextlib.redirect_stdout(plan):
+        few = store.new_rows(bank(spark, 5, 6).unionByName(bank(spark, 2_000, 2_010)), "t")
+        few.explain("formatted")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SelectedBucketsCount: 1 out of 4" in plan.getvalue() and few.count() == 10
+    whole = bank(spark, 0, 1_000)  # many: the plain way
+    for batch in (some, whole, whole, raw_frame(spark, [(None, "2024-01-01", "N", -1.0, "debit")], "bank")):
+        assert store.load(batch, "t").rows_loaded == plain.load(batch, "t").rows_loaded
+    assert store.load(raw_frame(spark, [(None, "2024-01-01", "N", -1.0, "debit")], "bank"), "t").rows_loaded == 0
+    key = ["transaction_id", "date", "amount"]
+    assert sorted(map(str, store.read("t").select(*key).collect())) == sorted(map(str, plain.read("t").select(*key).collect()))
+
+
+def test_bloom_filters_never_miss_and_seldom_err(spark):
+    from tally.sources.blooms import block_count, bloom_filter, possible, united
+    stored = spark.range(20_000).select(F.concat(F.lit("id"), F.col("id")).alias("i"))
+    blocks = block_count(20_000)
+    parts = [bloom_filter(stored.filter(F.pmod(F.xxhash64("i"), F.lit(3)) == k), "i", blocks) for k in range(3)]
+    bloom = united(parts[0].unionByName(parts[1]).unionByName(parts[2])).persist()
+    assert possible(stored, "i", bloom, blocks).count() == 20_000
+    other = spark.range(20_000, 120_000).select(F.concat(F.lit("id"), F.col("id")).alias("i"))
+    assert possible(other, "i", bloom, blocks).count() < 20
+    bloom.unpersist()
+
+
 def test_catalog_names_go_with_the_scratch(spark, scratch):
     from tally import session
     store = RawStore(spark, scratch("raw"), buckets=2)
