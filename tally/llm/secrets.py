@@ -7,14 +7,17 @@ base64 run that holds ASCII text (as such, among other bytes, or in UTF-16) or
 gzip/zlib streams, also behind other characters of the run or wrapped over
 lines. New layers are scanned
 and unwrapped in turn until none is left. A layer whose content already stands
-among its own ancestors is a cycle and is not entered again. Spans found in a
+among its own ancestors is a cycle and is not entered again. Escapes of escapes
+(``%2525...41``) are peeled one by one for ``PEELS`` layers, each of them
+scanned; what is nested deeper is resolved to its end in one more layer, so
+that the work stays in proportion to the text. Spans found in a
 layer are mapped back, step by step, to code points of the original text:
 escapes map character by character, a base64 run as a whole, a wrapped one
 by whole lines.
 
 Base spans (the original text's own matches) always stay; layers add spans.
 
-Defined cases: null and empty texts have no spans. Texts of any length are
+Defined cases: null and empty texts have no spans, an empty table no rows. Texts of any length are
 scanned whole. A compressed layer that would inflate beyond ``MAX_LAYER``
 bytes is not unpacked; its run is reported as a span of kind ``oversize``
 instead. Repeated rows give repeated results; other columns are ignored.
@@ -27,7 +30,7 @@ import binascii
 import re
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -47,7 +50,8 @@ UNICODE_ESCAPES = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+")
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 
 #: A run wrapped at line breaks (which may be indented), its lines, and what may stand before a payload.
-WRAPPED_RUN = re.compile(r"[A-Za-z0-9+/_-]+(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
+# It begins where a run begins, and nothing in it is tried twice: a long run without a break costs one pass.
+WRAPPED_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}")
 BASE64_LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 SEPARATOR = re.compile(r"[/_-]")
 STREAM = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
@@ -55,6 +59,12 @@ STREAM = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
 ASCII_RUN = re.compile(rb"[\t\n\r\x20-\x7e]{12,}")
 WIDE_RUNS = (re.compile(rb"(?:[\t\n\r\x20-\x7e]\x00){12,}"), re.compile(rb"(?:\x00[\t\n\r\x20-\x7e]){12,}"))
 
+#: Layers of escapes inside escapes that are peeled one at a time.
+PEELS = 8
+#: An escape of an ASCII character, and what makes its result an escape again.
+ONE_ESCAPE = re.compile(r"%[0-7][0-9A-Fa-f]|\\u00[0-7][0-9A-Fa-f]|\\x[0-7][0-9A-Fa-f]")
+GOES_ON = {"%": re.compile(r"[0-7][0-9A-Fa-f]"), "\\": re.compile(r"(?:u00|x)[0-7][0-9A-Fa-f]")}
+
 #: Bytes that one compressed layer may inflate to.
 MAX_LAYER = 64 << 20
 
@@ -76,12 +86,13 @@ def scan(text: str) -> list[Span]:
 class _Escaped:
     """A layer with escapes resolved, and the way back to the outer layer."""
 
-    def __init__(self, outer: str, pattern: re.Pattern, decode) -> None:
+    def __init__(self, outer: str, resolved: Iterable[tuple[list[tuple[str, int, int]], int, int]]) -> None:
+        """``resolved``: (characters with their place and width, start, end) of each part with escapes."""
         parts, self.inner_at, self.outer_at, self.size = [], [], [], []
         at = done = 0
-        for m in pattern.finditer(outer):
-            pieces = [(outer[done:m.start()], done, 0)] + decode(m[0], m.start())
-            done = m.end()
+        for characters, begin, end in resolved:
+            pieces = [(outer[done:begin], done, 0)] + characters
+            done = end
             for piece, start, width in pieces:
                 if piece:
                     parts.append(piece)
@@ -141,6 +152,21 @@ def _unicode(escapes: str, at: int) -> list[tuple[str, int, int]]:
     return [("�" if 0xD800 <= ord(c) < 0xE000 else c, s, w) for c, s, w in out]
 
 
+def _once(text: str, pattern: re.Pattern, decode) -> _Escaped:
+    """The layer with every escape resolved once."""
+    return _Escaped(text, ((decode(m[0], m.start()), m.start(), m.end()) for m in pattern.finditer(text)))
+
+
+def _chains(text: str) -> Iterator[tuple[list[tuple[str, int, int]], int, int]]:
+    """Escapes of ASCII characters, each followed as far as its result makes an escape with what comes next."""
+    at = 0
+    while (m := ONE_ESCAPE.search(text, at)) is not None:
+        at, char = m.end(), chr(int(m[0][-2:], 16))
+        while char in GOES_ON and (more := GOES_ON[char].match(text, at)) is not None:
+            at, char = more.end(), chr(int(more[0][-2:], 16))
+        yield [(char, m.start(), at - m.start())], m.start(), at
+
+
 def _readable(data: bytes) -> list[str]:
     """The texts of a decoded layer that can hold a secret.
 
@@ -160,7 +186,7 @@ def _readable(data: bytes) -> list[str]:
 def _inflate(data: bytes, limit: int) -> tuple[bytes, int] | None:
     """The content of gzip or zlib streams, one behind the other, and the bytes read; None if there is none; OverflowError beyond ``limit``."""
     out, size = [], len(data)
-    while data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] & 15 == 8 and (data[0] << 8 | data[1]) % 31 == 0):
+    while _starts(data):
         try:
             d = zlib.decompressobj(wbits=47)
             part = d.decompress(data, limit + 1)
@@ -176,6 +202,11 @@ def _inflate(data: bytes, limit: int) -> tuple[bytes, int] | None:
     return (b"".join(out), size - len(data)) if out else None
 
 
+def _starts(data: bytes, k: int = 0) -> bool:
+    """Whether a gzip or zlib stream may start at a place."""
+    return data[k:k + 2] == b"\x1f\x8b" or (len(data) > k + 2 and data[k] & 15 == 8 and (data[k] << 8 | data[k + 1]) % 31 == 0)
+
+
 def _unpack(run: str, limit: int, starts: list[int]) -> list[tuple[str, int, int]]:
     """Texts inside a base64 run, compressed or not, each with the part of the run that holds it.
 
@@ -199,7 +230,7 @@ def _unpack(run: str, limit: int, starts: list[int]) -> list[tuple[str, int, int
         places.update(m.start() for m in STREAM.finditer(data))
         done = 0
         for k in sorted(places):
-            if k < done or (inner := _inflate(data[k:], limit)) is None:
+            if k < done or not _starts(data, k) or (inner := _inflate(data[k:], limit)) is None:
                 continue
             content, done = inner
             done += k
@@ -209,14 +240,17 @@ def _unpack(run: str, limit: int, starts: list[int]) -> list[tuple[str, int, int
     return out
 
 
-def layers_of(text: str, limit: int) -> tuple[list[_Escaped | _Run], list[Span]]:
-    """The layers directly inside a layer, and runs too large to unpack."""
+def layers_of(text: str, limit: int, peeled: int = 0) -> tuple[list[_Escaped | _Run], list[Span]]:
+    """The layers directly inside a layer, and runs too large to unpack; ``peeled`` layers of escapes are around it."""
     out: list[_Escaped | _Run] = []
     large: list[Span] = []
-    if "%" in text and URL_ESCAPES.search(text):
-        out.append(_Escaped(text, URL_ESCAPES, _url))
-    if "\\" in text and UNICODE_ESCAPES.search(text):
-        out.append(_Escaped(text, UNICODE_ESCAPES, _unicode))
+    if peeled >= PEELS and ONE_ESCAPE.search(text):
+        out.append(_Escaped(text, _chains(text)))
+    else:
+        if "%" in text and URL_ESCAPES.search(text):
+            out.append(_once(text, URL_ESCAPES, _url))
+        if "\\" in text and UNICODE_ESCAPES.search(text):
+            out.append(_once(text, UNICODE_ESCAPES, _unicode))
     for m in BASE64_RUN.finditer(text):
         try:
             out += [_Run(x, m.start(), m.end()) for x, _, _ in _unpack(m[0], limit, [])]
@@ -245,11 +279,12 @@ def find(text: str, limit: int = MAX_LAYER) -> tuple[list[Span], list[Span]]:
     order = lambda s: (s[1], KINDS.index(s[0]), s[2])
     base = scan(text)
     spans = set(base)
-    work: list[tuple[str, tuple]] = [(text, ())]  # layer, layers from the outermost to it
+    # A layer, the layers from the outermost to it, and how many of the last were escapes.
+    work: list[tuple[str, tuple, int]] = [(text, (), 0)]
     seen: set[tuple[str, tuple[int, int]]] = set()
     while work:
-        layer, way = work.pop()
-        inner, large = layers_of(layer, limit)
+        layer, way, peeled = work.pop()
+        inner, large = layers_of(layer, limit, peeled)
         found = [(large, way)]
         for x in inner:
             if x.text == text or any(x.text == w.text for w in way):
@@ -261,7 +296,7 @@ def find(text: str, limit: int = MAX_LAYER) -> tuple[list[Span], list[Span]]:
                 continue  # reached before on another way
             seen.add(key)
             found.append((scan(x.text), (*way, x)))
-            work.append((x.text, (*way, x)))
+            work.append((x.text, (*way, x), peeled + 1 if isinstance(x, _Escaped) else 0))
         for hits, path in found:
             for kind, start, end in hits:
                 for step in reversed(path):

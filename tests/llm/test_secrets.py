@@ -131,3 +131,40 @@ def test_whole_small_table(spark, small):
         assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest()
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s[0] == k for s in base) for k in ("assign", "access", "hex"))
         assert not base or set(text.split(",")) <= set(r.spans.split(","))
+
+
+NESTS = {
+    "url": lambda n, c: "%" + "25" * n + f"{ord(c):02x}",
+    "unicode": lambda n, c: "\\" + "u005c" * n + f"u{ord(c):04x}",
+    "byte": lambda n, c: "\\" + "x5c" * n + f"x{ord(c):02x}",
+    "both": lambda n, c: "%" + "5cx25" * n + f"{ord(c):02x}",
+}
+
+
+@pytest.mark.parametrize("name", NESTS)
+@pytest.mark.parametrize("depth", [1, 7, 9, 40, 3_000])
+def test_deeply_nested_escapes(name, depth):
+    """Every depth is resolved to its end, in time that follows the text's length."""
+    import time
+    nest = NESTS[name]
+    text = "é pass" + nest(depth, "w") + "ord" + nest(depth, "=") + "abc" + nest(depth, "d") + "ef? " + nest(depth, "%") + "zz"
+    began = time.process_time()
+    base, spans = secrets.find(text)
+    assert time.process_time() - began < 3
+    assert base == plain_base(text)
+    assert ("assign", 2, text.index("ef?") + 2) in spans
+
+
+def test_long_runs_take_time_in_proportion():
+    import time
+    for text in ("%" + "25" * 10_000 + "41", "a" * 200_000, "ab\n" * 50_000, "%2525" * 20_000, "\\u005c" * 20_000):
+        began = time.process_time()
+        base, _ = secrets.find(text)
+        assert time.process_time() - began < 5 and base == plain_base(text)
+
+
+def test_escapes_of_other_characters_inside_nests():
+    text = "caf%25C3%25A9 " + urllib.parse.quote(urllib.parse.quote("ö " + SECRET)) + " %" + "25" * 20 + "C3%" + "25" * 20 + "A9"
+    _, spans = secrets.find(text)
+    start = text.index("token")
+    assert any(k == "assign" and a == start for k, a, b in spans)
