@@ -49,7 +49,7 @@ def shingle_sets(column: pa.Array, width: int = 5) -> tuple[np.ndarray, np.ndarr
     with np.errstate(over="ignore"):
         rolled = np.zeros(len(words), _U)
         for k in range(width):
-            rolled[:len(words) - k or None] += words[k:] * _ODD[k]
+            rolled[:max(len(words) - k, 0)] += words[k:] * _ODD[k]
         short = (lengths > 0) & (lengths < width)
         counts = np.where(short, 1, np.maximum(lengths - width + 1, 0))
         last = np.repeat(ends, lengths)  # end of each word's own text

@@ -139,3 +139,13 @@ def test_components(spark, bound):
 def test_whole_small_table(spark, small):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
     assert result(spark.read.parquet(f"{small}/documents.parquet")) == brute(rows)
+
+
+def test_batches_of_few_words():
+    """A batch with fewer words in all than a shingle has."""
+    import pyarrow as pa
+
+    from tally.llm.shingles import shingle_sets
+    for texts in ([], [""], ["one"], ["one two", None], ["a b c"], ["a b c d"], ["a", "b c d"], ["a b c d e"]):
+        flat, n = shingle_sets(pa.array(texts, pa.string()))
+        assert n.tolist() == [int(bool(t)) for t in texts] and len(flat) == n.sum()
