@@ -91,13 +91,15 @@ class LoadResult:
 
 #: Ids that a load looks up one by one in their buckets; more go through the join.
 FEW_IDS = 500
-#: The month of rows without a date. It sorts behind all months, so that no start date drops it.
+#: The period of rows without a date. It sorts behind all periods, so that no start date drops it.
 NO_MONTH = "none"
+#: Partitions of a raw table: by month, or by year where loads bring a long history in small files.
+PERIODS = {"month": "yyyy-MM", "year": "yyyy"}
 
 
-def month_of(date: Column) -> Column:
-    """The month partition of a row."""
-    return F.coalesce(F.date_format(date, "yyyy-MM"), F.lit(NO_MONTH))
+def month_of(date: Column, period: str = "month") -> Column:
+    """The partition of a row: its month or year."""
+    return F.coalesce(F.date_format(date, PERIODS[period]), F.lit(NO_MONTH))
 
 
 def unseen(batch: DataFrame, stored: DataFrame, null_stored: bool) -> DataFrame:
@@ -106,10 +108,10 @@ def unseen(batch: DataFrame, stored: DataFrame, null_stored: bool) -> DataFrame:
     A missing id counts as an id of its own: it is new only while no row
     without an id is stored (``null_stored``).
     """
-    stored = stored.select(F.col("transaction_id").alias("_stored"))
-    known = batch.filter(F.col("transaction_id").isNotNull()).join(
-        stored.filter(F.col("_stored").isNotNull()), F.col("transaction_id") == F.col("_stored"), "left_anti")
-    return known if null_stored else known.unionByName(batch.filter(F.col("transaction_id").isNull()))
+    stored = stored.select(F.col("transaction_id").alias("_stored")).filter(F.col("_stored").isNotNull())
+    asked = batch.filter(F.col("transaction_id").isNotNull()) if null_stored else batch
+    # A missing id equals nothing, so the anti-join keeps its rows; the batch is read once.
+    return asked.join(stored, F.col("transaction_id") == F.col("_stored"), "left_anti")
 
 
 def _nulls(loads: list[dict]) -> bool:
@@ -139,16 +141,18 @@ class RawStore:
     may be stored are looked up in their own buckets, and more of them send the
     load the plain way. That pays where batches bring new ids to a large table,
     and costs where they repeat what is stored; the default is without. A
-    table keeps to what its first load (or full refresh) chose.
+    table keeps to the layout (buckets, filters, ``period``) that its first load
+    or full refresh chose.
     """
 
     def __init__(self, spark: SparkSession, root: str, carry: dict[str, tuple[str, ...]] | None = None,
-                 buckets: int = BUCKETS, bloom_ids: int | None = None):
+                 buckets: int = BUCKETS, bloom_ids: int | None = None, period: str = "month"):
         self.spark = spark
         self.root = root
         self.carry = carry or {}
         self.buckets = buckets
         self.bloom_ids = bloom_ids
+        self.period = period
         self._added: set[tuple[str, str]] = set()
 
     def path(self, table: str) -> str:
@@ -189,15 +193,15 @@ class RawStore:
 
     def read(self, table: str, version: int | None = None, since: str | None = None) -> DataFrame:
         """A version of a table (default: the newest). ``since`` (a date, 'yyyy-MM-dd')
-        leaves out the files of earlier months, and nothing else: rows of its own
-        month and rows without a date are returned."""
+        leaves out the files of earlier months (or years), and nothing else: rows of
+        its own month and rows without a date are returned."""
         versions = self.versions(table)
         manifest = versions.read(version) if version else versions.latest()[1]
         if manifest is None:
             return self.spark.createDataFrame([], self.schema(table))
         rows = self._rows(table, manifest)
         if since is not None:
-            rows = rows.filter(F.col("_month") >= since[:7])
+            rows = rows.filter(F.col("_month") >= since[:len(PERIODS[manifest["period"]])])
         return rows.drop("_month")
 
     def _bloom_path(self, table: str, load: str) -> str:
@@ -209,7 +213,7 @@ class RawStore:
         written = Observation(f"load_{load}")
         name, buckets = f"tally_load_{load}", layout["buckets"]
         counts = [F.count(F.lit(1)).alias("rows"), F.count_if(F.col("transaction_id").isNull()).alias("without_id")]
-        (rows.withColumn("_month", month_of(F.col("date"))).repartition(buckets, "transaction_id")
+        (rows.withColumn("_month", month_of(F.col("date"), layout["period"])).repartition(buckets, "transaction_id")
          .observe(written, *counts).write.format("parquet").partitionBy("_month")
          .bucketBy(buckets, "transaction_id").sortBy("date")
          .option("path", os.path.join(self.path(table), f"_load={load}")).saveAsTable(name))
@@ -265,10 +269,11 @@ class RawStore:
         while True:
             number, base = versions.latest()
             if full_refresh or base is None:
-                layout = {"buckets": self.buckets, "blocks": block_count(self.bloom_ids) if self.bloom_ids else 0}
+                layout = {"buckets": self.buckets, "blocks": block_count(self.bloom_ids) if self.bloom_ids else 0,
+                          "period": self.period}
                 mine, kept = self._write(batch, table, layout), []
             else:
-                layout, kept = {k: base[k] for k in ("buckets", "blocks")}, base["loads"]
+                layout, kept = {k: base[k] for k in ("buckets", "blocks", "period")}, base["loads"]
                 mine = self._write(self.new_rows(batch, table, number), table, layout)
             while True:
                 if not mine["rows"] and base is not None and not full_refresh:

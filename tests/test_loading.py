@@ -307,6 +307,14 @@ def test_start_date_skips_files(spark, scratch):
     assert len(store.read("t").columns) == 6
 
 
+def test_tables_by_year(spark, scratch):
+    store = RawStore(spark, scratch("raw"), buckets=2, period="year")
+    for k, year in enumerate((2022, 2023, 2024)):
+        store.load(bank(spark, 10 * k, 10 * k + 4, date=f"{year}-06-15"), "t")
+    assert ids(RawStore(spark, store.root), since="2023-09-01") == [f"i{k:03d}" for j in (10, 20) for k in range(j, j + 4)]
+    assert store.versions("t").latest()[1]["loads"][1]["months"] == ["2023"]
+
+
 def test_new_ids_read_no_stored_id(spark, scratch, monkeypatch):
     store = RawStore(spark, scratch("raw"), buckets=4, bloom_ids=5_000)
     plain = RawStore(spark, scratch("raw"), buckets=4)
