@@ -6,8 +6,8 @@ hyperplane signatures (near vectors share long prefixes). A round then joins
 neighbours of neighbours: each node's neighbours in either direction meet at
 it, and every one keeps the best of those it met. Rounds end when a round
 changes few lists. Lists whose last place still meets the threshold are
-saturated: they are enlarged, and what no list can hold is found exactly: blocks
-of saturated nodes of different components meet where their centers and radii
+saturated: they are enlarged, and a list that is full again is refined no more,
+as what no list can hold is found exactly: blocks of saturated nodes of different components meet where their centers and radii
 allow a link, and one link joins the components; within a component with
 saturated nodes, blocks of vectors are compared with blocks, and only counts
 leave a task. Recall of the other nodes' lists is audited against brute force
@@ -49,8 +49,11 @@ BIN_NODES = 2000
 MARGIN = 1e-5
 #: Nodes audited against brute force (fixed, so the audit's queries may be sent to all tasks), and recall aimed at.
 AUDIT_NODES, TARGET = 256, 0.98
-#: Vectors of a block in exact counting.
-BLOCK = 1024
+#: Bytes of a block's vectors in exact counting (two blocks meet in a task), vectors of one product,
+#: and block centers of a part.
+BLOCK_BYTES, STEP, CENTERS = 4 << 20, 1024, 1024
+#: Parts of one component's rows in joins by component.
+SALTS = 32
 
 
 def _usable(v: Column) -> Column:
@@ -165,10 +168,10 @@ def _meetings(keep: int):
     return run
 
 
-def _top(pairs: DataFrame, keep: int) -> DataFrame:
-    """The ``keep`` most similar of each node's pairs."""
+def _top(pairs: DataFrame, keep: int, *flags: str) -> DataFrame:
+    """The ``keep`` most similar of each node's pairs; of ``flags`` the largest."""
     ranked = F.expr("row_number() over (partition by a order by sim desc, b)")
-    return (pairs.groupBy("a", "b").agg(F.max("sim").alias("sim")).withColumn("k", ranked)
+    return (pairs.groupBy("a", "b").agg(*(F.max(c).alias(c) for c in ("sim", *flags))).withColumn("k", ranked)
             .filter(F.col("k") <= keep).drop("k"))
 
 
@@ -202,16 +205,23 @@ def _exact(lists: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
 
 
 def descend(nodes: DataFrame, keep: int, start: DataFrame, count: int, threshold: float) -> DataFrame:
-    """Neighbour lists (a, b, sim) refined from ``start`` until a round finds hardly a new link."""
+    """Neighbour lists (a, b, sim) refined from ``start`` until a round finds hardly a new link.
+
+    New links of full lists do not count: a full list is enlarged or found in
+    blocks, whichever of its node's links it holds.
+    """
     bins = max(1, -(-count // BIN_NODES))
     lists = materialise(_top(start, keep), "knn-lists")
+    near = F.col("sim") >= threshold - MARGIN
+    held = F.expr(f"count_if(sim >= {threshold - MARGIN!r}) over (partition by a)")
     for _ in range(ROUNDS):
-        met = _meet(lists, nodes, keep, bins)
-        fresh = materialise(_top(lists.unionByName(met), keep), "knn-lists")
-        near = F.col("sim") >= threshold - MARGIN
-        new = fresh.filter(near).join(lists, ["a", "b"], "left_anti").count()
-        lists = fresh
-        if new <= QUIET_SHARE * lists.filter(near).count():
+        met = _meet(lists, nodes, keep, bins).withColumn("old", F.lit(0))
+        fresh = materialise(_top(lists.withColumn("old", F.lit(1)).unionByName(met), keep, "old")
+                            .withColumn("held", held), "knn-lists")
+        links = near & (F.col("held") < keep)
+        got = fresh.agg(F.count_if(links & (F.col("old") == 0)).alias("new"), F.count_if(links).alias("all")).first()
+        lists = fresh.select("a", "b", "sim")
+        if got["new"] <= QUIET_SHARE * got["all"]:
             break
     return lists
 
@@ -268,32 +278,43 @@ def _full(lists: DataFrame, keep: int, threshold: float) -> DataFrame:
 def neighbour_graph(nodes: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame, float]:
     """(lists (a, b, sim), nodes (a) whose longest list is full, recall audited).
 
-    If the recall stays short of the target, all nodes count as full.
+    If the recall stays short of the target, all nodes count as full, and
+    blocks find every link (recall 1).
     """
     count = nodes.count()
     orders, start = ORDERS, first_pairs(nodes, range(ORDERS))
     while True:
         lists = descend(nodes, NEIGHBOURS, start, count, threshold)
         full = materialise(_full(lists, NEIGHBOURS, threshold), "knn-full")
-        keep = NEIGHBOURS
-        while keep < LONGEST and (many := full.count()):  # enlarge saturated lists, with their neighbours
-            keep = min(2 * keep, LONGEST)
+        if many := full.count():  # enlarge saturated lists, with their neighbours
             near = lists.filter(F.col("sim") >= threshold - MARGIN)
             about = materialise(near.join(full, "a", "left_semi").select(F.col("b").alias("a")).unionByName(full).distinct(),
                                 "knn-about")
-            longer = descend(nodes, keep, near.join(about, "a", "left_semi"), many, threshold)
-            lists = materialise(_top(lists.unionByName(longer), keep), "knn-merged")
-            full = materialise(_full(lists, keep, threshold), "knn-full")
+            longer = descend(nodes, LONGEST, near.join(about, "a", "left_semi"), many, threshold)
+            lists = materialise(_top(lists.unionByName(longer), LONGEST), "knn-merged")
+            full = materialise(_full(lists, LONGEST, threshold), "knn-full")
         got, want = audit(nodes, lists, threshold, full=full)
         recall = got / want if want else 1.0
         if recall >= TARGET:
             return lists, full, recall
         if orders >= 4 * ORDERS:
-            return lists, nodes.select(F.col("node").alias("a")), recall
+            return lists, nodes.select(F.col("node").alias("a")), 1.0
         start = lists.unionByName(first_pairs(nodes, range(orders, orders + ORDERS)))
         orders += ORDERS
 
 
+def _by_root(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """``rows`` (node, root, ...) joined with one row a root; a root's rows are spread over several tasks."""
+    salt = lambda c: F.pmod(F.xxhash64(c, F.lit(3)), F.lit(SALTS)).cast("int")
+    return (rows.withColumn("salt", salt("node"))
+            .join(roots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["root", "salt"]).drop("salt"))
+
+
+def _blocks() -> Column:
+    """Blocks of a group of rows with vectors (unit), by their bytes."""
+    return F.ceil(F.sum(F.length("unit").cast("long")) / F.lit(BLOCK_BYTES)).alias("blocks")
+
+
 def _center(pdf: pd.DataFrame) -> pd.DataFrame:
     """A block's center and the largest angle of its vectors to it."""
     x = _matrix(pdf["unit"])
@@ -326,10 +347,14 @@ def _closest(threshold: float):
     """Two blocks of two components: their closest pair, if it is a link."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         left, right = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
-        sims = _matrix(left["unit"]) @ _matrix(right["unit"]).T
-        i, j = np.unravel_index(sims.argmax(), sims.shape)
-        found = [(left["node"].iloc[i], right["node"].iloc[j])] if sims[i, j] >= threshold else []
-        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+        x, y, best = _matrix(left["unit"]), _matrix(right["unit"]), (threshold, None)
+        for s in range(0, len(x), STEP):
+            for t in range(0, len(y), STEP):
+                sims = x[s:s + STEP] @ y[t:t + STEP].T
+                i, j = np.unravel_index(sims.argmax(), sims.shape)
+                if sims[i, j] >= best[0]:
+                    best = (sims[i, j], (left["node"].iloc[s + i], right["node"].iloc[t + j]))
+        return pd.DataFrame([best[1]] if best[1] else [], columns=["a", "b"]).astype("int64")
     return run
 
 
@@ -341,11 +366,11 @@ def cross_links(nodes: DataFrame, full: DataFrame, members: DataFrame, threshold
     """
     rooted = (nodes.join(full, nodes["node"] == full["a"], "left_semi").join(members, "node", "left")
               .select("node", "label", F.coalesce("root", "node").alias("root"), F.col("exact").alias("unit")))
-    sizes = rooted.groupBy("label", "root").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks"))
+    sizes = rooted.groupBy("label", "root").agg(_blocks())
     several = sizes.groupBy("label").agg(F.count(F.lit(1)).alias("roots"), F.sum("blocks").alias("all")).filter("roots > 1")
-    inside = materialise(rooted.join(sizes.join(several, "label"), ["label", "root"])
+    inside = materialise(_by_root(rooted.drop("label"), sizes.join(several, "label"))
                          .withColumn("blk", F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks")))
-                         .select("node", "label", "root", "unit", "blk", F.ceil(F.col("all") / F.lit(BLOCK)).alias("parts")),
+                         .select("node", "label", "root", "unit", "blk", F.ceil(F.col("all") / F.lit(CENTERS)).alias("parts")),
                          "knn-full-blocks")
     centers = materialise(inside.groupBy("root", "blk").applyInPandas(
         tidy_group(_center), "label string, root long, blk long, center binary, radius double"), "knn-centers")
@@ -365,15 +390,21 @@ def _count_blocks(threshold: float):
     """Two blocks of one component (or one with itself): links of each vector to the other block's."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         one, two = pdf["i"].iloc[0], pdf["j"].iloc[0]
-        left = pdf[pdf["blk"] == one]
-        right = left if one == two else pdf[pdf["blk"] == two]
-        near = _matrix(left["unit"]) @ _matrix(right["unit"]).T >= threshold if len(left) and len(right) else \
-            np.zeros((len(left), len(right)), bool)
+        left, right = pdf[pdf["blk"] == one], pdf[pdf["blk"] == two]
+        x, y = _matrix(left["unit"]), _matrix(right["unit"])
+        mine, theirs = left["copies"].to_numpy(), right["copies"].to_numpy()
+        n, m = np.zeros(len(left), np.int64), np.zeros(len(right), np.int64)
+        for s in range(0, len(n), STEP):
+            for t in range(0, len(m), STEP):
+                near = x[s:s + STEP] @ y[t:t + STEP].T >= threshold
+                if one == two and s == t:
+                    np.fill_diagonal(near, False)
+                n[s:s + STEP] += near @ theirs[t:t + STEP]
+                if one != two:
+                    m[t:t + STEP] += near.T @ mine[s:s + STEP]
         if one == two:
-            np.fill_diagonal(near, False)
-            return pd.DataFrame({"node": left["node"], "n": near @ right["copies"].to_numpy()})
-        return pd.DataFrame({"node": np.concatenate([left["node"], right["node"]]),
-                             "n": np.concatenate([near @ right["copies"].to_numpy(), near.T @ left["copies"].to_numpy()])})
+            return pd.DataFrame({"node": left["node"], "n": n})
+        return pd.DataFrame({"node": np.concatenate([left["node"], right["node"]]), "n": np.concatenate([n, m])})
     return run
 
 
@@ -386,9 +417,9 @@ def link_counts(nodes: DataFrame, edges: DataFrame, full: DataFrame, members: Da
     """
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     dense = full.join(members, full["a"] == members["node"]).select("root").distinct()
-    sizes = members.join(dense, "root", "left_semi").groupBy("root").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks"))
-    inside = materialise(members.join(sizes, "root").join(nodes.select("node", F.col("exact").alias("unit"), "copies"), "node")
+    units = materialise(_by_root(members, dense).join(nodes.select("node", F.col("exact").alias("unit"), "copies"), "node"),
+                        "knn-units")
+    inside = materialise(_by_root(units, units.groupBy("root").agg(_blocks()))
                          .withColumn("blk", F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks"))), "knn-dense")
     met = (inside.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
            .withColumn("i", F.least("blk", "other")).withColumn("j", F.greatest("blk", "other")))
@@ -407,10 +438,10 @@ def _members(edges: DataFrame) -> DataFrame:
 
 
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """vec_id, n_links, component_id of every row of (vec_id, embedding, label)."""
+    """vec_id, n_links, component_id of every row of (vec_id, embedding, label), and the recall audited, on each row."""
     vectors = vectors.select("vec_id", "embedding", "label")
     nodes = materialise(nodes_of(vectors), "knn-nodes")
-    lists, full, _ = neighbour_graph(nodes, threshold)
+    lists, full, recall = neighbour_graph(nodes, threshold)
     edges = materialise(_exact(lists, nodes, threshold), "knn-links")
     members = _members(edges)
     if not full.isEmpty():
@@ -428,10 +459,10 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     known = materialise(known, "knn-known")
     least = (rows.filter("node is not null").groupBy("node").agg(F.min("vec_id").alias("m")).join(known, "node")
              .groupBy("root").agg(F.min("m").alias("component_id")))
-    named = materialise(known.join(least, "root").select("node", "n_links", "component_id"), "knn-named")
+    named = materialise(_by_root(known, least).select("node", "n_links", "component_id"), "knn-named")
     return (rows.join(named, "node", "left")
             .select("vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
-                    F.coalesce("component_id", "vec_id").alias("component_id")))
+                    F.coalesce("component_id", "vec_id").alias("component_id"), F.lit(recall).alias("recall")))
 
 
 def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:

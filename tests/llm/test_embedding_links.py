@@ -53,7 +53,8 @@ def clusters(seed, sizes, dims=16, spread=0.02, alone=100):
 
 
 def test_clusters_of_all_sizes(spark, monkeypatch):
-    monkeypatch.setattr(el, "BLOCK", 30)
+    monkeypatch.setattr(el, "BLOCK_BYTES", 30 * 16 * 8)
+    monkeypatch.setattr(el, "STEP", 7)
     rows = clusters(3, (2, 2, 3, 5, 9, 20, 90))
     assert result(frame(spark, rows)) == brute(rows)
 
@@ -66,15 +67,24 @@ def near_clusters(seed, size, dims=16, spread=0.01, cos=0.982):
     return [(k, [float(np.float32(x)) for x in centers[k % 2] + spread * rng.standard_normal(dims)], 0) for k in range(2 * size)]
 
 
-@pytest.mark.parametrize("block", [1024, 25])
+@pytest.mark.parametrize("block", [8192, 25])
 def test_links_between_full_lists(spark, monkeypatch, block):
-    monkeypatch.setattr(el, "BLOCK", block)
+    monkeypatch.setattr(el, "BLOCK_BYTES", block * 16 * 8)
+    monkeypatch.setattr(el, "CENTERS", 2)
     rows = near_clusters(1, 75)
     want = brute(rows)
     assert {c for _, _, c in want} == {0}
     assert result(frame(spark, rows)) == want
 
 
+def test_component_of_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(el, "BLOCK_BYTES", 25 * 16 * 8)
+    monkeypatch.setattr(el, "STEP", 10)
+    rows = clusters(9, (600, 12), spread=0.01)
+    assert result(frame(spark, rows)) == brute(rows)
+    assert {r.recall for r in el.near_vectors(frame(spark, rows)).select("recall").distinct().collect()} == {1.0}
+
+
 def test_short_recall_is_made_up_for(spark, monkeypatch):
     monkeypatch.setattr(el, "audit", lambda *a, **k: (0, 1))
     monkeypatch.setattr(el, "descend", lambda nodes, keep, start, count, threshold: el._top(start, keep).limit(3))
