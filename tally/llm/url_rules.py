@@ -4,7 +4,10 @@ Base rules (host, path) decide the urls they fit, the longest first. Those
 decisions are the labels: Spark's FP-growth mines combinations of url tokens
 together with a label, and combinations whose confidence and support suffice
 become rules. A rule is dropped when a part of it already says the same with
-no less confidence. Urls without a base rule are decided by the mined rule with
+no less confidence. So two kinds of tokens need not be combined, and long urls of
+one template do not multiply: tokens that always occur together are one item
+(any of them stands for it), and a token seen with one label alone is a rule by
+itself that no larger one improves. Urls without a base rule are decided by the mined rule with
 the highest confidence, then support, then size; without one they are allowed.
 
 Matching is by inverted index: each rule hangs on its rarest token, so a url
@@ -20,6 +23,7 @@ mines no rules. Columns other than id and url are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.fpm import FPGrowth
@@ -66,17 +70,50 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
         F.array_sort(F.filter(every, lambda w: ~F.endswith(w, F.lit(":")))))
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """antecedent, verdict, confidence, support, anchor of the rules kept, from (tokens, verdict) rows."""
-    items = labelled.select(F.array_append("tokens", F.concat(F.lit(LABEL), "verdict")).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
+def alike(labelled: DataFrame, least: int) -> DataFrame:
+    """token, item, n, lo, hi of each token in at least ``least`` (tokens, verdict) rows.
+
+    Tokens that occur in the same rows (by 128 bits of the rows' hashes) share an item, the smallest of them; n rows
+    hold it, lo and hi are the first and last of their verdicts.
+    """
+    sets = labelled.groupBy("tokens", "verdict").agg(F.count(F.lit(1)).alias("n"))
+    seen = sets.select("verdict", "n", F.xxhash64("tokens", "verdict", F.lit(1)).alias("h"),
+                       F.xxhash64("tokens", "verdict", F.lit(2)).alias("g"), F.explode("tokens").alias("token"))
+    found = seen.groupBy("token").agg(F.sum("n").alias("n"), F.bit_xor("h").alias("h"), F.bit_xor("g").alias("g"),
+                                      F.min("verdict").alias("lo"), F.max("verdict").alias("hi")).filter(F.col("n") >= least)
+    return found.withColumn("item", F.expr("min(token) over (partition by n, h, g)")).select("token", "item", "n", "lo", "hi")
+
+
+def as_items(sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """key, names (item -> the largest of its tokens here) of (key, tokens) rows; none for sets without an item."""
+    return (sets.select("key", F.explode("tokens").alias("token")).join(classes.select("token", "item"), "token")
+            .groupBy("key", "item").agg(F.max("token").alias("name")).groupBy("key")
+            .agg(F.map_from_entries(F.collect_list(F.struct("item", "name"))).alias("names")))
+
+
+def mine_classes(labelled: DataFrame, min_support: float = MIN_SUPPORT,
+                 min_confidence: float = MIN_CONFIDENCE) -> tuple[DataFrame, DataFrame]:
+    """(rules kept: antecedent (items), verdict, confidence, support, anchor; classes) from (tokens, verdict) rows."""
+    total = labelled.count()
+    classes = materialise(alike(labelled, math.ceil(min_support * total)), "url-alike")
+    singles = classes.filter("token = item")
+    pure = singles.filter("lo = hi").select(F.array("item").alias("antecedent"), F.col("lo").alias("verdict"),
+                                            F.lit(1.0).alias("confidence"), (F.col("n") / F.lit(max(1, total))).alias("support"))
+    keyed = labelled.select(F.array_join("tokens", " ").alias("key"), "tokens", "verdict")
+    sets = keyed.groupBy("key").agg(F.first("tokens").alias("tokens"))
+    held = as_items(sets, classes.filter("lo <> hi")).select("key", F.map_keys("names").alias("held"))
+    none = F.array().cast("array<string>")
+    items = keyed.join(held, "key", "left").select(
+        F.array_append(F.coalesce("held", none), F.concat(F.lit(LABEL), "verdict")).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(
+        materialise(items, "url-items"))
     rules = model.associationRules.filter(F.startswith(F.element_at("consequent", 1), F.lit(LABEL))).select(
         F.array_sort("antecedent").alias("antecedent"),
         F.expr(f"substring(consequent[0], {len(LABEL) + 1})").alias("verdict"), "confidence", "support")
-    rules = materialise(rules.filter(~F.exists("antecedent", lambda w: F.startswith(w, F.lit(LABEL)))), "url-rules")
-    freq = model.freqItemsets.filter(F.size("items") == 1).select(F.element_at("items", 1).alias("item"), "freq")
-    anchors = (rules.select("antecedent", F.explode("antecedent").alias("item")).join(freq, "item")
-               .groupBy("antecedent").agg(F.min_by("item", F.struct("freq", "item")).alias("anchor")))
+    rules = rules.filter(~F.exists("antecedent", lambda w: F.startswith(w, F.lit(LABEL)))).unionByName(pure)
+    rules = materialise(rules, "url-rules")
+    anchors = (rules.select("antecedent", F.explode("antecedent").alias("item")).join(singles.select("item", "n"), "item")
+               .groupBy("antecedent").agg(F.min_by("item", F.struct("n", "item")).alias("anchor")))
     rules = materialise(rules.join(anchors, "antecedent"), "url-anchored")
     parts = rules.select(F.col("antecedent").alias("part"), F.col("verdict").alias("same"),
                          F.col("confidence").alias("at_least"), F.col("anchor").alias("item"))
@@ -85,17 +122,28 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
             .filter((F.col("verdict") == F.col("same")) & (F.col("at_least") >= F.col("confidence"))
                     & (F.size("part") < F.size("antecedent")) & (F.size(F.array_except("part", "antecedent")) == 0))
             .select("antecedent", "verdict").distinct())
-    return materialise(rules.join(idle, ["antecedent", "verdict"], "left_anti"), "url-kept")
+    return materialise(rules.join(idle, ["antecedent", "verdict"], "left_anti"), "url-kept"), classes
 
 
-def match(sets: DataFrame, rules: DataFrame) -> DataFrame:
-    """key, mined (the best rule's tokens), mined_verdict for distinct token sets (key, tokens)."""
-    hit = (sets.select("key", "tokens", F.explode("tokens").alias("anchor")).join(rules, "anchor")
-           .filter(F.size(F.array_except("antecedent", "tokens")) == 0))
-    best = F.max_by(F.struct("antecedent", "verdict"),
-                    F.struct("confidence", "support", F.size("antecedent"), F.array_join("antecedent", " "), "verdict"))
+def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """The rules alone."""
+    return mine_classes(labelled, min_support, min_confidence)[0]
+
+
+def match(sets: DataFrame, rules: DataFrame, classes: DataFrame | None = None) -> DataFrame:
+    """key, mined (the best rule's tokens), mined_verdict for distinct token sets (key, tokens).
+
+    Without ``classes`` (token, item) every token is an item of its own.
+    """
+    used = rules.select(F.explode("antecedent").alias("item")).distinct()
+    classes = used.select(F.col("item").alias("token"), "item") if classes is None else classes.join(used, "item", "left_semi")
+    hit = (as_items(sets, classes).select("key", "names", F.explode(F.map_keys("names")).alias("anchor")).join(rules, "anchor")
+           .filter(F.size(F.array_except("antecedent", F.map_keys("names"))) == 0)
+           .withColumn("mined", F.array_join(F.array_sort(F.transform("antecedent", lambda w: F.col("names")[w])), " ")))
+    best = F.max_by(F.struct("mined", "verdict"),
+                    F.struct("confidence", "support", F.size("antecedent"), "mined", "verdict"))
     return hit.groupBy("key").agg(best.alias("best")).select(
-        "key", F.array_join("best.antecedent", " ").alias("mined"), F.col("best.verdict").alias("mined_verdict"))
+        "key", F.col("best.mined").alias("mined"), F.col("best.verdict").alias("mined_verdict"))
 
 
 def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, min_support: float = MIN_SUPPORT,
@@ -110,8 +158,8 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, min_
     rows = materialise(rows.withColumn("key", F.array_join("tokens", " ")), "url-rows")
     labelled = rows.filter("base is not null").select("tokens", F.col("base").alias("verdict"))
     open_sets = rows.filter("base is null").groupBy("key").agg(F.first("tokens").alias("tokens"))
-    mined = mine(labelled, min_support, min_confidence)
-    found = materialise(match(open_sets, mined), "url-matched")
+    mined, classes = mine_classes(labelled, min_support, min_confidence)
+    found = materialise(match(open_sets, mined, classes), "url-matched")
     decided = F.col("rule").isNull()
     return rows.join(found, "key", "left").select(
         "page_id", "host", "path", "rule",

@@ -1,5 +1,6 @@
 import collections
 import itertools
+import random
 
 from tally.llm import url_rules as ur
 
@@ -69,6 +70,46 @@ def test_mining_and_matching_against_brute_force(spark):
         assert found.get(" ".join(s)) == (max(fits)[1] if fits else None)
 
 
+def brute_best(rules, tokens):
+    fits = [((c, p, len(t), " ".join(t), v), (" ".join(t), v)) for (t, v), (c, p) in rules.items() if set(t) <= set(tokens)]
+    return max(fits)[1] if fits else None
+
+
+def test_tokens_that_occur_together(spark):
+    rng = random.Random(8)
+    groups = [["a", "b", "c"], ["d"], ["e", "f"], ["g"], ["h", "i"]]
+    rows = []
+    for _ in range(120):
+        tokens = sorted(t for g in groups if rng.random() < 0.5 for t in g)
+        blocked = "a" in tokens and "d" in tokens or "h" in tokens or rng.random() < 0.15 and "g" not in tokens
+        rows.append((tokens, "block" if blocked else "allow"))
+    rules, classes = ur.mine_classes(spark.createDataFrame(rows, "tokens array<string>, verdict string"), 0.05, 0.6)
+    want = brute_rules(rows, 0.05, 0.6)
+    alike = {}
+    for r in classes.collect():
+        alike.setdefault(r["item"], []).append(r.token)
+    assert sorted(map(sorted, alike.values())) == sorted(groups)
+    got = {(tuple(sorted(c)), r.verdict): (round(r.confidence, 9), round(r.support, 9)) for r in rules.collect()
+           for c in itertools.product(*(alike[i] for i in r.antecedent))}
+    assert got == {k: (round(c, 9), round(p, 9)) for k, (c, p) in want.items()}
+    sets = [sorted(rng.sample("abcdefghij", rng.randrange(1, 7))) for _ in range(60)]
+    sets = [list(s) for s in sorted({tuple(s) for s in sets})]
+    found = {r.key: (r.mined, r.mined_verdict) for r in ur.match(
+        spark.createDataFrame([(" ".join(s), s) for s in sets], "key string, tokens array<string>"), rules, classes).collect()}
+    for s in sets:
+        assert found.get(" ".join(s)) == brute_best(want, s)
+
+
+def test_long_urls_of_one_template(spark):
+    deep = "/".join(f"s{k}" for k in range(40))
+    urls = [f"http://www.a.net/{deep}/{k}" for k in range(30)] + [f"http://www.a.com/{deep}/{k}" for k in range(10)] + \
+           [f"http://b.example.com/de/{deep}/{k}" for k in range(3)] + [f"http://c.example.net/en/{deep}" for k in range(9)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r for r in ur.filter_urls(df).collect()}
+    assert all(got[k].verdict == "block" and got[k].rule == "net/" for k in range(30))
+    assert all(got[k].rule is None and got[k].mined for k in range(30, 40))
+
+
 def test_edges(spark, small):
     empty = spark.createDataFrame([], "page_id long, url string")
     assert ur.filter_urls(empty).count() == 0
