@@ -38,6 +38,8 @@ RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "b
 MIN_SUPPORT, MIN_CONFIDENCE = 0.005, 0.8
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LABEL = "label="
+#: Equal rows that one row stands for until they are counted.
+PART = 100_000
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -91,6 +93,14 @@ def as_items(sets: DataFrame, classes: DataFrame) -> DataFrame:
             .agg(F.map_from_entries(F.collect_list(F.struct("item", "name"))).alias("names")))
 
 
+def repeated(items: DataFrame, total: int) -> DataFrame:
+    """Each row of (items, n) n times, in parts of at most ``PART`` rows that are spread over the tasks."""
+    parts = (items.withColumn("part", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("n") / F.lit(PART)))))
+             .withColumn("n", F.least(F.lit(PART).cast("long"), F.col("n") - (F.col("part") - 1) * PART))
+             .repartition(1 + total // (4 * PART), "items", "part"))
+    return parts.select("items", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("one")).select("items")
+
+
 def mine_classes(labelled: DataFrame, min_support: float = MIN_SUPPORT,
                  min_confidence: float = MIN_CONFIDENCE) -> tuple[DataFrame, DataFrame]:
     """(rules kept: antecedent (items), verdict, confidence, support, anchor; classes) from (tokens, verdict) rows."""
@@ -99,14 +109,15 @@ def mine_classes(labelled: DataFrame, min_support: float = MIN_SUPPORT,
     singles = classes.filter("token = item")
     pure = singles.filter("lo = hi").select(F.array("item").alias("antecedent"), F.col("lo").alias("verdict"),
                                             F.lit(1.0).alias("confidence"), (F.col("n") / F.lit(max(1, total))).alias("support"))
-    keyed = labelled.select(F.array_join("tokens", " ").alias("key"), "tokens", "verdict")
+    keyed = materialise(labelled.groupBy(F.array_join("tokens", " ").alias("key"), "verdict")
+                        .agg(F.first("tokens").alias("tokens"), F.count(F.lit(1)).alias("n")), "url-labelled")
     sets = keyed.groupBy("key").agg(F.first("tokens").alias("tokens"))
-    held = as_items(sets, classes.filter("lo <> hi")).select("key", F.map_keys("names").alias("held"))
+    held = as_items(sets, classes.filter("lo <> hi")).select("key", F.array_sort(F.map_keys("names")).alias("held"))
     none = F.array().cast("array<string>")
-    items = keyed.join(held, "key", "left").select(
+    items = materialise(keyed.join(held, "key", "left").groupBy(
         F.array_append(F.coalesce("held", none), F.concat(F.lit(LABEL), "verdict")).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(
-        materialise(items, "url-items"))
+        .agg(F.sum("n").alias("n")), "url-items")
+    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(repeated(items, total))
     rules = model.associationRules.filter(F.startswith(F.element_at("consequent", 1), F.lit(LABEL))).select(
         F.array_sort("antecedent").alias("antecedent"),
         F.expr(f"substring(consequent[0], {len(LABEL) + 1})").alias("verdict"), "confidence", "support")

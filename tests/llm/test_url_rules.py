@@ -100,6 +100,13 @@ def test_tokens_that_occur_together(spark):
         assert found.get(" ".join(s)) == brute_best(want, s)
 
 
+def test_repeated_rows_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(ur, "PART", 4)
+    items = spark.createDataFrame([(["a"], 11), (["b", "c"], 4), ([], 1)], "items array<string>, n long")
+    got = collections.Counter(tuple(r["items"]) for r in ur.repeated(items, 16).collect())
+    assert got == {("a",): 11, ("b", "c"): 4, (): 1}
+
+
 def test_long_urls_of_one_template(spark):
     deep = "/".join(f"s{k}" for k in range(40))
     urls = [f"http://www.a.net/{deep}/{k}" for k in range(30)] + [f"http://www.a.com/{deep}/{k}" for k in range(10)] + \
