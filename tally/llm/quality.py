@@ -12,8 +12,8 @@ with its length and share of repeats. A two-layer network in numpy turns that
 into a logit; a temperature fitted on rows that it was not trained on
 calibrates the probability.
 
-The network is fitted on a bounded sample of labelled rows (``sample`` rows,
-the first by hash of the id). Corpus sums cover all texts, and every text is
+The network is fitted on a bounded sample of labelled rows (``sample`` ids,
+the first by hash, and one row of each: of repeats, that whose features hash least). Corpus sums cover all texts, and every text is
 read whole and scored.
 
 Defined cases: null and empty texts are the zero vector with length 0. Labels
@@ -32,10 +32,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tally.llm.common import chunks, crc_bucket, id_and_text, materialise, table, tidy
+from tally.llm.common import chunks, crc_bucket, id_and_text, materialise, table, tidy, tidy_group
 from tally.llm.wordmemo import WordMemo
 
 BUCKETS, DIMENSIONS, NONZERO = 4096, 64, 4
@@ -47,6 +48,8 @@ SAMPLE_ROWS = 20_000
 COMMON = 0.01
 HIDDEN, EPOCHS, BATCH = 32, 40, 256
 ROWS_PER_PART = 256
+#: Groups of tasks whose sums are added first.
+SALTS = 512
 
 _PARTS = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 
@@ -105,25 +108,28 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                         minlength=BUCKETS * DIMENSIONS)
     full = np.concatenate([sums.reshape(BUCKETS, DIMENSIONS), counts[:, None]], 1)
     parts = range(0, BUCKETS, ROWS_PER_PART)
-    yield pa.record_batch([pa.array([p for p in parts], pa.int32()),
+    salt = TaskContext.get().partitionId() % SALTS
+    yield pa.record_batch([pa.array([p for p in parts], pa.int32()), pa.array([salt] * len(parts), pa.int32()),
                            pa.array([full[p:p + ROWS_PER_PART].tobytes() for p in parts], pa.binary())],
-                          names=["part", "sums"])
+                          names=["part", "salt", "sums"])
 
 
 def _add(pdf: pd.DataFrame) -> pd.DataFrame:
     total = np.zeros(ROWS_PER_PART * (DIMENSIONS + 1))
     for x in pdf["sums"]:
         total += np.frombuffer(x)
-    return pd.DataFrame([(pdf["part"].iloc[0], total.tobytes())], columns=["part", "sums"])
+    return pd.DataFrame([(pdf["part"].iloc[0], pdf["salt"].iloc[0], total.tobytes())], columns=["part", "salt", "sums"])
 
 
 def word_vectors(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(vector of each bucket, weight of each bucket) from all texts.
 
-    What reaches the driver has a fixed size whatever the corpus.
+    What reaches the driver has a fixed size whatever the corpus. The tasks'
+    sums are added in two steps, so that no group takes those of all tasks.
     """
-    rows = (docs.mapInArrow(tidy(_gather), "part int, sums binary").groupBy("part")
-            .applyInPandas(_add, "part int, sums binary").collect())
+    kind = "part int, salt int, sums binary"
+    rows = (docs.mapInArrow(tidy(_gather), kind).groupBy("part", "salt").applyInPandas(tidy_group(_add), kind)
+            .groupBy("part").applyInPandas(tidy_group(_add), kind).collect())
     full = np.zeros((BUCKETS, DIMENSIONS + 1))
     for r in rows:
         full[r["part"]:r["part"] + ROWS_PER_PART] = np.frombuffer(r["sums"]).reshape(-1, DIMENSIONS + 1)
@@ -239,8 +245,9 @@ def classify(docs: DataFrame, labels: DataFrame, training, sample: int = SAMPLE_
            .filter("doc_id is not null and label in (0, 1)").filter(training(F.col("doc_id")))
            .groupBy("doc_id").agg(F.max("label").alias("label"))
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    # At most ``sample`` ids are broadcast, and as many rows (times repeats of an id) reach the driver.
-    rows = pooled.join(F.broadcast(ids), "doc_id").select("features", "label", "doc_id").toPandas()
+    # At most ``sample`` ids are broadcast, and one row for each, whatever its repeats, reaches the driver.
+    rows = (pooled.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "label")
+            .agg(F.min_by("features", F.xxhash64("features")).alias("features")).toPandas())
     rows = rows.sort_values("doc_id", kind="stable")
     x = np.array(rows["features"].tolist(), dtype=float).reshape(len(rows), DIMENSIONS + 2)
     return score(pooled, train(x, rows["label"].to_numpy()))

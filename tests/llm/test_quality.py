@@ -55,6 +55,18 @@ def test_edges(spark, odd_docs, no_docs):
     assert {r.score for r in q.classify(odd_docs, labels.limit(0), q.training_row).collect()} == {0.5}
 
 
+def test_repeats_of_an_id_are_one_sampled_row(spark, monkeypatch):
+    seen, train = [], q.train
+    monkeypatch.setattr(q, "train", lambda x, y: seen.append((x.shape, sorted(y.tolist()))) or train(x, y))
+    rows = [(1, f"text {k} of one id") for k in range(300)] + [(k, f"word {k}") for k in range(2, 9)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 9)], "doc_id long, label int")
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out = q.classify(df, labels, lambda c: c > 0, 4).collect()
+    assert len(out) == 307 and seen[0][0][0] == 4
+    q.classify(df, labels, lambda c: c > 0).collect()
+    assert seen[1] == ((8, q.DIMENSIONS + 2), [0, 0, 0, 0, 1, 1, 1, 1])
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     out = q.op4_quality(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").filter("held_out")
