@@ -14,7 +14,8 @@ id. No task holds more than a batch and the current sequence.
 
 Defined cases: null and empty texts are the end id alone. Texts of any length
 are cut where sequences end. Repeated rows are packed each. Equal ids and keys
-are ordered by the ids' checksum. An empty table gives an empty result.
+are ordered by the ids' checksum. Columns other than id and text are ignored. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ UTF-8 go through the backend's decoder.
 
 Defined cases: null and empty texts have no ids and decode to the empty text.
 Texts of any length are taken whole. Repeated rows give repeated results, and
-columns other than id and text are ignored.
+columns other than id and text are ignored. An empty table gives an empty
+result.
 """
 
 from __future__ import annotations

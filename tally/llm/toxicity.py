@@ -16,7 +16,8 @@ Scoring reads every text whole, in one pass and without a shuffle.
 Defined cases: null and empty texts have no hits and the curve's score at
 zero. Labels other than 0 and 1, null labels and null ids train nothing. With
 no usable labels the given list, default weights and a fixed curve are used.
-Repeated rows score alike; other columns are ignored.
+Repeated rows score alike; other columns are ignored; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations

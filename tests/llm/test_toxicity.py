@@ -16,7 +16,8 @@ def test_matching():
     assert m("an 1diot, IDIOTS!!") == (3, 2, 4.0)
     assert m("clowns clown aclown") == (3, 1, 1.0)
     assert m("put it in the trash can now") == (7, 0, 0.0)
-    assert m("the trash canned clown fish") == (5, 0, 0.0) or m("trash") == (1, 1, 1.5)
+    assert m("the clown fish") == (3, 0, 0.0)
+    assert m("trash") == (1, 1, 1.5)
     assert m("") == (0, 0, 0.0)
     assert m("idiot " * 40_000)[1] == 40_000
 
