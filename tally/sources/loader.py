@@ -37,7 +37,7 @@ def load_batch(spark: SparkSession, store: RawStore, spec: SourceSpec, batch: Da
         gate = load_gate(staged, spec.name).first()
         if not gate["passed"]:
             return "failed", 0, gate_reason(gate)
-        res = store.load(staged, table or spec.raw_table, full_refresh)
+        res = store.load(staged, table or spec.raw_table, full_refresh, size=gate["rows"])
         return "loaded", res.rows_loaded, None
     finally:
         remove(spark, staged_path)

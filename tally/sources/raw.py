@@ -21,10 +21,14 @@ from tally.sources.snapshots import Versions, file_system
 # Accepted date layouts besides ISO (which a plain cast already parses).
 DATE_FORMATS = ("MM/dd/yyyy", "yyyy/MM/dd", "dd-MMM-yyyy")
 
-# Buckets of a new raw table; an existing table keeps its own number. Choose
-# it so that a bucket's ids fit a task when the table is full-grown (a load
-# writes a file for each month and bucket that it has rows of).
+# Least buckets of a new raw table: a large first load gets a multiple of them,
+# so that a bucket is a task's work (``spread``); a table then keeps its number.
 BUCKETS = 16
+#: Rows that a task of a load writes, at most on average. A task's work does not
+#: grow with the load: larger loads have more tasks, and more files of a month.
+TASK_ROWS = 1_000_000
+#: Stored and new rows of a bucket that one task still compares.
+BUCKET_ROWS = 4 * TASK_ROWS
 
 
 def parse_timestamp(col: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
@@ -114,6 +118,11 @@ def unseen(batch: DataFrame, stored: DataFrame, null_stored: bool) -> DataFrame:
     return asked.join(stored, F.col("transaction_id") == F.col("_stored"), "left_anti")
 
 
+def spread(rows: int, buckets: int) -> int:
+    """Tasks for so many rows: a multiple of the buckets, so that a task's rows are of one bucket."""
+    return buckets * max(1, -(-rows // (buckets * TASK_ROWS)))
+
+
 def _nulls(loads: list[dict]) -> bool:
     return any(load["without_id"] for load in loads)
 
@@ -207,13 +216,14 @@ class RawStore:
     def _bloom_path(self, table: str, load: str) -> str:
         return os.path.join(self.path(table), "_blooms", load)
 
-    def _write(self, rows: DataFrame, table: str, layout: dict) -> dict:
-        """Write a load's folder, each bucket by one task, and count its rows as they are written."""
+    def _write(self, rows: DataFrame, table: str, layout: dict, size: int) -> dict:
+        """Write a load's folder and count its rows as they are written. ``size``, about
+        the number of rows, says by how many tasks; each has rows of one bucket."""
         load = uuid.uuid4().hex
         written = Observation(f"load_{load}")
         name, buckets = f"tally_load_{load}", layout["buckets"]
         counts = [F.count(F.lit(1)).alias("rows"), F.count_if(F.col("transaction_id").isNull()).alias("without_id")]
-        (rows.withColumn("_month", month_of(F.col("date"), layout["period"])).repartition(buckets, "transaction_id")
+        (rows.withColumn("_month", month_of(F.col("date"), layout["period"])).repartition(spread(size, buckets), "transaction_id")
          .observe(written, *counts).write.format("parquet").partitionBy("_month")
          .bucketBy(buckets, "transaction_id").sortBy("date")
          .option("path", os.path.join(self.path(table), f"_load={load}")).saveAsTable(name))
@@ -238,10 +248,11 @@ class RawStore:
         ids = possible(batch, "transaction_id", stored, manifest["blocks"]).limit(FEW_IDS + 1).collect()
         return [r[0] for r in ids] if len(ids) <= FEW_IDS else None
 
-    def new_rows(self, batch: DataFrame, table: str, version: int | None = None) -> DataFrame:
+    def new_rows(self, batch: DataFrame, table: str, version: int | None = None, size: int = 0) -> DataFrame:
         """The batch's rows whose id a version does not store. The stored side is
-        read bucket by bucket and is not shuffled; which side is broadcast, if
-        any, is left to the planner, by bytes."""
+        read bucket by bucket and is not shuffled, unless its buckets with a batch of
+        ``size`` rows are too large for a task; which side is broadcast, if any, is
+        left to the planner, by bytes."""
         versions = self.versions(table)
         manifest = versions.read(version) if version else versions.latest()[1]
         if manifest is None:
@@ -249,32 +260,45 @@ class RawStore:
         null_stored = _nulls(manifest["loads"])
         few = self._candidates(batch, table, manifest) if manifest["blocks"] else None
         if few is None:
-            return unseen(batch, self._rows(table, manifest), null_stored)
+            return self._unseen(batch, self._rows(table, manifest), null_stored, manifest,
+                                sum(load["rows"] for load in manifest["loads"]), size)
         if not few:
             return batch.filter(F.col("transaction_id").isNotNull()) if null_stored else batch
         # These ids alone are looked up, in the buckets that they belong to.
         return unseen(batch, self._rows(table, manifest).filter(F.col("transaction_id").isin(few)), null_stored)
 
+    def _unseen(self, batch: DataFrame, stored: DataFrame, null_stored: bool, layout: dict,
+                stored_size: int, size: int) -> DataFrame:
+        """``unseen`` along the buckets, or, where these have become too large, with ids dealt to more tasks."""
+        if stored_size + size > layout["buckets"] * BUCKET_ROWS:
+            tasks = spread(max(stored_size, size), layout["buckets"])
+            batch = batch.repartition(tasks, "transaction_id")
+            stored = stored.select("transaction_id").repartition(tasks, "transaction_id")
+        return unseen(batch, stored, null_stored)
+
     def load(self, batch: DataFrame, table: str, full_refresh: bool = False,
-             before_commit: Callable[[], object] | None = None) -> LoadResult:
+             before_commit: Callable[[], object] | None = None, size: int | None = None) -> LoadResult:
         """Insert rows whose id is not stored yet; never update stored rows.
 
         ``full_refresh`` replaces the table with the batch. Loading the same
         batch again adds nothing, rows without an id included, also while
         another load of the same ids is running. ``before_commit`` is called
-        when the rows are written and their version is not.
+        when the rows are written and their version is not. ``size`` is about the
+        number of the batch's rows; without it they are counted first.
         """
+        if size is None:
+            size = batch.count()
         batch = to_raw_contract(batch, self.schema(table))
         versions = self.versions(table)
         while True:
             number, base = versions.latest()
             if full_refresh or base is None:
-                layout = {"buckets": self.buckets, "blocks": block_count(self.bloom_ids) if self.bloom_ids else 0,
+                layout = {"buckets": spread(size, self.buckets), "blocks": block_count(self.bloom_ids) if self.bloom_ids else 0,
                           "period": self.period}
-                mine, kept = self._write(batch, table, layout), []
+                mine, kept = self._write(batch, table, layout, size), []
             else:
                 layout, kept = {k: base[k] for k in ("buckets", "blocks", "period")}, base["loads"]
-                mine = self._write(self.new_rows(batch, table, number), table, layout)
+                mine = self._write(self.new_rows(batch, table, number, size), table, layout, size)
             while True:
                 if not mine["rows"] and base is not None and not full_refresh:
                     self._discard(table, mine)
@@ -295,9 +319,11 @@ class RawStore:
                     break
                 base, kept = newer, newer["loads"]
                 own = self._rows(table, {**layout, "loads": [mine]}).drop("_month")
-                fresh = unseen(own, self._rows(table, newer, [load["id"] for load in added]), _nulls(added))
-                if fresh.count() < mine["rows"]:
-                    mine, old = self._write(fresh, table, layout), mine
+                fresh = self._unseen(own, self._rows(table, newer, [load["id"] for load in added]), _nulls(added),
+                                     layout, sum(load["rows"] for load in added), mine["rows"])
+                left = fresh.count()
+                if left < mine["rows"]:
+                    mine, old = self._write(fresh, table, layout, left), mine
                     self._discard(table, old)
 
     def vacuum(self, table: str, keep: int = 2) -> None:
