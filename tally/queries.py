@@ -278,14 +278,22 @@ def q_mart_roundtrip(spark, sf):
     return store.read(name)
 
 
+#: Rows of a landed file; a larger export lands as several files, as a task writes each.
+LANDED_ROWS = 1_000_000
+
+
 def _land(spark, export, path: str) -> None:
-    """One export as exactly this file (in place of what is there)."""
-    part = write_csv(export.coalesce(1), scratch_path(spark, "part-csv"))
+    """One export as exactly this file (in place of what is there), a large one
+    with further files beside it (``export-1-1.csv`` and so on)."""
+    files = max(1, -(-export.count() // LANDED_ROWS))
+    part = write_csv(export.coalesce(files), scratch_path(spark, "part-csv"))
+    names = sorted(n for n in names_in(spark, part) if n.endswith(".csv"))
     fs, target = file_system(spark, path)
-    name = next(n for n in names_in(spark, part) if n.endswith(".csv"))
     fs.delete(target, False)
     fs.mkdirs(target.getParent())
-    fs.rename(file_system(spark, f"{part}/{name}")[1], target)
+    for k, name in enumerate(names):
+        to = file_system(spark, path.removesuffix(".csv") + f"-{k}.csv")[1] if k else target
+        fs.rename(file_system(spark, f"{part}/{name}")[1], to)
 
 
 def q_load_stream(spark, sf):

@@ -92,7 +92,8 @@ def parse_lines(lines: DataFrame, heads: DataFrame, headers: list[str],
     """
     columns = {h: header_columns(h) for h in headers}
     names = list(dict.fromkeys(c for h in headers for c in columns[h]))
-    rows = lines.join(heads, "_file").filter((F.col("_at") != F.col("head_at")) & F.col("head").isin(headers))
+    # One row a file, of files that the driver lists anyway: the lines stay where they are read.
+    rows = lines.join(F.broadcast(heads), "_file").filter((F.col("_at") != F.col("head_at")) & F.col("head").isin(headers))
     parsed = []
     for k, h in enumerate(headers):
         cells = ", ".join(f"c{j} string" for j in range(len(columns[h])))

@@ -140,7 +140,7 @@ def _load_readable(spark, store, spec, files, table, staged, end) -> None:
     first = passed.groupBy("transaction_id").agg(F.min("_file").alias("_first"))
     new = passed.join(first, passed["transaction_id"].eqNullSafe(first["transaction_id"])
                       & (passed["_file"] == first["_first"]), "left_semi")
-    n = store.load(new, table).rows_loaded
+    n = store.load(new, table, size=sum(gates[uri]["rows"] for uri in good)).rows_loaded
     for uri in sorted(good):
         end(names[uri][0], LOADED, n)
         n = 0  # the rows of a batch are counted once

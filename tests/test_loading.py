@@ -210,6 +210,67 @@ def bank(spark, first, last, text="X", date="2024-01-01"):
     return raw_frame(spark, [(f"i{k:03d}", date, text, -1.0, "debit") for k in range(first, last)], "bank")
 
 
+def test_a_large_load_has_more_tasks_of_the_same_size(spark, scratch, monkeypatch):
+    from tally.sources import raw
+    monkeypatch.setattr(raw, "TASK_ROWS", 10)
+    monkeypatch.setattr(raw, "BUCKET_ROWS", 40)
+    store = RawStore(spark, scratch("raw"), buckets=2)
+
+    def largest_file():
+        load = store.versions("t").latest()[1]["loads"][-1]["id"]
+        files = spark.read.parquet(f"{store.path('t')}/_load={load}").groupBy(F.input_file_name()).count()
+        return files.agg(F.max("count")).first()[0]
+    assert store.load(bank(spark, 0, 200), "t").rows_loaded == 200
+    assert store.versions("t").latest()[1]["buckets"] == 20 and largest_file() <= 30
+    # 1,800 rows more than the buckets were made for: both sides' ids go to more tasks.
+    batch = bank(spark, 100, 2_000, "Y")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = io.StringIO()
+        with contextlib.redirect_stdout(plan):
+            store.new_rows(batch, "t", size=1_900).explain("formatted")
+        assert plan.getvalue().count("hashpartitioning(transaction_id") + plan.getvalue().count("hashpartitioning(_stored") == 2
+        assert ", 200)" in plan.getvalue()  # 1,900 rows in tasks of 10, a multiple of 20 buckets
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert store.load(batch, "t").rows_loaded == 1_800 and largest_file() <= 30
+    rows = store.read("t")
+    assert rows.count() == rows.select("transaction_id").distinct().count() == 2_000
+    assert rows.filter("description = 'X'").count() == 200  # stored rows stay
+    assert store.load(batch, "t").rows_loaded == 0
+    assert store.load(batch, "t", full_refresh=True).rows_loaded == 1_900
+    assert store.versions("t").latest()[1]["buckets"] == 190 and store.read("t").count() == 1_900
+
+
+def test_a_large_export_lands_as_several_files(spark, scratch, monkeypatch):
+    from tally import queries
+    monkeypatch.setattr(queries, "LANDED_ROWS", 25)
+    folder = scratch("landing")
+    export = spark.createDataFrame([(f"i{k}", "2024-01-01", "A", "-1.00", "debit") for k in range(100)],
+                                   ",".join(f"{c} string" for c in BANK.required)).repartition(8)
+    queries._land(spark, export, folder + "/export-1.csv")
+    assert sorted(queries.names_in(spark, folder)) == ["export-1-1.csv", "export-1-2.csv", "export-1-3.csv", "export-1.csv"]
+    store = RawStore(spark, scratch("raw"))
+    stream_load(spark, store, BANK, folder, scratch("ckpt"))
+    assert store.read(BANK.raw_table).select("transaction_id").distinct().count() == store.read(BANK.raw_table).count() == 100
+
+
+def test_lines_meet_their_headers_where_they_are_read(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(HEADER + "1,2024-01-01,A,-1.00,debit\n")
+    (tmp_path / "b.csv").write_text("date,transaction_id,description,amount,transaction_type\n2024-01-02,2,B,-2.00,debit\n")
+    plan, before = io.StringIO(), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # lines are never shuffled by file
+    try:
+        rows = read_csv_text(spark, str(tmp_path))
+        with contextlib.redirect_stdout(plan):
+            rows.explain("formatted")
+        assert "SortMergeJoin" not in plan.getvalue()
+        assert {(r["transaction_id"], r["date"]) for r in rows.collect()} == {("1", "2024-01-01"), ("2", "2024-01-02")}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def racing(store, monkeypatch, other):
     """Let ``other`` load right before the store's next commit."""
     from tally.sources import raw
