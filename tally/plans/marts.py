@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tally.functions.calendar import month_label
 from tally.functions.numeric import Money, round_half_away, safe_div
 from tally.functions.text import contains_any
+from tally.operators.observe import observe_rows
 from tally.operators.rules import hold_category_predicates
 from tally.schema import DEFAULT_START_DATE
 
@@ -160,9 +161,12 @@ def mart_monthly_spend(categorized: DataFrame, start_date: str = DEFAULT_START_D
     runs the windows on the small grouped result. Income groups stay in the
     grouped rows until after the windows but never count: they sort after
     every spend group in the rank and add nothing to the month total, and the
-    lag is partitioned by category so they have their own partition.
+    lag is partitioned by category so they have their own partition. The groups
+    pass an observation point: a query that drops the rank leaves no window that
+    stops their removal from being pushed to the scan, with the whole rule CASE.
     """
-    return _spend_windows(_grouped(_spend_candidates(categorized, start_date), "category"), ordered)
+    groups = observe_rows(_grouped(_spend_candidates(categorized, start_date), "category"), "spend_groups")
+    return _spend_windows(groups, ordered)
 
 
 def _change(money: Money, previous: Money) -> Column:
