@@ -86,9 +86,12 @@ def category_sql(description: str = "description", provider: str | None = "provi
                  rules: Sequence[Rule] | None = None) -> str:
     """The first-match CASE as SQL text over the named columns.
 
-    Consecutive rules with the same category are merged into one branch (an
-    OR of ``contains`` tests), which keeps first-match semantics and makes a
-    short CASE. ``description`` must hold upper-case text.
+    Consecutive rules with the same category are merged into one branch, which
+    keeps first-match semantics and makes a short CASE. A branch looks through
+    an array of its keywords (``exists`` stops at the first that is found), so
+    that the generated code does not grow with the rules: written out as 95
+    ``contains`` tests it is a method too large for the JVM to compile.
+    ``description`` must hold upper-case text.
     """
     ordered = ordered_rules(default_rules() if rules is None else rules)
     branches: list[tuple[str, list[str]]] = []
@@ -104,8 +107,8 @@ def category_sql(description: str = "description", provider: str | None = "provi
         excluded = ", ".join(_sql_string(v) for v in NON_CATEGORIES)
         parts.append(f"WHEN {p} IS NOT NULL AND {p} NOT IN ({excluded}) THEN CAST({p} AS STRING)")
     for cat, kws in branches:
-        cond = " OR ".join(f"contains({d}, {_sql_string(kw)})" for kw in kws)
-        parts.append(f"WHEN {cond} THEN {_sql_string(cat)}")
+        keywords = ", ".join(_sql_string(kw) for kw in kws)
+        parts.append(f"WHEN exists(array({keywords}), kw -> contains({d}, kw)) THEN {_sql_string(cat)}")
     if not parts:
         return _sql_string(FALLBACK_CATEGORY)
     return "CASE " + " ".join(parts) + f" ELSE {_sql_string(FALLBACK_CATEGORY)} END"
@@ -116,8 +119,7 @@ def category_expr(description: str = "description", provider: str | None = "prov
     """First-match CASE over the rules, one row at a time, no shuffle.
 
     Built as one SQL expression (a single call into the JVM, however many
-    rules there are); it compiles to the same generated code as a chain of
-    ``when`` calls.
+    rules there are).
     """
     return F.expr(category_sql(description, provider, rules))
 

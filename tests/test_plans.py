@@ -58,3 +58,30 @@ def test_scans_read_only_needed_columns(spark):
     text = " ".join(schemas) if schemas else plan
     for unused in ("o_custkey", "o_orderstatus", "l_quantity", "l_discount", "l_returnflag"):
         assert unused not in text
+
+
+@pytest.mark.parametrize("key", ["rollup_spend_month", "win_lag_spend", "int_categorized"])
+def test_rules_are_looked_up_once_a_row_by_code_that_is_compiled(spark, key):
+    before = spark.conf.get("spark.sql.codegen.hugeMethodLimit"), spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")  # Spark's default: larger methods are generated
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        code, plan = io.StringIO(), io.StringIO()
+        with contextlib.redirect_stdout(code):
+            QUERIES[key](spark, SF).explain("codegen")
+        with contextlib.redirect_stdout(plan):
+            QUERIES[key](spark, SF).explain()
+    finally:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", before[0])
+        spark.conf.set("spark.sql.adaptive.enabled", before[1])
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code.getvalue())]
+    assert sizes and max(sizes) < 8_000  # the JVM compiles no larger method
+    assert plan.getvalue().count("GEICO") == 2  # once for each source, not in the scans' filters too
+
+
+def test_rules_keep_their_order(spark):
+    from tally.operators.rules import categorize
+    hits = spark.createDataFrame([("UBER EATS",), ("UBER TRIP",), ("AMAZON PRIME",), ("SHELL",), ("x",), (None,)], "description string")
+    got = {r["description"]: r["category"] for r in categorize(hits, use_provider=False).collect()}
+    assert got == {"UBER EATS": "Dining", "UBER TRIP": "Transport", "AMAZON PRIME": "Subscriptions", "SHELL": "Transport",
+                   "x": "Other", None: "Other"}
