@@ -25,7 +25,9 @@ buckets by hash, with its own training counts, and gets each one's total back
 longer n-grams after candidate contexts, together with the divergence sums of
 the contexts one word shorter. An n-gram is sent once a chunk however often it
 occurs, so that no frequent word is a hot key: a key's rows are at most one a
-chunk. Nothing but the numbers of tokens and words reaches the driver, and
+chunk. What follows from counts already told is not asked (``Chunk._level``, ``Chunk._asked``),
+so that longer n-grams, of which ever more have candidate contexts as the
+corpus grows, move only where the tree really branches. Nothing but the numbers of tokens and words reaches the driver, and
 no part of the model is held in one place. What moves in a round is joined to
 its chunk where that lies: the chunk tables are bucketed by chunk in the
 shared folder, and are read back after a lost executor.
@@ -161,35 +163,54 @@ class Shared:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def _sums(pdf: pd.DataFrame) -> pd.DataFrame:
-    """A bucket's blocks of keys and values: the sum of each block's keys over all blocks."""
+def unsigned(v: np.ndarray) -> np.ndarray:
+    """0, -1, 1, -2, ... as 0, 1, 2, 3, ..., so that the first bytes of small numbers are 0."""
+    return (v << 1) ^ (v >> 63)
+
+
+def signed(v: np.ndarray) -> np.ndarray:
+    return (v >> 1) ^ -(v & 1)
+
+
+def _sums(pdf: pd.DataFrame, bits: int) -> pd.DataFrame:
+    """A bucket's blocks of keys and values: the sum of each block's keys over all blocks.
+
+    An n-gram's sum is told as one more than it is, or as 0 if its block alone asked about it.
+    """
     blocks = [unpack(d, 2) for d in pdf["keys"]]
-    own, place = distinct(np.concatenate([b[0] for b in blocks]).view(_U))
+    own, place = distinct(np.concatenate([np.cumsum(b[0].view(_U)) for b in blocks]))
     total = np.zeros(len(own), np.int64)
-    np.add.at(total, place, np.concatenate([b[1] for b in blocks]))
+    np.add.at(total, place, signed(np.concatenate([b[1] for b in blocks])))
     cuts = np.cumsum([len(b[0]) for b in blocks])[:-1]
     bucket = int(pdf["bucket"].iloc[0])
+    seen = int((total > 0).sum())
+    if bucket >> bits == 0:
+        total = np.where(np.bincount(place, minlength=len(own)) == 1, 0, total + 1)
+    else:
+        total = unsigned(total)
     out = [(int(c), bucket, pack(total[p]), 0) for c, p in zip(pdf["chunk"], np.split(place, cuts))]
-    return pd.DataFrame([*out, (-1, bucket, b"", int((total > 0).sum()))], columns=["chunk", "bucket", "totals", "seen"])
+    return pd.DataFrame([*out, (-1, bucket, b"", seen)], columns=["chunk", "bucket", "totals", "seen"])
 
 
-def exchange(shared: Shared, asked: DataFrame, name: str) -> DataFrame:
+def exchange(shared: Shared, asked: DataFrame, bits: int, name: str) -> DataFrame:
     """chunk, blocks, seen: what each chunk asked about, totalled; chunk -1 has the number of keys with a total.
 
-    ``asked`` is (chunk, bucket, keys): sorted distinct keys and values, cut into buckets by their first bits.
+    ``asked`` is (chunk, bucket, keys): steps between sorted distinct keys, and values, cut into buckets by their first ``bits`` bits.
     """
     back = asked.groupBy("bucket").applyInPandas(
-        tidy_group(_sums), "chunk long, bucket long, totals binary, seen long")
+        tidy_group(partial(_sums, bits=bits)), "chunk long, bucket long, totals binary, seen long")
     blocks = F.sort_array(F.collect_list(F.struct("bucket", "totals"))).alias("blocks")
     return shared.write(back.repartition(shared.buckets, "chunk").groupBy("chunk")
                         .agg(blocks, F.sum("seen").alias("seen")), name)
 
 
 def ask(chunk: int, keys: np.ndarray, values: np.ndarray, bits: int, kind: int = 0) -> list[tuple]:
-    """Blocks of sorted keys by their first ``bits`` bits; each kind of key has its own buckets."""
+    """Blocks of sorted keys, as steps, by their first ``bits`` bits; each kind of key has its own buckets."""
     bucket = (keys >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
     at = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(keys))
-    return [(chunk, int(bucket[a]) + (kind << bits), pack(keys[a:b], values[a:b])) for a, b in zip(at[:-1], at[1:])]
+    values = unsigned(values)
+    return [(chunk, int(bucket[a]) + (kind << bits), pack(np.diff(keys[a:b], prepend=_U(0)), values[a:b]))
+            for a, b in zip(at[:-1], at[1:])]
 
 
 class Chunk:
@@ -197,8 +218,10 @@ class Chunk:
 
     Level k has the n-grams of k + 1 tokens that end at the tokens ``at[k]``,
     those after a candidate context of k words: ``keys[k]`` distinct ones,
-    ``code[k]`` each token's among them and ``count[k]`` their counts.
-    ``gain[k]`` is the divergence sum of the context of each of ``at[k]``.
+    ``own[k]`` their training counts here, ``code[k]`` each token's among them,
+    ``count[k]`` their counts, ``rule[k]`` those that follow from shorter ones (else
+    -1) and ``alone[k]`` whether it is known that no other chunk has them.
+    ``state[k]`` tells the tokens whose context of k words is a state.
     """
 
     def __init__(self, row, rounds: int, tree: Tree = Tree()):
@@ -210,8 +233,11 @@ class Chunk:
         self.last = np.cumsum(self.lengths) - 1  # every text's end
         self.at, self.key = [np.arange(len(codes))], [words[codes]]
         self.keys, self.code = [words], [codes]
+        self.own = [np.bincount(codes[self.train], minlength=len(words)).astype(np.int64)]
+        self.rule = [np.full(len(codes), -1)]
         self.count: list[np.ndarray] = []
-        self.gain: list[np.ndarray] = [np.zeros(0, np.int64)]
+        self.alone: list[np.ndarray] = []
+        self.state = [np.ones(len(codes), bool)]
         for k in range(rounds):
             blocks = row[f"blocks{k}"]  # none: the chunk asked nothing
             blocks = [] if blocks is None else blocks
@@ -226,34 +252,57 @@ class Chunk:
         ends = np.zeros(len(self.train), bool)
         ends[self.last] = True
         at = before[~ends[before]] + 1
+        if k == self.tree.depth and k > 2:
+            # The longest n-grams are no contexts, and a state's ancestors are states.
+            at = at[self.state[k - 2][at]]
+        # The counts follow where the context without its oldest word is always followed by this token
+        # (the context is too) or always follows that oldest word (with or without it is the same), in every chunk.
+        rule = np.full(len(at), -1)
+        if k > 1:
+            gram, context, parent = self.count[k - 1][at], self.count[k - 1][at - 1], self.count[k - 2][at - 1]
+            rule = np.where(gram == parent, context, np.where(context == parent, gram, rule))
+        new = at[rule < 0] if k == self.tree.depth else at
         with np.errstate(over="ignore"):
-            grams = scramble(self.key[k - 1][at - 1] + self.key[0][at] * _U(0x9E3779B97F4A7C15), k)
+            grams = scramble(self.key[k - 1][new - 1] + self.key[0][new] * _U(0x9E3779B97F4A7C15), k)
         key, code = np.zeros_like(self.key[0]), np.zeros_like(self.code[0])
-        key[at] = grams
-        keys, code[at] = distinct(grams)
+        key[new] = grams
+        keys, code[new] = distinct(grams)
         self.at.append(at)
+        self.rule.append(rule)
         self.key.append(key)
         self.keys.append(keys)
         self.code.append(code)
+        self.own.append(np.bincount(code[new[self.train[new]]], minlength=len(keys)).astype(np.int64))
+
+    def _asked(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens of level k whose count no rule gives, their places among the keys; which keys to ask about.
 
-    def _contexts(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Which keys of level k - 1 are contexts of level k, and each asking token's place among them."""
-        code = self.code[k - 1][self.at[k] - 1]
+        Not those of which no other chunk has the n-gram without its oldest word, or the context.
+        """
+        new = self.at[k][self.rule[k] < 0]
+        code = self.code[k][new]
+        asked = np.zeros(len(self.keys[k]), bool)
+        asked[code if k == 0 else code[~(self.alone[k - 1][new] | self.alone[k - 1][new - 1])]] = True
+        return new, code, asked
+
+    def _contexts(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens of level k whose context's parent is a state; which keys of level k - 1 are the contexts; places there."""
+        at = self.at[k]
+        at = at[self.state[k - 1][at]]
+        code = self.code[k - 1][at - 1]
         asked = np.zeros(len(self.keys[k - 1]), bool)
         asked[code] = True
-        return asked, (np.cumsum(asked) - 1)[code]
+        return at, asked, (np.cumsum(asked) - 1)[code]
 
     def question(self, k: int, root: tuple[float, float], bits: int) -> pd.DataFrame:
         """Round k: training counts of level k, divergence sums of the contexts of level k - 1."""
         self._level(k)
         rows = []
         if k <= self.tree.depth:
-            at = self.at[k]
-            value = np.bincount(self.code[k][at[self.train[at]]], minlength=len(self.keys[k])).astype(np.int64)
-            rows += ask(self.chunk, self.keys[k], value, bits)
+            *_, asked = self._asked(k)
+            rows += ask(self.chunk, self.keys[k][asked], self.own[k][asked], bits)
         if k > 1:
-            asked, place = self._contexts(k - 1)
-            mine = self.at[k - 1]
+            mine, asked, place = self._contexts(k - 1)
             p = self.chances(k - 1, root, left_out=1)
             gain = np.rint(NAT * np.log(p[k - 1][mine] / p[k - 2][mine]))
             # Whole numbers, exact in double precision.
@@ -264,14 +313,26 @@ class Chunk:
     def _told(self, k: int, totals: np.ndarray) -> None:
         """The totals of round k, in the order in which they were asked for."""
         self._level(k)
-        grams = len(self.keys[k]) if k <= self.tree.depth else 0
+        grams = 0
         if k <= self.tree.depth:
-            at = self.at[k]
-            count = np.zeros(len(self.train), np.int64)
-            count[at] = totals[:grams][self.code[k][at]]
+            at, (new, code, asked) = self.at[k], self._asked(k)
+            grams = int(asked.sum())
+            told, only = self.own[k].copy(), np.ones(len(asked), bool)
+            only[asked] = totals[:grams] == 0
+            told[asked] = np.where(only[asked], told[asked], totals[:grams] - 1)
+            count, alone = np.zeros(len(self.train), np.int64), np.zeros(len(self.train), bool)
+            count[at] = self.rule[k]
+            count[new] = told[code]
+            if k:
+                alone[at] = self.alone[k - 1][at] | self.alone[k - 1][at - 1]
+            alone[new] = only[code]
             self.count.append(count)
+            self.alone.append(alone)
         if k > 1:
-            self.gain.append(totals[grams:][self._contexts(k - 1)[1]])
+            at, _, place = self._contexts(k - 1)
+            state = np.zeros(len(self.train), bool)
+            state[at] = signed(totals[grams:])[place] >= self.tree.divergence * NAT
+            self.state.append(state)
 
     def chances(self, depth: int, root: tuple[float, float], left_out: int = 0) -> list[np.ndarray]:
         """p(token | the last k words) at the tokens of level k up to ``depth``, as if every context were a state.
@@ -293,12 +354,9 @@ class Chunk:
         """(known tokens, base score, model score) of every document."""
         p = self.chances(self.tree.depth, root)
         base = np.log10(p[0])
-        model, state = base.copy(), np.ones(len(base), bool)
+        model = base.copy()
         for k in range(1, self.tree.depth + 1):
-            retained = np.zeros(len(base), bool)
-            retained[self.at[k][self.gain[k] >= self.tree.divergence * NAT]] = True
-            state &= retained
-            model[state] = np.log10(p[k][state])
+            model[self.state[k]] = np.log10(p[k][self.state[k]])
         first = self.last + 1 - self.lengths
         return tuple(np.add.reduceat(v, first) for v in ((self.count[0] > 0).astype(np.int64), base, model))
 
@@ -326,7 +384,7 @@ def score(docs: DataFrame, held_out, tree: Tree = Tree(), bucket_keys: int = BUC
         def question(pdf: pd.DataFrame, k=k, root=root) -> pd.DataFrame:
             return Chunk(pdf.iloc[0], k, tree).question(k, root, bits)
         asked = known.groupBy("chunk").applyInPandas(tidy_group(question), "chunk long, bucket long, keys binary")
-        answer = exchange(shared, asked, f"round{k}")
+        answer = exchange(shared, asked, bits, f"round{k}")
         if k == 0:
             # Distinct tokens with a training count.
             root = (float(train), float(answer.filter("chunk = -1").agg(F.sum("seen")).first()[0] or 0))

@@ -4,11 +4,13 @@ import re
 import zlib
 from collections import Counter
 
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tally.llm.common import crc_bucket
-from tally.llm.suffix_tree import ADD, Tree, score
+from tally.llm.suffix_tree import ADD, Chunk, Tree, _chunked, _sums, score, unpack
 
 DOC = "doc_id long, text string, score double, held_out string, chunk long, n_known long"
 SMALL = Tree(depth=3, min_count=3, divergence=0.2, parent=(4.0, 2.0, 1.0), chunk_bytes=300)
@@ -122,3 +124,59 @@ def test_foretells_held_out_better(spark):
     rows = found(spark, corpus(5, 300), Tree(chunk_bytes=2_000))
     out = [r for r in rows if r[1]]
     assert sum(r[6] for r in out) > sum(r[5] for r in out) + 10
+
+
+def asked_of(parts, tree, bits=1):
+    """Scores in the order of the documents, and the n-grams that the chunks asked about in every round.
+
+    ``parts`` holds (id, text) of each chunk's documents; the exchange is played through without Spark.
+    """
+    rows = []
+    for part in parts:
+        b = pa.RecordBatch.from_pydict({"doc_id": [i for i, _ in part], "text": [t for _, t in part],
+                                        "held_out": [held(i) for i, _ in part]})
+        rows += [r for c in _chunked([b], 1 << 20) for r in c.to_pylist()]
+    rows = [r | {"chunk": j} for j, r in enumerate(rows)]
+    train, root, counts = sum(r["train"] for r in rows), None, []
+    for k in range(tree.depth + 2):
+        asked = pd.concat([Chunk(r, k, tree).question(k, root or (train, 0), bits) for r in rows])
+        told = [_sums(g, bits) for _, g in asked.groupby("bucket")]
+        told = pd.concat(told) if told else pd.DataFrame([], columns=["chunk", "bucket", "totals", "seen"])
+        if k == 0:
+            root = (float(train), float(told["seen"].sum()))
+        for j, r in enumerate(rows):
+            r[f"blocks{k}"] = told[told["chunk"] == j].sort_values("bucket").to_dict("records")
+        grams = told[(told["chunk"] >= 0) & (told["bucket"].astype(int).to_numpy() >> bits == 0)]
+        counts.append(sum(len(unpack(t, 1)[0]) for t in grams["totals"]))
+    return [float(v) for r in rows for v in Chunk(r, tree.depth + 2, tree).scores(root)[2]], counts
+
+
+def agrees(parts, tree):
+    got, counts = asked_of(parts, tree)
+    want, _ = brute([d for part in parts for d in part], tree)
+    assert got == pytest.approx([r[6] for r in want], rel=1e-9)
+    return counts
+
+
+def test_asks_nothing_of_n_grams_that_do_not_branch():
+    passage = " ".join(f"p{j}" for j in range(30))
+    parts = [[(10 * c + j, passage) for j in range(3)] for c in range(6)]
+    counts = agrees(parts, SMALL)
+    # Six chunks, 30 words and the end; one after each word; longer ones all follow from these.
+    assert counts[:4] == [6 * 31, 6 * 30, 0, 0]
+
+
+def test_asks_nothing_of_n_grams_with_a_part_in_no_other_chunk():
+    rng = random.Random(4)
+    parts = [[(10 * c + j, " ".join(f"{c}w{rng.randrange(4)}" for _ in range(80))) for j in range(3)] for c in range(5)]
+    counts = agrees(parts, SMALL)
+    # Words are a chunk's own but for the end, and so is each n-gram after them.
+    assert counts[:4] == [5 * 5, 0, 0, 0]
+
+
+@pytest.mark.parametrize("seed", [6, 7])
+def test_asked_n_grams_and_rules_agree_with_brute_force(seed):
+    docs = corpus(seed, 90) + [(k, "a mat that only this text has and this text only has", 0.0, "", 0, 0) for k in range(100, 130)]
+    parts = [[d[:2] for d in docs[c::4]] for c in range(4)]
+    counts = agrees(parts, SMALL)
+    assert all(counts[:4])
